@@ -53,7 +53,7 @@ def assign_updates(
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    plan = steps.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).cast("long"))
+    plan = steps.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(epochs - 1).cast("long"))))
     step, epoch = F.col("step"), F.col("epoch")
     ceil_updates = -(-per_epoch // accum)
     if mode == "vanilla":

@@ -16,7 +16,7 @@ PAIR = ("prev", "next")
 
 def pair_counts(df: DataFrame, ids: str = "input_ids") -> DataFrame:
     """``(prev, next, n)`` over all adjacent ids."""
-    pairs = df.select(F.explode(next_token_pairs(ids)).alias("p"))
+    pairs = df.select(F.explode_outer(next_token_pairs(ids)).alias("p")).filter("p is not null")
     pairs = pairs.select(F.col("p.input").alias("prev"), F.col("p.label").alias("next"))
     return pairs.groupBy(*PAIR).agg(F.count(F.lit(1)).alias("n"))
 

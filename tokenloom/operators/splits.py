@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.functions.hashing import KEY_SPACE, shuffle_key
@@ -40,7 +40,7 @@ def assign_split(df: DataFrame, key: str, n: int = 1000, seed: int = 42) -> Data
     cut = _cut(keyed, key, n, last=True)
     if cut is None:
         return keyed.withColumn("split", F.lit("eval"))
-    in_eval = F.struct(SHUFFLE_KEY, key) >= F.struct(F.lit(cut[0]), F.lit(cut[1]))
+    in_eval = F.struct(SHUFFLE_KEY, key) >= _literal(keyed, key, cut)
     return keyed.withColumn("split", F.when(in_eval, "eval").otherwise("train"))
 
 
@@ -59,7 +59,12 @@ def sample_n(df: DataFrame, key: str, n: int = 1000, seed: int = 42) -> DataFram
     cut = _cut(keyed, key, n, last=False)
     if cut is None:
         return keyed
-    return keyed.filter(F.struct(SHUFFLE_KEY, key) <= F.struct(F.lit(cut[0]), F.lit(cut[1])))
+    return keyed.filter(F.struct(SHUFFLE_KEY, key) <= _literal(keyed, key, cut))
+
+
+def _literal(keyed: DataFrame, key: str, cut: tuple) -> Column:
+    kinds = dict(keyed.dtypes)
+    return F.struct(*[F.lit(v).cast(kinds[c]) for c, v in zip((SHUFFLE_KEY, key), cut, strict=True)])
 
 
 def _cut(keyed: DataFrame, key: str, n: int, last: bool) -> tuple | None:

@@ -16,10 +16,13 @@ VOCAB_SCHEMA = "id INT, token STRING, special BOOLEAN"
 
 
 def token_counts(df: DataFrame, text: str = "text", specials: Sequence[str] = ()) -> DataFrame:
-    """``(token, n)`` over a corpus; special tokens are not counted."""
-    tokens = spread(df.select(text)).select(F.explode(split_tokens(text, specials)).alias("token"))
-    if specials:
-        tokens = tokens.filter(~F.col("token").isin(list(specials)))
+    """``(token, n)`` over a corpus; special tokens are not counted.
+
+    The outer form of explode, because the inner one has Spark split every text twice
+    (once more for an inferred non-empty filter, before the rows are spread).
+    """
+    tokens = spread(df.select(text)).select(F.explode_outer(split_tokens(text, specials)).alias("token"))
+    tokens = tokens.filter(F.col("token").isNotNull() & ~F.col("token").isin(list(specials)))
     return tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -38,10 +38,10 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of an input with fewer splits than cores to all cores.
+    """Deal the rows of a small input to all cores before costly per-row work.
 
-    For costly per-row work on few unsplittable files; an input with enough splits
-    is returned as it is.
+    A file is split by size, but a row group is read by one task, so few splits may
+    mean still fewer busy ones.  An input with many splits per core is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores // 2 else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < 2 * cores else df
