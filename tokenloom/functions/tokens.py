@@ -26,12 +26,11 @@ def split_tokens(text: Column | str, specials: Sequence[str] = ()) -> Column:
     if not specials:
         return _words(text)
     pattern = any_of(specials)
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    none = F.array().cast("array<string>")
-    pieces = F.transform(
+    pieces = F.zip_with(
         F.split(text, pattern, -1),
-        lambda gap, i: F.concat(
-            _words(gap), F.when(i < F.size(found), F.slice(found, i + 1, F.lit(1))).otherwise(none)
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+        lambda gap, special: F.when(special.isNull(), _words(gap)).otherwise(
+            F.concat(_words(gap), F.array(special))
         ),
     )
     has_special = reduce(or_, [text.contains(s) for s in specials])

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.functions.sequences import next_token_pairs
-from tokenloom.operators.lookup import lookup
+from tokenloom.operators.lookup import fits_broadcast, lookup
 from tokenloom.staging import stage
 
 PAIR = ("prev", "next")
@@ -68,23 +68,32 @@ def generate_greedy(
 ) -> DataFrame:
     """``(key, generated)``: up to ``max_new`` new ids per prompt, ending with the end token if reached.
 
-    A continuation depends on the last id only.  So chains are built once per token,
-    by doubling: a chain of 2k ids is a chain of k and the one of its last id.  That
-    takes ``log2(max_new)`` joins however many prompts there are; the prompts join at
-    the end.  The end token and tokens without a successor close a chain.
+    A continuation depends on the last id only, so one walk is made per distinct last
+    id.  Jump tables give the token 1, 2, 4, ... steps on, each joined from the one
+    before; from the longest jump down, every position reached so far yields one more.
+    That takes about ``2 * log2(max_new)`` joins of narrow tables instead of ``max_new``.
+    A walk ends after the end token and at a token without a successor.
     """
-    chains = best_next(model).filter(F.col("prev") != eos_id).select("prev", F.array("next").alias("chain"))
-    length = 1
-    while length < max_new:
-        chains = stage(chains, "chains")
-        tails = chains.select(F.col("prev").alias("last"), F.col("chain").alias("tail"))
-        ends = chains.withColumn("last", F.element_at("chain", -1))
-        longer = F.slice(
-            F.concat("chain", F.coalesce("tail", F.array().cast("array<int>"))), 1, max_new
-        )
-        chains = lookup(ends, tails, "last").select("prev", longer.alias("chain"))
-        length *= 2
-    starts = prompts.select(*key, F.element_at(ids, -1).alias("prev"))
-    return lookup(starts, stage(chains, "chains"), "prev").select(
-        *key, F.coalesce("chain", F.array().cast("array<int>")).alias("generated")
+    jumps = [stage(best_next(model).filter(F.col("prev") != eos_id), "jump")]
+    while 2 ** len(jumps) <= max_new:
+        tail = jumps[-1].select(F.col("prev").alias("next"), F.col("next").alias("after"))
+        doubled = lookup(jumps[-1], tail, "next").filter("after is not null")
+        jumps.append(stage(doubled.select("prev", F.col("after").alias("next")), "jump"))
+    last = prompts.select(*key, F.element_at(ids, -1).alias("start"))
+    walk = last.select("start").distinct().select("start", F.lit(0).alias("step"), F.col("start").alias("prev"))
+    for power in reversed(range(len(jumps))):
+        small = fits_broadcast(jumps[power])
+        if not small:
+            walk = stage(walk, "walk")  # the other way of joining reads it several times
+        steps = F.explode(F.array(F.lit(0), F.lit(2**power)))
+        further = lookup(walk, jumps[power], "prev", small).withColumn("jump", steps)
+        walk = further.select(
+            "start",
+            (F.col("step") + F.col("jump")).alias("step"),
+            F.when(F.col("jump") == 0, F.col("prev")).otherwise(F.col("next")).alias("prev"),
+        ).filter(F.col("prev").isNotNull() & (F.col("step") <= max_new))
+    chain = F.sort_array(F.collect_list(F.struct("step", "prev")))["prev"].alias("generated")
+    chains = stage(walk.filter("step > 0").groupBy("start").agg(chain), "chains")
+    return lookup(last, chains, "start").select(
+        *key, F.coalesce("generated", F.array().cast("array<int>")).alias("generated")
     )

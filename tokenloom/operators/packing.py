@@ -68,7 +68,7 @@ def stream_layout(
         .groupBy(BUCKET)
         .agg(
             F.sum("n").alias("total"),
-            F.max(F.when(F.col("inside") < chunk - 1, ranges.key())).alias("head"),
+            F.max(F.when(F.col("inside") < max(chunk - 1, 1), ranges.key())).alias("head"),
         )
         .orderBy(BUCKET)
         .collect()
@@ -83,7 +83,7 @@ def stream_layout(
         offset += row["total"]
         closed = offset - starts[-1] >= chunk - 1
     bounds = tuple(ranges.bounds[b - 1] for b in first[1:])
-    return StreamLayout(ranges.with_bounds(bounds), tuple(starts), tuple(heads))
+    return StreamLayout(ranges.with_bounds(bounds), tuple(starts or [0]), tuple(heads))
 
 
 def chunk_stream(

@@ -87,7 +87,9 @@ def quantize_vectors(df: DataFrame, block: int = 64, vec: str = "embedding") ->
     scales = F.transform(
         starts, lambda s: F.array_max(F.transform(F.slice(x, s, F.lit(block)), lambda v: F.abs(v)))
     )
-    codes = F.transform(x, lambda v, i: _nearest(v / F.get(F.col("scales"), F.floor(i / block).cast("int"))))
+    codes = F.transform(
+        x, lambda v, i: _nearest(F.try_divide(v, F.get(F.col("scales"), F.floor(i / block).cast("int"))))
+    )
     return df.withColumn("scales", scales).withColumn("codes", codes).drop(vec)
 
 
@@ -101,8 +103,11 @@ def dequantize_vectors(df: DataFrame, block: int = 64, out: str = "embedding") -
 
 
 def _nearest(v):
-    """Code of the nearest level: how many midpoints between levels lie below the value."""
+    """Code of the nearest level: how many midpoints between levels lie below the value.
+
+    The value is null in a block of zeros.
+    """
     middles = [(a + b) / 2 for a, b in zip(NF4_LEVELS, NF4_LEVELS[1:])]
     zero = F.lit(NF4_LEVELS.index(0.0))
     steps = F.array(*[F.lit(m) for m in middles])
-    return F.when(F.isnan(v) | v.isNull(), zero).otherwise(F.size(F.filter(steps, lambda m: m < v)))
+    return F.when(v.isNull(), zero).otherwise(F.size(F.filter(steps, lambda m: m < v)))

@@ -69,5 +69,5 @@ def ngram_perplexity(train: DataFrame, heldout: DataFrame, key: Sequence[str], t
     """Fit a vocabulary and a bigram model on ``train``; loss and perplexity on ``heldout``."""
     vocab = build_vocab(train, text, SPECIALS)
     encoded = [encode(df, vocab, key, text, SPECIALS) for df in (train, heldout)]
-    model, seen = (pair_counts(e) for e in encoded)
-    return eval_ngram(model, stage(seen, "heldout-pairs"), vocab_size(vocab))
+    model, seen = (stage(pair_counts(e), "pairs") for e in encoded)
+    return eval_ngram(model, seen, vocab_size(vocab))

@@ -9,20 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``, or else the context's checkpoint folder.
 
-    Only a local-mode session without that setting gets a temporary folder of
-    its own; on a cluster a missing setting is an error, because a
-    machine-local folder would be lost with its machine.
+    Only a local-mode session with neither gets a temporary folder; on a cluster that
+    is an error, because a machine-local folder would be lost with its machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="tokenloom-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tokenloom-"))
+    return context.getCheckpointDir()
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
