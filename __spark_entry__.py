@@ -82,7 +82,7 @@ def _shards(spark: SparkSession, sf: str) -> DataFrame:
     rows = _table(spark, sf, "embeddings").select(
         (F.col("vec_id") % RANKS).cast("int").alias("shard"), F.col("embedding").alias("vec")
     )
-    return vectors.vector_sum(rows, by="shard")
+    return stage(vectors.vector_sum(rows, by="shard"), "shards")
 
 
 def _scored(spark: SparkSession, sf: str) -> DataFrame:
@@ -181,7 +181,7 @@ def count_rows(spark, sf):
 
 @query
 def row_at(spark, sf):
-    return batches.row_at(_instructions(spark, sf), ["id"], 32)
+    return batches.row_at(stage(_instructions(spark, sf), "instructions"), ["id"], 32)
 
 
 @query
@@ -245,6 +245,7 @@ def rendered_chat(spark, sf):
 def tokenized_chat(spark, sf):
     specials = (*SPECIALS, *[s for s in TEMPLATE.specials if s not in SPECIALS])
     chats = _instructions(spark, sf).select("id", prompts.render_chat(prompts.to_messages()).alias("text"))
+    chats = stage(chats, "chats")
     v = vocab.build_vocab(chats, specials=specials)
     ids = tokenize.encode(chats, v, ["id"], specials=specials)
     head = ids.select("id", F.slice("input_ids", 1, 15).alias("input_ids"))
@@ -389,7 +390,7 @@ def encode_added(spark, sf):
 @query
 def decode_generated(spark, sf):
     texts = _instructions(spark, sf).select("id", prompts.prompt_only().alias("prompt"), "output")
-    both = texts.select("id", F.posexplode(F.array("prompt", "output")).alias("part", "text"))
+    both = stage(texts, "texts").select("id", F.posexplode(F.array("prompt", "output")).alias("part", "text"))
     v = vocab.build_vocab(both, specials=SPECIALS)
     ids = stage(tokenize.encode(both, v, ["id", "part"], specials=SPECIALS), "parts")
     pairs = ids.filter("part = 0").select("id", F.col("input_ids").alias("prompt")).join(
@@ -712,8 +713,7 @@ def generate_greedy(spark, sf):
     ids = stage(ids, "ids")
     eos = vocab.token_id(v, EOS)
     model = bigram.pair_counts(ids.select(sequences.with_eos("input_ids", eos).alias("input_ids")))
-    prompt = ids.select("doc_id", sequences.truncate("input_ids", 8).alias("input_ids"))
-    new = bigram.generate_greedy(prompt, model, ["doc_id"], eos)
+    new = bigram.generate_greedy(ids, model, ["doc_id"], eos)
     return new.select("doc_id", _joined("generated").alias("generated"))
 
 

@@ -449,7 +449,7 @@ FROM (SELECT s.n, -ln((coalesce(m.n, 0) + 1) / (coalesce(pn, 0) + (SELECT count(
 best AS (
   SELECT prev, next FROM model WHERE prev <> {eos}
   QUALIFY row_number() OVER (PARTITION BY prev ORDER BY n DESC, next) = 1),
-prompt AS (SELECT key, arg_max(id, pos) AS cur FROM enc WHERE pos < 8 GROUP BY key),
+prompt AS (SELECT key, arg_max(id, pos) AS cur FROM enc GROUP BY key),
 walk AS (
   SELECT key, 0 AS step, cur FROM prompt
   UNION ALL SELECT key, step + 1, next FROM walk JOIN best ON prev = cur WHERE step < 80)

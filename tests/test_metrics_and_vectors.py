@@ -88,3 +88,9 @@ def test_quantization(spark):
     back = vectors.dequantize_vectors(coded, block=16).orderBy("id").first().embedding
     assert back[:16] == pytest.approx([2 * v for v in levels], abs=1e-6)
     assert max(abs(a - b) for a, b in zip(back, rows[0][1])) < 4 * 0.16
+
+
+def test_gather_refuses_a_table_of_vectors(spark, ranks, monkeypatch):
+    monkeypatch.setattr(vectors, "MOST_SHARDS", 3)
+    with pytest.raises(ValueError):
+        vectors.gather_vectors(ranks)

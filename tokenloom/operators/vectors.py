@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+MOST_SHARDS = 10_000
+
 
 def vector_sum(df: DataFrame, vec: str = "vec", by: str | None = None) -> DataFrame:
     """Element-wise sum of all vectors, or of those of each ``by``.
@@ -34,7 +36,12 @@ def broadcast_vector(df: DataFrame, source: int = 0, vec: str = "vec", shard: st
 
 
 def gather_vectors(df: DataFrame, vec: str = "vec", shard: str = "shard") -> DataFrame:
-    """One row ``vecs``: the list of vectors in shard order (one vector per shard)."""
+    """One row ``vecs``: the list of vectors in shard order (one vector per shard).
+
+    Everything lands in one row, so more than ``MOST_SHARDS`` rows are refused.
+    """
+    if df.limit(MOST_SHARDS + 1).count() > MOST_SHARDS:
+        raise ValueError("gather_vectors takes one vector per shard; fold them with vector_sum first")
     return df.agg(F.sort_array(F.collect_list(F.struct(shard, vec)))[vec].alias("vecs"))
 
 

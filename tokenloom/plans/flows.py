@@ -60,7 +60,7 @@ def pack_corpus(
 
 def pack_instructions(instructions: DataFrame, length: int, **args) -> DataFrame:
     """Prompt texts of instruction rows, packed with a vocabulary learned from them."""
-    texts = instructions.select("id", prompt_full().alias("text"))
+    texts = stage(instructions.select("id", prompt_full().alias("text")), "prompts")
     vocab = build_vocab(texts, specials=SPECIALS)
     return pack_corpus(texts, vocab, ["id"], length=length, **args)
 

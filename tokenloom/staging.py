@@ -37,11 +37,13 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, per_core: int = 16 << 20) -> DataFrame:
     """Deal the rows of a small input to all cores before costly per-row work.
 
-    A file is split by size, but a row group is read by one task, so few splits may
-    mean still fewer busy ones.  An input with many splits per core is left as it is.
+    A small file, or one of a single row group, is read by one task whatever its
+    length.  Only an input the optimizer estimates below ``per_core`` bytes a core is
+    moved; a larger one has splits enough.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < 2 * cores else df
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue()
+    return df.repartition(cores) if estimate < cores * per_core else df
