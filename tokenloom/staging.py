@@ -45,5 +45,5 @@ def spread(df: DataFrame, per_core: int = 16 << 20) -> DataFrame:
     moved; a larger one has splits enough.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue()
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return df.repartition(cores) if estimate < cores * per_core else df
