@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tokenloom.staging import stage
+
 BROADCAST_BYTES = 64 << 20
 ROW_OVERHEAD = 48
 HOT_SHARE = 2_000
@@ -37,14 +39,11 @@ def lookup(df: DataFrame, table: DataFrame, key: str, small: bool | None = None)
 
 
 def split_lookup(df: DataFrame, table: DataFrame, key: str, hot_share: int = HOT_SHARE) -> DataFrame:
-    """The large-table path of :func:`lookup` (runs one counting action on ``df``)."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = df.count()
-    hot_keys = [r[key] for r in counts.filter(F.col("n") * hot_share > total).select(key).collect()]
-    named = [k for k in hot_keys if k is not None]
-    is_hot = F.col(key).isNull()
-    if named:
-        is_hot = is_hot | F.col(key).isin(named)
+    """The large-table path of :func:`lookup` (stages the key counts of ``df``)."""
+    counts = stage(df.groupBy(key).agg(F.count(F.lit(1)).alias("n")), "key-counts")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    found = counts.filter((F.col("n") * hot_share > total) & F.col(key).isNotNull()).select(key).collect()
+    named = [r[key] for r in found]
+    is_hot = F.col(key).isNull() | F.col(key).isin(named)
     hot = df.filter(is_hot).join(F.broadcast(table.filter(F.col(key).isin(named))), key, "left")
-    cold = df.filter(~is_hot).join(table.hint("merge"), key, "left")
-    return hot.unionByName(cold)
+    return hot.unionByName(df.filter(~is_hot).join(table, key, "left"))

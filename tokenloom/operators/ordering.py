@@ -45,7 +45,9 @@ class KeyRanges:
         return replace(self, bounds=tuple(bounds))
 
     def key(self) -> Column:
-        return F.struct(*[F.col(c) for c in self.order_by])
+        """What cut points are compared with: the column itself, or a struct of several."""
+        columns = [F.col(c) for c in self.order_by]
+        return columns[0] if len(columns) == 1 else F.struct(*columns)
 
     def column(self) -> Column:
         """Bucket number of a row: how many cut points are <= its key.
@@ -83,8 +85,11 @@ class KeyRanges:
 
     def literal(self, bounds: Sequence[tuple]) -> Column:
         """Keys as a literal array, parsed once when the query is planned."""
-        rows = [dict(zip(self.order_by, b, strict=True)) for b in bounds]
-        return F.from_json(F.lit(json.dumps(rows, ensure_ascii=False)), f"array<{self.key_type}>")
+        if len(self.order_by) == 1:
+            keys = [b[0] for b in bounds]
+        else:
+            keys = [dict(zip(self.order_by, b, strict=True)) for b in bounds]
+        return F.from_json(F.lit(json.dumps(keys, ensure_ascii=False)), f"array<{self.key_type}>")
 
 
 def key_ranges(
@@ -99,7 +104,8 @@ def key_ranges(
     """
     order_by = tuple(order_by)
     keys = df.select(*order_by, _weight(weight).alias("w"))
-    key_type = keys.select(*order_by).schema.simpleString()
+    kinds = keys.select(*order_by).schema
+    key_type = kinds[0].dataType.simpleString() if len(order_by) == 1 else kinds.simpleString()
     total = keys.agg(F.sum("w")).first()[0] or 0
     if buckets is None:
         partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -68,7 +68,7 @@ def stream_layout(
         .groupBy(BUCKET)
         .agg(
             F.sum("n").alias("total"),
-            F.max(F.when(F.col("inside") < max(chunk - 1, 1), ranges.key())).alias("head"),
+            F.max(F.when(F.col("inside") < max(chunk - 1, 1), F.struct(*order_by))).alias("head"),
         )
         .orderBy(BUCKET)
         .collect()
