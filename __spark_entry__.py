@@ -21,7 +21,7 @@ from tokenloom.operators.lookup import lookup
 from tokenloom.plans import flows
 from tokenloom.plans.flows import BOS, EOS, SPECIALS, UNK
 from tokenloom.sources import sinks, tables
-from tokenloom.staging import stage, staging_root
+from tokenloom.staging import spread, stage, staging_root
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -516,7 +516,8 @@ def group_texts(spark, sf):
 
 @query
 def packing_report(spark, sf):
-    lengths = _documents(spark, sf).select(split_tokens("text", SPECIALS).alias("input_ids"))
+    texts = spread(_documents(spark, sf))
+    lengths = texts.select(split_tokens("text", SPECIALS).alias("input_ids"))
     return _rounded(packing.packing_report(lengths, LONG), "percent_before", "percent_after")
 
 

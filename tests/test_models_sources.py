@@ -7,6 +7,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tokenloom.functions.prompts import prompt_full
+from tokenloom.functions.tokens import split_tokens
 from tokenloom.operators import bigram, classifier, lookup, metrics, udfs
 from tokenloom.sources import sinks, tables
 
@@ -115,6 +117,10 @@ def test_conversations_become_instructions(spark):
     df = spark.createDataFrame(turns, "conv_id LONG, turn LONG, role STRING, text STRING")
     got = sorted(tuple(r) for r in tables.from_conversations(df).collect())
     assert got == [(1001, "u1", "S", "a1"), (1004, "u3", "S", "a3"), (2000, "v", "", "w")]
+    wide = {r.id for r in tables.from_conversations(df, 10).collect()}
+    assert wide == {11, 14, 20}
+    with pytest.raises(Exception, match="larger one"):
+        tables.from_conversations(df, 4).collect()
 
 
 def test_steps_are_saved_and_resumed(spark, tmp_path):
@@ -145,3 +151,15 @@ def test_user_functions(spark):
     assert sorted(r.ids for r in sizes.collect()) == sorted(
         ",".join(map(str, range(s, min(s + 10, 25)))) for s in (0, 10, 20)
     )
+
+
+def test_column_functions_on_a_stream(spark, tmp_path):
+    rows = [(i, f"say {i}", "", str(i)) for i in range(5)]
+    schema = "id INT, instruction STRING, input STRING, output STRING"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+    texts = stream.select("id", prompt_full().alias("text"), F.size(split_tokens(prompt_full())).alias("n"))
+    query = texts.writeStream.format("memory").queryName("prompts").trigger(availableNow=True).start()
+    query.awaitTermination(60)
+    got = {r.id: r.text for r in spark.table("prompts").collect()}
+    assert set(got) == set(range(5)) and got[3].endswith("say 3\n\n### Response:\n3")

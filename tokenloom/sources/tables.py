@@ -45,13 +45,17 @@ def read_labelled(
     return spark.read.parquet(texts).select(key, "text").join(wanted, key).select(key, "label", "text")
 
 
-def from_conversations(turns: DataFrame) -> DataFrame:
+def from_conversations(turns: DataFrame, stride: int = 1000) -> DataFrame:
     """Instruction rows ``(id, instruction, input, output)`` from a turn table.
 
     Each user turn followed by an assistant turn becomes a row; ``input`` is the first
     system text of the conversation, or empty.  Turns are paired by an equi-join on
-    ``(conv_id, turn)``, so a very long conversation is spread over all tasks.
+    ``(conv_id, turn)``, so a very long conversation is spread over all tasks.  The id
+    is ``conv_id * stride + turn``; a turn number of ``stride`` or more is an error, as
+    ids would no longer be unique.
     """
+    clash = F.raise_error(F.lit("from_conversations: a turn number reaches stride; pass a larger one"))
+    number = F.col("conv_id") * stride + F.col("turn")
     user = turns.filter("role = 'user'").select("conv_id", "turn", F.col("text").alias("instruction"))
     reply = turns.filter("role = 'assistant'").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("output")
@@ -60,7 +64,7 @@ def from_conversations(turns: DataFrame) -> DataFrame:
         turns.filter("role = 'system'").groupBy("conv_id").agg(F.min_by("text", "turn").alias("input"))
     )
     return lookup(user.join(reply, ["conv_id", "turn"]), system, "conv_id").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("id"),
+        F.when(F.col("turn") < stride, number).otherwise(clash.cast("long")).alias("id"),
         "instruction",
         F.coalesce("input", F.lit("")).alias("input"),
         "output",
