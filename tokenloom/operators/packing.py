@@ -199,15 +199,12 @@ def group_texts(
     even = key_ranges(keys, order_by, buckets=buckets)
     rows, share, extra = even.total, *divmod(even.total, workers)
 
-    def shard_start(worker):
-        return worker * share + (F.least if isinstance(worker, Column) else min)(worker, _lit(extra, worker))
-
     def batch_start(ordinal: int) -> int:
         """First row of the batch that holds a row."""
-        w = max(w for w in range(workers) if shard_start(w) <= ordinal)
-        return ordinal - (ordinal - shard_start(w)) % batch
+        shard = max(s for w in range(workers) if (s := w * share + min(w, extra)) <= ordinal)
+        return ordinal - (ordinal - shard) % batch
 
-    firsts = sorted({batch_start(rows * b // even.buckets) for b in range(even.buckets)} if rows else {0})
+    firsts = sorted({batch_start(rows * b // even.buckets) for b in range(even.buckets)}) if rows else [0]
     ranges = even.with_bounds(_keys_at(keys, order_by, even, firsts[1:]))
     columns = [*order_by, F.col(ids).alias("i")]
     columns.append((F.col(mask) if mask else F.array_repeat(F.lit(1), F.size(ids))).alias("m"))
@@ -215,13 +212,14 @@ def group_texts(
     ordinal = F.get(_longs(firsts), F.col(BUCKET)) + F.row_number().over(in_bucket) - 1
     o, wide = F.col("ordinal"), extra * (share + 1)
     worker = F.when(o < wide, div(o, share + 1)).otherwise(extra + div(o - wide, max(share, 1)))
+    shard = F.col("worker") * share + F.least("worker", F.lit(extra))
     group = [BUCKET, "worker", "batch"]
     before = Window.partitionBy(*group).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
     placed = (
         ranges.partition(df.select(*columns))
         .withColumn("ordinal", ordinal)
         .withColumn("worker", worker)
-        .withColumn("batch", div(o - shard_start(F.col("worker")), batch))
+        .withColumn("batch", div(o - shard, batch))
         .withColumn("n", F.size("i").cast("long"))
         .filter("n > 0")
         .withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
@@ -240,7 +238,9 @@ def group_texts(
     )
 
 
-def _keys_at(keys: DataFrame, order_by: Sequence[str], ranges: KeyRanges, positions: list[int]) -> tuple[tuple, ...]:
+def _keys_at(
+    keys: DataFrame, order_by: Sequence[str], ranges: KeyRanges, positions: list[int]
+) -> tuple[tuple, ...]:
     """The keys at the given positions of the order (as many as there are key ranges)."""
     if not positions:
         return ()
@@ -254,10 +254,6 @@ def _longs(values: Sequence[int]) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
 
 
-def _lit(value: int, like: Column | int) -> Column | int:
-    return F.lit(value) if isinstance(like, Column) else value
-
-
 def padding_waste(df: DataFrame, length: int, ids: str = "input_ids") -> DataFrame:
     """One row ``(rows, total_tokens, pad_tokens, pad_percent)``: samples padded one by one.
 
