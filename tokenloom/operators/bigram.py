@@ -27,7 +27,7 @@ def eval_ngram(model: DataFrame, heldout: DataFrame, vocab_size: int) -> DataFra
     Both inputs are pair counts, so a frequent pair is one row.  A context may still
     have very many successors; its total is looked up with :func:`lookup`.
     """
-    contexts = model.groupBy("prev").agg(F.sum("n").alias("prev_n"))
+    contexts = stage(model.groupBy("prev").agg(F.sum("n").alias("prev_n")), "contexts")
     seen = heldout.join(model.withColumnRenamed("n", "model_n"), list(PAIR), "left")
     scored = lookup(seen, contexts, "prev")
     p = (F.coalesce("model_n", F.lit(0)) + 1) / (F.coalesce("prev_n", F.lit(0)) + vocab_size)
