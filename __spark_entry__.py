@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 import sys
 import uuid
 from collections.abc import Callable
@@ -41,11 +43,31 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    return {**QUERIES, **(llm_queries.queries() if llm_queries else {}), **({"pipeline": pipeline} if corpus_pipeline else {})}
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries.build()
+    sql = {**oracle_queries.build(), **(llm_queries.oracle_sql() if llm_queries else {})}
+    if corpus_pipeline and corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return sql
+
+
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf)
+
+
+def _optional(module: str):
+    """The module, or None where its file (or the subpackage) is not there; its own errors are not hidden."""
+    try:
+        found = importlib.util.find_spec(module)
+    except ModuleNotFoundError:
+        found = None
+    return importlib.import_module(module) if found else None
+
+
+llm_queries = _optional("tokenloom.llm.queries")
+corpus_pipeline = _optional("corpus_pipeline")
 
 
 # --- inputs -----------------------------------------------------------------
