@@ -79,7 +79,8 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 def odd_numbers(n: int, seed: int) -> np.ndarray:
     """``n`` fixed odd 64-bit multipliers."""
-    return mix(np.arange(1, n + 1, dtype=np.uint64) + np.uint64(seed) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+    start = np.uint64(seed * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+    return mix(np.arange(1, n + 1, dtype=np.uint64) + start) | np.uint64(1)
 
 
 def window_hashes(words: np.ndarray, multipliers: np.ndarray) -> np.ndarray:

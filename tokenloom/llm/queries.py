@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tokenloom.llm import bpe, rules
+from tokenloom.llm import bpe, mixing, near, pii, rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,6 +29,21 @@ def op3_bpe(spark, sf):
     return bpe.round_trip(_table(spark, sf, "documents"), TOKENIZER)
 
 
+@query
+def op5_near_duplicates(spark, sf):
+    return near.class_ids(_table(spark, sf, "documents"))
+
+
+@query
+def op6_mixing(spark, sf):
+    return mixing.shares(_table(spark, sf, "documents"))
+
+
+@query
+def op8_personal_data(spark, sf):
+    return pii.find(_table(spark, sf, "documents"))
+
+
 @query
 def op10_quality_rules(spark, sf):
     return rules.measure(_table(spark, sf, "documents"))
