@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import ROW, column, map_arrow, nested
+from tokenloom.llm.common import ROW, column, in_parts, map_arrow, nested
 
 #: Fixed value: how byte-level BPE cuts a text into words (white space as Unicode defines it).
 PATTERN = (
@@ -42,6 +42,7 @@ USUAL_PATTERN = (
 )
 UNUSUAL = re.compile(f"[^\\x00-\\x7f{_LETTERS}]")
 SHIFT = np.int64(20)
+PART_CHARACTERS = 4 << 20
 NO_RANK = np.int64(1 << 40)
 
 
@@ -203,19 +204,6 @@ def load(path: str) -> Bpe:
     return Bpe(path)
 
 
-def _in_parts(texts: list, characters: int = 4 << 20):
-    """Consecutive parts of a batch with a bounded number of characters, but one text at least."""
-    part, size = [], 0
-    for t in texts:
-        if part and size + len(t or "") > characters:
-            yield part
-            part, size = [], 0
-        part.append(t)
-        size += len(t or "")
-    if part:
-        yield part
-
-
 def encode(docs: DataFrame, path: str, text: str = "text", out: str = "input_ids") -> DataFrame:
     """``docs`` with the ids of ``text`` as ``out`` (array of int), in place of a column of that name."""
     rows = docs.select(nested(docs), column(text).alias("text"))
@@ -223,7 +211,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", out: str = "input_ids
 
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
         bpe = load(path)
-        ids = [i for part in _in_parts(b.column("text").to_pylist()) for i in bpe.encode(part)]
+        ids = [i for part in in_parts(b.column("text").to_pylist(), PART_CHARACTERS) for i in bpe.encode(part)]
         ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
         flat = np.concatenate([np.empty(0, np.int64), *ids]).astype(np.int32)
         return pa.RecordBatch.from_arrays([b.column(ROW), pa.ListArray.from_arrays(ends, flat)], [ROW, "ids"])
@@ -252,7 +240,7 @@ def round_trip(docs: DataFrame, path: str, key: str = "doc_id", text: str = "tex
 
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
         bpe, rows = load(path), []
-        for part in _in_parts(b.column("text").to_pylist()):
+        for part in in_parts(b.column("text").to_pylist(), PART_CHARACTERS):
             for ids in bpe.encode(part):
                 packed = ids.astype("<u4").tobytes()
                 rows.append((len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(bpe.decode(ids)).hexdigest()))

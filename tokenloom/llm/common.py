@@ -103,3 +103,16 @@ def map_arrow(df: DataFrame, batch: Callable[[pa.RecordBatch], pa.RecordBatch |
                 yield from out.to_batches() if isinstance(out, pa.Table) else [out]
 
     return df.mapInArrow(run, schema)
+
+
+def in_parts(texts: list, most: int) -> Iterator[list]:
+    """Consecutive parts of a batch, each of at most ``most`` characters or of one text."""
+    part, size = [], 0
+    for t in texts:
+        if part and size + len(t or "") > most:
+            yield part
+            part, size = [], 0
+        part.append(t)
+        size += len(t or "")
+    if part:
+        yield part

@@ -6,8 +6,9 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tokenloom.llm import bpe, mixing, near, pii, rules
+from tokenloom.llm import bpe, mixing, near, pii, rules, substrings, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,6 +30,11 @@ def op3_bpe(spark, sf):
     return bpe.round_trip(_table(spark, sf, "documents"), TOKENIZER)
 
 
+@query
+def op4_substring_dedup(spark, sf):
+    return substrings.dedupe(_table(spark, sf, "documents"))
+
+
 @query
 def op5_near_duplicates(spark, sf):
     return near.class_ids(_table(spark, sf, "documents"))
@@ -39,6 +45,24 @@ def op6_mixing(spark, sf):
     return mixing.shares(_table(spark, sf, "documents"))
 
 
+@query
+def op7_toxicity(spark, sf):
+    docs = _table(spark, sf, "documents")
+
+    def held_out(key):
+        return F.crc32(key.cast("string")) % 5 == 0
+
+    model = toxicity.fit(docs, _table(spark, sf, "labels"), held_out=held_out(F.col("id")))
+    scored = toxicity.score(docs, model)
+    return scored.select(
+        "doc_id",
+        F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("offending").alias("n_offending"),
+    )
+
+
 @query
 def op8_personal_data(spark, sf):
     return pii.find(_table(spark, sf, "documents"))
@@ -51,6 +75,28 @@ def op10_quality_rules(spark, sf):
 
 SQL: dict[str, str] = {}
 
+SQL["op4_substring_dedup"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), windows AS (
+  SELECT r, doc_id, i, md5(array_to_string(w[i:i + 12], chr(10))) AS g
+  FROM (SELECT r, doc_id, w, unnest(range(1, greatest(len(w) - 11, 1))) AS i FROM d)
+), late AS (
+  SELECT r, i FROM (SELECT r, i, doc_id, min(doc_id) OVER (PARTITION BY g) AS first FROM windows) WHERE doc_id > first
+), gone AS (
+  SELECT DISTINCT r, i + j AS pos FROM late, (SELECT unnest(range(0, 13)) AS j)
+), words AS (
+  SELECT r, doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM d
+), kept AS (
+  SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY pos) AS t
+  FROM words ANTI JOIN gone USING (r, pos) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+  sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
 _WORD = r"[^\x20\x09-\x0D]+"
 _PHRASES = "|".join(rules.PHRASES)
 SQL["op10_quality_rules"] = rf"""
