@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import bpe, mixing, near, pii, rules, substrings, toxicity
+from tokenloom.llm import ann, bpe, mixing, near, pii, rules, substrings, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,6 +25,11 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op2_nearest_neighbours(spark, sf):
+    return ann.search(_table(spark, sf, "embeddings"), F.col("id") % 20 == 0)
+
+
 @query
 def op3_bpe(spark, sf):
     return bpe.round_trip(_table(spark, sf, "documents"), TOKENIZER)
