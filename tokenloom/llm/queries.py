@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import ann, bpe, mixing, near, pii, rules, substrings, toxicity
+from tokenloom.llm import ann, bpe, importance, licenses, mixing, near, pii, rules, substrings, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,6 +25,13 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op1_license_scans(spark, sf):
+    docs = _table(spark, sf, "documents")
+    path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+    return licenses.scan(docs.select(path.alias("path"), "text"))
+
+
 @query
 def op2_nearest_neighbours(spark, sf):
     return ann.search(_table(spark, sf, "embeddings"), F.col("id") % 20 == 0)
@@ -73,6 +80,11 @@ def op8_personal_data(spark, sf):
     return pii.find(_table(spark, sf, "documents"))
 
 
+@query
+def op9_importance_resampling(spark, sf):
+    return importance.resample(_table(spark, sf, "documents"), _table(spark, sf, "labels"))
+
+
 @query
 def op10_quality_rules(spark, sf):
     return rules.measure(_table(spark, sf, "documents"))
