@@ -94,3 +94,11 @@ def test_gather_refuses_a_table_of_vectors(spark, ranks, monkeypatch):
     monkeypatch.setattr(vectors, "MOST_SHARDS", 3)
     with pytest.raises(ValueError):
         vectors.gather_vectors(ranks)
+
+
+def test_a_label_without_a_score_is_an_error(spark):
+    rows = spark.createDataFrame([([0.0, 1.0], 0), ([0.0, 1.0], 5)], "x ARRAY<DOUBLE>, y INT")
+    with pytest.raises(Exception, match="no score for label 5"):
+        rows.select(cross_entropy("x", "y")).collect()
+    kept = rows.select(cross_entropy("x", "y", ignore=5).alias("loss")).collect()
+    assert [r.loss is None for r in kept] == [False, True]

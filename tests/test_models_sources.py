@@ -123,6 +123,50 @@ def test_conversations_become_instructions(spark):
         tables.from_conversations(df, 4).collect()
 
 
+def test_the_reply_is_the_next_turn(spark):
+    turns = [(1, 0, "system", "S"), (1, 1, "user", "u"), (1, 3, "assistant", "a"), (1, 4, "user", "v"), (1, 5, "assistant", "b")]
+    turns += [(2, 1, "user", "u"), (2, 2, "system", "late"), (2, 3, "assistant", "a"), (2, 7, "user", "w"), (2, 9, "assistant", "x")]
+    turns += [(3, 1, "user", "last"), (4, 0, "assistant", "first"), (None, 1, "user", "u"), (5, None, "user", "u")]
+    turns += [(6, 1, "user", "twice"), (6, 1, "user", "twice"), (6, 2, "assistant", "once")]
+    df = spark.createDataFrame(turns, "conv_id LONG, turn LONG, role STRING, text STRING").repartition(3)
+    got = sorted(tuple(r) for r in tables.from_conversations(df).collect())
+    assert got == [(1001, "u", "S", "a"), (1004, "v", "S", "b"), (2007, "w", "late", "x"), (6001, "twice", "", "once")]
+
+
+def test_only_finished_steps_count(spark, tmp_path):
+    path = str(tmp_path / "steps")
+    assert sinks.latest_step(spark, path) is None
+    (tmp_path / "steps").mkdir()
+    assert sinks.latest_step(spark, path) is None
+    rows = spark.createDataFrame([(1,), (2,)], "w INT")
+    sinks.write_step(rows, path, 5)
+    sinks.write_step(rows.limit(0), path, 10)
+    rows.write.parquet(f"{path}/data/step=20/unfinished")
+    assert sinks.latest_step(spark, path) == 10
+    assert sinks.read_step(spark, path, 10).count() == 0 and sinks.read_step(spark, path, 5).count() == 2
+    sinks.write_step(rows.limit(1), path, 5)
+    assert sinks.read_step(spark, path, 5).count() == 1
+    with pytest.raises(KeyError):
+        sinks.read_step(spark, path, 20)
+
+
+def test_naive_bayes_equals_the_formula(spark):
+    train = [(1, 0, "a a b"), (2, 1, "b c c C"), (3, 1, "c d"), (4, 0, "")]
+    held = [(10, 0, "a b x"), (11, 1, "c d d"), (12, 0, ""), (13, 1, None)]
+    schema = "doc_id LONG, label INT, text STRING"
+    model = classifier.train_naive_bayes(spark.createDataFrame(train, schema))
+    got = classifier.classify_naive_bayes(model, spark.createDataFrame(held, schema), "doc_id")
+    counts = {y: Counter(w.lower() for _, l, t in train if l == y for w in t.split()) for y in (0, 1)}
+    size = len(counts[0] | counts[1])
+
+    def score(y, text):
+        words = (text or "").lower().split()
+        return math.log(0.5) + sum(math.log((counts[y][w] + 1) / (counts[y].total() + size)) for w in words)
+
+    want = {i: max((0, 1), key=lambda y: (round(score(y, t), 9), -y)) for i, _, t in held}
+    assert {r.doc_id: r.prediction for r in got.collect()} == want
+
+
 def test_steps_are_saved_and_resumed(spark, tmp_path):
     path = str(tmp_path / "ckpt")
     for step in (50, 100, 9):

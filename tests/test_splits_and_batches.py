@@ -1,10 +1,12 @@
 import hashlib
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from tokenloom.functions.hashing import shuffle_key
 from tokenloom.operators import batches, splits
+from tokenloom.operators.ordering import key_ranges
 
 
 def by_hand(seed, i, epoch=None):
@@ -44,11 +46,50 @@ def test_sample_takes_the_first_rows(rows):
     assert splits.sample_n(rows, "k", 501).count() == 500
 
 
-def test_holdout_is_exact_when_the_narrowing_finds_too_few(rows, monkeypatch):
-    monkeypatch.setattr(splits, "KEY_SPACE", 16**15 * 2)
-    _, held = splits.holdout(rows, "k", 20, 42)
+@pytest.mark.parametrize("bits", [0, 3, 12])
+@pytest.mark.parametrize("n", [1, 20, 250, 499])
+def test_cuts_are_exact_for_any_cells(rows, monkeypatch, bits, n):
+    monkeypatch.setattr(splits, "CELL_BITS", bits)
     order = sorted(range(500), key=lambda k: by_hand(42, k))
-    assert {r.k for r in held.collect()} == set(order[-20:])
+    _, held = splits.holdout(rows, "k", n, 42)
+    assert {r.k for r in held.collect()} == set(order[-n:])
+    assert {r.k for r in splits.sample_n(rows, "k", n, 42).collect()} == set(order[:n])
+
+
+def test_ordinals_of_any_key_type_over_many_ranges(spark):
+    rows = spark.range(120_000).select(
+        "id",
+        F.timestamp_micros(F.col("id") * 1_000_003 - 10**12).alias("ts"),
+        F.date_from_unix_date((F.col("id") / 7 - 9000).cast("int")).alias("day"),
+        (F.col("id") * F.lit(Decimal("0.01")) - 500).cast("decimal(20,4)").alias("money"),
+        (F.col("id") / 3 - 20000.0).alias("ratio"),
+        F.format_string("é%07d", "id").alias("name"),
+        (F.col("id") >= 60_000).alias("late"),
+    )
+    rows = rows.repartition(3)
+    for keys in (["ts"], ["money"], ["ratio"], ["name"], ["day", "id"], ["late", "ts"]):
+        ranges = key_ranges(rows, keys)
+        assert ranges.buckets > 1
+        assert batches.with_ordinal(rows, keys).filter("ordinal <> id").isEmpty()
+        at = batches.row_at(rows, keys, 70_001).collect()
+        assert [(r.id, r.ordinal) for r in at] == [(70_001, 70_001)]
+    assert batches.row_at(rows, ["ts"], 120_000).count() == 0
+
+
+def test_keys_without_a_written_order_are_refused_at_any_size(spark):
+    with pytest.raises(TypeError, match="cannot order by"):
+        batches.with_ordinal(spark.range(3).select(F.array("id").alias("a")), ["a"])
+
+
+def test_row_at_shuffles_one_range_only(spark):
+    plan = batches.row_at(spark.range(200_000), ["id"], 150_000)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Exchange") < plan.index("Filter", plan.index("Exchange"))
+
+
+def test_collate_takes_a_hook(spark):
+    b = batches.assign_batches(spark.range(5), ["id"], 2)
+    summed = batches.collate(b, ["id"], hook=lambda rows: F.aggregate(rows, F.lit(0).cast("long"), lambda t, r: t + r["id"]))
+    assert {r.batch: r.rows for r in summed.collect()} == {0: 1, 1: 5, 2: 4}
 
 
 def test_a_split_does_not_shuffle(rows):

@@ -16,13 +16,16 @@ def _col(c: Column | str) -> Column:
 def cross_entropy(logits: Column | str, label: Column | str, ignore: int | None = None) -> Column:
     """``ln(sum(exp(x))) - x[label]``, with the maximum taken out first.
 
-    Null for a row whose label is ``ignore``, so that averages leave it out.
+    Null for a row whose label is ``ignore``, so that averages leave it out.  Any other label
+    without a score is an error when the row is computed.
     """
     x = _col(logits).cast("array<double>")
     label = _col(label)
     top = F.array_max(x)
     total = F.aggregate(x, F.lit(0.0), lambda acc, v: acc + F.exp(v - top))
-    loss = top + F.log(total) - F.get(x, label)
+    stray = F.raise_error(F.concat(F.lit("cross_entropy: no score for label "), label.cast("string")))
+    known = (label >= 0) & (label < F.size(x))
+    loss = top + F.log(total) - F.when(known, F.get(x, label)).when(label.isNotNull(), stray.cast("double"))
     return loss if ignore is None else F.when(label != ignore, loss)
 
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenloom.operators.ordering import div, running_total
+from tokenloom.operators.ordering import BUCKET, div, key_ranges, running_total
 
 MODES = ("vanilla", "accelerate", "pipeline")
 
@@ -18,8 +18,18 @@ def with_ordinal(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
 
 
 def row_at(df: DataFrame, order_by: Sequence[str], k: int) -> DataFrame:
-    """The row at position ``k``."""
-    return with_ordinal(df, order_by).filter(F.col("ordinal") == k)
+    """The row at position ``k``: only the key range that holds it is sorted.
+
+    Runs jobs that read the order columns: the cut points and the rows of each range.
+    """
+    ranges = key_ranges(df.select(*order_by), order_by)
+    bases = ranges.bases(df.select(*order_by)).collect()  # one row for each range
+    home = max((r for r in bases if r.base <= k), key=lambda r: (r.base, r[BUCKET]), default=None)
+    bucket, base = (home[BUCKET], home.base) if home else (0, 0)
+    inside = F.row_number().over(Window.partitionBy(BUCKET).orderBy(*order_by)) - 1
+    rows = df.withColumn(BUCKET, ranges.column()).filter(F.col(BUCKET) == bucket)
+    rows = rows.withColumn("ordinal", inside + F.lit(base).cast("long")).drop(BUCKET)
+    return rows.filter(F.col("ordinal") == k)
 
 
 def assign_batches(df: DataFrame, order_by: Sequence[str], size: int) -> DataFrame:
@@ -27,10 +37,20 @@ def assign_batches(df: DataFrame, order_by: Sequence[str], size: int) -> DataFra
     return with_ordinal(df, order_by).withColumn("batch", div(F.col("ordinal"), size))
 
 
-def collate(df: DataFrame, columns: Sequence[str], batch: str = "batch", order: str = "ordinal") -> DataFrame:
-    """One row per batch: ``(batch, rows)`` with its rows as structs in order (at most a batch each)."""
+def collate(
+    df: DataFrame,
+    columns: Sequence[str],
+    batch: str = "batch",
+    order: str = "ordinal",
+    hook: Callable[[Column], Column] | None = None,
+) -> DataFrame:
+    """One row per batch: ``(batch, rows)`` with its rows as structs in order (at most a batch each).
+
+    ``hook`` turns that array of structs into what a batch is to be, e.g. padded lists.
+    """
     rows = F.sort_array(F.collect_list(F.struct(order, *columns)))
-    return df.groupBy(batch).agg(rows.alias("rows"))
+    made = df.groupBy(batch).agg(rows.alias("rows"))
+    return made if hook is None else made.withColumn("rows", hook(F.col("rows")))
 
 
 def shard_by_rank(df: DataFrame, ranks: int, batch: str = "batch") -> DataFrame:
@@ -99,6 +119,7 @@ def shard_by_weight(df: DataFrame, order_by: Sequence[str], weight: str, shards:
     light = df.select(*order_by, weight)
     placed = running_total(df, order_by, weight, out="before", sizes=light)
     total = light.agg(F.sum(F.col(weight).cast("long")).alias("t")).scalar()
-    share = F.floor(F.col("before") * shards / total)
-    return placed.withColumn("shard", F.least(F.lit(shards - 1), share).cast("int"))
+    before = F.col("before").cast("decimal(20,0)") * F.lit(shards).cast("decimal(10,0)")  # may not fit a long
+    share = F.call_function("div", before, F.lit(total).cast("decimal(20,0)"))
+    return placed.withColumn("shard", F.least(F.lit(shards - 1).cast("long"), share).cast("int"))
 

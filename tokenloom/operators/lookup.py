@@ -10,18 +10,21 @@ from tokenloom.staging import stage
 BROADCAST_BYTES = 64 << 20
 ROW_OVERHEAD = 48
 HOT_SHARE = 2_000
+FIXED_WIDTH = ("boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp")
 
 
 def fits_broadcast(table: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     """Measure ``table`` (one column-wise aggregate) and say whether it may be broadcast."""
     width: Column = F.lit(ROW_OVERHEAD)
     for name, kind in table.dtypes:
-        if kind == "string":
+        if kind in ("string", "binary"):
             width = width + F.coalesce(F.octet_length(name), F.lit(0))
-        elif kind.startswith("array"):
+        elif kind.startswith("array") and kind[6:-1] in FIXED_WIDTH:
             width = width + 8 * F.greatest(F.size(name), F.lit(0))
+        elif kind.startswith(("array", "map", "struct")):
+            width = width + 4 * F.coalesce(F.octet_length(F.to_json(F.struct(name))), F.lit(0))
         else:
-            width = width + 8
+            width = width + 16
     return (table.agg(F.sum(width.cast("long"))).first()[0] or 0) <= limit
 
 
@@ -39,11 +42,17 @@ def lookup(df: DataFrame, table: DataFrame, key: str, small: bool | None = None)
 
 
 def split_lookup(df: DataFrame, table: DataFrame, key: str, hot_share: int = HOT_SHARE) -> DataFrame:
-    """The large-table path of :func:`lookup` (stages the key counts of ``df``)."""
+    """The large-table path of :func:`lookup` (stages the key counts of ``df``).
+
+    Should the table rows of the heavy keys not fit a broadcast, they are shuffled like the others and
+    left to adaptive splitting of skewed joins.
+    """
     counts = stage(df.groupBy(key).agg(F.count(F.lit(1)).alias("n")), "key-counts")
     total = counts.agg(F.sum("n")).first()[0] or 0
     found = counts.filter((F.col("n") * hot_share > total) & F.col(key).isNotNull()).select(key).collect()
     named = [r[key] for r in found]
+    if named and not fits_broadcast(table.filter(F.col(key).isin(named))):
+        return df.join(table, key, "left")
     is_hot = F.col(key).isNull() | F.col(key).isin(named)
     hot = df.filter(is_hot).join(F.broadcast(table.filter(F.col(key).isin(named))), key, "left")
     return hot.unionByName(df.filter(~is_hot).join(table, key, "left"))

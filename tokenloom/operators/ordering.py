@@ -17,6 +17,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BUCKET = "bucket"
 SAMPLES_PER_BUCKET = 24
@@ -27,13 +28,14 @@ MOST_BUCKETS = 100_000
 
 @dataclass(frozen=True)
 class KeyRanges:
-    """Cut points of an ascending, unique, non-null order key (number or string columns).
+    """Cut points of an ascending, unique, non-null order key.
 
-    ``total`` is the weight of all rows they were chosen for.
+    Cut points are kept as :func:`comparable` makes them, ``kinds`` are the types of the
+    order columns, and ``total`` is the weight of all rows the cut points were chosen for.
     """
 
     order_by: tuple[str, ...]
-    key_type: str
+    kinds: tuple[T.DataType, ...]
     bounds: tuple[tuple, ...]
     total: int
 
@@ -45,10 +47,13 @@ class KeyRanges:
         return replace(self, bounds=tuple(bounds))
 
     def key(self) -> Column:
-        """What cut points are compared with: the column itself, or a struct of several."""
-        columns = [F.col(c) for c in self.order_by]
+        """What cut points are compared with: one column, or a struct of several."""
+        columns = self.columns()
         return columns[0] if len(columns) == 1 else F.struct(*columns)
 
+    def columns(self) -> list[Column]:
+        return [comparable(c, kind).alias(c) for c, kind in zip(self.order_by, self.kinds, strict=True)]
+
     def column(self) -> Column:
         """Bucket number of a row: how many cut points are <= its key.
 
@@ -85,11 +90,45 @@ class KeyRanges:
 
     def literal(self, bounds: Sequence[tuple]) -> Column:
         """Keys as a literal array, parsed once when the query is planned."""
-        if len(self.order_by) == 1:
-            keys = [b[0] for b in bounds]
+        names = [f"k{i}" for i in range(len(self.order_by))]
+        kinds = [_comparable_type(k) for k in self.kinds]
+        if len(names) == 1:
+            keys, kind = [b[0] for b in bounds], kinds[0]
         else:
-            keys = [dict(zip(self.order_by, b, strict=True)) for b in bounds]
-        return F.from_json(F.lit(json.dumps(keys, ensure_ascii=False)), f"array<{self.key_type}>")
+            keys = [dict(zip(names, b, strict=True)) for b in bounds]
+            kind = "struct<" + ",".join(f"{n}:{k}" for n, k in zip(names, kinds, strict=True)) + ">"
+        # A decimal is written as a string, which is parsed without loss.
+        return F.from_json(F.lit(json.dumps(keys, ensure_ascii=False, default=str)), f"array<{kind}>")
+
+
+_AS_THEY_ARE = (
+    T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.StringType, T.DecimalType,
+)
+
+
+def comparable(name: str, kind: T.DataType) -> Column:
+    """An order column as a number or string in the same order, which can be written as a literal.
+
+    Types without such a form are refused, whatever the size of the table.
+    """
+    c = F.col(name)
+    if isinstance(kind, _AS_THEY_ARE):
+        return c
+    if isinstance(kind, T.BooleanType):
+        return c.cast("int")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c)
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(c)
+    if isinstance(kind, T.TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
+    raise TypeError(f"cannot order by {name}: {kind.simpleString()} has no order that can be written down")
+
+
+def _comparable_type(kind: T.DataType) -> str:
+    if isinstance(kind, _AS_THEY_ARE):
+        return kind.simpleString()
+    return "int" if isinstance(kind, (T.BooleanType, T.DateType)) else "bigint"
 
 
 def key_ranges(
@@ -97,35 +136,37 @@ def key_ranges(
 ) -> KeyRanges:
     """Choose cut points so that buckets carry about equal weight.
 
-    Runs two actions that read only the key and weight columns: the total, and a
-    sample with about ``SAMPLES_PER_BUCKET`` rows per bucket, drawn with
+    Runs two actions that read only the key and weight columns, so a costly input should be
+    staged first: the total, and a sample with about ``SAMPLES_PER_BUCKET`` rows per bucket, drawn with
     probability proportional to weight.  The sample steers balance only; any cut
     points give the same positions.
     """
     order_by = tuple(order_by)
     keys = df.select(*order_by, _weight(weight).alias("w"))
-    kinds = keys.select(*order_by).schema
-    key_type = kinds[0].dataType.simpleString() if len(order_by) == 1 else kinds.simpleString()
+    kinds = tuple(keys.schema[c].dataType for c in order_by)
+    ranges = KeyRanges(order_by, kinds, (), 0)
+    columns = ranges.columns()
     total = keys.agg(F.sum("w")).first()[0] or 0
     if buckets is None:
         partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         wanted = max(partitions, total // LARGEST_BUCKET)
         buckets = min(wanted, total // SMALLEST_BUCKET + 1, MOST_BUCKETS)
     if buckets <= 1 or total == 0:
-        return KeyRanges(order_by, key_type, (), total)
+        return replace(ranges, total=total)
     share = F.col("w") * (buckets * SAMPLES_PER_BUCKET / total)
     sample = (
         keys.withColumn("share", share)
         .filter(F.rand(17) < F.col("share"))
-        .select(F.struct(*order_by).alias("key"), F.greatest(F.lit(1.0), "share").alias("share"))
+        .select(F.struct(*columns).alias("key"), F.greatest(F.lit(1.0), "share").alias("share"))
+        .orderBy("key")
         .collect()
     )
     bounds = _cut([(tuple(r.key), r.share) for r in sample], buckets)
-    return KeyRanges(order_by, key_type, bounds, total)
+    return replace(ranges, bounds=bounds, total=total)
 
 
 def _cut(sample: list[tuple[tuple, float]], buckets: int) -> tuple[tuple, ...]:
-    sample.sort()
+    """Cut points of a sample in key order."""
     step = sum(share for _, share in sample) / buckets
     bounds: list[tuple] = []
     reached = 0.0
@@ -151,7 +192,8 @@ def running_total(
     """Add the total weight of all earlier rows (without ``weight``: the row's ordinal from 0).
 
     ``sizes`` may give the key and weight columns from a cheaper plan than ``df``;
-    otherwise ``df`` itself is read for them.
+    otherwise ``df`` itself is read for them, about three times: stage it if it is costly.
+    Running :func:`key_ranges` makes this eager.
     """
     light = df if sizes is None else sizes
     ranges = ranges or key_ranges(light, order_by, weight)

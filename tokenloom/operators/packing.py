@@ -68,7 +68,7 @@ def stream_layout(
         .groupBy(BUCKET)
         .agg(
             F.sum("n").alias("total"),
-            F.max(F.when(F.col("inside") < max(chunk - 1, 1), F.struct(*order_by))).alias("head"),
+            F.max(F.when(F.col("inside") < max(chunk - 1, 1), F.struct(*ranges.columns()))).alias("head"),
         )
         .orderBy(BUCKET)
         .collect()
@@ -245,8 +245,8 @@ def _keys_at(
     if not positions:
         return ()
     numbered = running_total(keys, order_by, out="ordinal", ranges=ranges)
-    found = numbered.filter(F.col("ordinal").isin(positions)).select(*order_by).collect()
-    return tuple(sorted(tuple(r) for r in found))
+    found = numbered.filter(F.col("ordinal").isin(positions)).orderBy("ordinal").select(*ranges.columns()).collect()
+    return tuple(tuple(r) for r in found)
 
 
 def _longs(values: Sequence[int]) -> Column:

@@ -6,14 +6,13 @@ of it is joined or shuffled.  Finding the cut is one bounded action.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tokenloom.functions.hashing import KEY_SPACE, shuffle_key
+from tokenloom.functions.hashing import KEY_DIGITS, shuffle_key
 
 SHUFFLE_KEY = "shuffle_key"
+CELL_BITS = 12
 
 
 def with_shuffle_key(df: DataFrame, key: str, seed: int, epoch: int | None = None) -> DataFrame:
@@ -70,29 +69,22 @@ def _literal(keyed: DataFrame, key: str, cut: tuple) -> Column:
 def _cut(keyed: DataFrame, key: str, n: int, last: bool) -> tuple | None:
     """The ``n``-th key from one end, or None if there are no more than ``n`` rows.
 
-    Keys are uniform, so a filter first narrows the rows to little more than the
-    ``n`` wanted; should it ever leave too few, all rows are ranked.
+    Keys are uniform: rows are counted in ``2 ** CELL_BITS`` ranges of equal width, and only the range
+    that holds the cut is ranked - one row in ``2 ** CELL_BITS``, whatever ``n`` is.
     """
     if n < 1:
         raise ValueError("n must be at least 1")
     keys = keyed.select(SHUFFLE_KEY, key)
-    total = keys.count()
-    if n >= total:
+    cell = F.shiftright(SHUFFLE_KEY, 4 * KEY_DIGITS - CELL_BITS)
+    counts = {r.cell: r.n for r in keys.groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    if n >= sum(counts.values()):
         return None
-    share = (n + 8 * math.sqrt(n) + 32) / total
-    if last:
-        near = F.col(SHUFFLE_KEY) >= F.lit(max(0, int(KEY_SPACE * (1 - share))))
-        order, edge = [F.desc(SHUFFLE_KEY), F.desc(key)], F.min
-    else:
-        near = F.col(SHUFFLE_KEY) <= F.lit(min(KEY_SPACE, int(KEY_SPACE * share)))
-        order, edge = [F.asc(SHUFFLE_KEY), F.asc(key)], F.max
-    for candidates in (keys.filter(near), keys):
-        found = (
-            candidates.orderBy(*order)
-            .limit(n)
-            .agg(F.count(F.lit(1)).alias("rows"), edge(F.struct(SHUFFLE_KEY, key)).alias("cut"))
-            .first()
-        )
-        if found["rows"] == n:
-            return tuple(found["cut"])
-    raise AssertionError("unreachable: n is below the row count")
+    left = n
+    for at in sorted(counts, reverse=last):
+        if counts[at] >= left:
+            break
+        left -= counts[at]
+    order = [F.desc(SHUFFLE_KEY), F.desc(key)] if last else [F.asc(SHUFFLE_KEY), F.asc(key)]
+    edge = F.min if last else F.max
+    found = keys.filter(cell == at).orderBy(*order).limit(left).agg(edge(F.struct(SHUFFLE_KEY, key)).alias("cut"))
+    return tuple(found.first()["cut"])

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,18 +24,40 @@ def save_due(steps: DataFrame, every: int = 50, step: str = "step", last: str =
 
 
 def write_step(df: DataFrame, path: str, step: int) -> None:
-    """State of one step as the folder ``step=<n>``; writing a step again replaces it."""
-    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/step={step}")
+    """State of one step, possibly of no rows; writing a step again replaces it.
+
+    The rows go to a folder of their own and then a manifest of one row names it.  A step
+    counts as saved once its manifest is there, so an unfinished write is never read.
+    """
+    root = path.rstrip("/")
+    folder = f"{root}/data/step={step}/{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    manifest = df.sparkSession.createDataFrame([(folder,)], "folder STRING")
+    manifest.coalesce(1).write.mode("overwrite").parquet(f"{root}/saved/step={step}")
+
+
+def _manifests(spark: SparkSession, path: str) -> DataFrame | None:
+    """``(folder, step)`` of the saved steps; None if nothing was ever saved."""
+    try:
+        return spark.read.schema("folder STRING, step LONG").parquet(f"{path.rstrip('/')}/saved")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def latest_step(spark: SparkSession, path: str) -> int | None:
-    """The numerically largest saved step (partition values are compared as numbers)."""
-    steps = spark.read.parquet(path).select(F.col("step").cast("long").alias("s"))
-    return steps.agg(F.max("s")).first()[0]
+    """The numerically largest saved step, or None; reads manifests only."""
+    saved = _manifests(spark, path)
+    return None if saved is None else saved.agg(F.max("step")).first()[0]
 
 
 def read_step(spark: SparkSession, path: str, step: int) -> DataFrame:
-    return spark.read.parquet(path).filter(F.col("step") == step).drop("step")
+    saved = _manifests(spark, path)
+    row = None if saved is None else saved.filter(F.col("step") == step).select("folder").first()
+    if row is None:
+        raise KeyError(f"step {step} is not saved below {path}")
+    return spark.read.parquet(row.folder)
 
 
 def resume_after(plan: DataFrame, step: int | None, column: str = "step") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tokenloom.operators.batches import with_ordinal
 from tokenloom.operators.lookup import lookup
 
 INSTRUCTION_SCHEMA = "instruction STRING, input STRING, output STRING"
@@ -48,22 +49,28 @@ def read_labelled(
 def from_conversations(turns: DataFrame, stride: int = 1000) -> DataFrame:
     """Instruction rows ``(id, instruction, input, output)`` from a turn table.
 
-    Each user turn followed by an assistant turn becomes a row; ``input`` is the first
-    system text of the conversation, or empty.  Turns are paired by an equi-join on
-    ``(conv_id, turn)``, so a very long conversation is spread over all tasks.  The id
+    Each user turn whose next turn is the assistant's becomes a row; ``input`` is the first
+    system text of the conversation, or empty.  Turn numbers may have gaps.  The next turn is
+    found by position in the order of all turns, so a very long conversation is spread over all
+    tasks; turns of one number follow each other by a hash of their role and text.  The id
     is ``conv_id * stride + turn``; a turn number of ``stride`` or more is an error, as
-    ids would no longer be unique.
+    ids would no longer be unique.  Turns without a conversation or number are left out.
+
+    Numbering the turns runs jobs that read ``turns`` several times.
     """
     clash = F.raise_error(F.lit("from_conversations: a turn number reaches stride; pass a larger one"))
     number = F.col("conv_id") * stride + F.col("turn")
-    user = turns.filter("role = 'user'").select("conv_id", "turn", F.col("text").alias("instruction"))
-    reply = turns.filter("role = 'assistant'").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("output")
+    turns = turns.filter("conv_id IS NOT NULL AND turn IS NOT NULL")
+    turns = turns.select("conv_id", "turn", "role", "text", F.xxhash64("role", "text").alias("tie"))
+    placed = with_ordinal(turns, ["conv_id", "turn", "tie"])
+    user = placed.filter("role = 'user'").select("conv_id", "ordinal", "turn", F.col("text").alias("instruction"))
+    reply = placed.filter("role = 'assistant'").select(
+        "conv_id", (F.col("ordinal") - 1).alias("ordinal"), F.col("text").alias("output")
     )
     system = (
         turns.filter("role = 'system'").groupBy("conv_id").agg(F.min_by("text", "turn").alias("input"))
     )
-    return lookup(user.join(reply, ["conv_id", "turn"]), system, "conv_id").select(
+    return lookup(user.join(reply, ["conv_id", "ordinal"]), system, "conv_id").select(
         F.when(F.col("turn") < stride, number).otherwise(clash.cast("long")).alias("id"),
         "instruction",
         F.coalesce("input", F.lit("")).alias("input"),

@@ -16,7 +16,7 @@ def staging_root(spark: SparkSession) -> str:
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
-        return named.rstrip("/")
+        return named.rstrip("/")  # a file: folder must be one that all machines share
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         if not context.master.startswith("local"):
