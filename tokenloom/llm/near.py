@@ -37,7 +37,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 SKETCHES = 14
 TAKEN = 3
-CENTRES = 16
+CENTRES = 64
 
 _MULTIPLIERS = odd_numbers(SHINGLE, 5)
 _WORDS = WordIds()
@@ -176,16 +176,14 @@ def components(links: DataFrame) -> DataFrame:
     Each turn takes the smallest label among the neighbours and then the label of that label, so
     the turns grow with the logarithm of a component's diameter.  Nothing comes to the driver but a count.
     """
-    both = stage(links.union(links.select("b", "a")).distinct(), "links")
+    both = stage(links.union(links.select("b", "a")), "links")
     labels = stage(both.groupBy("a").agg(F.least("a", F.min("b")).alias("comp")).withColumnRenamed("a", "node"), "labels")
     while True:
         near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("comp").alias("near"))
         joined = labels.join(near, labels["node"] == near["a"], "left").select("node", "comp", F.least("comp", "near").alias("next"))
         jump = labels.select(F.col("node").alias("next"), F.col("comp").alias("jump"))
-        moved = stage(
-            joined.join(jump, "next", "left").select("node", F.least("next", "jump").alias("comp"), F.col("comp").alias("old")),
-            "labels",
-        )
+        moved = joined.join(jump, "next").select("node", F.col("jump").alias("comp"), F.col("comp").alias("old"))
+        moved = stage(moved, "labels")
         changed = not moved.filter("comp <> old").isEmpty()
         labels = moved.select("node", "comp")
         if not changed:
