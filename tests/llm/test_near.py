@@ -120,6 +120,36 @@ def test_a_bucket_of_many_unlike_texts_needs_no_cap(spark):
     assert {r.doc_id: r.class_id for r in near.class_ids(docs).collect()} == brute_classes(rows)
 
 
+def test_prefixes_of_similar_texts_meet():
+    """A pair at the threshold shares a prefix shingle with enough left after it, in any order of shingles."""
+    rng = random.Random(4)
+    for trial in range(200):
+        words = [f"w{rng.randrange(60 if trial % 2 else 4000)}" for _ in range(rng.randrange(6, 120))]
+        a, b = (near.shingles(" ".join(w).encode()) for w in (words, edited(words, rng.randrange(4), rng)))
+        if not near.similar(a, b):
+            continue
+        counts = np.array([rng.randrange(3) for _ in range(1 << 10)]).repeat(1 << (near.COUNT_BITS - 10))
+        x, y = (near.prefix(r, counts).tolist() for r in (a, b))
+        least = np.ceil(0.8 / 1.8 * (len(a) + len(b)) - 1e-9)
+        assert any(min(len(a) - x.index(h), len(b) - y.index(h)) >= least for h in set(x) & set(y))
+
+
+def test_loose_groups_are_joined_without_their_centre(spark):
+    """Copies of copies: many are unlike the first text and like each other."""
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(150)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 60):
+        words = edited(base, rng.choice([2, 8, 9]), rng)
+        rows.append((i, " ".join(words)))
+        if i % 6 == 0:
+            base = words
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = brute_classes(rows)
+    assert 3 < len(set(want.values())) < 58
+    assert {r.doc_id: r.class_id for r in near.class_ids(docs).collect()} == want
+
+
 def test_edge_cases(spark):
     long = " ".join(f"v{i}" for i in range(20_000))
     rows = [

@@ -9,11 +9,17 @@
   ``aligned / (shingles of a + shingles of b - aligned)``, at least 0.8.
 * Classes are the connected components of verified links.  Equal texts are one node from the start.
 
-No bucket emits all its pairs at once.  In a round each bucket offers its smallest nodes outside its largest
-component ("centres", ``CENTRES`` of them) to all later nodes of other components; links are
-verified and components joined.  A centre has then met everybody and leaves the bucket; a bucket within
-one component is done.  Rounds go on until no bucket is left, so no candidate pair between
-different components is skipped, and a bucket of n near copies of one text costs n pairs, not n^2.
+No bucket emits all its pairs.  Candidates are met in two steps:
+
+1. Star: every member of a bucket meets the bucket's centre, the text with the smallest id; links are verified
+   and components joined.  A bucket of n copies of one text costs n pairs.
+2. Rest: in a bucket that still has several components, its members that are not in the largest one can
+   only be linked to texts with which they share one of their rarest shingles: two texts at the
+   threshold t share at least ``t * size`` shingles of either, so they share one among the first
+   ``size - t * size + 1`` in any common order, and no more than what is left after it.  These prefixes are joined,
+   rarest shingles first (by a hashed count table of fixed size, which steers the cost only).  This finds every link that is
+   left between different components, so no bucket needs a cap, and members that resemble nothing cost next to nothing
+   however many share a bucket.
 
 Edge cases: a null or empty text, or one without words, is a class of its own row; a text
 of fewer than five words is one shingle, so only equal word sequences meet; equal texts are always one class; null
@@ -23,7 +29,7 @@ a row each; an empty table gives an empty one; only the two named columns are re
 
 from __future__ import annotations
 
-import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +43,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 SKETCHES = 14
 TAKEN = 3
-CENTRES = 64
+#: The count table that orders shingles: 2 ** COUNT_BITS cells in blocks of 2 ** BLOCK_BITS.
+COUNT_BITS, BLOCK_BITS = 22, 16
 
 _MULTIPLIERS = odd_numbers(SHINGLE, 5)
 _WORDS = WordIds()
@@ -157,17 +164,20 @@ def sketch(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The similar ones of ``(a, b)``; each text travels only to its pairs."""
+    """The similar ones of the short names ``(a, b)``, as nodes; each text travels only to its pairs."""
 
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
         _WORDS.trim()
         left, right = as_bytes(b.column("text_a")), as_bytes(b.column("text_b"))
         ok = [similar(shingles(x), shingles(y), threshold) for x, y in zip(left, right, strict=True)]
-        return b.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
+        found = pa.RecordBatch.from_arrays([b.column("node_a"), b.column("node_b")], ["a", "b"])
+        return found.filter(pa.array(ok, pa.bool_()))
 
-    one = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-    both = one.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
-    return map_arrow(both.select("a", "b", "text_a", "text_b"), batch, "a binary, b binary")
+    def side(name: str) -> DataFrame:
+        return texts.select(F.col("short").alias(name), F.col("node").alias(f"node_{name}"), F.col("text").alias(f"text_{name}"))
+
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return map_arrow(both.select("node_a", "node_b", "text_a", "text_b"), batch, "a binary, b binary")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -190,54 +200,121 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _centres(members: DataFrame, per_bucket: int) -> DataFrame:
-    """``(bucket, centre, size, comp)``: nodes of unfinished buckets that now meet the other members.
+def _members(sketched: DataFrame) -> DataFrame:
+    """``(bucket, node, id, size)`` of the buckets with two nodes or more; ``id`` is the node's smallest."""
+    nodes = sketched.groupBy("node").agg(F.min("id").alias("id"), F.min("size").alias("size"), F.min("keys").alias("keys"))
+    each = nodes.select("node", "id", "size", F.explode(F.array_distinct("keys")).alias("bucket"))
+    shared = each.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
+    return each.join(shared, "bucket").select("bucket", "node", "id", "size")
+
+
+def _pair(one: str, other: str) -> list:
+    return [F.least(one, other).alias("a"), F.greatest(one, other).alias("b")]
+
 
-    At most ``per_bucket`` for each bucket, those outside its largest component first.
+def _star(members: DataFrame, threshold: float) -> DataFrame:
+    """``(a, b)``: every member of a bucket with the bucket's centre, if their lengths allow a link."""
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "node", "size"))
+    centres = members.groupBy("bucket").agg(first.alias("c")).select("bucket", F.col("c.node").alias("centre"), F.col("c.size").alias("n"))
+    reach = F.least("size", "n") >= threshold * F.greatest("size", "n")
+    met = members.join(centres, "bucket").filter((F.col("node") != F.col("centre")) & reach)
+    return met.select(F.xxhash64("node").alias("x"), F.xxhash64("centre").alias("y")).select(*_pair("x", "y")).distinct()
+
+
+def _rest(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """``(node, comp, minor)`` of the members of buckets with several components and more than two members.
+
+    ``minor`` if the node is not in the largest component of one of its buckets.
     """
-    parts = members.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("met")).alias("open"))
+    placed = members.join(comps, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
+    parts = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
     buckets = parts.groupBy("bucket").agg(
-        F.max(F.struct("n", "comp")).getField("comp").alias("largest"),
-        F.count(F.lit(1)).alias("comps"),
-        F.sum("open").alias("open"),
-    )
-    unfinished = buckets.filter("comps > 1 AND open > 1").select("bucket", "largest")
-    place = Window.partitionBy("bucket").orderBy((F.col("comp") == F.col("largest")).cast("int"), "node")
-    return (
-        members.filter(~F.col("met"))
-        .join(unfinished, "bucket")
-        .withColumn("place", F.row_number().over(place))
-        .filter(F.col("place") <= per_bucket)
-        .select("bucket", F.col("node").alias("centre"), F.col("size").alias("c_size"), F.col("comp").alias("c_comp"))
+        F.max(F.struct("n", "comp")).getField("comp").alias("largest"), F.count(F.lit(1)).alias("comps"), F.sum("n").alias("n")
     )
+    unfinished = placed.join(buckets.filter("comps > 1 AND n > 2").select("bucket", "largest"), "bucket")
+    return unfinished.groupBy("node", "comp").agg(F.max(F.col("comp") != F.col("largest")).alias("minor"))
+
+
+def _shingle_counts(texts: DataFrame) -> np.ndarray:
+    """How often shingles fall into each cell of a hashed table; the blocks are summed by key."""
+    size, number = 1 << BLOCK_BITS, 1 << (COUNT_BITS - BLOCK_BITS)
+
+    def count(batches):
+        table = np.zeros(1 << COUNT_BITS, np.uint32)
+        for b in batches:
+            _WORDS.trim()
+            for t in as_bytes(b.column("text")):
+                np.add.at(table, _cells(shingles(t)), 1)
+        rows = [(i, x.tobytes()) for i, x in enumerate(table.reshape(number, size)) if x.any()]
+        arrays = [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())]
+        yield pa.RecordBatch.from_arrays(arrays, ["block", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, total = None, np.zeros(size, np.uint32)
+        for b in batches:
+            block = b.column("block")[0].as_py()
+            for x in b.column("counts").to_pylist():
+                total += np.frombuffer(x, np.uint32)
+        arrays = [pa.array([block], pa.int32()), pa.array([total.tobytes()], pa.binary())]
+        yield pa.RecordBatch.from_arrays(arrays, ["block", "counts"])
+
+    schema = "block int, counts binary"
+    table = np.zeros((number, size), np.uint32)
+    for r in texts.select("text").mapInArrow(count, schema).groupBy("block").applyInArrow(add, schema).collect():
+        table[r.block] = np.frombuffer(bytes(r.counts), np.uint32)
+    return table.ravel()
+
+
+def _cells(run: np.ndarray) -> np.ndarray:
+    return (mix(run) >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
+
+
+def prefix(run: np.ndarray, counts: np.ndarray, threshold: float = THRESHOLD) -> np.ndarray:
+    """The labelled shingles of which a text shares one with any text at the threshold, in the common order."""
+    marked = labelled(run)
+    n = len(marked) - int(np.ceil(threshold * len(marked) - 1e-9)) + 1
+    return marked[np.lexsort((marked, counts[_cells(marked)]))[:n]]
 
 
-def _pairs(members: DataFrame, centres: DataFrame, threshold: float) -> DataFrame:
-    """``(a, b, comp_a, comp_b)``: each centre with the members it has to meet and whose length allows a link."""
-    own = centres.select("bucket", F.col("centre").alias("node"), F.lit(True).alias("now"))
-    others = members.filter(~F.col("met")).join(own, ["bucket", "node"], "left")
-    short, long = F.least("size", "c_size"), F.greatest("size", "c_size")
-    # Two centres meet once; a member that met all others before is not open any more.
-    new = (F.col("comp") != F.col("c_comp")) & (F.col("now").isNull() | (F.col("node") > F.col("centre")))
-    met = others.join(centres, "bucket").filter(new & (short >= threshold * long))
-    ordered = [F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")]
-    return met.select(*ordered, F.least("comp", "c_comp").alias("comp_a"), F.greatest("comp", "c_comp").alias("comp_b")).distinct()
+def _entries(rest: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """``(shingle, short, comp, minor, at, size)``: the prefixes of the texts of ``rest``."""
+    rows = stage(texts.join(rest, "node").select("short", F.xxhash64("comp").alias("comp"), "minor", "text"), "rest")
+    shared = rest.sparkSession.sparkContext.broadcast(_shingle_counts(rows))
 
+    def batch(b: pa.RecordBatch) -> pa.RecordBatch:
+        _WORDS.trim()
+        runs = [shingles(t) for t in as_bytes(b.column("text"))]
+        firsts = [prefix(r, shared.value, threshold) for r in runs]
+        sizes = [len(f) for f in firsts]
+        take = pa.array(np.repeat(np.arange(len(runs)), sizes))
+        arrays = [
+            pa.array(np.concatenate(firsts).view(np.int64)),
+            *[b.column(c).take(take) for c in ("short", "comp", "minor")],
+            pa.array(np.concatenate([np.arange(n) for n in sizes]).astype(np.int32)),
+            pa.array(np.repeat([len(r) for r in runs], sizes).astype(np.int32)),
+        ]
+        return pa.RecordBatch.from_arrays(arrays, ["shingle", "short", "comp", "minor", "at", "size"])
+
+    return map_arrow(rows, batch, "shingle long, short long, comp long, minor boolean, at int, size int")
 
-def _members(sketched: DataFrame) -> DataFrame:
-    """``(bucket, node, size, comp, met)`` of the buckets with two nodes or more."""
-    nodes = sketched.groupBy("node").agg(F.min("size").alias("size"), F.min("keys").alias("keys"))
-    each = nodes.select("node", "size", F.explode(F.array_distinct("keys")).alias("bucket"))
-    shared = each.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
-    return each.join(shared, "bucket").select("bucket", "node", "size", F.col("node").alias("comp"), F.lit(False).alias("met"))
 
+def _shared_prefixes(entries: DataFrame, threshold: float) -> DataFrame:
+    """``(a, b)`` of different components that share a prefix shingle early enough to reach the threshold."""
+    names = ("shingle", "short", "comp", "at", "size")
+    one = entries.filter("minor").select(*[F.col(c).alias(f"x_{c}") for c in names])
+    two = entries.select(*names)
+    least = F.ceil(F.lit(threshold / (1 + threshold)) * (F.col("x_size") + F.col("size")) - 1e-9)
+    left = F.least(F.col("x_size") - F.col("x_at"), F.col("size") - F.col("at"))
+    met = one.join(two, (F.col("x_shingle") == F.col("shingle")) & (F.col("x_comp") != F.col("comp")) & (left >= least))
+    return met.select(*_pair("x_short", "short")).distinct()
 
-def _texts(docs: DataFrame, sketched: DataFrame, members: DataFrame, key: str, text: str) -> DataFrame:
-    """``(node, text)`` of the nodes in buckets, from the row with the node's smallest id."""
-    wanted = members.select("node").distinct()
-    first = sketched.groupBy("node").agg(F.min("id").alias("id")).join(wanted, "node")
+
+def _texts(docs: DataFrame, members: DataFrame, key: str, text: str) -> DataFrame:
+    """``(short, node, text)`` of the members, from the row with the node's smallest id."""
+    first = members.select("node", "id").distinct().select(_row_key("node", "id").alias("k"))
     rows = docs.select(column(key).alias("id"), _node(column(text)).alias("node"), column(text).alias("text"))
-    return rows.withColumn("k", _row_key("node", "id")).join(first.select(_row_key("node", "id").alias("k")), "k").drop("k", "id")
+    named = rows.withColumn("k", _row_key("node", "id")).join(first, "k")
+    return named.select(F.xxhash64("node").alias("short"), "node", "text")
 
 
 def _row_key(node: str, key: str):
@@ -245,33 +322,22 @@ def _row_key(node: str, key: str):
 
 
 def _labels(docs: DataFrame, sketched: DataFrame, key: str, text: str, threshold: float) -> DataFrame:
-    """``(node, comp)`` of the nodes that share a bucket with another one."""
+    """``(node, comp)`` of the nodes with a link."""
     members = stage(_members(sketched), "members")
-    texts = stage(_texts(docs, sketched, members, key, text), "texts")
-    per_bucket = 1
-    while True:
-        centres = stage(_centres(members, per_bucket), "centres")
-        if centres.isEmpty():
-            return members.select("node", "comp").distinct()
-        pairs = stage(_pairs(members, centres, threshold), "pairs")
-        links = stage(_verified(pairs, texts, threshold).distinct().join(pairs, ["a", "b"]), "verified")
-        joined = components(links.select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")))
-        renamed = joined.select(F.col("node").alias("comp"), F.col("comp").alias("joined"))
-        now = centres.select("bucket", F.col("centre").alias("node"), F.lit(True).alias("now"))
-        members = stage(
-            members.join(now, ["bucket", "node"], "left")
-            .join(renamed, "comp", "left")
-            .select("bucket", "node", "size", F.coalesce("joined", "comp").alias("comp"), (F.col("met") | F.col("now").isNotNull()).alias("met")),
-            "members",
-        )
-        per_bucket = CENTRES
+    texts = stage(_texts(docs, members, key, text), "texts")
+    links = stage(_verified(stage(_star(members, threshold), "pairs"), texts, threshold), "verified")
+    comps = components(links)
+    rest = stage(_rest(members, comps), "unfinished")
+    entries = stage(_entries(rest, texts, threshold), "prefixes")
+    more = stage(_verified(stage(_shared_prefixes(entries, threshold), "pairs"), texts, threshold), "verified")
+    return comps if more.isEmpty() else components(links.unionByName(more))
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``(id, node, class_id, class_node)`` of each row.
 
     ``class_id`` is the smallest id of the row's class and ``class_node`` the text it belongs to; a row without words
-    is a class of its own and has no node.  Runs jobs: the sketches, and some for each round.
+    is a class of its own and has no node.  Runs jobs: sketches, candidates, links and components.
     """
     sketched = stage(sketch(docs, key, text), "sketches")
     labels = _labels(docs, sketched, key, text, threshold)
