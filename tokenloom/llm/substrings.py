@@ -4,9 +4,10 @@
    at two) and sends the touched cells, block by block; blocks are merged by key.  Merged counts never
    fall below the true number of documents with a window, so no repeated window is lost.
 2. The cells counted twice, as compressed bit blocks of bounded size, go to all tasks.  A second
-   pass over the texts emits only windows whose every cell was counted twice, as 128-bit
-   fingerprints; they are grouped exactly, and windows whose smallest document id is smaller than
-   the row's own mark the places to remove.
+   pass over the texts takes only windows whose every cell was counted twice, as 96-bit
+   fingerprints.  Within a batch of texts all but the smallest id of a window are settled at once; the
+   rest, one row for each window and batch at most (if ids are unique), are grouped exactly, and windows
+   whose smallest document id is smaller than the row's own mark the places to remove.
 
 The table has about ``CELLS_PER_WINDOW`` cells for each window, at most ``2 ** MOST_BITS`` cells in all: that
 bounds what is broadcast.  Beyond it more windows pass the prefilter, and the result stays the same.
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenloom.llm.common import WordIds, as_bytes, column, in_parts, map_arrow, mix, n_words, odd_numbers, window_hashes
@@ -32,13 +33,13 @@ from tokenloom.staging import stage
 
 WINDOW = 13
 ROWS = 2
-CELLS_PER_WINDOW = 4
+CELLS_PER_WINDOW = 8
 MOST_BITS = 31
 BLOCK_BITS = 20
-PART_BYTES = 16 << 20
+PART_BYTES = 8 << 20
 
 _LOW, _HIGH = odd_numbers(WINDOW, 11), odd_numbers(WINDOW, 13)
-_WORDS = WordIds()
+_WORDS = WordIds(1 << 18)
 
 
 def fingerprints(text: bytes, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
@@ -154,8 +155,24 @@ def _maybe_repeated(low: np.ndarray, table: np.ndarray, bits: int) -> np.ndarray
 # --- the exact pass -----------------------------------------------------------
 
 
+def _settled(low: np.ndarray, high: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Which windows of a batch also stand in a text of the batch with a smaller id."""
+    order = np.lexsort((ids, high, low))
+    low, high, ordered = low[order], high[order], ids[order]
+    new = np.append(True, (low[1:] != low[:-1]) | (high[1:] != high[:-1]))[: len(low)]
+    starts = np.flatnonzero(new)
+    first = np.repeat(ordered[starts], np.diff(np.append(starts, len(low))))
+    out = np.empty(len(ids), bool)
+    out[order] = ordered > first
+    return out
+
+
 def _candidates(docs: DataFrame, shared, bits: int) -> DataFrame:
-    """``(low, high, id, tag, at)``: each estimated-repeated window of a text once, at its first place."""
+    """``(low, high, id, tag, at, late)``: each estimated-repeated window of a text once, at its first place.
+
+    Windows that are settled within a batch come as one row for each text, with their places in ``late``; these
+    rows are dealt by id.
+    """
 
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
         _WORDS.trim()
@@ -166,21 +183,30 @@ def _candidates(docs: DataFrame, shared, bits: int) -> DataFrame:
             at = np.flatnonzero(_maybe_repeated(low, table, bits))
             at = at[np.sort(np.unique(low[at], return_index=True)[1])]
             lows.append(low[at])
-            highs.append(high[at])
+            highs.append((high[at] >> np.uint64(32)).astype(np.int64))
             places.append(at)
             rows.append(np.full(len(at), i))
-        take = pa.array(np.concatenate(rows))
+        low, high, at, row = map(np.concatenate, (lows, highs, places, rows))
+        late = _settled(low, high, b.column("id").to_numpy()[row])
+        open_, done = row[~late], row[late]
+        texts, sizes = np.unique(done, return_counts=True)
+        ends = np.append(0, np.cumsum(sizes)).astype(np.int32)
+        take = pa.array(np.concatenate([open_, texts]))
+        whole = len(texts)
         arrays = [
-            pa.array(np.concatenate(lows).view(np.int64)),
-            pa.array(np.concatenate(highs).view(np.int64)),
+            pa.array(np.concatenate([low[~late].view(np.int64), mix(texts.astype(np.uint64)).view(np.int64)])),
+            pa.array(np.concatenate([(high[~late] - (1 << 31)).astype(np.int32), np.zeros(whole, np.int32)])),
             b.column("id").take(take),
             b.column("tag").take(take),
-            pa.array(np.concatenate(places).astype(np.int32)),
+            pa.concat_arrays([pa.array(at[~late].astype(np.int32)), pa.nulls(whole, pa.int32())]),
+            pa.concat_arrays(
+                [pa.nulls(len(open_), pa.list_(pa.int32())), pa.ListArray.from_arrays(ends, at[late].astype(np.int32))]
+            ),
         ]
-        return pa.RecordBatch.from_arrays(arrays, ["low", "high", "id", "tag", "at"])
+        return pa.RecordBatch.from_arrays(arrays, ["low", "high", "id", "tag", "at", "late"])
 
-    kind = docs.schema["id"].dataType.simpleString()
-    return map_arrow(docs.select("id", "tag", "text"), batch, f"low long, high long, id {kind}, tag long, at int")
+    schema = "low long, high int, id long, tag int, at int, late array<int>"
+    return map_arrow(docs.select("id", "tag", "text"), batch, schema)
 
 
 def kept_words(text: bytes, places: np.ndarray, window: int = WINDOW) -> tuple[int, list[bytes]]:
@@ -198,14 +224,14 @@ def kept_words(text: bytes, places: np.ndarray, window: int = WINDOW) -> tuple[i
 
 
 def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
-    return docs.select(column(key).alias("id"), F.xxhash64(column(text)).alias("tag"), column(text).alias("text"))
+    return docs.select(column(key).alias("id"), F.hash(column(text)).alias("tag"), column(text).alias("text"))
 
 
 def removals(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(id, tag, places)``: of each text that loses words, first places of the windows to remove.
 
-    ``tag`` is a hash of the text, so that rows of one id with different texts stay apart.  Runs jobs: the
-    number of words, the merged table, and the candidates.
+    ``tag`` is a hash of the text, so that rows of one id with different texts stay apart.  Ids are long.  Runs
+    jobs: the number of words, and the merged table.
     """
     spark = docs.sparkSession
     rows = _rows(docs, key, text).filter("id IS NOT NULL")
@@ -214,12 +240,12 @@ def removals(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     merged = stage(_merged(_sketch(rows, bits)), "windows")
     # At most 2 ** (MOST_BITS - 3) bytes before compression, whatever the input's size.
     shared = spark.sparkContext.broadcast([(r.block, bytes(r.bits)) for r in merged.collect()])
-    found = stage(_candidates(rows, shared, bits), "candidates")
-    shared.unpersist()
-    first = found.groupBy("low", "high").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    first = first.filter("first < last").select("low", "high", "first")
-    late = found.join(first, ["low", "high"]).filter(F.col("id") > F.col("first"))
-    return late.groupBy("id", "tag").agg(F.sort_array(F.collect_set("at")).alias("places"))
+    found = _candidates(rows, shared, bits)
+    # A window has at most a row from each batch of texts, so no group is large.
+    first = F.min(F.when(F.col("late").isNull(), F.col("id"))).over(Window.partitionBy("low", "high"))
+    late = found.withColumn("first", first).filter("late IS NOT NULL OR id > first")
+    places = F.concat(F.collect_list("at"), F.flatten(F.collect_list("late")))
+    return late.groupBy("id", "tag").agg(F.array_distinct(places).alias("places"))
 
 
 def _with_places(docs: DataFrame, key: str, text: str) -> DataFrame:
