@@ -142,6 +142,12 @@ def instructions(spark, sf):
     return _instructions(spark, sf)
 
 
+@query
+def instructions_with_gaps(spark, sf):
+    turns = _table(spark, sf, "conversations").filter(F.length("text") % 3 != 0)
+    return tables.from_conversations(turns)
+
+
 @query
 def instructions_from_json(spark, sf):
     path = _folder(spark, "instructions")
@@ -188,6 +194,30 @@ def resume_plan(spark, sf):
     return sinks.resume_after(plan, sinks.latest_step(spark, path))
 
 
+@query
+def packed_both_splits(spark, sf):
+    path = _folder(spark, "packed")
+    both = splits.assign_split(_documents(spark, sf), "doc_id", HELD_OUT, SEED)
+    v = _vocab(spark, sf)
+    parts = [
+        flows.pack_corpus(both.filter(F.col("split") == s), v, ["doc_id"], length=LONG).withColumn("split", F.lit(s))
+        for s in ("train", "eval")
+    ]
+    sinks.write_packed(parts[0].unionByName(parts[1]), path)
+    read = [sinks.read_packed(spark, path, s).withColumn("split", F.lit(s)) for s in ("train", "eval")]
+    return read[0].unionByName(read[1]).select("split", "seq_id", _joined("input_ids").alias("input_ids"))
+
+
+@query
+def resume_after_empty_state(spark, sf):
+    path = _folder(spark, "steps")
+    plan = _metrics(spark, sf)
+    total = plan.count()
+    sinks.write_step(plan.filter(F.col("step") == total // 2).select("loss"), path, total // 2)
+    sinks.write_step(plan.limit(0).select("loss"), path, total * 3 // 4)
+    return sinks.resume_after(plan, sinks.latest_step(spark, path))
+
+
 @query
 def logged_steps(spark, sf):
     return metrics.log_every(_metrics(spark, sf), 5, first=True)
@@ -400,6 +430,18 @@ def resize_embeddings(spark, sf):
     return grown.select("id", F.size("embedding").alias("width"))
 
 
+@query
+def resized_values(spark, sf):
+    """Every element of the vectors that were there; new ones by their width and range."""
+    known = _table(spark, sf, "embeddings").select(F.col("vec_id").cast("int").alias("id"), "embedding")
+    grown = vocab.resize_embeddings(_vocab(spark, sf), known, 64).join(
+        known.select("id", F.lit(True).alias("old")), "id", "left"
+    )
+    small = F.forall("embedding", lambda x: F.abs(x) < 0.2)
+    shown = F.transform("embedding", lambda x: F.round(x.cast("double"), 6).cast("decimal(12,6)"))
+    return grown.select("id", F.when(F.col("old"), _joined(shown)).when(small, "new").alias("vec"))
+
+
 @query
 def encode_added(spark, sf):
     specials = (*SPECIALS, "<SEP>")
@@ -555,6 +597,22 @@ def assign_batches(spark, sf):
     return _batched(spark, sf)
 
 
+@query
+def order_by_timestamp(spark, sf):
+    lines = _table(spark, sf, "lineitem").select("l_shipdate", "l_orderkey", "l_linenumber")
+    placed = batches.with_ordinal(lines, ["l_shipdate", "l_orderkey", "l_linenumber"])
+    return placed.select("l_orderkey", "l_linenumber", "ordinal")
+
+
+@query
+def collate_with_hook(spark, sf):
+    def longest(rows: Column) -> Column:
+        return F.array_max(F.transform(rows, lambda r: r["n_chars"]))
+
+    made = batches.collate(_batched(spark, sf), ["n_chars"], hook=longest)
+    return made.select("batch", F.col("rows").alias("longest"))
+
+
 @query
 def collate(spark, sf):
     rows = batches.collate(_batched(spark, sf), ["doc_id"])
@@ -701,6 +759,12 @@ def quantize_vectors(spark, sf):
     return blocks.select("vec_id", "block", F.round("scale", 6).alias("scale"), _joined(codes).alias("codes"))
 
 
+@query
+def dequantize_vectors(spark, sf):
+    coded = vectors.quantize_vectors(_table(spark, sf, "embeddings").select("vec_id", "embedding"), block=16)
+    return _elements(vectors.dequantize_vectors(coded, block=16), "vec_id", vec="embedding")
+
+
 # --- models -----------------------------------------------------------------
 
 
@@ -712,6 +776,20 @@ def classifier_accuracy(spark, sf):
     return metrics.accuracy(classifier.classify(model, held))
 
 
+@query
+def naive_bayes(spark, sf):
+    rows = tables.read_labelled(spark, f"{sf}/documents.parquet", f"{sf}/labels.parquet")
+    train, held = splits.holdout(rows, "doc_id", HELD_OUT, SEED)
+    model = classifier.train_naive_bayes(train)
+    return classifier.classify_naive_bayes(model, held, "doc_id")
+
+
+@query
+def train_pack_plan(spark, sf):
+    plan = flows.train_pack_plan(_instructions(spark, sf), SHORT, HELD_OUT, SEED, BATCH)
+    return plan.select("split", "batch", "seq_id", _joined("input_ids").alias("input_ids"))
+
+
 @query
 def ngram_perplexity(spark, sf):
     train, held = splits.holdout(_documents(spark, sf), "doc_id", HELD_OUT, SEED)
@@ -751,6 +829,14 @@ def map_batches(spark, sf):
     return udfs.map_batches(_documents(spark, sf), words, "doc_id BIGINT, n_words BIGINT", ["text"])
 
 
+@query
+def map_rows(spark, sf):
+    def marked(row: dict) -> dict:
+        return {"item_id": row["item_id"], "marked": f"{row['item_id']}: {row['text'].replace(' ', '_')}"}
+
+    return udfs.map_rows(_table(spark, sf, "benchmark"), marked, "item_id BIGINT, marked STRING")
+
+
 @query
 def map_fixed_batches(spark, sf):
     def summary(batch: pd.DataFrame) -> pd.DataFrame:

@@ -188,9 +188,33 @@ def build() -> dict[str, str]:
         )
         + f"\nSELECT seq_id, input_ids FROM ({overlap(128)})"
     )
+    sql["packed_both_splits"] = " UNION ALL ".join(
+        f"SELECT '{s}' AS split, seq_id, input_ids FROM (WITH "
+        + ",\n".join(
+            [
+                vocabulary(DOCS),
+                encoded(f"SELECT doc_id AS key, text FROM {by_split} WHERE split = '{s}'"),
+                stream(f"SELECT doc_id AS key FROM {by_split} WHERE split = '{s}'"),
+            ]
+        )
+        + f"\nSELECT seq_id, input_ids FROM ({overlap(128)}))"
+        for s in ("train", "eval")
+    )
+    kept = "(SELECT * FROM conversations WHERE length(text) % 3 <> 0)"
+    sql["instructions_with_gaps"] = f"WITH {INSTRUCTIONS.replace('conversations', kept)} SELECT * FROM ins"
+    sql["order_by_timestamp"] = (
+        "SELECT l_orderkey, l_linenumber, "
+        "row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber) - 1 AS ordinal FROM lineitem"
+    )
+    sql["naive_bayes"] = _naive_bayes(by_split)
+    sql["train_pack_plan"] = _train_pack_plan()
+    sql["map_rows"] = "SELECT item_id, item_id || ': ' || replace(text, ' ', '_') AS marked FROM benchmark"
     steps = "(SELECT event_id + 1 AS step, value AS loss FROM events)"
     sql["steps_to_save"] = f"SELECT step, loss FROM {steps} WHERE step % 40 = 0 OR step % 500 = 0"
     sql["resume_plan"] = f"SELECT step, loss FROM {steps} WHERE step > (SELECT count(*) * 9 // 10 FROM events)"
+    sql["resume_after_empty_state"] = (
+        f"SELECT step, loss FROM {steps} WHERE step > (SELECT count(*) * 3 // 4 FROM events)"
+    )
     sql["logged_steps"] = f"SELECT step, loss FROM {steps} WHERE step % 5 = 0 OR step = 1"
 
     sql["count_rows"] = ins + "SELECT count(*) AS rows FROM ins"
@@ -277,6 +301,11 @@ def build() -> dict[str, str]:
         "WITH " + vocabulary(DOCS) + ",\n" + tokens("b", "SELECT item_id AS key, text FROM benchmark") + "\n"
         "SELECT DISTINCT token, id FROM b LEFT JOIN vocab USING (token)"
     )
+    sql["resized_values"] = vocab + (
+        "SELECT id, coalesce((SELECT array_to_string(list_transform(embedding, "
+        "lambda x: CAST(round(CAST(x AS DOUBLE), 6) AS DECIMAL(12, 6))), ',') FROM embeddings WHERE vec_id = id), 'new') AS vec "
+        "FROM vocab"
+    )
     sql["resize_embeddings"] = vocab + "SELECT id, 64 AS width FROM vocab"
     gaps = "SELECT doc_id AS key, unnest(string_split(text, ',')) AS text, unnest(range(len(string_split(text, ',')))) AS g FROM documents"
     sql["encode_added"] = (
@@ -422,6 +451,13 @@ FROM (SELECT doc_id, n_chars, sum(n_chars) OVER (ORDER BY doc_id) - n_chars AS b
 SELECT vec_id, CAST(b AS INT) AS block, round(s, 6) AS scale,
   array_to_string(list_transform(x, lambda v: len(list_filter({middles}, lambda m: m < v / s))), ',') AS codes
 FROM (SELECT vec_id, b, x, list_max(list_transform(x, lambda v: abs(v))) AS s
+  FROM (SELECT vec_id, b, CAST(embedding[b * 16 + 1 : b * 16 + 16] AS DOUBLE[]) AS x FROM embeddings, range(4) r(b)))"""
+
+    levels = "[" + ", ".join(repr(v) + "::DOUBLE" for v in NF4) + "]"
+    code = f"len(list_filter({middles}, lambda m: m < x[p] / s))"
+    sql["dequantize_vectors"] = f"""
+SELECT vec_id, CAST(b * 16 + p - 1 AS INT) AS pos, round(CAST(CAST({levels}[{code} + 1] * s AS FLOAT) AS DOUBLE), 6) AS x
+FROM (SELECT vec_id, b, x, list_max(list_transform(x, lambda v: abs(v))) AS s, unnest(range(1, 17)) AS p
   FROM (SELECT vec_id, b, CAST(embedding[b * 16 + 1 : b * 16 + 16] AS DOUBLE[]) AS x FROM embeddings, range(4) r(b)))"""
 
     held = f"SELECT doc_id AS key, text FROM {by_split} WHERE split = 'eval'"
@@ -456,6 +492,9 @@ walk AS (
 SELECT doc_id, coalesce(array_to_string(g, ','), '') AS generated
 FROM documents LEFT JOIN (SELECT key, list(cur ORDER BY step) AS g FROM walk WHERE step > 0 GROUP BY key) ON key = doc_id"""
 
+    sql["collate_with_hook"] = f"WITH {batched('documents', 'doc_id')} " + (
+        "SELECT batch, max(n_chars) AS longest FROM batched GROUP BY batch"
+    )
     sql["map_batches"] = (
         r"SELECT doc_id, len(regexp_extract_all(text, '[^ \n\t\r]+')) AS n_words FROM documents"
     )
@@ -469,6 +508,47 @@ FROM documents LEFT JOIN (SELECT key, list(cur ORDER BY step) AS g FROM walk WHE
     return sql
 
 
+def _naive_bayes(by_split: str) -> str:
+    labelled = """(SELECT doc_id, quality AS label, text,
+  row_number() OVER (ORDER BY {key} DESC, doc_id DESC) <= 50 AS held
+FROM documents JOIN labels USING (doc_id))""".format(key=shuffle_key("doc_id"))
+    return f"""
+WITH rows AS (SELECT * FROM {labelled}),
+words AS (SELECT doc_id, label, held, lower(trim(unnest(regexp_extract_all(text, {q(WORD)})))) AS token FROM rows),
+counts AS (SELECT token, label, count(*) AS n FROM words WHERE NOT held GROUP BY ALL),
+size AS (SELECT count(DISTINCT token) AS v FROM counts),
+classes AS (
+  SELECT label AS c, docs, tokens, docs / sum(docs) OVER () AS share
+  FROM (SELECT label, count(*) AS docs FROM rows WHERE NOT held GROUP BY label)
+  JOIN (SELECT label, sum(n) AS tokens FROM counts GROUP BY label) USING (label)),
+terms AS (
+  SELECT doc_id, c, sum(ln(coalesce(n, 0) + 1)) AS logs, count(*) AS length
+  FROM (SELECT doc_id, token, c FROM words, classes WHERE held) w
+  LEFT JOIN counts ON counts.token = w.token AND counts.label = w.c GROUP BY doc_id, c),
+scores AS (
+  SELECT r.doc_id, r.label, c, round(ln(share) + coalesce(logs, 0) - coalesce(length, 0) * ln(tokens + v), 9) AS score
+  FROM (SELECT doc_id, label, c, share, tokens, v FROM rows, classes, size WHERE held) r LEFT JOIN terms USING (doc_id, c))
+SELECT doc_id, label, CAST(c AS INT) AS prediction FROM scores
+QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, c) = 1"""
+
+
+def _train_pack_plan() -> str:
+    """Each split's prompts in the order of (shuffle key, id), written as one sortable text key."""
+    key = f"lpad(CAST({shuffle_key('id')} AS VARCHAR), 19, '0') || '-' || lpad(CAST(id AS VARCHAR), 19, '0')"
+    texts = f"SELECT {key} AS key, {prompt()} || output AS text FROM ins"
+    split = f"SELECT *, row_number() OVER (ORDER BY key DESC) <= 50 AS held FROM ({texts})"
+    each = []
+    for name, chosen in (("train", "NOT held"), ("eval", "held")):
+        part = f"SELECT key, text FROM ({split}) WHERE {chosen}"
+        parts = [INSTRUCTIONS, vocabulary(texts), encoded(part), stream(f"SELECT key FROM ({part})")]
+        each.append(
+            f"SELECT '{name}' AS split, seq_id // 8 AS batch, seq_id, input_ids FROM (WITH "
+            + ",\n".join(parts)
+            + f"\nSELECT seq_id, input_ids FROM ({overlap(64)}))"
+        )
+    return " UNION ALL ".join(each)
+
+
 def _tokenized_chat(user: str, helper: str) -> str:
     """Chats as a list of literal pieces, so that special tokens are known by position."""
     specials = ("<unk>", "<bos>", "<eos>", "<|role|>", "<|/role|>", "<|end|>")

@@ -11,8 +11,9 @@ from tokenloom.functions.prompts import prompt_full
 from tokenloom.functions.sequences import with_bos, with_eos
 from tokenloom.operators.bigram import eval_ngram, pair_counts
 from tokenloom.operators.lookup import fits_broadcast
-from tokenloom.operators.ordering import BUCKET
+from tokenloom.operators.ordering import BUCKET, div
 from tokenloom.operators.packing import pack_overlap
+from tokenloom.operators.splits import SHUFFLE_KEY, assign_split
 from tokenloom.operators.tokenize import encode, token_lengths
 from tokenloom.operators.vocab import build_vocab, token_ids, vocab_size
 from tokenloom.staging import spread, stage
@@ -65,6 +66,25 @@ def pack_instructions(instructions: DataFrame, length: int, **args) -> DataFrame
     return pack_corpus(texts, vocab, ["id"], length=length, **args)
 
 
+def train_pack_plan(
+    instructions: DataFrame, length: int, held_out: int, seed: int = 42, batch: int = 8, **args
+) -> DataFrame:
+    """Prompts, seeded shuffle, hold-out, and each split packed in shuffled order: ``(split, batch, seq_id, ..)``.
+
+    The vocabulary is learned from all prompts.  Stages the prompts and runs the jobs of a hold-out
+    and of two packings.
+    """
+    texts = stage(instructions.select("id", prompt_full().alias("text")), "prompts")
+    vocab = build_vocab(texts, specials=SPECIALS)
+    both = stage(assign_split(texts, "id", held_out, seed), "splits")
+    order = [SHUFFLE_KEY, "id"]
+    parts = [
+        pack_corpus(both.filter(F.col("split") == s), vocab, order, length=length, **args).withColumn("split", F.lit(s))
+        for s in ("train", "eval")
+    ]
+    return parts[0].unionByName(parts[1]).withColumn("batch", div(F.col("seq_id"), batch))
+
+
 def ngram_perplexity(train: DataFrame, heldout: DataFrame, key: Sequence[str], text: str = "text") -> DataFrame:
     """Fit a vocabulary and a bigram model on ``train``; loss and perplexity on ``heldout``."""
     vocab = build_vocab(train, text, SPECIALS)
