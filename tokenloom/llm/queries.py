@@ -161,6 +161,66 @@ FROM measured
 """
 
 
+def _license_sql() -> str:
+    """Cosine of every line, paragraph and whole text with a cue to each template; all paths here are dir/dir/name."""
+    rows = [
+        f"({i}, '{name}', '{term}', {n})"
+        for i, ((name, _), counts) in enumerate(zip(licenses.TEMPLATES, licenses.template_terms(), strict=True))
+        for term, n in counts.items()
+    ]
+    return rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, concat_ws('/', source, lang, doc_id::VARCHAR) AS path, lower(coalesce(text, '')) AS low
+  FROM documents
+), tpl(t, licence, term, n) AS (VALUES {', '.join(rows)}),
+total AS (SELECT count(*) AS docs FROM d),
+found AS (
+  SELECT term, count(*) AS df
+  FROM (SELECT unnest(list_distinct(regexp_extract_all(low, '{licenses.TERM}'))) AS term FROM d) GROUP BY term
+), idf AS (
+  SELECT term, ln((docs + 1) / (coalesce(df, 0) + 1)) + 1 AS idf
+  FROM (SELECT DISTINCT term FROM tpl) LEFT JOIN found USING (term), total
+), norms AS (
+  SELECT t, licence, sqrt(sum(pow(n * idf, 2))) AS norm FROM tpl JOIN idf USING (term) GROUP BY t, licence
+), units AS (
+  SELECT r, low, unnest(list_distinct(list_concat([low], list_filter(
+    list_concat(string_split(low, chr(10)), regexp_split_to_array(low, '
+[ 	]*
+')),
+    lambda x: regexp_matches(x, '{licenses.CUE}'))))) AS u
+  FROM d WHERE regexp_matches(low, '{licenses.CUE}')
+), numbered AS (SELECT r, u = low AS whole, u, row_number() OVER () AS k FROM units),
+terms AS (
+  SELECT r, whole, k, term, count(*) AS tf
+  FROM (SELECT r, whole, k, unnest(regexp_extract_all(u, '{licenses.TERM}')) AS term FROM numbered) GROUP BY ALL
+), weighed AS (
+  SELECT r, whole, k, term, tf * coalesce(idf, ln(docs + 1) + 1) AS w FROM terms LEFT JOIN idf USING (term), total
+), lengths AS (SELECT k, sqrt(sum(w * w)) AS length FROM weighed GROUP BY k),
+cosines AS (
+  SELECT r, whole, licence, round(sum(w * n * idf) / (any_value(length) * any_value(norm)), 6) AS score
+  FROM weighed JOIN tpl USING (term) JOIN idf USING (term) JOIN norms USING (t, licence) JOIN lengths USING (k)
+  GROUP BY r, whole, k, t, licence
+), best AS (
+  SELECT r, licence, score, max(CASE WHEN whole THEN score END) OVER (PARTITION BY r) AS whole FROM cosines
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY score DESC, licence DESC) = 1
+), own AS (
+  SELECT path, regexp_replace(path, '/[^/]*$', '') AS dir, coalesce(whole >= {licenses.FILE}, false) AS licence_file,
+    CASE WHEN score >= {licenses.HEADER} OR whole >= {licenses.FILE} THEN licence END AS own_licence, score
+  FROM d LEFT JOIN best USING (r)
+), licensed AS (
+  SELECT dir, own_licence AS near_licence FROM own WHERE licence_file
+  QUALIFY row_number() OVER (PARTITION BY dir ORDER BY score DESC, own_licence) = 1
+)
+SELECT path, own_licence, CASE WHEN own_licence IS NOT NULL THEN score END AS score, licence_file,
+  CASE WHEN own_licence IS NULL AND near_licence IS NOT NULL THEN dir END AS from_dir,
+  coalesce(own_licence, near_licence) AS licence
+FROM own LEFT JOIN licensed USING (dir)
+"""
+
+
+SQL["op1_license_scans"] = _license_sql()
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
