@@ -793,16 +793,14 @@ def train_pack_plan(spark, sf):
 @query
 def ngram_perplexity(spark, sf):
     train, held = splits.holdout(_documents(spark, sf), "doc_id", HELD_OUT, SEED)
-    return _rounded(flows.ngram_perplexity(train, held, ["doc_id"]), "eval_loss", "perplexity")
+    return _rounded(flows.ngram_perplexity(train, held), "eval_loss", "perplexity")
 
 
 @query
 def merge_deltas(spark, sf):
     v = _vocab(spark, sf)
     train, held = splits.holdout(_documents(spark, sf), "doc_id", HELD_OUT, SEED)
-    base, delta = (
-        bigram.pair_counts(tokenize.encode(df, v, ["doc_id"], specials=SPECIALS)) for df in (train, held)
-    )
+    base, delta = (bigram.text_pair_counts(df, v, specials=SPECIALS) for df in (train, held))
     path = _folder(spark, "delta")
     bigram.save_delta(delta, path)
     return bigram.load_delta(base, path)
@@ -810,11 +808,10 @@ def merge_deltas(spark, sf):
 
 @query
 def generate_greedy(spark, sf):
-    v, ids = _encoded(spark, sf)
-    ids = stage(ids, "ids")
-    eos = vocab.token_id(v, EOS)
-    model = bigram.pair_counts(ids.select(sequences.with_eos("input_ids", eos).alias("input_ids")))
-    new = bigram.generate_greedy(ids, model, ["doc_id"], eos)
+    v, docs = _vocab(spark, sf), _documents(spark, sf)
+    model = bigram.text_pair_counts(docs, v, specials=SPECIALS, end=EOS)
+    prompts_ = bigram.last_ids(docs, v, ["doc_id"], specials=SPECIALS)
+    new = bigram.generate_greedy(prompts_, model, ["doc_id"], vocab.token_id(v, EOS))
     return new.select("doc_id", _joined("generated").alias("generated"))
 
 

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.functions.sequences import next_token_pairs
+from tokenloom.functions.tokens import split_tokens
 from tokenloom.operators.lookup import fits_broadcast, lookup
+from tokenloom.operators.vocab import token_id
 from tokenloom.staging import stage
 
 PAIR = ("prev", "next")
@@ -21,6 +23,38 @@ def pair_counts(df: DataFrame, ids: str = "input_ids") -> DataFrame:
     return pairs.groupBy(*PAIR).agg(F.count(F.lit(1)).alias("n"))
 
 
+def text_pair_counts(
+    df: DataFrame, vocab: DataFrame, text: str = "text", specials: Sequence[str] = (), unk: str = "<unk>", end: str | None = None
+) -> DataFrame:
+    """:func:`pair_counts` of the encoded texts, without encoding them: ``(prev, next, n)`` as ids.
+
+    Adjacent tokens are counted as text, so only distinct pairs meet the vocabulary; those that
+    become equal by an unknown token are summed again.  ``end`` is a token put after every text.
+    Runs jobs: the counts are staged, the size of the vocabulary is measured once.
+    """
+    tokens = split_tokens(text, specials)
+    if end is not None:
+        tokens = F.concat(F.coalesce(tokens, F.array().cast("array<string>")), F.array(F.lit(end)))
+    counts = stage(pair_counts(df.select(tokens.alias("input_ids"))), "token-pairs")
+    unk_id = token_id(vocab, unk)
+    table = vocab.select("token", "id")
+    small = fits_broadcast(table)
+    for side in PAIR:
+        named = lookup(counts, table.select(F.col("token").alias(side), "id"), side, small)
+        counts = named.withColumn(side, F.coalesce("id", F.lit(unk_id))).drop("id")
+        if not small:
+            counts = stage(counts, "token-pairs")
+    return counts.groupBy(*PAIR).agg(F.sum("n").alias("n"))
+
+
+def last_ids(df: DataFrame, vocab: DataFrame, key: Sequence[str], text: str = "text", specials: Sequence[str] = (), unk: str = "<unk>") -> DataFrame:
+    """``(key, input_ids)`` with just the last id of each text, which is all a bigram model looks at."""
+    last = F.element_at(split_tokens(text, specials), -1).alias("token")
+    named = lookup(df.select(*key, last), vocab.select("token", "id"), "token")
+    found = F.when(F.col("token").isNotNull(), F.array(F.coalesce("id", F.lit(token_id(vocab, unk)))))
+    return named.select(*key, F.coalesce(found, F.array().cast("array<int>")).alias("input_ids"))
+
+
 def eval_ngram(model: DataFrame, heldout: DataFrame, vocab_size: int) -> DataFrame:
     """One row ``(tokens, eval_loss, perplexity)`` of held-out pair counts under add-one estimates.
 
@@ -75,14 +109,14 @@ def generate_greedy(
     A walk ends after the end token and at a token without a successor.
     """
     jumps = [stage(best_next(model).filter(F.col("prev") != eos_id), "jump")]
+    small = fits_broadcast(jumps[0])  # every later table has fewer rows of the same width
     while 2 ** len(jumps) <= max_new:
         tail = jumps[-1].select(F.col("prev").alias("next"), F.col("next").alias("after"))
-        doubled = lookup(jumps[-1], tail, "next").filter("after is not null")
+        doubled = lookup(jumps[-1], tail, "next", small).filter("after is not null")
         jumps.append(stage(doubled.select("prev", F.col("after").alias("next")), "jump"))
     last = prompts.select(*key, F.element_at(ids, -1).alias("start"))
     walk = last.select("start").distinct().select("start", F.lit(0).alias("step"), F.col("start").alias("prev"))
     for power in reversed(range(len(jumps))):
-        small = fits_broadcast(jumps[power])
         if not small:
             walk = stage(walk, "walk")  # the other way of joining reads it several times
         steps = F.explode(F.array(F.lit(0), F.lit(2**power)))

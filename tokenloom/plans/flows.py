@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions.prompts import prompt_full
 from tokenloom.functions.sequences import with_bos, with_eos
-from tokenloom.operators.bigram import eval_ngram, pair_counts
+from tokenloom.operators.bigram import eval_ngram, text_pair_counts
 from tokenloom.operators.lookup import fits_broadcast
 from tokenloom.operators.ordering import BUCKET, div
 from tokenloom.operators.packing import pack_overlap
@@ -85,9 +85,11 @@ def train_pack_plan(
     return parts[0].unionByName(parts[1]).withColumn("batch", div(F.col("seq_id"), batch))
 
 
-def ngram_perplexity(train: DataFrame, heldout: DataFrame, key: Sequence[str], text: str = "text") -> DataFrame:
-    """Fit a vocabulary and a bigram model on ``train``; loss and perplexity on ``heldout``."""
+def ngram_perplexity(train: DataFrame, heldout: DataFrame, text: str = "text") -> DataFrame:
+    """Fit a vocabulary and a bigram model on ``train``; loss and perplexity on ``heldout``.
+
+    Pairs are counted straight from the texts, so no text is encoded.
+    """
     vocab = build_vocab(train, text, SPECIALS)
-    encoded = [encode(df, vocab, key, text, SPECIALS) for df in (train, heldout)]
-    model, seen = (stage(pair_counts(e), "pairs") for e in encoded)
+    model, seen = (stage(text_pair_counts(df, vocab, text, SPECIALS, UNK), "pairs") for df in (train, heldout))
     return eval_ngram(model, seen, vocab_size(vocab))
