@@ -69,7 +69,7 @@ class _Known(dict):
 class Bpe:
     """The arrays of one vocabulary and a bounded store of words already encoded."""
 
-    def __init__(self, path: str, most_words: int = 500_000):
+    def __init__(self, path: str, most_words: int = 250_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         vocab: dict[str, int] = spec["model"]["vocab"]

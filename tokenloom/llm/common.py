@@ -43,7 +43,7 @@ class WordIds(dict):
     Bounded: ``trim`` forgets everything beyond ``most`` words, between two batches.
     """
 
-    def __init__(self, most: int = 1 << 20):
+    def __init__(self, most: int = 1 << 18):
         super().__init__()
         self.most = most
         self.low = np.empty(1 << 12, np.uint64)

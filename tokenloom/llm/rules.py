@@ -129,7 +129,7 @@ _SEEN = _Numbers()
 
 
 def _judged(batch: pa.RecordBatch, with_text: bool) -> list[pa.Array]:
-    if len(_SEEN) > 1 << 20:
+    if len(_SEEN) > 1 << 18:
         _SEEN.clear()
     rows = [judge(t, _SEEN) for t in batch.column("text").to_pylist()]
     fields = MEASURES if with_text else list(MEASURES)[:-1]

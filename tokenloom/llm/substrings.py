@@ -39,7 +39,7 @@ BLOCK_BITS = 20
 PART_BYTES = 8 << 20
 
 _LOW, _HIGH = odd_numbers(WINDOW, 11), odd_numbers(WINDOW, 13)
-_WORDS = WordIds(1 << 18)
+_WORDS = WordIds()
 
 
 def fingerprints(text: bytes, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:

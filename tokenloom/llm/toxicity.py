@@ -197,7 +197,7 @@ def _words(shared) -> tuple[_Words, float]:
     weights, bias = shared.value
     if _MODEL.get("of") is not weights:
         _MODEL.update(of=weights, words=_Words(weights))
-    if len(_MODEL["words"]) > 1 << 19:
+    if len(_MODEL["words"]) > 1 << 18:
         _MODEL["words"].clear()
     return _MODEL["words"], bias
 
