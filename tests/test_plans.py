@@ -84,3 +84,17 @@ def test_uneven_lengths_and_sparse_keys(spark):
     assert flat == list(range(stream)) and len(got) == -(-stream // 32)
     layout = packing.stream_layout(df.selectExpr("key", "size(input_ids) AS n"), ["key"], 32, buckets=6)
     assert layout.ranges.buckets >= 4
+
+
+def test_staged_tables_are_released(spark, tmp_path):
+    import os
+
+    from tokenloom.staging import released, stage, staging_root
+
+    kept = stage(spark.range(3), "kept")
+    with released():
+        table = stage(spark.range(5), "mine")
+        assert table.count() == 5
+        folder = table.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        assert os.path.isdir(folder)
+    assert not os.path.exists(folder) and kept.count() == 3 and staging_root(spark)

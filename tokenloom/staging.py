@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,10 +35,32 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{staging_root(spark)}/tokenloom/{name}-{uuid.uuid4().hex}"
+    for owned in _OWNERS:
+        owned.append((spark, path))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_OWNERS: list[list[tuple[SparkSession, str]]] = []
+
+
+@contextmanager
+def released() -> Iterator[None]:
+    """Delete, at the end of the block, the tables staged within it.
+
+    ``with released(): result.write.parquet(out)`` - whatever reads a staged table has to run inside.
+    """
+    owned: list[tuple[SparkSession, str]] = []
+    _OWNERS.append(owned)
+    try:
+        yield
+    finally:
+        _OWNERS.remove(owned)
+        for spark, path in owned:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def spread(df: DataFrame, per_core: int = 16 << 20) -> DataFrame:
     """Deal the rows of a small input to all cores before costly per-row work.
 
