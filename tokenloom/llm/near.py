@@ -30,6 +30,7 @@ a row each; an empty table gives an empty one; only the two named columns are re
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenloom.llm.common import ROW, WordIds, as_bytes, column, map_arrow, mix, nested, odd_numbers, window_hashes
+from tokenloom.operators.lookup import fits_broadcast
 from tokenloom.staging import stage
 
 SHINGLE = 5
@@ -311,12 +313,17 @@ def _shared_prefixes(entries: DataFrame, threshold: float) -> DataFrame:
 
 def _texts(docs: DataFrame, members: DataFrame, key: str, text: str) -> DataFrame:
     """``(short, node, text)`` of the members, from the row with the node's smallest id."""
-    first = members.select("node", "id").distinct().select(_row_key("node", "id").alias("k"))
+    first = stage(members.select("node", "id").distinct().select(_row_key("node", "id").alias("k")), "candidates")
     rows = docs.select(column(key).alias("id"), _node(column(text)).alias("node"), column(text).alias("text"))
-    named = rows.withColumn("k", _row_key("node", "id")).join(first, "k")
+    named = rows.withColumn("k", _row_key("node", "id")).join(_measured(first), "k")
     return named.select(F.xxhash64("node").alias("short"), "node", "text")
 
 
+def _measured(table: DataFrame) -> DataFrame:
+    """Mark a table for broadcast if it measures small enough; beyond that both sides are shuffled."""
+    return F.broadcast(table) if fits_broadcast(table) else table
+
+
 def _row_key(node: str, key: str):
     return F.concat_ws(":", F.hex(node), F.coalesce(F.col(key).cast("string"), F.lit("null")))
 
@@ -363,9 +370,11 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", thresh
     Rows without words all stay.
     """
     found = classes(docs, key, text, threshold).filter("node IS NOT NULL")
-    heads = found.select("class_node", "class_id").distinct().select(_row_key("class_node", "class_id").alias("k"))
+    by_row = found.select(_row_key("node", "id").alias("k"), (_row_key("class_node", "class_id") == _row_key("node", "id")).alias("head"))
+    heads = stage(by_row.filter("head").groupBy("k").agg(F.count(F.lit(1)).alias("times")), "heads")
     rows = docs.select(nested(docs), column(key).alias("id"), _node(column(text)).alias("node"))
+    kept = rows.filter("node IS NOT NULL").withColumn("k", _row_key("node", "id")).join(_measured(heads), "k")
     copies = Window.partitionBy("k").orderBy(F.xxhash64(ROW))
-    kept = rows.filter("node IS NOT NULL").withColumn("k", _row_key("node", "id")).join(heads, "k")
-    kept = kept.withColumn("copy", F.row_number().over(copies)).filter("copy = 1").select(f"{ROW}.*")
-    return kept.unionByName(rows.filter("node IS NULL").select(f"{ROW}.*"))
+    repeated = kept.filter("times > 1").withColumn("copy", F.row_number().over(copies)).filter("copy = 1")
+    parts = [kept.filter("times = 1"), repeated, rows.filter("node IS NULL")]
+    return reduce(DataFrame.unionByName, [p.select(f"{ROW}.*") for p in parts])
