@@ -27,7 +27,8 @@ from tokenloom.staging import stage
 
 CELL_ROWS = 1_000
 MOST_CELLS = 1 << 16
-KEY_BITS = 46
+KEY_DIGITS = 11
+KEY_BITS = 4 * KEY_DIGITS
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST_REPEATS = 2
@@ -35,13 +36,14 @@ MOST_REPEATS = 2
 
 def _sized(docs: DataFrame, key: str, source: str, text: str, seed: int, row: Column) -> DataFrame:
     """``(row, src, id, size, place)``; ``src`` is never null and ``place`` is the hash-random key."""
-    hashed = F.xxhash64(F.lit(seed), column(key), column(text))
+    named = F.concat_ws("-", F.lit(str(seed)), F.coalesce(column(key).cast("string"), F.lit("")), F.md5(F.coalesce(column(text), F.lit(""))))
+    place = F.conv(F.substring(F.md5(named), 1, KEY_DIGITS), 16, 10).cast("long")
     return docs.select(
         row,
         F.coalesce(F.concat(F.lit("s"), column(source)), F.lit("null")).alias("src"),
         column(key).alias("id"),
         n_words(column(text)).alias("size"),
-        F.shiftrightunsigned(hashed, 64 - KEY_BITS).alias("place"),
+        place.alias("place"),
     )
 
 

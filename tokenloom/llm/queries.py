@@ -218,6 +218,38 @@ FROM own LEFT JOIN licensed USING (dir)
 """
 
 
+SQL["op6_mixing"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce('s' || source, 'null') AS src, source IS NULL AS last,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+    ('0x' || substr(md5('42-' || coalesce(doc_id::VARCHAR, '') || '-' || md5(coalesce(text, ''))), 1, 11))::BIGINT AS place
+  FROM documents
+), s AS (
+  SELECT src, last, sum(size)::BIGINT AS source_size FROM d GROUP BY src, last
+), w AS (
+  SELECT src, source_size, 2.0 * source_size AS cap,
+    [3.0, 1.0, 2.0][((row_number() OVER (ORDER BY last, src) - 1) % 3) + 1] AS w
+  FROM s
+), filled AS (
+  -- Sources in the order in which they fill up; the level if the first k of them are full.
+  SELECT *, row_number() OVER o AS k, sum(cap) OVER o - cap AS used, sum(w) OVER () - sum(w) OVER o + w AS free
+  FROM w WINDOW o AS (ORDER BY cap / w, src ROWS UNBOUNDED PRECEDING)
+), level AS (
+  SELECT min_by((total - used) / free, k) AS level
+  FROM filled, (SELECT 1.5 * sum(source_size) AS total FROM s)
+  WHERE w * (total - used) / free <= cap
+), target AS (
+  SELECT src, source_size, least(cap, w * level)::DOUBLE AS target FROM filled, level
+), placed AS (
+  SELECT *, round(target)::BIGINT AS budget,
+    (sum(size) OVER (PARTITION BY src ORDER BY place, doc_id, size ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS before
+  FROM d JOIN target USING (src)
+)
+SELECT doc_id, size, source_size, target,
+  (CASE WHEN source_size = 0 THEN 0 ELSE budget // source_size * size
+    + greatest(0, least(size, budget % source_size - before)) END)::BIGINT AS taken
+FROM placed
+"""
 SQL["op1_license_scans"] = _license_sql()
 
 
