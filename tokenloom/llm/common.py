@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -105,6 +106,20 @@ def map_arrow(df: DataFrame, batch: Callable[[pa.RecordBatch], pa.RecordBatch |
     return df.mapInArrow(run, schema)
 
 
+def byte_parts(array: pa.Array, most: int = 4 << 20) -> Iterator[list[bytes]]:
+    """The texts of a column as UTF-8, in consecutive parts of about ``most`` bytes, or of one text.
+
+    Only one part is held as Python objects at a time, however many rows an Arrow batch has.
+    """
+    ends = np.cumsum(pc.fill_null(pc.binary_length(array), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(array):
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield as_bytes(array.slice(start, end - start))
+        start = end
+
+
 def in_parts(texts: list, most: int) -> Iterator[list]:
     """Consecutive parts of a batch, each of at most ``most`` characters or of one text."""
     part, size = [], 0

@@ -16,13 +16,15 @@ may exceed the size; an empty table gives an empty one.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.functions.hashing import unit_hash
-from tokenloom.llm.common import WordIds, as_bytes, column, map_arrow, mix, odd_numbers
+from tokenloom.llm.common import WordIds, byte_parts, column, map_arrow, mix, odd_numbers
 from tokenloom.operators.lookup import lookup
 from tokenloom.staging import stage
 
@@ -44,6 +46,12 @@ def grams(text: bytes) -> np.ndarray:
     return (np.concatenate([mix(h), pairs]) % np.uint64(BUCKETS)).astype(np.int64)
 
 
+def _each(texts: pa.Array) -> Iterator[bytes]:
+    for part in byte_parts(texts):
+        _WORDS.trim()
+        yield from part
+
+
 def good_ids(labels: DataFrame, key: str = "doc_id", label: str = "quality") -> DataFrame:
     """``(id, good)`` of the labelled documents; ``good`` is 0 or 1."""
     rows = labels.select(column(key).alias("id"), (column(label) == 1).cast("int").alias("good"))
@@ -56,8 +64,7 @@ def models(docs: DataFrame, good: DataFrame, key: str = "doc_id", text: str = "t
     def run(batches):
         counts = np.zeros((2, BUCKETS), np.int64)
         for b in batches:
-            _WORDS.trim()
-            for t, target in zip(as_bytes(b.column("text")), b.column("good").to_pylist(), strict=True):
+            for t, target in zip(_each(b.column("text")), b.column("good").to_pylist(), strict=True):
                 n = np.bincount(grams(t), minlength=BUCKETS)
                 counts[1] += n
                 if target:
@@ -84,10 +91,12 @@ def weights(docs: DataFrame, ratio: np.ndarray, key: str = "doc_id", text: str =
     shared = docs.sparkSession.sparkContext.broadcast(ratio)
 
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
-        _WORDS.trim()
-        found = [grams(t) for t in as_bytes(b.column("text"))]
-        sums = [float(shared.value[g].sum()) if len(g) else None for g in found]
-        arrays = [b.column("id"), b.column("tag"), pa.array([len(g) for g in found], pa.int64()), pa.array(sums, pa.float64())]
+        sizes, sums = [], []
+        for t in _each(b.column("text")):
+            g = grams(t)
+            sizes.append(len(g))
+            sums.append(float(shared.value[g].sum()) if len(g) else None)
+        arrays = [b.column("id"), b.column("tag"), pa.array(sizes, pa.int64()), pa.array(sums, pa.float64())]
         return pa.RecordBatch.from_arrays(arrays, ["id", "tag", "n_grams", "log_weight"])
 
     rows = docs.select(column(key).alias("id"), F.xxhash64(column(text)).alias("tag"), column(text).alias("text"))

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import ROW, WordIds, as_bytes, column, map_arrow, mix, nested, odd_numbers, window_hashes
+from tokenloom.llm.common import ROW, WordIds, byte_parts, column, map_arrow, mix, nested, odd_numbers, window_hashes
 from tokenloom.operators.lookup import fits_broadcast
 from tokenloom.staging import stage
 
@@ -63,6 +63,14 @@ def shingles(text: bytes) -> np.ndarray:
     return window_hashes(_WORDS.low[ids], _MULTIPLIERS)
 
 
+def _runs(texts: pa.Array) -> Iterator[np.ndarray]:
+    """Shingles of each text of a column."""
+    for part in byte_parts(texts):
+        _WORDS.trim()
+        for text in part:
+            yield shingles(text)
+
+
 def labelled(run: np.ndarray) -> np.ndarray:
     """Each shingle with the number of its earlier occurrences."""
     order = np.argsort(run, kind="stable")
@@ -150,13 +158,15 @@ def sketch(docs: DataFrame, key: str, text: str) -> DataFrame:
     kind = docs.schema[key].dataType.simpleString()
 
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
-        _WORDS.trim()
-        runs = [shingles(t) for t in as_bytes(b.column("text"))]
-        keys = np.concatenate([sketches(r) for r in runs]).view(np.int64)
+        sizes, found = [], []
+        for run in _runs(b.column("text")):
+            sizes.append(len(run))
+            found.append(sketches(run))
+        keys = np.concatenate(found).view(np.int64)
         arrays = [
             b.column("id"),
             b.column("node"),
-            pa.array([len(r) for r in runs], pa.int64()),
+            pa.array(sizes, pa.int64()),
             pa.ListArray.from_arrays(np.arange(0, len(keys) + 1, SKETCHES, dtype=np.int32), keys),
         ]
         return pa.RecordBatch.from_arrays(arrays, ["id", "node", "size", "keys"])
@@ -169,9 +179,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     """The similar ones of the short names ``(a, b)``, as nodes; each text travels only to its pairs."""
 
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
-        _WORDS.trim()
-        left, right = as_bytes(b.column("text_a")), as_bytes(b.column("text_b"))
-        ok = [similar(shingles(x), shingles(y), threshold) for x, y in zip(left, right, strict=True)]
+        both = zip(_runs(b.column("text_a")), _runs(b.column("text_b")), strict=True)
+        ok = [similar(x, y, threshold) for x, y in both]
         found = pa.RecordBatch.from_arrays([b.column("node_a"), b.column("node_b")], ["a", "b"])
         return found.filter(pa.array(ok, pa.bool_()))
 
@@ -244,9 +253,8 @@ def _shingle_counts(texts: DataFrame) -> np.ndarray:
     def count(batches):
         table = np.zeros(1 << COUNT_BITS, np.uint32)
         for b in batches:
-            _WORDS.trim()
-            for t in as_bytes(b.column("text")):
-                np.add.at(table, _cells(shingles(t)), 1)
+            for run in _runs(b.column("text")):
+                np.add.at(table, _cells(run), 1)
         rows = [(i, x.tobytes()) for i, x in enumerate(table.reshape(number, size)) if x.any()]
         arrays = [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())]
         yield pa.RecordBatch.from_arrays(arrays, ["block", "counts"])
@@ -284,16 +292,17 @@ def _entries(rest: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     shared = rest.sparkSession.sparkContext.broadcast(_shingle_counts(rows))
 
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
-        _WORDS.trim()
-        runs = [shingles(t) for t in as_bytes(b.column("text"))]
-        firsts = [prefix(r, shared.value, threshold) for r in runs]
+        firsts, lengths = [], []
+        for run in _runs(b.column("text")):
+            firsts.append(prefix(run, shared.value, threshold))
+            lengths.append(len(run))
         sizes = [len(f) for f in firsts]
-        take = pa.array(np.repeat(np.arange(len(runs)), sizes))
+        take = pa.array(np.repeat(np.arange(len(sizes)), sizes))
         arrays = [
             pa.array(np.concatenate(firsts).view(np.int64)),
             *[b.column(c).take(take) for c in ("short", "comp", "minor")],
             pa.array(np.concatenate([np.arange(n) for n in sizes]).astype(np.int32)),
-            pa.array(np.repeat([len(r) for r in runs], sizes).astype(np.int32)),
+            pa.array(np.repeat(lengths, sizes).astype(np.int32)),
         ]
         return pa.RecordBatch.from_arrays(arrays, ["shingle", "short", "comp", "minor", "at", "size"])
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import WordIds, as_bytes, column, in_parts, map_arrow, mix, n_words, odd_numbers, window_hashes
+from tokenloom.llm.common import WordIds, byte_parts, column, map_arrow, mix, n_words, odd_numbers, window_hashes
 from tokenloom.staging import stage
 
 WINDOW = 13
@@ -36,7 +36,7 @@ ROWS = 2
 CELLS_PER_WINDOW = 8
 MOST_BITS = 31
 BLOCK_BITS = 20
-PART_BYTES = 8 << 20
+PART_BYTES = 4 << 20
 
 _LOW, _HIGH = odd_numbers(WINDOW, 11), odd_numbers(WINDOW, 13)
 _WORDS = WordIds()
@@ -48,6 +48,18 @@ def fingerprints(text: bytes, window: int = WINDOW) -> tuple[np.ndarray, np.ndar
     return window_hashes(_WORDS.low[ids], _LOW[:window]), window_hashes(_WORDS.high[ids], _HIGH[:window])
 
 
+def _parts(texts: pa.Array) -> Iterator[list[bytes]]:
+    # A function of the module: what is nested in another one would trim a copy of the store.
+    for part in byte_parts(texts, PART_BYTES):
+        _WORDS.trim()
+        yield part
+
+
+def _each(texts: pa.Array) -> Iterator[bytes]:
+    for part in _parts(texts):
+        yield from part
+
+
 def cells(low: np.ndarray, bits: int) -> list[np.ndarray]:
     """The cell of each window in every row of the table; the rows share the ``2 ** bits`` cells."""
     width = bits - (ROWS - 1).bit_length()
@@ -98,9 +110,8 @@ def _sketch(docs: DataFrame, bits: int) -> DataFrame:
     """``(block, cells)`` of each batch of texts; a document counts a window once."""
 
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
-        _WORDS.trim()
         rows = []
-        for texts in in_parts(as_bytes(b.column("text")), PART_BYTES):
+        for texts in _parts(b.column("text")):
             found = [np.unique(fingerprints(t)[0]) for t in texts]
             touched, counts = np.unique(np.concatenate([c for low in found for c in cells(low, bits)]), return_counts=True)
             rows += _packed(touched, counts > 1) if len(touched) else []
@@ -175,10 +186,9 @@ def _candidates(docs: DataFrame, shared, bits: int) -> DataFrame:
     """
 
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
-        _WORDS.trim()
         table = _bitmap(shared, bits)
         lows, highs, places, rows = [], [], [], []
-        for i, text in enumerate(as_bytes(b.column("text"))):
+        for i, text in enumerate(_each(b.column("text"))):
             low, high = fingerprints(text)
             at = np.flatnonzero(_maybe_repeated(low, table, bits))
             at = at[np.sort(np.unique(low[at], return_index=True)[1])]
@@ -261,10 +271,9 @@ def dedupe(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     kind = docs.schema[key].dataType.simpleString()
 
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
-        _WORDS.trim()
         n, left, digest = [], [], []
-        for t, at in zip(as_bytes(b.column("text")), b.column("places").to_pylist(), strict=True):
-            total, words = kept_words(t, np.asarray(at or [], np.int64))
+        for t, at in zip(_each(b.column("text")), b.column("places"), strict=True):
+            total, words = kept_words(t, np.asarray(at.as_py() or [], np.int64))
             n.append(total)
             left.append(total - len(words))
             digest.append(hashlib.sha256(b" ".join(words)).hexdigest())
