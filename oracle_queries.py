@@ -8,6 +8,7 @@ from __future__ import annotations
 
 WORD = r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+"
 SPECIALS = ("<unk>", "<bos>", "<eos>")
+# The prompt templates and the published 4-bit levels.
 H0 = (
     "Below is an instruction that describes a task. "
     "Write a response that appropriately completes the request.\n\n### Instruction:\n"

@@ -55,6 +55,7 @@ def next_token_pairs(ids: Column | str) -> Column:
     )
 
 
+# Fixed values below: the characters of a layout (end, padding, token).
 def layout_string(ids: Column | str, pad_id: int, eos_id: int) -> Column:
     """One character per id: ``|`` end, ``_`` padding, ``T`` other.
 

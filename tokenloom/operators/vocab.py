@@ -74,6 +74,7 @@ def added_tokens(vocab: DataFrame) -> DataFrame:
     return vocab.filter("special").select("id", "token").orderBy("id")
 
 
+# Fixed value: how reserved tokens are named.
 def reserved_tokens(vocab: DataFrame, marker: str = "reserved_special_token") -> DataFrame:
     """Special tokens whose text contains ``marker``."""
     return added_tokens(vocab.filter(F.col("token").contains(marker)))
