@@ -9,10 +9,12 @@ from tokenizers import Tokenizer
 from tokenloom.llm import bpe
 from tokenloom.llm.queries import TOKENIZER
 
+LIBRARY = Tokenizer.from_file(TOKENIZER)
+
 
 @pytest.fixture(scope="module")
 def library():
-    return Tokenizer.from_file(TOKENIZER)
+    return LIBRARY
 
 
 def agree(library, texts):
@@ -23,19 +25,19 @@ def agree(library, texts):
         assert own.decode(ids).decode() == library.decode(want, skip_special_tokens=False) == text
 
 
+
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.text(max_size=40), max_size=5))
 def test_any_text(texts):
-    agree(Tokenizer.from_file(TOKENIZER) if not hasattr(test_any_text, "t") else test_any_text.t, texts)
-
-
-test_any_text.t = Tokenizer.from_file(TOKENIZER)
+    agree(LIBRARY, texts)
 
 
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=" aab\n\tb'stéÖ1!.<|>×÷_ll日　", max_size=80))
 def test_words_white_space_and_marks(text):
-    agree(test_any_text.t, [text])
+    agree(LIBRARY, [text])
 
 
 def test_added_tokens_and_runs(library):
