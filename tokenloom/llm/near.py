@@ -11,15 +11,14 @@
 
 No bucket emits all its pairs.  Candidates are met in two steps:
 
-1. Star: every member of a bucket meets the bucket's centre, the text with the smallest id; links are verified
-   and components joined.  A bucket of n copies of one text costs n pairs.
-2. Rest: in a bucket that still has several components, its members that are not in the largest one can
-   only be linked to texts with which they share one of their rarest shingles: two texts at the
-   threshold t share at least ``t * size`` shingles of either, so they share one among the first
-   ``size - t * size + 1`` in any common order, and no more than what is left after it.  These prefixes are joined,
-   rarest shingles first (by a hashed count table of fixed size, which steers the cost only).  This finds every link that is
-   left between different components, so no bucket needs a cap, and members that resemble nothing cost next to nothing
-   however many share a bucket.
+1. Stars: every member of a bucket meets ``CENTRES`` of its members, those with the smallest ids; links are
+   verified and components joined; a second turn takes centres from outside a bucket's largest component.  A bucket
+   of n copies of one text costs a multiple of n pairs, and a bucket no larger than its centres is done.
+2. Rest: what is left are members of larger buckets outside the largest component.  One can only be linked to a text with
+   which it shares one of its rarest shingles: two texts at the threshold t share at least ``t * size``
+   shingles of either, so they share one among the first ``size - t * size + 1`` in any common order.  Members
+   whose rare shingles (by a hashed count table of fixed size, which steers the cost only) are in no text of another
+   component are done; the others meet the members of other components, each pair in the first bucket it shares.
 
 Edge cases: a null or empty text, or one without words, is a class of its own row; a text
 of fewer than five words is one shingle, so only equal word sequences meet; equal texts are always one class; null
@@ -47,6 +46,7 @@ SKETCHES = 14
 TAKEN = 3
 #: The count table that orders shingles: 2 ** COUNT_BITS cells in blocks of 2 ** BLOCK_BITS.
 COUNT_BITS, BLOCK_BITS = 22, 16
+CENTRES = 8
 
 _MULTIPLIERS = odd_numbers(SHINGLE, 5)
 _WORDS = WordIds()
@@ -223,27 +223,30 @@ def _pair(one: str, other: str) -> list:
     return [F.least(one, other).alias("a"), F.greatest(one, other).alias("b")]
 
 
-def _star(members: DataFrame, threshold: float) -> DataFrame:
-    """``(a, b)``: every member of a bucket with the bucket's centre, if their lengths allow a link."""
-    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "node", "size"))
-    centres = members.groupBy("bucket").agg(first.alias("c")).select("bucket", F.col("c.node").alias("centre"), F.col("c.size").alias("n"))
-    reach = F.least("size", "n") >= threshold * F.greatest("size", "n")
-    met = members.join(centres, "bucket").filter((F.col("node") != F.col("centre")) & reach)
-    return met.select(F.xxhash64("node").alias("x"), F.xxhash64("centre").alias("y")).select(*_pair("x", "y")).distinct()
+def _placed(members: DataFrame, comps: DataFrame | None, done: int) -> DataFrame:
+    """Members of the buckets that have several components and more than ``done`` members.
 
-
-def _rest(members: DataFrame, comps: DataFrame) -> DataFrame:
-    """``(node, comp, minor)`` of the members of buckets with several components and more than two members.
-
-    ``minor`` if the node is not in the largest component of one of its buckets.
+    Adds ``comp`` and ``minor``, which is false in the bucket's largest component.
     """
-    placed = members.join(comps, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
-    parts = placed.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
+    if comps is None:
+        return members.withColumns({"comp": F.col("node"), "minor": F.lit(True)})
+    named = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    parts = named.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
     buckets = parts.groupBy("bucket").agg(
         F.max(F.struct("n", "comp")).getField("comp").alias("largest"), F.count(F.lit(1)).alias("comps"), F.sum("n").alias("n")
     )
-    unfinished = placed.join(buckets.filter("comps > 1 AND n > 2").select("bucket", "largest"), "bucket")
-    return unfinished.groupBy("node", "comp").agg(F.max(F.col("comp") != F.col("largest")).alias("minor"))
+    unfinished = named.join(buckets.filter((F.col("comps") > 1) & (F.col("n") > done)).select("bucket", "largest"), "bucket")
+    return unfinished.withColumn("minor", F.col("comp") != F.col("largest")).drop("largest")
+
+
+def _star(placed: DataFrame, threshold: float) -> DataFrame:
+    """``(a, b)``: members of a bucket with its centres, if components differ and lengths allow a link."""
+    first = Window.partitionBy("bucket").orderBy(F.asc_nulls_last("id"), "node")
+    centres = placed.filter("minor").withColumn("place", F.row_number().over(first)).filter(F.col("place") <= CENTRES)
+    centres = centres.select("bucket", *[F.col(c).alias(f"c_{c}") for c in ("node", "comp", "size")])
+    reach = F.least("size", "c_size") >= threshold * F.greatest("size", "c_size")
+    met = placed.join(centres, "bucket").filter((F.col("comp") != F.col("c_comp")) & reach)
+    return met.select(F.xxhash64("node").alias("x"), F.xxhash64("c_node").alias("y")).select(*_pair("x", "y")).distinct()
 
 
 def _shingle_counts(texts: DataFrame) -> np.ndarray:
@@ -286,37 +289,33 @@ def prefix(run: np.ndarray, counts: np.ndarray, threshold: float = THRESHOLD) ->
     return marked[np.lexsort((marked, counts[_cells(marked)]))[:n]]
 
 
-def _entries(rest: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """``(shingle, short, comp, minor, at, size)``: the prefixes of the texts of ``rest``."""
-    rows = stage(texts.join(rest, "node").select("short", F.xxhash64("comp").alias("comp"), "minor", "text"), "rest")
-    shared = rest.sparkSession.sparkContext.broadcast(_shingle_counts(rows))
+def _alive(placed: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """``(short)``: nodes that share a prefix shingle with a node of another component."""
+    nodes = placed.select("node", "comp").distinct()
+    rows = stage(texts.join(nodes, "node").select("short", F.xxhash64("comp").alias("comp"), "text"), "rest")
+    shared = placed.sparkSession.sparkContext.broadcast(_shingle_counts(rows))
 
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
-        firsts, lengths = [], []
-        for run in _runs(b.column("text")):
-            firsts.append(prefix(run, shared.value, threshold))
-            lengths.append(len(run))
-        sizes = [len(f) for f in firsts]
-        take = pa.array(np.repeat(np.arange(len(sizes)), sizes))
-        arrays = [
-            pa.array(np.concatenate(firsts).view(np.int64)),
-            *[b.column(c).take(take) for c in ("short", "comp", "minor")],
-            pa.array(np.concatenate([np.arange(n) for n in sizes]).astype(np.int32)),
-            pa.array(np.repeat(lengths, sizes).astype(np.int32)),
-        ]
-        return pa.RecordBatch.from_arrays(arrays, ["shingle", "short", "comp", "minor", "at", "size"])
-
-    return map_arrow(rows, batch, "shingle long, short long, comp long, minor boolean, at int, size int")
-
-
-def _shared_prefixes(entries: DataFrame, threshold: float) -> DataFrame:
-    """``(a, b)`` of different components that share a prefix shingle early enough to reach the threshold."""
-    names = ("shingle", "short", "comp", "at", "size")
-    one = entries.filter("minor").select(*[F.col(c).alias(f"x_{c}") for c in names])
-    two = entries.select(*names)
-    least = F.ceil(F.lit(threshold / (1 + threshold)) * (F.col("x_size") + F.col("size")) - 1e-9)
-    left = F.least(F.col("x_size") - F.col("x_at"), F.col("size") - F.col("at"))
-    met = one.join(two, (F.col("x_shingle") == F.col("shingle")) & (F.col("x_comp") != F.col("comp")) & (left >= least))
+        firsts = [prefix(run, shared.value, threshold) for run in _runs(b.column("text"))]
+        take = pa.array(np.repeat(np.arange(len(firsts)), [len(f) for f in firsts]))
+        arrays = [pa.array(np.concatenate(firsts).view(np.int64)), b.column("short").take(take), b.column("comp").take(take)]
+        return pa.RecordBatch.from_arrays(arrays, ["shingle", "short", "comp"])
+
+    entries = stage(map_arrow(rows, batch, "shingle long, short long, comp long"), "prefixes")
+    comps = entries.groupBy("shingle").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+    met = entries.join(comps.filter("low <> high").select("shingle"), "shingle")
+    return met.select("short").distinct()
+
+
+def _rest(placed: DataFrame, alive: DataFrame, threshold: float) -> DataFrame:
+    """``(a, b)``: members outside a bucket's largest component with those of other components, each pair once."""
+    rows = placed.withColumn("short", F.xxhash64("node")).join(alive, "short")
+    keys = rows.groupBy("short").agg(F.collect_set("bucket").alias("keys"))  # at most ``SKETCHES``
+    rows = stage(rows.select("short", "bucket", F.xxhash64("comp").alias("comp"), "size", "minor").join(keys, "short"), "rest")
+    one = rows.filter("minor").select(*[F.col(c).alias(f"x_{c}") for c in ("short", "bucket", "comp", "size", "keys")])
+    here = F.array_min(F.array_intersect("x_keys", "keys")) == F.col("bucket")
+    reach = F.least("size", "x_size") >= threshold * F.greatest("size", "x_size")
+    met = one.join(rows, (F.col("x_bucket") == F.col("bucket")) & (F.col("x_comp") != F.col("comp")) & reach & here)
     return met.select(*_pair("x_short", "short")).distinct()
 
 
@@ -341,11 +340,19 @@ def _labels(docs: DataFrame, sketched: DataFrame, key: str, text: str, threshold
     """``(node, comp)`` of the nodes with a link."""
     members = stage(_members(sketched), "members")
     texts = stage(_texts(docs, members, key, text), "texts")
-    links = stage(_verified(stage(_star(members, threshold), "pairs"), texts, threshold), "verified")
-    comps = components(links)
-    rest = stage(_rest(members, comps), "unfinished")
-    entries = stage(_entries(rest, texts, threshold), "prefixes")
-    more = stage(_verified(stage(_shared_prefixes(entries, threshold), "pairs"), texts, threshold), "verified")
+    links, comps = None, None
+    for done in (0, CENTRES + 1):
+        placed = _placed(members, comps, done)
+        found = stage(_verified(stage(_star(placed, threshold), "pairs"), texts, threshold), "verified")
+        if links is not None and found.isEmpty():
+            break
+        links = found if links is None else links.unionByName(found)
+        comps = components(links)
+    placed = stage(_placed(members, comps, CENTRES + 1), "unfinished")
+    if placed.isEmpty():
+        return comps
+    pairs = stage(_rest(placed, _alive(placed, texts, threshold), threshold), "pairs")
+    more = stage(_verified(pairs, texts, threshold), "verified")
     return comps if more.isEmpty() else components(links.unionByName(more))
 
 
