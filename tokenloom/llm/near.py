@@ -9,7 +9,7 @@
   ``aligned / (shingles of a + shingles of b - aligned)``, at least 0.8.
 * Classes are the connected components of verified links.  Equal texts are one node from the start.
 
-No bucket emits all its pairs.  Candidates are met in two steps:
+Pairs that are linked already, in one component, are never emitted.  Candidates are met in two steps:
 
 1. Stars: every member of a bucket meets ``CENTRES`` of its members, those with the smallest ids; links are
    verified and components joined; a second turn takes centres from outside a bucket's largest component.  A bucket
@@ -19,6 +19,8 @@ No bucket emits all its pairs.  Candidates are met in two steps:
    shingles of either, so they share one among the first ``size - t * size + 1`` in any common order.  Members
    whose rare shingles (by a hashed count table of fixed size, which steers the cost only) are in no text of another
    component are done; the others meet the members of other components, each pair in the first bucket it shares.
+   The worst case is a bucket of many texts that are all alike below the threshold and have no rare
+   shingles: its open pairs are each met once, because dropping one could lose a link.
 
 Edge cases: a null or empty text, or one without words, is a class of its own row; a text
 of fewer than five words is one shingle, so only equal word sequences meet; equal texts are always one class; null
