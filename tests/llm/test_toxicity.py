@@ -80,3 +80,34 @@ def test_edge_cases(spark, fitted):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     flat = toxicity.score(docs, toxicity.fit(docs, none)).collect()
     assert all(r.score < 1e-9 for r in flat)
+
+
+def test_length_neither_makes_nor_hides_an_insult(spark, fitted):
+    _, _, model = fitted
+    rng = random.Random(5)
+    word = lambda: f"word{rng.randrange(60)}"
+    clean = " ".join(" ".join(word() for _ in range(12)) + "." for _ in range(1_700))
+    unmarked = " ".join(word() for _ in range(20_000))
+    rows = [(1, clean), (2, unmarked), (3, unmarked + " scum there " + unmarked), (4, clean + " You scum there.")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    assert got[1].score < 0.1 and got[2].score < 0.1
+    for i in (3, 4):
+        assert got[i].score >= 0.5 and any("scum" in rows[i - 1][1][s.start : s.end] for s in got[i].offending)
+
+
+def test_long_sentences_are_cut_into_parts_without_loss():
+    text = "a b c. " + "é word, " * 95 + "end! x"
+    spans = toxicity.sentences(text)
+    assert len(spans) == 7 and [len(text[s:e].split()) for s, e in spans] == [3, 40, 40, 40, 40, 31, 1]
+
+
+def test_a_rare_insult_among_many_documents_gets_a_weight(spark):
+    """Four of 1,200 documents have the word, a third of a per cent."""
+    rows = [(i, f"word{i % 7} word{i % 11}. word{i % 13} again." + " You zounds." * (i < 4), int(i < 4)) for i in range(1_200)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    model = toxicity.fit(docs, labels)
+    asked = spark.createDataFrame([(1, "You zounds. word1 again."), (2, "word1 again.")], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxicity.score(asked, model).collect()}
+    assert got[1] >= 0.5 > got[2]

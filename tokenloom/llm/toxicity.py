@@ -1,7 +1,9 @@
 """Toxicity by multiple-instance learning: labels are for documents, scores for sentences.
 
 A sentence's score is a logistic function of the weights of its words; a document is toxic if any of its
-sentences is (noisy-or).  Weights are fitted to document labels by full-batch gradient descent: the training
+sentences is (noisy-or).  Long sentences are judged in parts of ``LONGEST`` words.  Weights are never negative, so no
+word hides another, and a sentence counts for what exceeds the background, the ``BACKGROUND`` quantile of the clean training
+sentences, so clean sentences do not add up to a toxic text.  Weights are fitted to document labels by full-batch gradient descent: the training
 documents' features are a staged table, each turn is one job that sums gradients by partition, and the driver
 holds one weight vector of fixed size.  The fitted sentence scores then locate the offending sentences.
 
@@ -30,12 +32,19 @@ MOST_TRAINING = 4_000
 TURNS = 40
 RATE = 0.05
 DECAY = 1e-4
-#: A feature counts if so large a share of the training documents, and so many, have it.
-FEWEST_SHARE, FEWEST_DOCUMENTS = 0.005, 3
+#: A feature counts if so many training documents have it.
+FEWEST_DOCUMENTS = 3
+#: Documents that a feature's first log odds are drawn to zero by.
+PRIOR = 2.0
+LONGEST = 40
+BACKGROUND = 0.999
+#: Logits of the background are counted in steps of 1 / FINE between -LIMIT and LIMIT.
+LIMIT, FINE = 64, 128
 BLANK_LOGIT = -6.0
 
 SENTENCE = re.compile(r"[^.!?\n]+[.!?]*")
 _WORD = re.compile(r"\w+")
+_PART = re.compile(rf"(?:\W*+\w++){{1,{LONGEST}}}\W*+")
 
 
 def features(word: str) -> list[int]:
@@ -57,8 +66,11 @@ class _Words(dict):
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
-    """Sentences with a word, as spans of code points."""
-    return [m.span() for m in SENTENCE.finditer(text) if _WORD.search(m[0])]
+    """Sentences with a word, or their parts of at most ``LONGEST`` words, as spans of code points."""
+    spans = [m.span() for m in SENTENCE.finditer(text) if _WORD.search(m[0])]
+    if all(e - s <= 2 * LONGEST for s, e in spans):
+        return spans
+    return [part for s, e in spans for part in ([(s, e)] if e - s <= 2 * LONGEST else [m.span() for m in _PART.finditer(text, s, e)])]
 
 
 def logits(text: str, words: dict[str, float], bias: float) -> tuple[list[tuple[int, int]], np.ndarray]:
@@ -72,6 +84,11 @@ def noisy_or(z: np.ndarray) -> float:
     return float(-np.expm1(-np.logaddexp(0, z).sum()))
 
 
+def excess(z: np.ndarray, floor: float) -> np.ndarray:
+    """What each sentence's -log(1 - p) exceeds that of a sentence with the logit ``floor`` by."""
+    return np.maximum(np.logaddexp(0, z) - np.logaddexp(0, floor), 0.0)
+
+
 # --- fit ----------------------------------------------------------------------
 
 
@@ -152,22 +169,22 @@ def training_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, label
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", held_out: Column | None = None):
-    """``(weights, bias)`` from the labelled documents; ``held_out`` is a condition on the column ``id``."""
+    """``(weights, bias, floor)`` from the labelled documents; ``held_out`` is a condition on the column ``id``."""
     train = stage(_encoded(training_rows(docs, labels, key, text, label, held_out)), "training")
     counts = {r.y: r.n for r in train.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     size = 1 << BITS
     if not counts.get(0) or not counts.get(1):
-        return np.zeros(size, np.float32), -40.0
+        return np.zeros(size, np.float32), -40.0, -40.0
     parts = max(1, min(64, (counts[0] + counts[1]) // 500))
     train = stage(train.repartition(parts), "training")
     clean, toxic = _summed(train, lambda b: _document_counts(b, size)).reshape(2, size)
-    fewest = max(FEWEST_DOCUMENTS, FEWEST_SHARE * (counts[0] + counts[1]))
-    known = np.append(clean + toxic >= fewest, True)
+    known = np.append(clean + toxic >= FEWEST_DOCUMENTS, True)
     balance = counts[0] / counts[1]
     scale = 1.0 / (2 * counts[0])
     # Start from the log odds of a feature between toxic and clean documents.
-    state = np.append(np.log((toxic + 1) / (counts[1] + 2)) - np.log((clean + 1) / (counts[0] + 2)), BLANK_LOGIT)
-    state = np.where(known, state, 0.0)
+    prior = PRIOR * counts[1] / (counts[0] + counts[1])
+    odds = np.log((toxic + prior) / (counts[1] + PRIOR)) - np.log((clean + PRIOR - prior) / (counts[0] + PRIOR))
+    state = np.append(np.where(known[:-1], np.maximum(odds, 0.0), 0.0), BLANK_LOGIT)
     mean, square = np.zeros(size + 1), np.zeros(size + 1)
     for turn in range(1, TURNS + 1):
         shared = docs.sparkSession.sparkContext.broadcast(state.astype(np.float32))
@@ -177,7 +194,21 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         mean, square = 0.9 * mean + 0.1 * g, 0.99 * square + 0.01 * g * g
         step = (mean / (1 - 0.9**turn)) / (np.sqrt(square / (1 - 0.99**turn)) + 1e-5)
         state = state - RATE * (1 - 0.5 * turn / TURNS) * step
-    return state[:-1].astype(np.float32), float(state[-1])
+        state[:-1] = np.maximum(state[:-1], 0.0)
+    weights, bias = state[:-1].astype(np.float32), float(state[-1])
+    shared = docs.sparkSession.sparkContext.broadcast(weights)
+    seen = np.cumsum(_summed(train.filter("y = 0"), lambda b: _logit_counts(b, shared.value, bias)))
+    if not seen[-1]:
+        return weights, bias, bias
+    return weights, bias, float(np.searchsorted(seen, BACKGROUND * seen[-1]) + 1) / FINE - LIMIT
+
+
+def _logit_counts(b: pa.RecordBatch, weights: np.ndarray, bias: float) -> np.ndarray:
+    """How many sentences of a batch have each logit, in steps of 1 / ``FINE``."""
+    ids, _ = _flat(b.column("ids"))
+    sizes, _ = _flat(b.column("sizes"))
+    z = bias + _sums(weights[ids], sizes)
+    return np.bincount(np.clip((z + LIMIT) * FINE, 0, 2 * LIMIT * FINE - 1).astype(int), minlength=2 * LIMIT * FINE).astype(float)
 
 
 def _document_counts(b: pa.RecordBatch, size: int) -> np.ndarray:
@@ -193,13 +224,13 @@ def _document_counts(b: pa.RecordBatch, size: int) -> np.ndarray:
 _MODEL: dict = {}
 
 
-def _words(shared) -> tuple[_Words, float]:
-    weights, bias = shared.value
+def _words(shared) -> tuple[_Words, float, float]:
+    weights, bias, floor = shared.value
     if _MODEL.get("of") is not weights:
         _MODEL.update(of=weights, words=_Words(weights))
     if len(_MODEL["words"]) > 1 << 18:
         _MODEL["words"].clear()
-    return _MODEL["words"], bias
+    return _MODEL["words"], bias, floor
 
 
 def score(docs: DataFrame, model, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -209,14 +240,16 @@ def score(docs: DataFrame, model, key: str = "doc_id", text: str = "text") -> Da
     span = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())])
 
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
-        words, bias = _words(shared)
+        words, bias, floor = _words(shared)
         scores, n, bad = [], [], []
         for t in b.column("text").to_pylist():
             spans, z = logits(t or "", words, bias)
-            scores.append(noisy_or(z) if len(z) else noisy_or(np.array([bias])))
+            over = excess(z if len(z) else np.array([bias]), floor)
+            scores.append(float(-np.expm1(-over.sum())))
             n.append(len(spans))
-            at = np.flatnonzero(z >= 0)
-            bad.append([{"start": spans[i][0], "end": spans[i][1], "score": float(1 / (1 + np.exp(-z[i])))} for i in at])
+            each = -np.expm1(-over)
+            at = np.flatnonzero(each >= 0.5) if len(z) else []
+            bad.append([{"start": spans[i][0], "end": spans[i][1], "score": float(each[i])} for i in at])
         arrays = [b.column("id"), pa.array(scores, pa.float64()), pa.array(n, pa.int64()), pa.array(bad, pa.list_(span))]
         return pa.RecordBatch.from_arrays(arrays, ["id", "score", "n_sentences", "offending"])
 
