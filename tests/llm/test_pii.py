@@ -86,3 +86,29 @@ def test_table(spark):
     assert sorted((r.doc_id or 0, r.text, r.spans) for r in clean if r.text) == [(1, "[EMAIL] x", "x")] * 2
     assert pii.redact(docs).columns == docs.columns and len(clean) == 4
     assert pii.find(docs.limit(0)).count() == 0
+
+
+def test_spelled_numbers_end_before_words_that_begin_like_digits():
+    number = "plus four nine five five five one two three four five"
+    for word in ("Ohio", "ninety", "ones", "sixth", "fourteen"):
+        assert shown(f"call {number} {word} now") == [("phone", number)]
+
+
+def test_disguises_with_dots_in_the_name_and_runs_of_spaces():
+    for text in (
+        "john at mail.example dot com", "jo  at  mail  dot  example  dot  com", "jo  [ at ]  mail   (dot)  com", "jo at mail  [  dot  ] com",
+    ):
+        assert shown(f"write {text}.") == [("email", text)]
+    number = "plus   one two   three four five six seven eight nine zero"
+    assert shown(f"call {number} ok") == [("phone", number)]
+
+
+def test_address_parts_of_many_digits():
+    zeros = "0" * 5_000
+    assert pii.base_spans(f"{zeros}.{zeros}1.2.3")[0] == ("ip", 0, 10_006)
+    assert pii.base_spans(f"{zeros}.{zeros}256.2.x") == []
+
+
+def test_long_runs_of_spaces_stay_linear():
+    for text in ("a" + " " * 300_000, "one" + " " * 300_000, "[" + " " * 300_000, "a at" + " " * 300_000, "a at " + "b." * 150_000, "a at b  " * 40_000):
+        pii.all_spans(text)

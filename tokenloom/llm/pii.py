@@ -61,7 +61,7 @@ def _is_card(match: str) -> bool:
 
 
 def _is_ip(match: str) -> bool:
-    return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in match.split("."))
+    return all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in match.split("."))
 
 
 def _is_phone(match: str) -> bool:
@@ -93,14 +93,16 @@ _CHARACTER = re.compile(
 )
 _DIGITS = {w: str(i) for i, w in enumerate("zero one two three four five six seven eight nine".split())} | {"oh": "0"}
 _DIGIT = "(?:" + "|".join(_DIGITS) + ")"
-_SPELLED = re.compile(rf"\b{_DIGIT}(?:[\x20,-]{{1,2}}{_DIGIT})*+\b", re.I)
+_SPELLED = re.compile(rf"\b{_DIGIT}\b(?:(?:[\x20]++|[\x20,-]{{1,2}}){_DIGIT}\b)*+", re.I)
 _SPELLED_ONE = re.compile(_DIGIT, re.I)
-_OPEN, _CLOSE = r"[\x20]?[\[({<][\x20]?", r"[\x20]?[\])}>][\x20]?"
+#: A run of spaces is tried from its start only, or long runs would take quadratic time.
+_OPEN, _CLOSE = r"(?:(?<!\x20)[\x20]++)?[\[({<][\x20]*+", r"[\x20]*+[\])}>][\x20]*+"
 _SIGN = re.compile(
     rf"{_OPEN}(?:at|@){_CLOSE}|{_OPEN}(?:dot|\.){_CLOSE}"
-    r"|(?<=[A-Za-z0-9])[\x20](?:at)[\x20](?=[A-Za-z0-9-]++(?:[\x20]dot[\x20]|[\x20]?[\[({<][\x20]?dot)[A-Za-z0-9\])}>\x20])"
-    r"|(?<=[A-Za-z0-9])[\x20]dot[\x20](?=[A-Za-z0-9])"
-    r"|\bplus[\x20](?=[0-9])",
+    r"|(?<=[A-Za-z0-9])[\x20]++(?:at)[\x20]++"
+    r"(?=[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)*+(?:[\x20]++dot[\x20]++|[\x20]*+[\[({<][\x20]*+dot)[A-Za-z0-9\])}>\x20])"
+    r"|(?<=[A-Za-z0-9])[\x20]++dot[\x20]++(?=[A-Za-z0-9])"
+    r"|\bplus[\x20]++(?=[0-9])",
     re.I,
 )
 
