@@ -70,3 +70,24 @@ def test_probes_come_in_the_order_of_their_cost():
     home = ann.bucket_numbers(np.floor(index.places(x, True)).astype(np.int64))
     assert np.array_equal(index.visited(x)[:, :, 0], home)
     assert all(len(set(v)) == 9 for q in index.visited(x) for v in q)
+
+
+def test_ties_go_to_the_smaller_id_also_where_a_block_or_cell_cuts(spark, monkeypatch):
+    """0/1 vectors: far more than 21 different ones share the score at the border."""
+    monkeypatch.setattr(ann, "RECALL", 2.0)  # every bucket is visited
+    monkeypatch.setattr(ann, "HASHES", 2)
+    monkeypatch.setattr(ann, "WIDTH", 50.0)
+    rng = np.random.default_rng(8)
+    codes = rng.permutation(np.arange(1, 1 << 9))[:400]
+    rows = [(i, [float(code >> j & 1) for j in range(9)]) for i, code in enumerate(codes.tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    want = brute(rows)
+    assert found(spark, df) == want
+    monkeypatch.setattr(ann, "BLOCK", 64)
+    assert found(spark, df) == want
+
+
+def test_a_block_keeps_whatever_ties_with_its_last():
+    x = np.eye(60)
+    got = list(ann._block_best(x[:1] * 0.0 + 1.0, x, np.arange(60)[::-1], np.arange(60), 21))
+    assert np.array_equal(got[0][1], np.arange(59, 38, -1))

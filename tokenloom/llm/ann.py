@@ -4,7 +4,8 @@ Vectors are lifted to one more dimension so that the largest inner product is th
 Each of ``TABLES`` tables hashes a vector by ``floor((a x + b) / w)`` for ``HASHES`` Gaussian ``a``.  A query
 visits its own bucket and perturbed ones (each hash moved by -1, 0 or 1) in the order of their estimated
 success, the sum of squared distances to the bucket borders crossed.  Candidates of all tables are
-ranked by the exact inner product in double precision and merged.
+ranked by the exact inner product in double precision, then by their smallest id, and merged; whatever ties with the last kept
+score of a block takes part in that ranking.
 
 How many buckets to visit is fitted on a bounded sample (``SAMPLE`` vectors) to ``RECALL``; every vector is indexed.
 In the sample the nearest are farther away than in the whole table, so recall there is a low estimate.
@@ -41,6 +42,8 @@ SAMPLE_QUERIES = 128
 RECALL = 0.96
 BLOCK = 2_048
 CELLS, CELL_ROWS = 64, 65_536
+#: Queries scored at once against a block, and pairs multiplied out exactly at once.
+ASKED, PAIRS = 256, 65_536
 
 
 @dataclass(frozen=True)
@@ -128,17 +131,19 @@ def _matrix(column_: pa.ListArray) -> np.ndarray:
 
 
 def _indexed(vectors: DataFrame, index: Index) -> DataFrame:
-    """``(rep, vec, bucket)`` for each vector and table."""
+    """``(rep, first, vec, bucket)`` for each vector and table."""
 
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
         numbers = index.buckets(_matrix(b.column("vec")))
         ends = np.arange(0, numbers.size + 1, TABLES, dtype=np.int32)
         return pa.RecordBatch.from_arrays(
-            [b.column("rep"), b.column("vec"), pa.ListArray.from_arrays(ends, numbers.ravel())], ["rep", "vec", "buckets"]
+            [b.column("rep"), b.column("first"), b.column("vec"), pa.ListArray.from_arrays(ends, numbers.ravel())],
+            ["rep", "first", "vec", "buckets"],
         )
 
-    hashed = map_arrow(vectors.select("rep", "vec"), batch, "rep long, vec array<double>, buckets array<bigint>")
-    return hashed.select("rep", "vec", F.explode("buckets").alias("bucket"))
+    named = vectors.select("rep", F.col("ids")[0].alias("first"), "vec")
+    hashed = map_arrow(named, batch, "rep long, first long, vec array<double>, buckets array<bigint>")
+    return hashed.select("rep", "first", "vec", F.explode("buckets").alias("bucket"))
 
 
 def _probes(queries: DataFrame, index: Index) -> DataFrame:
@@ -152,15 +157,43 @@ def _probes(queries: DataFrame, index: Index) -> DataFrame:
     return map_arrow(queries, batch, "query long, buckets array<bigint>").select("query", F.explode("buckets").alias("bucket"))
 
 
+def _block_best(asked: np.ndarray, vectors: np.ndarray, first: np.ndarray, reps: np.ndarray, n: int):
+    """``(query, vector, score)``: each query's ``n`` best of a block by exact score, then by smallest id."""
+    norms = np.sqrt((vectors * vectors).sum(axis=1).max())
+    for at in range(0, len(asked), ASKED):
+        ask = asked[at : at + ASKED]
+        rough = ask @ vectors.T
+        if len(vectors) > n:
+            last = np.partition(rough, len(vectors) - n, axis=1)[:, len(vectors) - n]
+            # Twice what two ways of adding up the products can differ by.
+            slack = 4 * (ask.shape[1] + 1) * np.finfo(float).eps * norms * np.sqrt((ask * ask).sum(axis=1))
+            q, pick = np.nonzero(rough >= (last - slack)[:, None])
+        else:
+            q, pick = np.nonzero(np.ones(rough.shape, bool))
+        exact = [(ask[q[i : i + PAIRS]] * vectors[pick[i : i + PAIRS]]).sum(axis=1) for i in range(0, len(q), PAIRS)]
+        s = np.concatenate(exact) + 0.0  # no negative zeros
+        order = np.lexsort((reps[pick], first[pick], -s, q))
+        q, pick, s = q[order], pick[order], s[order]
+        keep = _places(q) < n
+        yield q[keep] + at, pick[keep], s[keep]
+
+
+def _places(q: np.ndarray) -> np.ndarray:
+    """The place of each element in its run of equal ones."""
+    starts = np.flatnonzero(np.append(True, q[1:] != q[:-1]))
+    return np.arange(len(q)) - np.repeat(starts, np.diff(np.append(starts, len(q))))
+
+
 def _search_cell(nearest: int):
     """Rank the vectors of each block against the queries that visit it, and keep each query's best of the cell."""
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        schema = pa.schema([("query", pa.int64()), ("best", pa.list_(pa.struct([("score", pa.float64()), ("rep", pa.int64())])))])
+        schema = pa.schema([("query", pa.int64()), ("best", pa.list_(pa.struct([("loss", pa.float64()), ("first", pa.int64()), ("rep", pa.int64())])))])
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
         vectors = _matrix(left.column("vec").combine_chunks())
         reps = left.column("rep").to_numpy()
+        first = left.column("first").to_numpy()
         blocks = left.column("block").to_numpy()
         asked = _matrix(right.column("vec").combine_chunks())
         names = right.column("query").to_numpy()
@@ -173,26 +206,24 @@ def _search_cell(nearest: int):
         for block in np.intersect1d(blocks, visits):
             rows = order[np.searchsorted(blocks, block) : np.searchsorted(blocks, block, "right")]
             ask = who[np.searchsorted(visits, block) : np.searchsorted(visits, block, "right")]
-            at = best_of(asked[ask] @ vectors[rows].T, nearest + 4)
-            pick = rows[at.ravel()]
-            q = np.repeat(ask, at.shape[1])
-            q_all.append(q)
-            r_all.append(pick)
-            s_all.append((asked[q] * vectors[pick]).sum(axis=1))
+            for q, pick, s in _block_best(asked[ask], vectors[rows], first[rows], reps[rows], nearest + 1):
+                q_all.append(ask[q])
+                r_all.append(rows[pick])
+                s_all.append(s)
         if not q_all:
             return schema.empty_table()
-        q, r, s = np.concatenate(q_all), reps[np.concatenate(r_all)], np.concatenate(s_all)
-        order = np.lexsort((r, -s, q))
-        q, r, s = q[order], r[order], s[order]
+        q, at, s = np.concatenate(q_all), np.concatenate(r_all), np.concatenate(s_all)
+        r, f = reps[at], first[at]
+        order = np.lexsort((r, f, -s, q))
+        q, r, f, s = q[order], r[order], f[order], s[order]
         new = np.append(True, (q[1:] != q[:-1]) | (r[1:] != r[:-1]))  # a vector found in several tables
-        q, r, s = q[new], r[new], s[new]
-        starts = np.flatnonzero(np.append(True, q[1:] != q[:-1]))
-        place = np.arange(len(q)) - np.repeat(starts, np.diff(np.append(starts, len(q))))
-        keep = place <= nearest
-        q, r, s = q[keep], r[keep], s[keep]
+        q, r, f, s = q[new], r[new], f[new], s[new]
+        keep = _places(q) <= nearest
+        q, r, f, s = q[keep], r[keep], f[keep], s[keep]
         starts = np.flatnonzero(np.append(True, q[1:] != q[:-1]))
         lists = pa.ListArray.from_arrays(
-            np.append(starts, len(q)).astype(np.int32), pa.StructArray.from_arrays([pa.array(s), pa.array(r)], ["score", "rep"])
+            np.append(starts, len(q)).astype(np.int32),
+            pa.StructArray.from_arrays([pa.array(0.0 - s), pa.array(f), pa.array(r)], ["loss", "first", "rep"]),
         )
         return pa.Table.from_arrays([pa.array(names[q[starts]]), lists], ["query", "best"])
 
@@ -226,19 +257,19 @@ def search(df: DataFrame, queries: Column, key: str = "vec_id", vector: str = "e
     cells = int(max(CELLS, total * TABLES // CELL_ROWS))
     cell = F.pmod(F.xxhash64("block"), F.lit(cells)).alias("cell")
     part = F.pmod(F.xxhash64("rep"), "parts")
-    left = indexed.join(sizes, "bucket").select("rep", "vec", F.xxhash64("bucket", part).alias("block")).select("*", cell)
+    left = indexed.join(sizes, "bucket").select("rep", "first", "vec", F.xxhash64("bucket", part).alias("block")).select("*", cell)
     visits = _probes(asked.select("query", "vec"), index).join(sizes, "bucket")
     part = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)).alias("part")
     visits = visits.select("query", "bucket", part).select("query", F.xxhash64("bucket", "part").alias("block")).select("*", cell)
     visits = visits.groupBy("query", "cell").agg(F.collect_list("block").alias("blocks"))
     right = visits.join(asked.select("query", "vec"), "query")
     found = left.groupBy("cell").cogroup(right.groupBy("cell")).applyInArrow(
-        _search_cell(nearest), "query long, best array<struct<score:double,rep:long>>"
+        _search_cell(nearest), "query long, best array<struct<loss:double,first:long,rep:long>>"
     )
     # At most (nearest + 1) entries from each cell a query visits.
     merged = found.groupBy("query").agg(F.array_distinct(F.flatten(F.collect_list("best"))).alias("best"))
-    merged = merged.select("query", F.slice(F.sort_array("best", asc=False), 1, nearest + 1).alias("best"))
-    each = merged.select("query", F.explode("best").alias("b")).select("query", "b.score", "b.rep")
+    merged = merged.select("query", F.slice(F.sort_array("best"), 1, nearest + 1).alias("best"))
+    each = merged.select("query", F.explode("best").alias("b")).select("query", (F.lit(0.0) - F.col("b.loss")).alias("score"), "b.rep")
     each = each.join(vectors.select("rep", "ids"), "rep").join(asked.select("query", F.col("id").alias("query_id")), "query")
     each = each.select("query", "query_id", "score", F.explode("ids").alias("vec_id")).filter("vec_id <> query_id")
     by = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
