@@ -84,3 +84,22 @@ def test_no_python_in_the_plan(spark):
 def test_ancestors(spark):
     got = spark.range(1).select(L.ancestors(F.lit("a/b/c")), L.ancestors(F.lit(""))).first()
     assert got[0] == ["", "a", "a/b", "a/b/c"] and got[1] == [""]
+
+
+def test_headers_that_are_no_template(spark):
+    want = {
+        "SPDX-License-Identifier: MIT": "MIT", "// SPDX-License-Identifier: Apache-2.0": "Apache-2.0",
+        "/* SPDX-License-Identifier: GPL-2.0-only WITH Linux-syscall-note */": "GPL-2.0-only WITH Linux-syscall-note",
+        "# SPDX-License-Identifier: (MIT OR Apache-2.0)": "(MIT OR Apache-2.0)", "SPDX-License-Identifier: Made-Up-9.9": None,
+        "MIT License": "MIT", "Apache License": "Apache-2.0", "Licensed under the MIT license": "MIT", "ISC License": "ISC",
+        "This software is released under the MIT License, see LICENSE.txt.": "MIT", "BSD 2-Clause License": "BSD-2-Clause",
+        "Licensed under the GNU Lesser General Public License, version 3.": "LGPL-3.0", "The Unlicense": "Unlicense",
+        "Licensed under the GNU General Public License, version 2.": "GPL-2.0", "Released under GPLv3.": "GPL-3.0",
+        "GNU Affero General Public License v3.0 or later": "AGPL-3.0", "Licensed under the GNU LGPL v2.1": "LGPL-2.1",
+        "Licensed under the Apache License, Version 2.0 (the \"License\");": "Apache-2.0", "The licence of the town ran out": None,
+        "A driver under MIT License law was here": None, "isc": None, "the mit": None,
+    }
+    rows = [(f"d{i}/x.py", f"import os\n{line}\nwords of a body") for i, line in enumerate(want)]
+    got = {r.path: r for r in L.scan(spark.createDataFrame(rows, "path string, text string")).collect()}
+    assert {line: got[f"d{i}/x.py"].own_licence for i, line in enumerate(want)} == want
+    assert not got["d0/x.py"].licence_file

@@ -6,6 +6,9 @@ template is taken in the space of all words; document frequencies come from all
 outside the templates weighs as much as one that no file has.  The best template at ``HEADER`` or more is the
 file's own licence.
 
+A line that is nothing but an SPDX tag, a licence's title or a sentence that puts something under a licence (``NOTICES``) is exact and
+scores 1; it counts as its file's header, not towards ``FILE``.  An SPDX expression is kept whole; one with an unknown name is no notice.
+
 A file is a licence file if it is named like one, or if its whole text reaches ``FILE``.  Any other file without a
 licence of its own takes that of its nearest ancestor directory with a licence file (found by joining directories with the paths
 of their ancestors; several licence files: highest score, then first name).
@@ -51,6 +54,52 @@ LICENCE_FILE = r"(?i)^(licen[sc]e|copying|unlicen[sc]e)([._-].*)?$"
 HEADER = 0.7
 FILE = 0.6
 
+_V2, _V21, _V3 = (rf",?[ ](?:version[ ]|v\.?[ ]?)?{v}(?:[ ]only|[ ]or[ ](?:any[ ])?later(?:[ ]versions?)?)?" for v in (r"2(?:\.0)?", r"2\.1", r"3(?:\.0)?"))
+_GPL = r"(?:(?:gnu[ ])?general[ ]public[ ]licen[sc]e|gnu[ ]gpl|gpl)"
+_LGPL = r"(?:(?:gnu[ ])?(?:lesser|library)[ ]general[ ]public[ ]licen[sc]e|gnu[ ]lgpl|lgpl)"
+_AGPL = r"(?:(?:gnu[ ])?affero[ ]general[ ]public[ ]licen[sc]e|gnu[ ]agpl|agpl)"
+_CC = r"(?:creative[ ]commons|cc)"
+_CC4 = r"[ -](?:4\.0)(?:[ ]international)?(?:[ ](?:public[ ])?licen[sc]e)?"
+#: Names that licences go by, as patterns in lower case.  A name that is a title has to hold the word licence.
+NOTICES = (
+    ("MIT", r"(?:mit|expat)(?:[ ]licen[sc]e)?(?:[ ]\(mit\))?"),
+    ("Apache-2.0", r"apache(?:[ ]software)?[ ]licen[sc]e(?:,?[ ](?:version[ ]|v\.?[ ]?)?2(?:\.0)?)?|apache[ -]2(?:\.0)?(?:[ ]licen[sc]e)?"),
+    ("GPL-2.0", _GPL + _V2 + r"|gpl-?v?2(?:\.0)?(?:[ ]licen[sc]e)?"),
+    ("GPL-3.0", _GPL + _V3 + r"|gpl-?v?3(?:\.0)?(?:[ ]licen[sc]e)?"),
+    ("LGPL-2.0", _LGPL + _V2 + r"|lgpl-?v?2(?:\.0)?(?:[ ]licen[sc]e)?"),
+    ("LGPL-2.1", _LGPL + _V21 + r"|lgpl-?v?2\.1(?:[ ]licen[sc]e)?"),
+    ("LGPL-3.0", _LGPL + _V3 + r"|lgpl-?v?3(?:\.0)?(?:[ ]licen[sc]e)?"),
+    ("AGPL-3.0", _AGPL + _V3 + r"|agpl-?v?3(?:\.0)?(?:[ ]licen[sc]e)?"),
+    ("BSD-2-Clause", r"(?:bsd[ -]2[ -]clause|2[ -]clause[ ]bsd|simplified[ ]bsd|freebsd)(?:[ ]licen[sc]e)?"),
+    ("BSD-3-Clause", r"(?:bsd[ -]3[ -]clause|3[ -]clause[ ]bsd|(?:new|modified|revised)[ ]bsd)(?:[ ]licen[sc]e)?"),
+    ("ISC", r"isc(?:[ ]licen[sc]e)?"),
+    ("Unlicense", r"unlicen[sc]e"),
+    ("MPL-2.0", r"(?:mozilla[ ]public[ ]licen[sc]e|mpl)(?:,?[ -](?:version[ ]|v\.?[ ]?)?2\.0)"),
+    ("EPL-2.0", r"(?:eclipse[ ]public[ ]licen[sc]e|epl)(?:,?[ -](?:version[ ]|v\.?[ ]?)?2\.0)"),
+    ("BSL-1.0", r"boost[ ]software[ ]licen[sc]e(?:,?[ -](?:version[ ]|v\.?[ ]?)?1\.0)?"),
+    ("Zlib", r"zlib(?:[ ]licen[sc]e)?"),
+    ("CC-BY-4.0", _CC + r"[ -](?:by|attribution)" + _CC4),
+    ("CC-BY-SA-4.0", _CC + r"[ -](?:by-sa|attribution-sharealike)" + _CC4),
+    ("CC-BY-NC-4.0", _CC + r"[ -](?:by-nc|attribution-noncommercial)" + _CC4),
+    ("CC0-1.0", r"(?:creative[ ]commons[ ])?cc0(?:[ -]1\.0)?(?:[ ]universal)?(?:[ ]licen[sc]e)?"),
+)
+NOTICE_CUE = "licen[sc]|spdx|(?:released|distributed|available) under"
+_MARKS = r"[ \t\r#*/;%<!>()\"'-]*"
+_UNDER = (
+    r"(?:(?:this|the)[ ][a-z ]{2,40}[ ]is[ ]|all[ ]code[ ]is[ ])?"
+    r"(?:(?:dual[- ])?licen[sc]ed|released|distributed|(?:made[ ])?available|subject[ ]to[ ]the[ ]terms[ ]of|provided)(?:[ ]under)?[ ](?:the[ ]terms[ ]of[ ])?(?:the[ ])?"
+)
+_REST = r"(?:[ ]\(the[ ]\"licen[sc]e\"\))?(?:[.,;]?[ ]\(?(?:see|as[ ]found[ ]in|which[ ]can[ ]be[ ]found[ ]in|found[ ]in)[ ].{1,100})?"
+_TAG = rf"^{_MARKS}spdx-license-identifier:[ \t]*([a-z0-9.+() -]+?)[ \t\r*/>-]*$"
+#: SPDX names in their own spelling; operators stay as they are.
+SPDX = (
+    "MIT", "MIT-0", "Apache-1.1", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "0BSD", "ISC", "Unlicense", "Zlib", "BSL-1.0", "MPL-1.1", "MPL-2.0", "EPL-1.0",
+    "EPL-2.0", "WTFPL", "Artistic-2.0", "PSF-2.0", "Python-2.0", "PostgreSQL", "NCSA", "MS-PL", "EUPL-1.2", "CDDL-1.0", "CC0-1.0", "OFL-1.1",
+    *(f"{g}{end}" for g in ("GPL-2.0", "GPL-3.0", "LGPL-2.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0") for end in ("", "+", "-only", "-or-later")),
+    *(f"CC-BY{part}-{v}" for part in ("", "-SA", "-NC", "-ND", "-NC-SA", "-NC-ND") for v in ("3.0", "4.0")),
+    "AND", "OR", "WITH", "Classpath-exception-2.0", "LLVM-exception", "GCC-exception-3.1", "Linux-syscall-note",
+)
+
 
 def template_terms() -> list[Counter]:
     """Term counts of each template."""
@@ -94,6 +143,23 @@ def _units(files: DataFrame) -> DataFrame:
     return cue.select("a", "b", F.posexplode(every).alias("unit", "text"))
 
 
+def notices(files: DataFrame) -> DataFrame:
+    """``(a, b, licence)`` of the lines that are a notice and nothing else."""
+    lines = files.filter(F.regexp_like("low", F.lit(NOTICE_CUE))).select("a", "b", F.explode(F.split("low", "\n")).alias("line"))
+    lines = lines.filter(F.regexp_like("line", F.lit(NOTICE_CUE))).distinct()
+    named = []
+    for name, pattern in NOTICES:
+        title = rf"^{_MARKS}(?=.*licen[sc]e)(?:the[ ])?(?:{pattern})[ .]*{_MARKS}$"
+        under = rf"^{_MARKS}{_UNDER}(?:{pattern})(?:[ ]licen[sc]e)?{_REST}[ .]*{_MARKS}$"
+        named.append(F.when(F.regexp_like("line", F.lit(title)) | F.regexp_like("line", F.lit(under)), F.lit(name)))
+    spelling = F.create_map(*[F.lit(x) for n in SPDX for x in (n.lower(), n)])
+    words = F.filter(F.split(F.regexp_replace(F.regexp_extract("line", _TAG, 1), r"([()])", r" $1 "), " +"), lambda x: x != "")
+    words = F.transform(words, lambda x: F.when(x.isin("(", ")"), x).otherwise(F.element_at(spelling, x)))
+    tag = F.when(~F.exists(words, lambda x: x.isNull()) & (F.size(words) > 0), F.array_join(words, " "))
+    tag = F.regexp_replace(F.regexp_replace(tag, r"\( ", "("), r" \)", ")")
+    return lines.select("a", "b", F.coalesce(tag, *named).alias("licence")).filter("licence IS NOT NULL")
+
+
 def scores(files: DataFrame) -> DataFrame:
     """``(a, b, licence, score, whole)``: best template of any unit, and the whole text's best score."""
     idf, unseen = inverse_frequencies(files)
@@ -118,6 +184,8 @@ def scores(files: DataFrame) -> DataFrame:
         )
     )
     found = sums.select("a", "b", "unit", best.alias("best"))
+    exact = F.struct(F.lit(1.0).alias("score"), "licence").alias("best")
+    found = found.unionByName(notices(files).select("a", "b", F.lit(-1).alias("unit"), exact))
     whole = F.max(F.when(F.col("unit") == 0, F.col("best.score")))
     return found.groupBy("a", "b").agg(F.max("best").alias("best"), whole.alias("whole")).select(
         "a", "b", "best.licence", "best.score", "whole"
