@@ -67,7 +67,8 @@ def _optional(module: str):
 
 
 llm_queries = _optional("tokenloom.llm.queries")
-corpus_pipeline = _optional("corpus_pipeline")
+# Its stages are operators of the subpackage, so it is there only with it.
+corpus_pipeline = _optional("corpus_pipeline") if llm_queries else None
 
 
 # --- inputs -----------------------------------------------------------------
