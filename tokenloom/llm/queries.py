@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import ann, bpe, importance, licenses, mixing, near, pii, rules, substrings, toxicity, whitening
+from tokenloom.llm import ann, bpe, importance, licenses, mixing, near, pii, repair, rules, substrings, toxicity, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -90,6 +90,11 @@ def op10_quality_rules(spark, sf):
     return rules.measure(_table(spark, sf, "documents"))
 
 
+@query
+def op11_conversation_repair(spark, sf):
+    return repair.audit(_table(spark, sf, "conversations"), damaged=True)
+
+
 @query
 def op12_whitening(spark, sf):
     # A sum that is beyond a long raises; the operator has it as a decimal.
