@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tokenloom.llm import ann, bpe, importance, licenses, mixing, near, pii, repair, rules, substrings, toxicity, whitening
+from tokenloom.llm import ann, bpe, html, importance, licenses, mixing, near, pii, repair, rules, substrings, toxicity, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -101,6 +101,11 @@ def op12_whitening(spark, sf):
     return whitening.whiten(_table(spark, sf, "embeddings")).withColumn("deviation", F.col("deviation").cast("long"))
 
 
+@query
+def op13_html_extraction(spark, sf):
+    return html.extract(_table(spark, sf, "pages"))
+
+
 SQL: dict[str, str] = {}
 
 SQL["op4_substring_dedup"] = r"""
