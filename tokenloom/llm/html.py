@@ -5,7 +5,7 @@
 2. A block is a vector: the sum of learned vectors of its path (hashed tag names and words of class, id and role), the mean of learned vectors of
    its hashed words, and a few measures.  A bidirectional LSTM reads all blocks of a page and labels each one, so a block is judged by the
    whole page around it, whatever its length.  The text is that of the blocks labelled main, in page order.
-3. The labeller is trained here by back-propagation, on a sample of at most ``SAMPLE`` pages of at most ``LONGEST`` characters.  Their blocks are labelled by the
+3. The labeller is trained here by back-propagation, on a sample of at most ``SAMPLE`` different pages of at most ``LONGEST`` characters.  Their blocks are labelled by the
    elements that say what they are (``article``, ``nav`` ...); each page is also laid out anew ``LAYOUTS`` times, with other elements and class names
    around its text and with menus, notices, adverts, forms, sidebars and reader comments from texts of other pages, so that the labeller does
    not rest on one way of writing pages.
@@ -525,12 +525,18 @@ def training_pages(pages: Sequence[str], layouts: int = LAYOUTS, seed: int = 7)
 
 
 def fit(df: DataFrame, page: str = "html", key: Sequence[str] = ("page_id", "url"), seed: int = 7) -> Weights:
-    """Train on the first ``SAMPLE`` pages in the order of a hash of ``key`` (one job; pages over ``LONGEST`` characters are not used)."""
+    """Train on the first ``SAMPLE`` pages in the order of a hash of ``key`` (pages over ``LONGEST`` characters are not used).
+
+    Two jobs: the hashes of the sample, then its pages, so that no task sends more pages than are used.
+    """
     text = column(page)
-    order = [F.xxhash64(*[column(k) for k in key]), F.xxhash64(text)]
-    rows = df.select(text.alias("page"), *[o.alias(f"o{i}") for i, o in enumerate(order)]).filter(F.length("page").between(1, LONGEST))
-    sample = [r.page for r in rows.orderBy("o0", "o1").limit(SAMPLE).collect()]
-    return train(training_pages(sample, seed=seed), seed)
+    rows = df.select(text.alias("page"), F.xxhash64(*[column(k) for k in key], text).alias("place"))
+    rows = rows.filter(F.length("page").between(1, LONGEST))
+    places = [r.place for r in rows.select("place").distinct().orderBy("place").limit(SAMPLE).collect()]
+    if not places:
+        return train([], seed)
+    found = rows.filter(F.col("place") <= places[-1]).groupBy("place").agg(F.min("page").alias("page")).collect()
+    return train(training_pages([r.page for r in sorted(found, key=lambda r: r.place)], seed=seed), seed)
 
 
 def texts_of(w: Weights, pages: Sequence[str | None]) -> Iterator[str]:
