@@ -145,8 +145,8 @@ def instructions(spark, sf):
 
 @query
 def instructions_with_gaps(spark, sf):
-    turns = _table(spark, sf, "conversations").filter(F.length("text") % 3 != 0)
-    return tables.from_conversations(turns)
+    """Turn numbers that are not consecutive: seven times as far apart."""
+    return tables.from_conversations(_table(spark, sf, "conversations").withColumn("turn", F.col("turn") * 7), stride=100_000)
 
 
 @query
@@ -156,6 +156,33 @@ def instructions_from_json(spark, sf):
     return tables.read_instructions(spark, path, lines=True)
 
 
+@query
+def instructions_from_array(spark, sf):
+    """One array in one file, read in two dozen byte ranges; every text holds quotes, escapes and braces."""
+    path = _folder(spark, "array")
+    hard = F.concat("instruction", F.lit(' "}{\\" [{"a": "\\\\"}], \n}'))
+    rows = _instructions(spark, sf).select("id", F.to_json(F.struct(hard.alias("instruction"), "input", "output")).alias("value"))
+    rows = batches.with_ordinal(stage(rows, "instructions"), ["id"])
+    mark = F.when(F.col("ordinal") == 0, "[").otherwise(",")
+    ends = spark.createDataFrame([(1 << 60, "]")], "ordinal LONG, value STRING")
+    lines = rows.select("ordinal", F.concat(mark, "value").alias("value")).unionByName(ends)
+    lines.repartition(1).sortWithinPartitions("ordinal").select("value").write.text(path)
+    size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0]
+    return tables.read_instructions(spark, path, range_bytes=-(-size // 24)).drop("file")
+
+
+@query
+def text_splits(spark, sf):
+    """Plain text files, one folder for each split: both splits by name, and their words."""
+    path = _folder(spark, "splits")
+    lines = _documents(spark, sf).select("doc_id", F.explode(F.split("text", "\n")).alias("value"))
+    lines.filter("doc_id % 10 = 0").select("value").write.text(f"{path}/split=validation")
+    lines.filter("doc_id % 10 <> 0").select("value").write.text(f"{path}/split=train")
+    both = [tables.read_text(spark, path, s, plain=True).select("text", F.lit(s).alias("split")) for s in ("train", "validation")]
+    every = both[0].unionByName(both[1])
+    return every.groupBy("split", "text").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def text_corpus(spark, sf):
     return tables.read_text(spark, f"{sf}/documents.parquet").select("doc_id", "text")
@@ -166,8 +193,8 @@ def labelled_text(spark, sf):
     return tables.read_labelled(spark, f"{sf}/documents.parquet", f"{sf}/labels.parquet")
 
 
-@query
-def packed_written(spark, sf):
+def _written(spark: SparkSession, sf: str) -> DataFrame:
+    """Both splits of the documents, packed, written and read again."""
     path = _folder(spark, "packed")
     both = splits.assign_split(_documents(spark, sf), "doc_id", HELD_OUT, SEED)
     v = _vocab(spark, sf)
@@ -176,7 +203,13 @@ def packed_written(spark, sf):
         for s in ("train", "eval")
     ]
     sinks.write_packed(parts[0].unionByName(parts[1]), path)
-    return sinks.read_packed(spark, path, "eval").select("seq_id", _joined("input_ids").alias("input_ids"))
+    read = [sinks.read_packed(spark, path, s).withColumn("split", F.lit(s)) for s in ("train", "eval")]
+    return read[0].unionByName(read[1])
+
+
+@query
+def packed_written(spark, sf):
+    return _written(spark, sf).select("split", "seq_id", _joined("labels").alias("labels"))
 
 
 @query
@@ -197,16 +230,7 @@ def resume_plan(spark, sf):
 
 @query
 def packed_both_splits(spark, sf):
-    path = _folder(spark, "packed")
-    both = splits.assign_split(_documents(spark, sf), "doc_id", HELD_OUT, SEED)
-    v = _vocab(spark, sf)
-    parts = [
-        flows.pack_corpus(both.filter(F.col("split") == s), v, ["doc_id"], length=LONG).withColumn("split", F.lit(s))
-        for s in ("train", "eval")
-    ]
-    sinks.write_packed(parts[0].unionByName(parts[1]), path)
-    read = [sinks.read_packed(spark, path, s).withColumn("split", F.lit(s)) for s in ("train", "eval")]
-    return read[0].unionByName(read[1]).select("split", "seq_id", _joined("input_ids").alias("input_ids"))
+    return _written(spark, sf).select("split", "seq_id", _joined("input_ids").alias("input_ids"))
 
 
 @query
@@ -356,6 +380,20 @@ def encode(spark, sf):
     return ids.select("doc_id", _joined("input_ids").alias("input_ids"))
 
 
+@query
+def encode_large_vocab(spark, sf):
+    """As ``encode``, with no vocabulary small enough for a broadcast."""
+    ids = tokenize.encode(_documents(spark, sf), _vocab(spark, sf), ["doc_id"], specials=SPECIALS, limit=0)
+    return ids.select("doc_id", _joined("input_ids").alias("input_ids"))
+
+
+@query
+def decode_large_vocab(spark, sf):
+    """As ``decode``; the most frequent tokens are broadcast, the others looked up by range."""
+    v, ids = _encoded(spark, sf)
+    return tokenize.decode(ids, v, ["doc_id"], limit=100_000)
+
+
 @query
 def encode_unknown(spark, sf):
     ids = tokenize.encode(_table(spark, sf, "benchmark"), _vocab(spark, sf), ["item_id"], specials=SPECIALS)
@@ -550,6 +588,12 @@ def pack_overlap(spark, sf):
     return rows.select("seq_id", _joined("input_ids").alias("input_ids"), _joined("labels").alias("labels"))
 
 
+@query
+def pack_overlap_large_vocab(spark, sf):
+    rows = flows.pack_corpus(_documents(spark, sf), _vocab(spark, sf), ["doc_id"], packing.pack_overlap, length=LONG, limit=0)
+    return rows.select("seq_id", _joined("input_ids").alias("input_ids"), _joined("labels").alias("labels"))
+
+
 @query
 def pack_constant_length(spark, sf):
     rows = flows.pack_instructions(_instructions(spark, sf), SHORT, packer=packing.pack_constant_length)

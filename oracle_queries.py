@@ -178,17 +178,6 @@ def build() -> dict[str, str]:
     sql["text_corpus"] = "SELECT doc_id, text FROM documents"
     sql["labelled_text"] = "SELECT doc_id, quality AS label, text FROM documents JOIN labels USING (doc_id)"
     by_split = f"({split_docs()})"
-    sql["packed_written"] = (
-        "WITH "
-        + ",\n".join(
-            [
-                vocabulary(DOCS),
-                encoded(f"SELECT doc_id AS key, text FROM {by_split} WHERE split = 'eval'"),
-                stream(f"SELECT doc_id AS key FROM {by_split} WHERE split = 'eval'"),
-            ]
-        )
-        + f"\nSELECT seq_id, input_ids FROM ({overlap(128)})"
-    )
     sql["packed_both_splits"] = " UNION ALL ".join(
         f"SELECT '{s}' AS split, seq_id, input_ids FROM (WITH "
         + ",\n".join(
@@ -201,8 +190,19 @@ def build() -> dict[str, str]:
         + f"\nSELECT seq_id, input_ids FROM ({overlap(128)}))"
         for s in ("train", "eval")
     )
-    kept = "(SELECT * FROM conversations WHERE length(text) % 3 <> 0)"
-    sql["instructions_with_gaps"] = f"WITH {INSTRUCTIONS.replace('conversations', kept)} SELECT * FROM ins"
+    sql["packed_written"] = sql["packed_both_splits"].replace("SELECT seq_id, input_ids FROM", "SELECT seq_id, labels FROM").replace(
+        "AS split, seq_id, input_ids", "AS split, seq_id, labels"
+    )
+    apart = INSTRUCTIONS.replace("conv_id * 1000 + turn", "conv_id * 100000 + turn * 7")
+    sql["instructions_with_gaps"] = f"WITH {apart} SELECT * FROM ins"
+    sql["instructions_from_array"] = ins + (
+        "SELECT row_number() OVER (ORDER BY id) - 1 AS id, "
+        "instruction || ' \"}{\\\" [{\"a\": \"\\\\\"}], ' || chr(10) || '}' AS instruction, input, output FROM ins"
+    )
+    sql["text_splits"] = (
+        "SELECT split, text, count(*) AS n FROM (SELECT CASE WHEN doc_id % 10 = 0 THEN 'validation' ELSE 'train' END AS split, "
+        "unnest(string_split(text, chr(10))) AS text FROM documents) GROUP BY split, text"
+    )
     sql["order_by_timestamp"] = (
         "SELECT l_orderkey, l_linenumber, "
         "row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber) - 1 AS ordinal FROM lineitem"
@@ -262,6 +262,8 @@ def build() -> dict[str, str]:
         "FROM documents, range(3) r(e)"
     )
 
+    sql["decode_large_vocab"] = "SELECT doc_id, text FROM documents"
+    sql["encode_large_vocab"] = docs_with(lists()) + f"SELECT doc_id, {text_of('l')} AS input_ids FROM ids"
     vocab = "WITH " + vocabulary(DOCS) + "\n"
     sql["build_vocab"] = vocab + "SELECT id, token, special FROM vocab"
     sql["vocab_sizes"] = vocab + (
@@ -357,6 +359,7 @@ SELECT doc_id, {text_of("coalesce(l, [])")} AS input_ids FROM documents LEFT JOI
     sql["pack_disjoint"] = docs_with(stream(keys, bos=True)) + disjoint(128)
     sql["pack_disjoint_plain"] = docs_with(stream(keys, eos=False)) + disjoint(15)
     sql["pack_overlap"] = docs_with(stream(keys)) + overlap(128)
+    sql["pack_overlap_large_vocab"] = sql["pack_overlap"]
     prompts = f"SELECT id AS key, {prompt()} || output AS text FROM ins"
     sql["pack_constant_length"] = (
         "WITH "

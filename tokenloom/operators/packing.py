@@ -33,12 +33,20 @@ class StreamLayout:
 
     def partition(self, df: DataFrame) -> DataFrame:
         """Rows by key range, head rows twice (one shuffle)."""
+        return self.deal(self.place(df))
+
+    def place(self, df: DataFrame) -> DataFrame:
+        """Rows with their key range, head rows twice."""
         placed = df.withColumn(BUCKET, self.ranges.column())
         if self.ranges.buckets > 1:
             head = F.get(self.ranges.literal(self.heads), F.col(BUCKET))
             shared = (F.col(BUCKET) > 0) & (self.ranges.key() <= head)
             homes = F.when(shared, F.array(F.col(BUCKET), F.col(BUCKET) - 1)).otherwise(F.array(BUCKET))
             placed = placed.withColumn(BUCKET, F.explode(homes))
+        return placed
+
+    def deal(self, placed: DataFrame) -> DataFrame:
+        """Each key range in a partition of its own (one shuffle)."""
         return placed.repartitionById(self.ranges.buckets, F.col(BUCKET))
 
     def start(self) -> Column:
@@ -93,15 +101,15 @@ def chunk_stream(
     stride: int,
     ids: str = "input_ids",
     sizes: DataFrame | None = None,
-    encoder: Callable[[DataFrame], DataFrame] | None = None,
+    encoder: Callable[[DataFrame, Callable], DataFrame] | None = None,
     buckets: int | None = None,
 ) -> DataFrame:
     """``(seq_id, tokens)``: every chunk of the stream, the last ones possibly short.
 
     Chunk ``k`` covers offsets ``[k*stride, k*stride + chunk)``.  ``sizes`` may name a
     cheaper plan with the order columns and ``n``, the length of each sequence.  With
-    ``encoder``, ``df`` need not have the ids yet: ``encoder`` adds ``ids`` to the
-    partitioned rows and keeps the order columns and the bucket.
+    ``encoder``, ``df`` need not have the ids yet: ``encoder`` is given the rows with their bucket and the function
+    that partitions by it; it returns partitioned rows with ``ids``, the order columns and the bucket.
     """
     if sizes is None:
         sizes = df.select(*order_by, F.size(ids).alias("n"))
@@ -109,7 +117,7 @@ def chunk_stream(
     if encoder is None:
         rows = layout.partition(df.select(*order_by, F.col(ids).alias("ids")))
     else:
-        rows = encoder(layout.partition(df))
+        rows = encoder(layout.place(df), layout.deal)
     before = Window.partitionBy(BUCKET).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
     placed = (
         rows.withColumn("n", F.size("ids").cast("long"))

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.functions.tokens import split_tokens
-from tokenloom.operators.lookup import lookup
+from tokenloom.operators.lookup import BROADCAST_BYTES, fits_broadcast, head_of, lookup, range_lookup
 from tokenloom.operators.vocab import token_id
 
 UNK = "<unk>"
+RANGE = "range"
 
 
 def token_lengths(df: DataFrame, text: str = "text", specials: Sequence[str] = ()) -> DataFrame:
@@ -31,22 +32,70 @@ def encode(
     laid_out: bool = False,
     small: bool | None = None,
     unk_id: int | None = None,
+    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``(key, keep, out)``: the ids of each text; a token without an id gets that of ``unk``.
 
     ``key`` identifies a row.  Rows are moved once, as text, before the tokens are
-    spread out; with a broadcast vocabulary the ids are then put together where they
-    are.  Pass ``laid_out=True`` if the frame is already partitioned by some of the
-    ``key`` and ``keep`` columns.  ``small`` and ``unk_id`` save looking them up again.
+    spread out, and the ids are put together where they are.  A vocabulary of at most ``limit`` bytes is
+    broadcast; of a larger one the most frequent tokens are, and the others are looked up as in
+    :func:`encode_in_ranges`.  Pass ``laid_out=True`` if the frame is already partitioned by some of the
+    ``key`` and ``keep`` columns and the vocabulary is small.  ``small`` and ``unk_id`` save looking them up again.
     """
     columns = [*key, *keep]
+    table = vocab.select("token", F.col("id").alias("token_id"))
+    unk_id = token_id(vocab, unk) if unk_id is None else unk_id
+    if small is None:
+        small = fits_broadcast(table, limit)
     rows = df.select(*columns, text)
+    if not small:
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        placed = rows.withColumn(RANGE, F.pmod(F.xxhash64(*key), F.lit(parts)).cast("int"))
+        deal = lambda d: d.repartition(parts, RANGE)
+        return encode_in_ranges(placed, vocab, columns, RANGE, deal, text, specials, unk_id, out, limit)
     if not laid_out:
         rows = rows.repartition(*key)
-    tokens = rows.select(*columns, F.posexplode_outer(split_tokens(text, specials)).alias("pos", "token"))
-    named = lookup(tokens, vocab.select("token", F.col("id").alias("token_id")), "token", small)
-    if unk_id is None:
-        unk_id = token_id(vocab, unk)
+    named = lookup(_tokens(columns, text, specials)(rows), table, "token", small)
+    return _collected(named, columns, unk_id, out)
+
+
+def encode_in_ranges(
+    placed: DataFrame,
+    vocab: DataFrame,
+    columns: Sequence[str],
+    by: str,
+    deal: Callable[[DataFrame], DataFrame],
+    text: str,
+    specials: Sequence[str],
+    unk_id: int,
+    out: str = "input_ids",
+    limit: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """:func:`encode` of rows with a range number ``by``, for a vocabulary of any size.
+
+    The texts are shuffled once (by ``deal``) and tokens not at all, see :func:`range_lookup`.
+    """
+    table = vocab.select("token", F.col("id").alias("token_id"))
+    every = list(dict.fromkeys([*columns, by]))
+    named = range_lookup(
+        placed.select(*every, text), _tokens(every, text, specials), table, "token", "token_id", by, deal,
+        head_of(table, "token_id", limit),
+    )
+    return _collected(named, every, unk_id, out).select(*columns, out)
+
+
+def _tokens(columns: Sequence[str], text: str, specials: Sequence[str]) -> Callable[[DataFrame], DataFrame]:
+    """One row for each token; the columns that a lookup adds pass through."""
+
+    def spread(rows: DataFrame) -> DataFrame:
+        more = [c for c in rows.columns if c not in columns and c != text]
+        return rows.select(*columns, *more, F.posexplode_outer(split_tokens(text, specials)).alias("pos", "token"))
+
+    return spread
+
+
+def _collected(named: DataFrame, columns: Sequence[str], unk_id: int, out: str) -> DataFrame:
+    """The ids of a row's tokens in order."""
     # One long per token, position above id: far cheaper to collect and sort than a struct.
     found = F.coalesce("token_id", F.lit(unk_id)).cast("long")
     entry = F.when(F.col("pos").isNotNull(), F.shiftleft(F.col("pos").cast("long"), 32).bitwiseOR(found))
@@ -59,12 +108,12 @@ def encode(
 
 
 def decode_tokens(
-    df: DataFrame, vocab: DataFrame, key: Sequence[str], ids: str = "input_ids"
+    df: DataFrame, vocab: DataFrame, key: Sequence[str], ids: str = "input_ids", limit: int = BROADCAST_BYTES
 ) -> DataFrame:
     """``(key, pos, token_id, token)``: one row per id."""
-    spread = df.select(*key, F.posexplode(ids).alias("pos", "token_id"))
     table = vocab.select(F.col("id").alias("token_id"), "token")
-    return lookup(spread, table, "token_id").select(*key, "pos", "token_id", "token")
+    named = _named(df, table, key, ids, "token", limit, together=False)
+    return named.filter("pos IS NOT NULL").select(*key, "pos", "token_id", "token")
 
 
 def decode(
@@ -74,17 +123,34 @@ def decode(
     ids: str = "input_ids",
     skip_special: bool = False,
     out: str = "text",
+    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """``(key, out)``: the text of each id sequence."""
-    table = vocab.select(F.col("id").alias("token_id"), "token", "special")
-    spread = df.select(*key, ids).repartition(*key)
-    spread = spread.select(*key, F.posexplode_outer(ids).alias("pos", "token_id"))
-    named = lookup(spread, table, "token_id")
-    wanted = F.col("token").isNotNull()
+    """``(key, out)``: the text of each id sequence.  Vocabularies over ``limit`` bytes as in :func:`encode`."""
+    table = vocab.select(F.col("id").alias("token_id"), F.struct("token", "special").alias("entry"))
+    named = _named(df, table, key, ids, "entry", limit)
+    wanted = F.col("entry.token").isNotNull()
     if skip_special:
-        wanted = wanted & ~F.col("special")
+        wanted = wanted & ~F.col("entry.special")
     return (
         named.groupBy(*key)
-        .agg(F.sort_array(F.collect_list(F.when(wanted, F.struct("pos", "token")))).alias("e"))
+        .agg(F.sort_array(F.collect_list(F.when(wanted, F.struct("pos", "entry.token")))).alias("e"))
         .select(*key, F.array_join(F.col("e.token"), "").alias(out))
     )
+
+
+def _named(
+    df: DataFrame, table: DataFrame, key: Sequence[str], ids: str, value: str, limit: int, together: bool = True
+) -> DataFrame:
+    """One row for each id with what the table says of it; ``together`` has the rows of a key in one partition."""
+
+    def spread(rows: DataFrame) -> DataFrame:
+        more = [c for c in rows.columns if c not in key and c != ids]
+        return rows.select(*key, *more, F.posexplode_outer(ids).alias("pos", "token_id"))
+
+    rows = df.select(*key, ids)
+    if fits_broadcast(table, limit):
+        return lookup(spread(rows.repartition(*key) if together else rows), table, "token_id", True)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = rows.withColumn(RANGE, F.pmod(F.xxhash64(*key), F.lit(parts)).cast("int"))
+    head = head_of(table, "token_id", limit)
+    return range_lookup(placed, spread, table, "token_id", value, RANGE, lambda d: d.repartition(parts, RANGE), head)

@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from tokenloom.functions.prompts import prompt_full
 from tokenloom.functions.sequences import with_bos, with_eos
 from tokenloom.operators.bigram import eval_ngram, text_pair_counts
-from tokenloom.operators.lookup import fits_broadcast
+from tokenloom.operators.lookup import BROADCAST_BYTES, fits_broadcast
 from tokenloom.operators.ordering import BUCKET, div
 from tokenloom.operators.packing import pack_overlap
 from tokenloom.operators.splits import SHUFFLE_KEY, assign_split
-from tokenloom.operators.tokenize import encode, token_lengths
+from tokenloom.operators.tokenize import encode, encode_in_ranges, token_lengths
 from tokenloom.operators.vocab import build_vocab, token_ids, vocab_size
 from tokenloom.staging import spread, stage
 
@@ -32,9 +32,10 @@ def pack_corpus(
     specials: Sequence[str] = SPECIALS,
     bos: str | None = None,
     eos: str | None = EOS,
+    limit: int = BROADCAST_BYTES,
     **packer_args,
 ) -> DataFrame:
-    """Encode texts and pack the ids, moving each text once.
+    """Encode texts and pack the ids, moving each text once; a vocabulary over ``limit`` bytes is not broadcast.
 
     The length of every sequence is known from its text alone.  So the lengths are
     staged first (key and one number per row), the stream is laid out from them, and
@@ -43,15 +44,20 @@ def pack_corpus(
     """
     marks = [m for m in (UNK, bos, eos) if m is not None]
     known = token_ids(vocab, marks)
-    small = fits_broadcast(vocab.select("token", "id"))
+    small = fits_broadcast(vocab.select("token", "id"), limit)
     texts = df.select(*order_by, text)
     sizes = token_lengths(spread(texts), text, specials)
     sizes = stage(sizes.select(*order_by, (F.col("n") + len(marks) - 1).alias("n")), "lengths")
 
-    def encoder(rows: DataFrame) -> DataFrame:
-        ids = encode(
-            rows, vocab, order_by, text, specials, [BUCKET], out="ids", laid_out=True, small=small, unk_id=known[UNK]
-        )
+    def encoder(placed: DataFrame, deal: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        if small:
+            ids = encode(
+                deal(placed), vocab, order_by, text, specials, [BUCKET],
+                out="ids", laid_out=True, small=True, unk_id=known[UNK],
+            )
+        else:
+            columns = [*order_by, BUCKET]
+            ids = encode_in_ranges(placed, vocab, columns, BUCKET, deal, text, specials, known[UNK], "ids", limit)
         if bos is not None:
             ids = ids.withColumn("ids", with_bos("ids", known[bos]))
         return ids if eos is None else ids.withColumn("ids", with_eos("ids", known[eos]))

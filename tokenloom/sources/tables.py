@@ -7,34 +7,37 @@ from pyspark.sql import functions as F
 
 from tokenloom.operators.batches import with_ordinal
 from tokenloom.operators.lookup import lookup
+from tokenloom.sources.arrays import read_array
 
 INSTRUCTION_SCHEMA = "instruction STRING, input STRING, output STRING"
 
 
-def read_instructions(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+def read_instructions(spark: SparkSession, path: str, lines: bool = False, range_bytes: int | None = None) -> DataFrame:
     """Instruction rows from JSON: one array per file, or with ``lines`` one object per line.
 
-    A file holding one array cannot be split between tasks; convert it once with
-    :func:`convert_instructions` before working on it at scale.
+    A file holding one array is cut into byte ranges and read by many tasks, see
+    :func:`~tokenloom.sources.arrays.read_array`; its rows have a ``file`` and their position in it as ``id``.
     """
-    return spark.read.schema(INSTRUCTION_SCHEMA).json(path, multiLine=not lines)
+    if lines:
+        return spark.read.schema(INSTRUCTION_SCHEMA).json(path)
+    return read_array(spark, path, INSTRUCTION_SCHEMA, range_bytes)
 
 
 def convert_instructions(spark: SparkSession, path: str, out: str, files: int | None = None) -> DataFrame:
-    """Write a JSON array as splittable parquet, with ``id`` = position in its file, and read it back.
-
-    Positions are those of a single file, which one task reads whole, in order.
-    """
-    rows = read_instructions(spark, path).withColumn("id", F.monotonically_increasing_id())
-    rows.repartition(files or int(spark.conf.get("spark.sql.shuffle.partitions")), "id").write.mode(
+    """Write JSON arrays as splittable parquet, with ``file`` and ``id`` (the position in it), and read it back."""
+    rows = read_instructions(spark, path)
+    rows.repartition(files or int(spark.conf.get("spark.sql.shuffle.partitions")), "file", "id").write.mode(
         "overwrite"
     ).parquet(out)
     return spark.read.parquet(out)
 
 
-def read_text(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
-    """Text rows from parquet or plain text; ``split`` picks one split of a partitioned folder."""
-    df = spark.read.text(path).withColumnRenamed("value", "text") if _is_plain(path) else spark.read.parquet(path)
+def read_text(spark: SparkSession, path: str, split: str | None = None, plain: bool | None = None) -> DataFrame:
+    """Text rows from parquet or plain text (told by the name, or ``plain``); ``split`` reads one split of a partitioned folder alone."""
+    if _is_plain(path) if plain is None else plain:
+        df = spark.read.text(path).withColumnRenamed("value", "text")
+    else:
+        df = spark.read.parquet(path)
     return df if split is None else df.filter(F.col("split") == split)
 
 
