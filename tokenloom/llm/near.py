@@ -9,18 +9,22 @@
   ``aligned / (shingles of a + shingles of b - aligned)``, at least 0.8.
 * Classes are the connected components of verified links.  Equal texts are one node from the start.
 
-Pairs that are linked already, in one component, are never emitted.  Candidates are met in two steps:
+Before two texts are brought together, their signatures are compared: one bit for each cell of a hash table, set if an odd number of
+labelled shingles falls into the cell, so that the bits that differ are at most as many as the shingles that only one of them has.  A
+pair with more than the threshold allows is no link; none is lost.
 
-1. Stars: every member of a bucket meets ``CENTRES`` of its members, those with the smallest ids; links are
-   verified and components joined; a second turn takes centres from outside a bucket's largest component.  A bucket
-   of n copies of one text costs a multiple of n pairs, and a bucket no larger than its centres is done.
-2. Rest: what is left are members of larger buckets outside the largest component.  One can only be linked to a text with
+Pairs that are linked already, in one component, are never emitted.  Candidates are met in three turns:
+
+1. Every member of a bucket meets one centre, the member whose buckets are the largest (as those of a text that the others were copied
+   from are); links are verified and components joined.  A bucket of n copies of one text costs n pairs.
+2. Every member meets ``CENTRES`` members outside the bucket's largest component.  A bucket no larger than its centres is done.
+3. Rest: what is left are members of larger buckets outside the largest component.  One can only be linked to a text with
    which it shares one of its rarest shingles: two texts at the threshold t share at least ``t * size``
    shingles of either, so they share one among the first ``size - t * size + 1`` in any common order.  Members
    whose rare shingles (by a hashed count table of fixed size, which steers the cost only) are in no text of another
-   component are done; the others meet the members of other components, each pair in the first bucket it shares.
-   The worst case is a bucket of many texts that are all alike below the threshold and have no rare
-   shingles: its open pairs are each met once, because dropping one could lose a link.
+   component are done; the others meet the members of other components, signature by signature in blocks of ``BLOCK`` rows, and only
+   pairs that pass are emitted.  The worst case is a bucket of many texts that are all alike below the threshold and have no rare
+   shingles: their signatures are compared in pairs, because dropping one could lose a link.
 
 Edge cases: a null or empty text, or one without words, is a class of its own row; a text
 of fewer than five words is one shingle, so only equal word sequences meet; equal texts are always one class; null
@@ -30,6 +34,7 @@ a row each; an empty table gives an empty one; only the two named columns are re
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from functools import reduce
 
@@ -47,8 +52,11 @@ THRESHOLD = 0.8
 SKETCHES = 14
 TAKEN = 3
 #: The count table that orders shingles: 2 ** COUNT_BITS cells in blocks of 2 ** BLOCK_BITS.
-COUNT_BITS, BLOCK_BITS = 22, 16
+COUNT_BITS, BLOCK_BITS = 20, 16
 CENTRES = 8
+#: Rows of a bucket whose signatures meet at once, and cells of a signature at least and at most.
+BLOCK = 4_096
+LEAST_CELLS, MOST_CELLS = 64, 1 << 13
 
 _MULTIPLIERS = odd_numbers(SHINGLE, 5)
 _WORDS = WordIds()
@@ -87,9 +95,8 @@ def labelled(run: np.ndarray) -> np.ndarray:
     return out
 
 
-def sketches(run: np.ndarray, number: int = SKETCHES, taken: int = TAKEN) -> np.ndarray:
+def sketches(marked: np.ndarray, number: int = SKETCHES, taken: int = TAKEN) -> np.ndarray:
     """``number`` hashes, each of the ``taken`` smallest labelled shingles kept in text order."""
-    marked = labelled(run)
     seeds = odd_numbers(number, 7)
     per = max(1, (1 << 20) // max(len(marked), 1))  # sketches made at once, so that memory stays bounded
     out = np.arange(1, number + 1, dtype=np.uint64)
@@ -103,13 +110,69 @@ def sketches(run: np.ndarray, number: int = SKETCHES, taken: int = TAKEN) -> np.
     return out
 
 
+def signature(marked: np.ndarray) -> bytes:
+    """Parities of the labelled shingles by cell; about a cell for each, a power of two."""
+    cells = 1 << max(LEAST_CELLS - 1, min(MOST_CELLS, len(marked)) - 1).bit_length()
+    odd = np.bincount((marked & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _folded(words: np.ndarray, width: int) -> np.ndarray:
+    """Signatures (rows of 64-bit words) as they would be with fewer cells."""
+    while words.shape[1] > width:
+        half = words.shape[1] // 2
+        words = words[:, :half] ^ words[:, half:]
+    return words
+
+
+def least_common(sizes, threshold: float = THRESHOLD):
+    """How many shingles two texts with so many in all have to share."""
+    return np.ceil(threshold / (1 + threshold) * sizes - 1e-9)
+
+
+def may_be_similar(x: list[bytes], y: list[bytes], x_size: np.ndarray, y_size: np.ndarray, threshold: float = THRESHOLD) -> np.ndarray:
+    """Which pairs of signatures leave enough shingles to be shared."""
+    ok = np.zeros(len(x), bool)
+    widths = np.array([[len(s) for s in x], [len(s) for s in y]]).reshape(2, -1)
+    for pair in np.unique(widths, axis=1).T:
+        at = np.flatnonzero((widths == pair[:, None]).all(axis=0))
+        a, b = (np.frombuffer(b"".join([side[i] for i in at]), np.uint64).reshape(len(at), -1) for side in (x, y))
+        width = min(a.shape[1], b.shape[1])
+        differ = np.bitwise_count(_folded(a, width) ^ _folded(b, width)).sum(axis=1)
+        total = x_size[at] + y_size[at]
+        ok[at] = (total - differ) // 2 >= least_common(total, threshold)
+    return ok
+
+
+def _in_order(a: np.ndarray, b: np.ndarray, up: int, down: int) -> int | None:
+    """The aligned number if no shingle is repeated and the shared ones are in one order within the band, else nothing."""
+    order = np.argsort(b)
+    ordered = b[order]
+    if (ordered[1:] == ordered[:-1]).any():
+        return None
+    at = np.minimum(np.searchsorted(ordered, a), len(b) - 1)
+    i = np.flatnonzero(ordered[at] == a)
+    j = order[at[i]]
+    if len(i) and ((j[1:] <= j[:-1]).any() or (i - j).max() > up or (j - i).max() > down):
+        return None
+    return len(i)
+
+
+def _common(a: np.ndarray, b: np.ndarray) -> int:
+    """How many shingles two runs share, repeated ones as often as both have them."""
+    x, n = np.unique(a, return_counts=True)
+    y, m = np.unique(b, return_counts=True)
+    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+    return int(np.minimum(n[i], m[j]).sum())
+
+
 def aligned(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> int:
     """Longest common subsequence of two shingle sequences inside the band, bit-parallel; 0 if out of reach.
 
     At ``threshold`` at least ``least`` shingles are aligned, so a pair that qualifies is at most
-    ``len(b) - least`` (or ``len(a) - least``) off the main diagonal.
+    ``len(b) - least`` (or ``len(a) - least``) off the main diagonal.  Only the columns in the band are held.
     """
-    least = int(np.ceil(threshold / (1 + threshold) * (len(a) + len(b)) - 1e-9))
+    least = int(least_common(len(a) + len(b), threshold))
     if least > min(len(a), len(b)):
         return 0
     n = min(len(a), len(b))
@@ -124,20 +187,54 @@ def aligned(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> int:
     if not len(a) or not len(b):
         return same
     up, down = len(a) + same - least, len(b) + same - least
-    places: dict[int, int] = {}
-    for j, h in enumerate(b.tolist()):
-        places[h] = places.get(h, 0) | 1 << j
-    full = (1 << len(b)) - 1
-    band = (1 << (up + down + 1)) - 1
-    v = full
-    for i, h in enumerate(a.tolist()):
-        m = places.get(h)
+    found = _in_order(a, b, up, down)
+    if found is not None:
+        return same + found
+    if _common(a, b) < least - same:
+        return 0
+    return same + _in_band(a, b, up, down, least - same)
+
+
+def _in_band(a: np.ndarray, b: np.ndarray, up: int, down: int, least: int) -> int:
+    """The longest common subsequence inside the band, or 0 once ``least`` cannot be reached.
+
+    ``v`` holds the columns from ``low`` to ``high``; a column left of it keeps its bit for good.
+    """
+    order = np.argsort(b, kind="stable")
+    ordered = b[order]
+    first, last = np.searchsorted(ordered, a).tolist(), np.searchsorted(ordered, a, "right").tolist()
+    wide: dict[int, int] = {}  # masks over all columns of shingles that are repeated very often, few as they are
+    v = low = high = found = 0
+    for i, (start, end) in enumerate(zip(first, last, strict=True)):
+        to = min(len(b), i + down + 1)
+        if to > high:
+            v |= ((1 << (to - high)) - 1) << (high - low)
+            high = to
+        to = min(max(0, i - up), high)
+        if to > low:
+            gone = to - low
+            found += gone - (v & ((1 << gone) - 1)).bit_count()
+            v >>= gone
+            low = to
+        if start == end:
+            continue
+        m, full = 0, (1 << (high - low)) - 1
+        if end - start <= 64:
+            for j in order[start:end].tolist():
+                if low <= j < high:
+                    m |= 1 << (j - low)
+        else:
+            if start not in wide:
+                bits = np.zeros(len(b), np.uint8)
+                bits[order[start:end]] = 1
+                wide[start] = int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+            m = (wide[start] >> low) & full
         if m:
-            # Row i meets the columns from i - up to i + down.
-            m &= band << (i - up) if i >= up else band >> (up - i)
             u = v & m
             v = ((v + u) | (v - u)) & full
-    return same + len(b) - v.bit_count()
+        if i % 512 == 511 and found + high - low - v.bit_count() + len(a) - i - 1 < least:
+            return 0
+    return found + high - low - v.bit_count()
 
 
 def similar(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> bool:
@@ -156,25 +253,28 @@ def _node(text):
 
 
 def sketch(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``(id, node, size, keys)`` of each row with a word; ``size`` counts shingles."""
+    """``(id, node, size, keys, sig)`` of each row with a word; ``size`` counts shingles."""
     kind = docs.schema[key].dataType.simpleString()
 
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
-        sizes, found = [], []
+        sizes, found, signed = [], [], []
         for run in _runs(b.column("text")):
+            marked = labelled(run)
             sizes.append(len(run))
-            found.append(sketches(run))
+            found.append(sketches(marked))
+            signed.append(signature(marked))
         keys = np.concatenate(found).view(np.int64)
         arrays = [
             b.column("id"),
             b.column("node"),
             pa.array(sizes, pa.int64()),
             pa.ListArray.from_arrays(np.arange(0, len(keys) + 1, SKETCHES, dtype=np.int32), keys),
+            pa.array(signed, pa.binary()),
         ]
-        return pa.RecordBatch.from_arrays(arrays, ["id", "node", "size", "keys"])
+        return pa.RecordBatch.from_arrays(arrays, ["id", "node", "size", "keys", "sig"])
 
     light = docs.select(column(key).alias("id"), _node(column(text)).alias("node"), column(text).alias("text"))
-    return map_arrow(light.filter("node IS NOT NULL"), batch, f"id {kind}, node binary, size long, keys array<bigint>")
+    return map_arrow(light.filter("node IS NOT NULL"), batch, f"id {kind}, node binary, size long, keys array<bigint>, sig binary")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -214,11 +314,16 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _members(sketched: DataFrame) -> DataFrame:
-    """``(bucket, node, id, size)`` of the buckets with two nodes or more; ``id`` is the node's smallest."""
-    nodes = sketched.groupBy("node").agg(F.min("id").alias("id"), F.min("size").alias("size"), F.min("keys").alias("keys"))
-    each = nodes.select("node", "id", "size", F.explode(F.array_distinct("keys")).alias("bucket"))
-    shared = each.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
-    return each.join(shared, "bucket").select("bucket", "node", "id", "size")
+    """``(bucket, node, id, size, sig, keys, score)`` of the buckets with two nodes or more; ``id`` is the node's smallest.
+
+    ``score`` adds up the sizes of a node's buckets: a text that others were copied from shares sketches with most of them.
+    """
+    same = [F.min(c).alias(c) for c in ("id", "size", "keys", "sig")]
+    nodes = stage(sketched.groupBy("node").agg(*same), "nodes")
+    each = nodes.select("node", F.explode(F.array_distinct("keys")).alias("bucket"))
+    shared = each.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    kept = each.join(shared, "bucket").groupBy("node").agg(F.sum("n").alias("score"), F.sort_array(F.collect_list("bucket")).alias("keys"))
+    return nodes.drop("keys").join(kept, "node").select(F.explode("keys").alias("bucket"), "node", "id", "size", "sig", "keys", "score")
 
 
 def _pair(one: str, other: str) -> list:
@@ -241,14 +346,21 @@ def _placed(members: DataFrame, comps: DataFrame | None, done: int) -> DataFrame
     return unfinished.withColumn("minor", F.col("comp") != F.col("largest")).drop("largest")
 
 
-def _star(placed: DataFrame, threshold: float) -> DataFrame:
-    """``(a, b)``: members of a bucket with its centres, if components differ and lengths allow a link."""
-    first = Window.partitionBy("bucket").orderBy(F.asc_nulls_last("id"), "node")
-    centres = placed.filter("minor").withColumn("place", F.row_number().over(first)).filter(F.col("place") <= CENTRES)
-    centres = centres.select("bucket", *[F.col(c).alias(f"c_{c}") for c in ("node", "comp", "size")])
+def _star(placed: DataFrame, number: int, threshold: float) -> DataFrame:
+    """``(a, b)``: members of a bucket with its ``number`` centres, if components differ and sizes and signatures allow a link."""
+    first = Window.partitionBy("bucket").orderBy(F.desc("score"), F.asc_nulls_last("id"), "node")
+    centres = placed.filter("minor").withColumn("place", F.row_number().over(first)).filter(F.col("place") <= number)
+    centres = centres.select("bucket", *[F.col(c).alias(f"c_{c}") for c in ("node", "comp", "size", "sig")])
     reach = F.least("size", "c_size") >= threshold * F.greatest("size", "c_size")
     met = placed.join(centres, "bucket").filter((F.col("comp") != F.col("c_comp")) & reach)
-    return met.select(F.xxhash64("node").alias("x"), F.xxhash64("c_node").alias("y")).select(*_pair("x", "y")).distinct()
+    met = met.select(F.xxhash64("node").alias("x"), F.xxhash64("c_node").alias("y"), "size", "c_size", "sig", "c_sig")
+
+    def batch(b: pa.RecordBatch) -> pa.RecordBatch:
+        sizes = [b.column(c).to_numpy() for c in ("size", "c_size")]
+        ok = may_be_similar(b.column("sig").to_pylist(), b.column("c_sig").to_pylist(), *sizes, threshold)
+        return b.select(["x", "y"]).filter(pa.array(ok))
+
+    return map_arrow(met, batch, "x long, y long").select(*_pair("x", "y")).distinct()
 
 
 def _shingle_counts(texts: DataFrame) -> np.ndarray:
@@ -260,7 +372,8 @@ def _shingle_counts(texts: DataFrame) -> np.ndarray:
         for b in batches:
             for run in _runs(b.column("text")):
                 np.add.at(table, _cells(run), 1)
-        rows = [(i, x.tobytes()) for i, x in enumerate(table.reshape(number, size)) if x.any()]
+        small = np.minimum(table, 0xFFFF).astype(np.uint16).reshape(number, size)
+        rows = [(i, zlib.compress(x.tobytes(), 1)) for i, x in enumerate(small) if x.any()]
         arrays = [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())]
         yield pa.RecordBatch.from_arrays(arrays, ["block", "counts"])
 
@@ -269,7 +382,7 @@ def _shingle_counts(texts: DataFrame) -> np.ndarray:
         for b in batches:
             block = b.column("block")[0].as_py()
             for x in b.column("counts").to_pylist():
-                total += np.frombuffer(x, np.uint32)
+                total += np.frombuffer(zlib.decompress(x), np.uint16)
         arrays = [pa.array([block], pa.int32()), pa.array([total.tobytes()], pa.binary())]
         yield pa.RecordBatch.from_arrays(arrays, ["block", "counts"])
 
@@ -310,15 +423,66 @@ def _alive(placed: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
 
 
 def _rest(placed: DataFrame, alive: DataFrame, threshold: float) -> DataFrame:
-    """``(a, b)``: members outside a bucket's largest component with those of other components, each pair once."""
+    """``(a, b)``: members outside a bucket's largest component with those of other components that sizes and signatures allow.
+
+    A bucket is dealt in blocks of about ``BLOCK`` rows; every block of the one side meets every block of the other in a
+    stream, and only pairs that may be links are emitted.
+    """
     rows = placed.withColumn("short", F.xxhash64("node")).join(alive, "short")
-    keys = rows.groupBy("short").agg(F.collect_set("bucket").alias("keys"))  # at most ``SKETCHES``
-    rows = stage(rows.select("short", "bucket", F.xxhash64("comp").alias("comp"), "size", "minor").join(keys, "short"), "rest")
-    one = rows.filter("minor").select(*[F.col(c).alias(f"x_{c}") for c in ("short", "bucket", "comp", "size", "keys")])
-    here = F.array_min(F.array_intersect("x_keys", "keys")) == F.col("bucket")
-    reach = F.least("size", "x_size") >= threshold * F.greatest("size", "x_size")
-    met = one.join(rows, (F.col("x_bucket") == F.col("bucket")) & (F.col("x_comp") != F.col("comp")) & reach & here)
-    return met.select(*_pair("x_short", "short")).distinct()
+    rows = stage(rows.select("short", "bucket", F.xxhash64("comp").alias("comp"), "size", "minor", "sig", "keys"), "rest")
+    sizes = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    dealt = rows.join(sizes.select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts")), "bucket")
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("short"), "parts").cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    columns = ["bucket", "left", "right", "side", "short", "comp", "size", "sig", "keys"]
+    one = dealt.filter("minor").withColumn("right", every).withColumns({"left": F.col("own"), "side": F.lit(0)}).select(*columns)
+    other = dealt.withColumn("left", every).withColumns({"right": F.col("own"), "side": F.lit(1)}).select(*columns)
+    both = one.unionByName(other).repartition("bucket", "left", "right").sortWithinPartitions("bucket", "left", "right", "side")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, asked = None, []
+        for b in batches:
+            keys = list(zip(*[b.column(c).to_pylist() for c in ("bucket", "left", "right")], strict=True))
+            rest = list(zip(*[b.column(c).to_pylist() for c in ("side", "short", "comp", "size", "sig", "keys")], strict=True))
+            found: list[tuple[int, int]] = []
+            at = 0
+            while at < len(keys):
+                end = at + 1
+                while end < len(keys) and keys[end] == keys[at]:
+                    end += 1
+                if keys[at] != block:
+                    block, asked = keys[at], []
+                asked += [r for r in rest[at:end] if r[0] == 0]  # the first side of a block comes before the other
+                found += _met(block[0], asked, [r for r in rest[at:end] if r[0] == 1], threshold)
+                at = end
+            arrays = [pa.array([f[i] for f in found], pa.int64()) for i in range(2)]
+            yield pa.RecordBatch.from_arrays(arrays, ["x", "y"])
+
+    return both.mapInArrow(run, "x long, y long").select(*_pair("x", "y")).distinct()
+
+
+def _met(bucket: int, asked: list[tuple], others: list[tuple], threshold: float) -> list[tuple[int, int]]:
+    """Pairs of ``(side, short, comp, size, sig, keys)`` of different components that may be links, in the first bucket they share."""
+    found = []
+    by_width: dict[int, list[tuple]] = {}
+    for r in others:
+        by_width.setdefault(len(r[4]), []).append(r)
+    for mates in by_width.values():
+        comps, sizes = (np.array([r[i] for r in mates], np.int64) for i in (2, 3))
+        signs = np.frombuffer(b"".join(r[4] for r in mates), np.uint64).reshape(len(mates), -1)
+        folded = {signs.shape[1]: signs}
+        for _, short, comp, size, sig, keys in asked:
+            own = np.frombuffer(sig, np.uint64).reshape(1, -1)
+            width = min(own.shape[1], signs.shape[1])
+            if width not in folded:
+                folded[width] = _folded(signs, width)
+            total = sizes + size
+            at = np.flatnonzero((comps != comp) & (np.minimum(sizes, size) >= threshold * np.maximum(sizes, size)))
+            differ = np.bitwise_count(folded[width][at] ^ _folded(own, width)).sum(axis=1)
+            at = at[(total[at] - differ) // 2 >= least_common(total[at], threshold)]
+            keys = set(keys)
+            found += [(short, mates[i][1]) for i in at.tolist() if min(keys.intersection(mates[i][5])) == bucket]
+    return found
 
 
 def _texts(docs: DataFrame, members: DataFrame, key: str, text: str) -> DataFrame:
@@ -343,9 +507,9 @@ def _labels(docs: DataFrame, sketched: DataFrame, key: str, text: str, threshold
     members = stage(_members(sketched), "members")
     texts = stage(_texts(docs, members, key, text), "texts")
     links, comps = None, None
-    for done in (0, CENTRES + 1):
+    for done, centres in ((0, 1), (2, CENTRES)):
         placed = _placed(members, comps, done)
-        found = stage(_verified(stage(_star(placed, threshold), "pairs"), texts, threshold), "verified")
+        found = stage(_verified(stage(_star(placed, centres, threshold), "pairs"), texts, threshold), "verified")
         if links is not None and found.isEmpty():
             break
         links = found if links is None else links.unionByName(found)
