@@ -5,8 +5,8 @@
    fall below the true number of documents with a window, so no repeated window is lost.
 2. The cells counted twice, as compressed bit blocks of bounded size, go to all tasks.  A second
    pass over the texts takes only windows whose every cell was counted twice, as 96-bit
-   fingerprints.  Within a batch of texts all but the smallest id of a window are settled at once; the
-   rest, one row for each window and batch at most (if ids are unique), are grouped exactly, and windows
+   fingerprints.  Within a part of texts all but the smallest id of a window are settled at once; the
+   rest, one row for each window and part at most (if ids are unique), are grouped exactly, and windows
    whose smallest document id is smaller than the row's own mark the places to remove.
 
 The table has about ``CELLS_PER_WINDOW`` cells for each window, at most ``2 ** MOST_BITS`` cells in all: that
@@ -28,15 +28,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tokenloom.llm.common import WordIds, byte_parts, column, map_arrow, mix, n_words, odd_numbers, window_hashes
+from tokenloom.llm.common import WordIds, byte_parts, column, map_arrow, mix, odd_numbers, window_hashes
 from tokenloom.staging import stage
 
 WINDOW = 13
 ROWS = 2
-CELLS_PER_WINDOW = 8
-MOST_BITS = 31
+CELLS_PER_WINDOW = 3
+MOST_BITS = 30
 BLOCK_BITS = 20
-PART_BYTES = 4 << 20
+#: Bytes of texts sketched at once, and bytes among which repeated windows are settled before the shuffle.
+PART_BYTES, SETTLED_BYTES = 6 << 20, 32 << 20
+#: About how many bytes a word takes; it steers the size of the table only.
+WORD_BYTES = 6
 
 _LOW, _HIGH = odd_numbers(WINDOW, 11), odd_numbers(WINDOW, 13)
 _WORDS = WordIds()
@@ -48,9 +51,9 @@ def fingerprints(text: bytes, window: int = WINDOW) -> tuple[np.ndarray, np.ndar
     return window_hashes(_WORDS.low[ids], _LOW[:window]), window_hashes(_WORDS.high[ids], _HIGH[:window])
 
 
-def _parts(texts: pa.Array) -> Iterator[list[bytes]]:
+def _parts(texts: pa.Array, most: int = PART_BYTES) -> Iterator[list[bytes]]:
     # A function of the module: what is nested in another one would trim a copy of the store.
-    for part in byte_parts(texts, PART_BYTES):
+    for part in byte_parts(texts, most):
         _WORDS.trim()
         yield part
 
@@ -63,9 +66,7 @@ def _each(texts: pa.Array) -> Iterator[bytes]:
 def cells(low: np.ndarray, bits: int) -> list[np.ndarray]:
     """The cell of each window in every row of the table; the rows share the ``2 ** bits`` cells."""
     width = bits - (ROWS - 1).bit_length()
-    return [
-        (mix(low + np.uint64(i)) >> np.uint64(64 - width)) + np.uint64(i << width) for i in range(ROWS)
-    ]
+    return [((mix(low + np.uint64(i)) >> np.uint64(64 - width)) + np.uint64(i << width)).astype(np.uint32) for i in range(ROWS)]
 
 
 def table_bits(windows: int) -> int:
@@ -78,10 +79,10 @@ def table_bits(windows: int) -> int:
 
 def _packed(touched: np.ndarray, twice: np.ndarray) -> Iterator[tuple[int, bytes]]:
     """``(block, cells)``: the sorted distinct cells of each block as gaps; those counted twice are flagged."""
-    block = touched >> np.uint64(BLOCK_BITS)
+    block = touched >> np.uint32(BLOCK_BITS)
     starts = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
     ends = np.append(starts[1:], len(block))
-    inner = (touched & np.uint64((1 << BLOCK_BITS) - 1)).astype(np.int64)
+    inner = (touched & np.uint32((1 << BLOCK_BITS) - 1)).astype(np.int64)
     for s, e in zip(starts.tolist(), ends.tolist(), strict=True):
         yield int(block[s]), _gaps(inner[s:e], twice[s:e])
 
@@ -107,18 +108,18 @@ def _cells_of(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sketch(docs: DataFrame, bits: int) -> DataFrame:
-    """``(block, cells)`` of each batch of texts; a document counts a window once."""
+    """``(block, cells)`` of each part of texts; a document counts a window once."""
 
-    def batch(b: pa.RecordBatch) -> pa.RecordBatch:
-        rows = []
-        for texts in _parts(b.column("text")):
-            found = [np.unique(fingerprints(t)[0]) for t in texts]
-            touched, counts = np.unique(np.concatenate([c for low in found for c in cells(low, bits)]), return_counts=True)
-            rows += _packed(touched, counts > 1) if len(touched) else []
-        arrays = [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())]
-        return pa.RecordBatch.from_arrays(arrays, ["block", "cells"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for texts in _parts(b.column("text")):
+                found = [c for t in texts for c in cells(np.unique(fingerprints(t)[0]), bits)]
+                touched, counts = np.unique(np.concatenate(found), return_counts=True)
+                rows = list(_packed(touched, counts > 1)) if len(touched) else []
+                arrays = [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, ["block", "cells"])
 
-    return map_arrow(docs.select("text"), batch, "block int, cells binary")
+    return docs.select("text").mapInArrow(run, "block int, cells binary")
 
 
 def _merged(sketches: DataFrame) -> DataFrame:
@@ -159,64 +160,70 @@ def _bitmap(shared, bits: int) -> np.ndarray:
 def _maybe_repeated(low: np.ndarray, table: np.ndarray, bits: int) -> np.ndarray:
     ok = np.ones(len(low), bool)
     for at in cells(low, bits):
-        ok &= (table[(at >> np.uint64(3)).astype(np.int64)] >> (7 - (at & np.uint64(7))).astype(np.uint8)) & 1 == 1
+        ok &= (table[at >> np.uint32(3)] >> (7 - (at & np.uint32(7))).astype(np.uint8)) & 1 == 1
     return ok
 
 
 # --- the exact pass -----------------------------------------------------------
 
 
-def _settled(low: np.ndarray, high: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Which windows of a batch also stand in a text of the batch with a smaller id."""
-    order = np.lexsort((ids, high, low))
-    low, high, ordered = low[order], high[order], ids[order]
+def _settled(low: np.ndarray, high: np.ndarray, ids: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Which windows of a part also stand in a text of the part with a smaller id; ``row`` is the text of each."""
+    order = np.lexsort((high, low))
+    low, high, ordered = low[order], high[order], ids[row[order]]
     new = np.append(True, (low[1:] != low[:-1]) | (high[1:] != high[:-1]))[: len(low)]
     starts = np.flatnonzero(new)
-    first = np.repeat(ordered[starts], np.diff(np.append(starts, len(low))))
-    out = np.empty(len(ids), bool)
-    out[order] = ordered > first
-    return out
+    late = np.empty(len(row), bool)
+    if len(starts):
+        late[order] = ordered > np.repeat(np.minimum.reduceat(ordered, starts), np.diff(np.append(starts, len(low))))
+    return late
 
 
 def _candidates(docs: DataFrame, shared, bits: int) -> DataFrame:
     """``(low, high, id, tag, at, late)``: each estimated-repeated window of a text once, at its first place.
 
-    Windows that are settled within a batch come as one row for each text, with their places in ``late``; these
-    rows are dealt by id.
+    Windows that are settled within a part of ``SETTLED_BYTES`` come as one row for each text, with their places in ``late``;
+    these rows are dealt by id.
     """
 
-    def batch(b: pa.RecordBatch) -> pa.RecordBatch:
+    def part(texts: list[bytes], ids: pa.Array, tags: pa.Array) -> pa.RecordBatch:
         table = _bitmap(shared, bits)
         lows, highs, places, rows = [], [], [], []
-        for i, text in enumerate(_each(b.column("text"))):
+        for i, text in enumerate(texts):
             low, high = fingerprints(text)
             at = np.flatnonzero(_maybe_repeated(low, table, bits))
             at = at[np.sort(np.unique(low[at], return_index=True)[1])]
             lows.append(low[at])
-            highs.append((high[at] >> np.uint64(32)).astype(np.int64))
-            places.append(at)
-            rows.append(np.full(len(at), i))
+            highs.append((high[at] >> np.uint64(32)).astype(np.uint32))
+            places.append(at.astype(np.int32))
+            rows.append(np.full(len(at), i, np.int32))
         low, high, at, row = map(np.concatenate, (lows, highs, places, rows))
-        late = _settled(low, high, b.column("id").to_numpy()[row])
+        late = _settled(low, high, ids.to_numpy(zero_copy_only=False), row)
         open_, done = row[~late], row[late]
-        texts, sizes = np.unique(done, return_counts=True)
+        whole, sizes = np.unique(done, return_counts=True)
         ends = np.append(0, np.cumsum(sizes)).astype(np.int32)
-        take = pa.array(np.concatenate([open_, texts]))
-        whole = len(texts)
+        take = pa.array(np.concatenate([open_, whole]))
+        n = len(whole)
         arrays = [
-            pa.array(np.concatenate([low[~late].view(np.int64), mix(texts.astype(np.uint64)).view(np.int64)])),
-            pa.array(np.concatenate([(high[~late] - (1 << 31)).astype(np.int32), np.zeros(whole, np.int32)])),
-            b.column("id").take(take),
-            b.column("tag").take(take),
-            pa.concat_arrays([pa.array(at[~late].astype(np.int32)), pa.nulls(whole, pa.int32())]),
-            pa.concat_arrays(
-                [pa.nulls(len(open_), pa.list_(pa.int32())), pa.ListArray.from_arrays(ends, at[late].astype(np.int32))]
-            ),
+            pa.array(np.concatenate([low[~late].view(np.int64), mix(whole.astype(np.uint64)).view(np.int64)])),
+            pa.array(np.concatenate([(high[~late].astype(np.int64) - (1 << 31)).astype(np.int32), np.zeros(n, np.int32)])),
+            ids.take(take),
+            tags.take(take),
+            pa.concat_arrays([pa.array(at[~late]), pa.nulls(n, pa.int32())]),
+            pa.concat_arrays([pa.nulls(len(open_), pa.list_(pa.int32())), pa.ListArray.from_arrays(ends, at[late])]),
         ]
         return pa.RecordBatch.from_arrays(arrays, ["low", "high", "id", "tag", "at", "late"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            start = 0
+            for texts in _parts(b.column("text"), SETTLED_BYTES):
+                ids, tags = (b.column(c).slice(start, len(texts)) for c in ("id", "tag"))
+                yield part(texts, ids, tags)
+                start += len(texts)
+
     schema = "low long, high int, id long, tag int, at int, late array<int>"
-    return map_arrow(docs.select("id", "tag", "text"), batch, schema)
+    return docs.select("id", "tag", "text").mapInArrow(run, schema)
 
 
 def kept_words(text: bytes, places: np.ndarray, window: int = WINDOW) -> tuple[int, list[bytes]]:
@@ -241,17 +248,16 @@ def removals(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     """``(id, tag, places)``: of each text that loses words, first places of the windows to remove.
 
     ``tag`` is a hash of the text, so that rows of one id with different texts stay apart.  Ids are long.  Runs
-    jobs: the number of words, and the merged table.
+    jobs: the bytes of all texts, and the merged table.
     """
     spark = docs.sparkSession
     rows = _rows(docs, key, text).filter("id IS NOT NULL")
-    windows = rows.agg(F.sum(F.greatest(n_words(F.col("text")) - (WINDOW - 1), F.lit(0)))).first()[0] or 0
-    bits = table_bits(windows)
+    bits = table_bits((rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // WORD_BYTES)
     merged = stage(_merged(_sketch(rows, bits)), "windows")
     # At most 2 ** (MOST_BITS - 3) bytes before compression, whatever the input's size.
     shared = spark.sparkContext.broadcast([(r.block, bytes(r.bits)) for r in merged.collect()])
     found = _candidates(rows, shared, bits)
-    # A window has at most a row from each batch of texts, so no group is large.
+    # A window has at most a row from each part of texts (if ids are unique), so no group is large.
     first = F.min(F.when(F.col("late").isNull(), F.col("id"))).over(Window.partitionBy("low", "high"))
     late = found.withColumn("first", first).filter("late IS NOT NULL OR id > first")
     places = F.concat(F.collect_list("at"), F.flatten(F.collect_list("late")))
