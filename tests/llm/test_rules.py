@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -68,3 +69,25 @@ def test_failed_lines_go(spark):
     text = prose(20) + "\nHome | News | Sport | About"
     docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
     assert [r.text for r in rules.clean(docs).collect()] == [prose(20)]
+
+
+def test_clean_texts_of_any_layout_are_kept():
+    rng = random.Random(6)
+    words = [f"word{rng.randrange(3_000)}" + ("." if i % 9 == 8 else "") for i in range(660)]
+    plain = " ".join(words)
+    with_phrase = plain + " We read the privacy policy before the talk, with all rights reserved."
+    wide = " ".join(f"w{rng.randrange(5_000)}" + ("." if i % 12 == 11 else "") for i in range(30_000))
+    wrapped = "\n".join(" ".join(words[i : i + 10]) for i in range(0, 660, 10))
+    hindi = "\n".join(f"\u092f\u0939 {i} \u0935\u093e\u0915\u094d\u092f \u0939\u0948 \u0914\u0930 {i + 7} \u092d\u0940\u0964" for i in range(60))
+    for text in (plain, with_phrase, wide, wrapped, hindi):
+        n, *_, failed, kept, lost, cleaned = rules.judge(text)
+        assert kept and not failed and not lost and cleaned == text, text[:40]
+
+
+def test_long_lines_of_few_words_and_short_stock_lines_still_go():
+    assert rules.line_fails(b"buy now " * 200, b"buy now ".split() * 200)
+    assert rules.line_fails(b"Read our privacy policy.", b"Read our privacy policy.".split())
+    menu = b"home page and news\n\nAn ordinary sentence, with an end."
+    lines = menu.split(b"\n")
+    assert rules.ended_later(lines, [x.split() for x in lines]) == [False, False, False]
+    assert rules.ended_later([b"a", b"b.", b"c"], [[b"a"], [b"b."], [b"c"]]) == [True, False, False]

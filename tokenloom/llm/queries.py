@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +13,7 @@ from tokenloom.llm import ann, bpe, html, importance, licenses, mixing, near, pi
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 #: Where the tokenizer file lies on every machine.
-TOKENIZER = os.path.join(os.environ.get("TOKENIZERS", "/opt/tokenizers"), "byte_bpe_50k.json")
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def query(fn: Query) -> Query:
@@ -132,22 +132,30 @@ FROM d LEFT JOIN kept USING (r)
 
 _WORD = r"[^\x20\x09-\x0D]+"
 _PHRASES = "|".join(rules.PHRASES)
+_MARKS = "".join(rules.SENTENCE_MARKS)
 SQL["op10_quality_rules"] = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
 ), l AS (
-  SELECT r, unnest(string_split(t, chr(10))) AS line FROM d
+  SELECT r, unnest(string_split(t, chr(10))) AS line, unnest(range(len(string_split(t, chr(10))))) AS i FROM d
 ), lines AS (
-  SELECT r, line, regexp_extract_all(line, '{_WORD}') AS w FROM l
+  SELECT r, i, line, regexp_extract_all(line, '{_WORD}') AS w FROM l
+), paragraphs AS (
+  SELECT *, regexp_matches(line, '[{_MARKS}]') AS marked,
+    count(*) FILTER (len(w) = 0) OVER (PARTITION BY r ORDER BY i) AS paragraph
+  FROM lines
 ), judged AS (
   SELECT r, line, len(w) AS n,
     length(regexp_replace(line, '[^!?#*$%&|<>{{}}=_~^]', '', 'g')) > len(w)
-    OR (len(w) >= 4 AND NOT regexp_matches(line, '[.!?:;…。]'))
     OR (len(list_filter(w, lambda x: x IN ('|', '>', '/', '»', '•', '·'))) >= 2
         AND 5 * len(list_filter(w, lambda x: x IN ('|', '>', '/', '»', '•', '·'))) >= len(w))
-    OR (len(w) >= 8 AND 4 * len(list_distinct(w)) <= len(w))
-    OR regexp_matches(lower(line), '{_PHRASES}') AS fails
-  FROM lines WHERE len(w) > 0
+    OR (len(w) BETWEEN 4 AND {rules.SHORT_LINE} AND i > coalesce(max(i) FILTER (marked) OVER (PARTITION BY r, paragraph), -1))
+    OR (len(w) <= {rules.SHORT_LINE} AND regexp_matches(lower(line), '{_PHRASES}'))
+    OR (len(w) >= {rules.SHORTEST_RUN} AND 2 * list_sum(list_transform(range(0, len(w), {rules.RUN}), lambda k:
+        CASE WHEN len(w[k + 1:k + {rules.RUN}]) >= {rules.SHORTEST_RUN}
+          AND 4 * len(list_distinct(w[k + 1:k + {rules.RUN}])) <= len(w[k + 1:k + {rules.RUN}])
+        THEN len(w[k + 1:k + {rules.RUN}]) ELSE 0 END)) > len(w)) AS fails
+  FROM paragraphs WHERE len(w) > 0
 ), by_line AS (
   SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines, sum(CASE WHEN fails THEN n ELSE 0 END) AS n_lost
   FROM judged GROUP BY r

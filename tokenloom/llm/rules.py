@@ -2,9 +2,11 @@
 
 Rules of a line (a line without a word is neither judged nor counted):
 
-* punctuation: more marks than words, or four words and more without any sentence mark;
+* punctuation: more marks than words; or a short line (``SHORT_LINE`` words at most) of four words and more without any sentence
+  mark, of whatever script, that no later line of its paragraph ends for it (so hard-wrapped prose stays);
 * navigation: two bare separators or more, at least one for every five words;
-* boilerplate: a stock phrase, or eight words and more of which at most a quarter differ.
+* boilerplate: a stock phrase in a short line; or more than half of the words in runs of ``RUN`` words (eight and more at the end) of
+  which at most a quarter differ.  The runs are of one length, so a long line is judged like a short one.
 
 A document is kept unless its base measures fail or its failed lines hold more than
 ``MOST_LOST`` of its words.
@@ -27,10 +29,16 @@ from tokenloom.llm.common import ROW, column, map_arrow, nested
 
 FEWEST_WORDS = 50
 MOST_LOST = 0.4
+SHORT_LINE, RUN, SHORTEST_RUN = 12, 32, 8
 WHITE = b" \t\n\v\f\r"
 SYMBOLS = b"#*$%&|<>"
 MARKS = b"!?#*$%&|<>{}=_~^"
-SENTENCE_MARKS = (".", "!", "?", ":", ";", "\u2026", "\u3002")
+# What ends a sentence or part of one, by script.
+SENTENCE_MARKS = (
+    ".", "!", "?", ":", ";", "\u2026", "\u203c", "\u2047", "\u2048", "\u2049",
+    "\u3002", "\uff0e", "\uff61", "\uff01", "\uff1f", "\uff1a", "\uff1b",
+    "\u0964", "\u0965", "\u061f", "\u061b", "\u06d4", "\u0589", "\u1362", "\u1367", "\u104a", "\u104b", "\u17d4", "\u1803", "\u0df4",
+)
 BARS = ("|", ">", "/", "\u00bb", "\u2022", "\u00b7")
 PHRASES = (
     "cookie policy", "privacy policy", "terms of use", "terms of service", "all rights reserved",
@@ -61,16 +69,32 @@ def _count(text: bytes, characters: bytes) -> int:
     return len(text) - len(text.translate(None, characters))
 
 
-def line_fails(line: bytes, words: list[bytes]) -> bool:
-    """Whether one line (UTF-8), given with its words, breaks a rule."""
+def has_mark(line: bytes) -> bool:
+    return bool(_SENTENCE.search(line))
+
+
+def line_fails(line: bytes, words: list[bytes], ended: bool = False) -> bool:
+    """Whether one line (UTF-8), given with its words, breaks a rule; ``ended`` if a later line of its paragraph has a sentence mark."""
     n = len(words)
-    if _count(line, MARKS) > n or n >= 4 and not _SENTENCE.search(line):
+    if _count(line, MARKS) > n:
         return True
     if (bars := sum(map(words.count, _BARS))) >= 2 and 5 * bars >= n:
         return True
-    if n >= 8 and 4 * len(set(words)) <= n:
+    if n <= SHORT_LINE and (n >= 4 and not ended and not has_mark(line) or _PHRASES.search(line.lower())):
         return True
-    return bool(_PHRASES.search(line.lower()))
+    if n < SHORTEST_RUN:
+        return False
+    runs = (words[i : i + RUN] for i in range(0, n, RUN))
+    return 2 * sum(len(r) for r in runs if len(r) >= SHORTEST_RUN and 4 * len(set(r)) <= len(r)) > n
+
+
+def ended_later(lines: list[bytes], split: list[list[bytes]]) -> list[bool]:
+    """For each line, whether a later one of the same paragraph (up to a line without words) has a sentence mark."""
+    out, later = [False] * len(lines), False
+    for i in reversed(range(len(lines))):
+        out[i] = later
+        later = bool(split[i]) and (later or has_mark(lines[i]))
+    return out
 
 
 def repeated_words(words: list[bytes], numbers: dict[bytes, int] | None = None) -> int:
@@ -103,10 +127,10 @@ def judge(text: str | None, numbers: dict[bytes, int] | None = None) -> tuple:
     split = [line.split() for line in lines]
     n = sum(map(len, split))
     kept, filled, lost = [], [], 0
-    for line, words in zip(lines, split, strict=True):
+    for line, words, ended in zip(lines, split, ended_later(lines, split), strict=True):
         if words:
             filled.append(line)
-            if line_fails(line, words):
+            if line_fails(line, words, ended):
                 lost += len(words)
                 continue
         kept.append(line)
