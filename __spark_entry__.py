@@ -16,9 +16,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import oracle_queries
-from tokenloom.functions import losses, prompts, sequences
+from tokenloom.functions import losses, prompts, sequences, templates
 from tokenloom.functions.tokens import split_tokens
-from tokenloom.operators import batches, bigram, classifier, metrics, packing, splits, tokenize, udfs, vectors, vocab
+from tokenloom.operators import balance, batches, bestfit, bigram, classifier, metrics, packing, splits, tokenize, udfs, vectors, vocab
 from tokenloom.operators.lookup import lookup
 from tokenloom.plans import flows
 from tokenloom.plans.flows import BOS, EOS, SPECIALS, UNK
@@ -212,6 +212,16 @@ def packed_written(spark, sf):
     return _written(spark, sf).select("split", "seq_id", _joined("labels").alias("labels"))
 
 
+@query
+def stored_share(spark, sf):
+    """The second of four shares of what is left of a packed store from sequence 500 on."""
+    path = _folder(spark, "store")
+    packed = _packed(spark, sf, packing.pack_overlap, length=LONG).select("seq_id", "input_ids")
+    sinks.write_store(packed, path, per_file=200)
+    rows = sinks.read_store(spark, path, rank=1, ranks=RANKS, start=500)
+    return rows.select("seq_id", _joined("input_ids").alias("input_ids"))
+
+
 @query
 def steps_to_save(spark, sf):
     plan = _metrics(spark, sf).withColumn("epoch_end", F.col("step") % 500 == 0)
@@ -329,6 +339,48 @@ def tokenized_chat(spark, sf):
     return tokenize.decode_tokens(head, v, ["id"])
 
 
+def _published(spark: SparkSession, sf: str, template: str, generate: bool = False) -> DataFrame:
+    rows = _instructions(spark, sf).select("id", prompts.to_messages().alias("messages"))
+    messages = F.slice("messages", 1, 2) if generate else F.col("messages")
+    text = templates.compile_template(template, messages=messages, bos_token=BOS, eos_token=EOS, add_generation_prompt=generate)
+    return rows.select("id", text.alias("text"))
+
+
+# Three chat templates as models publish them.
+CHATML = (
+    "{% for message in messages %}{{'<|im_start|>' + message['role'] + '\n' + message['content'] + '<|im_end|>' + '\n'}}{% endfor %}"
+    "{% if add_generation_prompt %}{{ '<|im_start|>assistant\n' }}{% endif %}"
+)
+HEADERS = (
+    "{% set loop_messages = messages %}{% for message in loop_messages %}"
+    "{% set content = '<|start_header_id|>' + message['role'] + '<|end_header_id|>\n\n'+ message['content'] | trim + '<|eot_id|>' %}"
+    "{% if loop.index0 == 0 %}{% set content = bos_token + content %}{% endif %}{{ content }}{% endfor %}"
+    "{% if add_generation_prompt %}{{ '<|start_header_id|>assistant<|end_header_id|>\n\n' }}{% endif %}"
+)
+BY_ROLE = (
+    "{% for message in messages %}\n{% if message['role'] == 'user' %}\n{{ '<|user|>\n' + message['content'] + eos_token }}\n"
+    "{% elif message['role'] == 'system' %}\n{{ '<|system|>\n' + message['content'] + eos_token }}\n"
+    "{% elif message['role'] == 'assistant' %}\n{{ '<|assistant|>\n'  + message['content'] + eos_token }}\n{% endif %}\n"
+    "{% if loop.last and add_generation_prompt %}\n{{ '<|assistant|>' }}\n{% endif %}\n{% endfor %}"
+)
+
+
+@query
+def template_chatml(spark, sf):
+    return _published(spark, sf, CHATML)
+
+
+@query
+def template_headers(spark, sf):
+    return _published(spark, sf, HEADERS)
+
+
+@query
+def template_by_role(spark, sf):
+    """System and user messages, with the heading of the answer to come."""
+    return _published(spark, sf, BY_ROLE, generate=True)
+
+
 # --- splits and order -------------------------------------------------------
 
 
@@ -360,6 +412,20 @@ def epoch_order(spark, sf):
     return splits.epoch_order(_table(spark, sf, "documents").select("doc_id"), "doc_id", SEED, EPOCHS)
 
 
+@query
+def epoch_places(spark, sf):
+    placed = splits.epoch_places(_table(spark, sf, "documents").select("doc_id"), ["doc_id"], SEED, EPOCHS)
+    return placed.select("doc_id", "epoch", "place")
+
+
+@query
+def resume_inside_epoch(spark, sf):
+    """The rest of the second epoch, once three fifths of it are done."""
+    docs = stage(batches.with_ordinal(_table(spark, sf, "documents").select("doc_id"), ["doc_id"]), "ordinals")
+    n = docs.count()
+    return splits.rows_at_places(docs, n, SEED, 1, n * 3 // 5, n).select("place", "doc_id")
+
+
 # --- vocabulary and tokens --------------------------------------------------
 
 
@@ -600,6 +666,20 @@ def pack_constant_length(spark, sf):
     return rows.select("seq_id", _joined("input_ids").alias("input_ids"), _joined("labels").alias("labels"))
 
 
+@query
+def pack_best_fit(spark, sf):
+    v, ids = _encoded(spark, sf)
+    rows = bestfit.pack_best_fit(stage(ids, "ids"), "doc_id", LONG, vocab.token_id(v, EOS))
+    lists = [_joined(c).alias(c) for c in ("input_ids", "lengths", "keys")]
+    return rows.select("seq_id", *lists, "real")
+
+
+@query
+def best_fit_report(spark, sf):
+    lengths = tokenize.token_lengths(_documents(spark, sf)).select("doc_id", "n")
+    return _rounded(bestfit.bin_report(bestfit.assign_bins(lengths, "doc_id", LONG), LONG), "pad_percent")
+
+
 @query
 def pack_padded(spark, sf):
     v = _vocab(spark, sf)
@@ -702,6 +782,12 @@ def plan_summary(spark, sf):
     return plans[0].union(plans[1]).union(plans[2]).union(plans[3])
 
 
+@query
+def shard_by_least_weight(spark, sf):
+    docs = _table(spark, sf, "documents").select("doc_id", "n_chars")
+    return balance.shard_by_least_weight(docs, ["doc_id"], "n_chars", RANKS)
+
+
 @query
 def shard_by_weight(spark, sf):
     docs = _table(spark, sf, "documents").select("doc_id", "n_chars")
@@ -725,6 +811,25 @@ def cross_entropy_ignored(spark, sf):
     return _rounded(scored.agg(F.count("loss").alias("rows"), F.avg("loss").alias("loss")), "loss")
 
 
+def _sequences(spark: SparkSession, sf: str) -> DataFrame:
+    """Embeddings as the scores of positions in sequences of growing length; every fifth position is left out."""
+    rows = _table(spark, sf, "embeddings").withColumn("seq", F.floor(F.sqrt("vec_id")))
+    label = F.when(F.col("vec_id") % 5 == 0, losses.IGNORED_LABEL).otherwise(F.col("label")).cast("int")
+    steps = F.sort_array(F.collect_list(F.struct("vec_id", F.col("embedding").alias("x"), label.alias("y"))))
+    made = rows.groupBy("seq").agg(steps.alias("steps"))
+    return made.select("seq", losses.sequence_loss("steps.x", "steps.y").alias("loss"))
+
+
+@query
+def sequence_loss(spark, sf):
+    return _rounded(_sequences(spark, sf).select("seq", "loss.loss", "loss.count"), "loss")
+
+
+@query
+def sequence_eval_loss(spark, sf):
+    return _rounded(metrics.eval_loss_by_position(_sequences(spark, sf)), "eval_loss")
+
+
 @query
 def eval_loss_by_batch(spark, sf):
     rows = batches.assign_batches(_table(spark, sf, "embeddings"), ["vec_id"], BATCH)
@@ -810,6 +915,24 @@ def dequantize_vectors(spark, sf):
     return _elements(vectors.dequantize_vectors(coded, block=16), "vec_id", vec="embedding")
 
 
+def _double_quantized(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, float]:
+    coded = vectors.quantize_vectors(_table(spark, sf, "embeddings").select("vec_id", "embedding"), block=16)
+    return vectors.quantize_scales(stage(coded, "coded"), ["vec_id"], per_vector=4)
+
+
+@query
+def quantize_scales(spark, sf):
+    coded, _, _ = _double_quantized(spark, sf)
+    return coded.select("vec_id", F.posexplode("scale_codes").alias("block", "code"))
+
+
+@query
+def dequantize_scales(spark, sf):
+    coded, tops, mean = _double_quantized(spark, sf)
+    back = vectors.dequantize_scales(stage(coded, "coded"), ["vec_id"], tops, mean, per_vector=4)
+    return back.select("vec_id", F.posexplode("scales").alias("block", "x")).withColumn("scale", F.round("x", 6)).drop("x")
+
+
 # --- models -----------------------------------------------------------------
 
 
@@ -817,8 +940,9 @@ def dequantize_vectors(spark, sf):
 def classifier_accuracy(spark, sf):
     rows = tables.read_labelled(spark, f"{sf}/documents.parquet", f"{sf}/labels.parquet")
     train, held = splits.holdout(rows, "doc_id", HELD_OUT, SEED)
-    model = classifier.train_classifier(train)
-    return metrics.accuracy(classifier.classify(model, held))
+    weights = classifier.train_gradient(classifier.hashed_features(train, "doc_id"))
+    scored = classifier.classify_gradient(classifier.hashed_features(held, "doc_id"), weights)
+    return _rounded(metrics.accuracy(scored), "accuracy")
 
 
 @query

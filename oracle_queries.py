@@ -496,6 +496,7 @@ walk AS (
 SELECT doc_id, coalesce(array_to_string(g, ','), '') AS generated
 FROM documents LEFT JOIN (SELECT key, list(cur ORDER BY step) AS g FROM walk WHERE step > 0 GROUP BY key) ON key = doc_id"""
 
+    sql |= _round_three(user, helper, n, keys, by_split, middles)
     sql["collate_with_hook"] = f"WITH {batched('documents', 'doc_id')} " + (
         "SELECT batch, max(n_chars) AS longest FROM batched GROUP BY batch"
     )
@@ -512,6 +513,131 @@ FROM documents LEFT JOIN (SELECT key, list(cur ORDER BY step) AS g FROM walk WHE
     return sql
 
 
+def _round_three(user: str, helper: str, n: str, keys: str, by_split: str, middles: str) -> dict[str, str]:
+    sql: dict[str, str] = {}
+    ins = f"WITH {INSTRUCTIONS} "
+    said = [("system", q(helper)), ("user", f"({user})"), ("assistant", "output")]
+    im = " || ".join(f"'<|im_start|>{r}' || chr(10) || {c} || '<|im_end|>' || chr(10)" for r, c in said)
+    sql["template_chatml"] = ins + f"SELECT id, {im} AS text FROM ins"
+    white = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    heads = " || ".join(
+        f"'<|start_header_id|>{r}<|end_header_id|>' || chr(10) || chr(10) || trim({c}, {white}) || '<|eot_id|>'" for r, c in said
+    )
+    sql["template_headers"] = ins + f"SELECT id, '<bos>' || {heads} AS text FROM ins"
+    roles = " || ".join(f"'<|{r}|>' || chr(10) || {c} || '<eos>' || chr(10)" for r, c in said[:2])
+    sql["template_by_role"] = ins + f"SELECT id, {roles} || '<|assistant|>' || chr(10) AS text FROM ins"
+
+    def digits(turn: int, half: str) -> str:
+        return f"CAST('0x' || substr(md5('42-' || epoch || '-{turn}-' || {half}), 1, 12) AS BIGINT)"
+
+    step = "SELECT doc_id, epoch, n, wide, high, turn, x // wide AS l, x % wide AS r FROM walk WHERE turn = 0 OR x >= n"
+    for turn in range(4):
+        moved = f"l, (r + {digits(turn, 'l')}) % wide AS r" if turn % 2 == 0 else f"(l + {digits(turn, 'r')}) % high AS l, r"
+        step = f"SELECT doc_id, epoch, n, wide, high, turn, {moved} FROM ({step})"
+    walk = f"""WITH RECURSIVE size AS (
+  SELECT count(*) AS n, CAST(floor(sqrt(count(*) - 1)) AS BIGINT) + 1 AS wide FROM documents
+), walk AS (
+  SELECT doc_id, CAST(e AS INT) AS epoch, n, wide, (n + wide - 1) // wide AS high, 0 AS turn,
+    row_number() OVER (PARTITION BY e ORDER BY doc_id) - 1 AS x FROM documents, size, range(3) r(e)
+  UNION ALL SELECT doc_id, epoch, n, wide, high, turn + 1, l * wide + r FROM ({step})
+) """
+    sql["epoch_places"] = walk + "SELECT doc_id, epoch, x AS place FROM walk WHERE turn > 0 AND x < n"
+    sql["resume_inside_epoch"] = walk + (
+        "SELECT x AS place, doc_id FROM walk WHERE turn > 0 AND x < n AND epoch = 1 AND x >= n * 3 // 5"
+    )
+
+    # Best fit, sample by sample: what is left in each bin is a list.
+    fitted = f"""items AS (
+  SELECT doc_id, n, row_number() OVER (ORDER BY n DESC, doc_id) AS i
+  FROM (SELECT doc_id, least(128, {n})::INT AS n FROM documents) WHERE n > 0
+), fill AS (
+  SELECT 0 AS i, CAST([] AS INT[]) AS bins, CAST(0 AS BIGINT) AS bin
+  UNION ALL
+  SELECT i, CASE WHEN pos > len(bins) THEN list_append(bins, 128 - n)
+    ELSE list_concat(list_append(bins[1:pos - 1], bins[pos] - n), bins[pos + 1:]) END, pos - 1
+  FROM (SELECT items.i, n, bins, coalesce(list_position(bins, list_min(list_filter(bins, lambda x: x >= n))), len(bins) + 1) AS pos
+    FROM fill JOIN items ON items.i = fill.i + 1)
+), binned AS (SELECT doc_id, n, i, bin FROM items JOIN fill USING (i))"""
+    sql["pack_best_fit"] = "WITH RECURSIVE " + docs_with(lists(), fitted)[5:] + f"""
+SELECT bin AS seq_id, {text_of("list_resize(flatten(list(l[1:128] ORDER BY i)), 128, any_value(e.id))")} AS input_ids,
+  {text_of("list(b.n ORDER BY i)")} AS lengths, {text_of("list(doc_id ORDER BY i)")} AS keys, CAST(sum(b.n) AS INT) AS real
+FROM binned b JOIN ids USING (doc_id), (SELECT id FROM vocab WHERE token = '<eos>') e GROUP BY bin"""
+    sql["best_fit_report"] = f"WITH RECURSIVE {fitted}" + """
+SELECT max(bin) + 1 AS sequences, CAST(sum(n) AS BIGINT) AS tokens, CAST((max(bin) + 1) * 128 - sum(n) AS BIGINT) AS pad_tokens,
+  round(((max(bin) + 1) * 128 - sum(n)) * 100.0 / ((max(bin) + 1) * 128), 6) AS pad_percent FROM binned"""
+
+    cuts = ", ".join(
+        f"LATERAL (SELECT coalesce(max(e), 0) AS c{k} FROM p WHERE e <= {f'c{k - 1} + ' if k > 1 else ''}mid) x{k}" for k in range(1, 5)
+    )
+    sql["shard_by_least_weight"] = f"""
+WITH RECURSIVE p AS (
+  SELECT doc_id, n_chars, CAST(sum(n_chars) OVER (ORDER BY doc_id) AS BIGINT) AS e FROM documents
+), search AS (
+  SELECT max(n_chars) AS lo, max(e) AS hi, max(e) AS total FROM p
+  UNION ALL
+  SELECT CASE WHEN c4 >= total THEN lo ELSE mid + 1 END, CASE WHEN c4 >= total THEN mid ELSE hi END, total
+  FROM (SELECT lo, hi, total, (lo + hi) // 2 AS mid FROM search WHERE lo < hi) s, {cuts}
+), least_ AS (SELECT lo AS mid FROM search WHERE lo = hi LIMIT 1),
+ends AS (SELECT c1, c2, c3, c4 FROM least_, {cuts})
+SELECT doc_id, n_chars, CAST((c1 < e)::INT + (c2 < e)::INT + (c3 < e)::INT AS INT) AS shard FROM p, ends"""
+
+    each = f"SELECT CAST(floor(sqrt(vec_id)) AS BIGINT) AS seq, vec_id % 5 <> 0 AS counts, {loss()} AS v FROM embeddings"
+    sql["sequence_loss"] = (
+        f"SELECT seq, round(coalesce(sum(v) FILTER (counts), 0), 6) AS loss, count(*) FILTER (counts) AS count FROM ({each}) GROUP BY seq"
+    )
+    sql["sequence_eval_loss"] = f"SELECT count(*) AS positions, round(avg(v), 6) AS eval_loss FROM ({each}) WHERE counts"
+
+    scaled = """WITH scales AS (
+  SELECT vec_id, b, list_max(list_transform(CAST(embedding[b * 16 + 1 : b * 16 + 16] AS DOUBLE[]), lambda v: abs(v))) AS s,
+    ((row_number() OVER (PARTITION BY b ORDER BY vec_id) - 1) * 4 + b) // 256 AS g
+  FROM embeddings, range(4) r(b)
+), mean AS (SELECT round(avg(s), 6) AS mean FROM scales),
+coded AS (
+  SELECT vec_id, b, mean, far, CAST(round(coalesce((s - mean) / nullif(far, 0), 0) * 127) AS INT) AS code
+  FROM (SELECT *, max(abs(s - mean)) OVER (PARTITION BY g) AS far FROM scales, mean)
+) """
+    sql["quantize_scales"] = scaled + "SELECT vec_id, CAST(b AS INT) AS block, code FROM coded"
+    sql["dequantize_scales"] = scaled + (
+        "SELECT vec_id, CAST(b AS INT) AS block, round(code / 127.0::DOUBLE * far + mean, 6) AS scale FROM coded"
+    )
+
+    sql["classifier_accuracy"] = f"""
+WITH RECURSIVE labelled AS (
+  SELECT doc_id, quality AS y, split, regexp_extract_all(text, {q(WORD)}) AS w FROM ({split_docs()}) JOIN labels USING (doc_id)
+), marked AS (
+  SELECT doc_id, y, row_number() OVER (ORDER BY {shuffle_key("doc_id")} DESC, doc_id DESC) <= 50 AS held,
+    list_filter(list_transform(labelled.w, lambda t: lower(trim(t))), lambda t: t <> '') AS words FROM labelled
+), cells AS (
+  SELECT doc_id, cell, count(*) / any_value(size) AS v
+  FROM (SELECT doc_id, len(words) AS size, CAST('0x' || substr(md5(unnest(words)), 1, 6) AS BIGINT) % 256 AS cell FROM marked)
+  GROUP BY doc_id, cell
+  UNION ALL SELECT doc_id, 256, 1 FROM marked
+), train AS (SELECT doc_id, y, cell, v FROM marked JOIN cells USING (doc_id) WHERE NOT held),
+size AS (SELECT count(*) AS n FROM marked WHERE NOT held),
+fit AS (
+  SELECT 0 AS t, list_transform(range(257), lambda i: 0.0::DOUBLE) AS w
+  UNION ALL
+  SELECT t + 1, list(nw ORDER BY cell) FROM (
+    SELECT t, all_cells.cell, any_value(w)[all_cells.cell + 1] - 20 * coalesce(sum(off * v), 0) / any_value(n) AS nw
+    FROM range(257) all_cells(cell) LEFT JOIN train USING (cell)
+    LEFT JOIN (
+      SELECT doc_id, 1 / (1 + exp(-sum(w[cell + 1] * v))) - any_value(y) AS off
+      FROM train, fit GROUP BY doc_id
+    ) USING (doc_id), fit, size WHERE t < 10 GROUP BY t, all_cells.cell
+  ) GROUP BY t
+), scored AS (
+  SELECT doc_id, any_value(y) AS y, round(sum(w[cell + 1] * v), 9) > 0 AS hit
+  FROM marked JOIN cells USING (doc_id), (SELECT w FROM fit WHERE t = 10) WHERE held GROUP BY doc_id
+)
+SELECT count(*) FILTER (hit = (y = 1)) AS correct, count(*) AS total,
+  round(count(*) FILTER (hit = (y = 1)) / count(*), 6) AS accuracy FROM scored"""
+    whole = docs_with(stream(keys)) + f"SELECT seq_id, input_ids FROM ({overlap(128)})"
+    sql["stored_share"] = f"""
+SELECT seq_id, input_ids FROM ({whole}), (SELECT count(*) AS n FROM ({whole}))
+WHERE seq_id >= 500 + (n - 500 + 3) // 4 AND seq_id < 500 + 2 * ((n - 500 + 3) // 4)"""
+    return sql
+
+
 def _naive_bayes(by_split: str) -> str:
     labelled = """(SELECT doc_id, quality AS label, text,
   row_number() OVER (ORDER BY {key} DESC, doc_id DESC) <= 50 AS held

@@ -29,6 +29,18 @@ def cross_entropy(logits: Column | str, label: Column | str, ignore: int | None
     return loss if ignore is None else F.when(label != ignore, loss)
 
 
+def sequence_loss(logits: Column | str, labels: Column | str, ignore: int = IGNORED_LABEL) -> Column:
+    """``struct<loss, count>`` of a sequence: the losses of its positions added up, and how many count.
+
+    ``logits`` has an array of scores for each position and ``labels`` a class; positions labelled ``ignore`` or null are left out.
+    Sums of both over rows of any length give the mean over positions.
+    """
+    both = F.zip_with(_col(logits), _col(labels), lambda x, y: cross_entropy(x, y, ignore))
+    known = F.filter(both, lambda v: v.isNotNull())
+    total = F.aggregate(known, F.lit(0.0), lambda a, v: a + v)
+    return F.struct(total.alias("loss"), F.size(known).cast("long").alias("count"))
+
+
 def argmax(logits: Column | str) -> Column:
     """Index of the largest score, the first one on ties."""
     x = _col(logits)

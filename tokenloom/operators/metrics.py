@@ -34,6 +34,12 @@ def eval_loss_reduced(
     ).withColumn("eval_loss", F.col("total_loss") / F.col("total_steps"))
 
 
+def eval_loss_by_position(df: DataFrame, loss: str = "loss") -> DataFrame:
+    """One row ``(positions, eval_loss)`` of :func:`~tokenloom.functions.losses.sequence_loss` structs, however long their rows."""
+    sums = df.agg(F.coalesce(F.sum(f"{loss}.count"), F.lit(0)).alias("positions"), F.sum(f"{loss}.loss").alias("total"))
+    return sums.select("positions", F.try_divide("total", "positions").alias("eval_loss"))
+
+
 def accuracy(df: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
     """One row ``(correct, total, accuracy)``."""
     hit = (F.col(prediction) == F.col(label)).cast("long")

@@ -6,10 +6,16 @@ of it is joined or shuffled.  Finding the cut is one bounded action.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.functions.hashing import KEY_DIGITS, shuffle_key
+from tokenloom.functions.permute import Permutation
+from tokenloom.operators.batches import with_ordinal
+from tokenloom.staging import stage
 
 SHUFFLE_KEY = "shuffle_key"
 CELL_BITS = 12
@@ -30,6 +36,30 @@ def epoch_order(df: DataFrame, key: str, seed: int, epochs: int) -> DataFrame:
     return numbered.withColumn(SHUFFLE_KEY, shuffle_key(key, seed, F.col("epoch")))
 
 
+def epoch_places(df: DataFrame, order_by: Sequence[str], seed: int, epochs: int) -> DataFrame:
+    """Every row once per epoch with its ``ordinal`` in the order and its ``place`` (both from 0) in that epoch.
+
+    Places are a formula of ordinals (see :class:`~tokenloom.functions.permute.Permutation`), so epochs cost no sort each.
+    """
+    placed = stage(with_ordinal(df, order_by), "ordinals")
+    n = placed.count()
+    each = [
+        placed.withColumns({"epoch": F.lit(e), "place": Permutation(n, seed, e).place(F.col("ordinal"))}) for e in range(epochs)
+    ]
+    return reduce(DataFrame.unionByName, each)
+
+
+def rows_at_places(placed: DataFrame, n: int, seed: int, epoch: int, start: int, end: int) -> DataFrame:
+    """The rows of places ``start`` to ``end - 1`` of an epoch, with their ``place``.
+
+    ``placed`` has the ``ordinal`` of its ``n`` rows, for instance as stored.  The ordinals are found by the inverse formula from
+    the places alone, so resuming inside an epoch orders nothing; the few that are wanted meet the rows by a join.
+    """
+    places = placed.sparkSession.range(max(0, start), max(0, start, min(end, n))).withColumnRenamed("id", "place")
+    wanted = places.withColumn("ordinal", Permutation(n, seed, epoch).position(F.col("place")))
+    return placed.join(wanted, "ordinal")
+
+
 def assign_split(df: DataFrame, key: str, n: int = 1000, seed: int = 42) -> DataFrame:
     """Add ``split``: the last ``n`` rows of the shuffled order are 'eval', the rest 'train'.
 

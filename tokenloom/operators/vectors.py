@@ -6,9 +6,16 @@ whole vectors from shard to shard expect one vector per shard, as it leaves them
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tokenloom.operators.batches import with_ordinal
+from tokenloom.operators.lookup import lookup
+from tokenloom.operators.ordering import div
+from tokenloom.staging import stage
+
 MOST_SHARDS = 10_000
 
 
@@ -109,6 +116,50 @@ def dequantize_vectors(df: DataFrame, block: int = 64, out: str = "embedding") -
     return df.withColumn(out, back).drop("codes", "scales")
 
 
+def quantize_scales(
+    coded: DataFrame, order_by: Sequence[str], per_vector: int, group: int = 256
+) -> tuple[DataFrame, DataFrame, float]:
+    """The second level: ``(coded, tops, mean)``, the scales as whole numbers from -127 to 127 in ``scale_codes``.
+
+    Scales are centred on their ``mean``.  ``per_vector`` of them belong to each vector, all are numbered in order (``ordinal`` is that of
+    the vector), and each run of ``group`` shares its largest distance from the mean, a row ``(group, far)`` of ``tops``.
+    Runs jobs: the mean, the numbering, and the staged tops.
+    """
+    mean = coded.select(F.explode("scales").alias("s")).agg(F.round(F.avg("s"), 6)).first()[0] or 0.0
+    placed = with_ordinal(coded, order_by)
+    groups = _groups("ordinal", per_vector, group)
+    far = F.arrays_zip(groups.alias("group"), F.transform("scales", lambda s: F.abs(s - mean)).alias("far"))
+    tops = stage(placed.select(F.explode(far).alias("x")).groupBy("x.group").agg(F.max("x.far").alias("far")), "tops")
+    named = _with_tops(placed, order_by, tops, per_vector, group)
+    codes = F.zip_with("scales", "far", lambda s, t: F.round(F.coalesce(F.try_divide(s - mean, t), F.lit(0.0)) * 127).cast("int"))
+    return named.withColumn("scale_codes", codes).drop("scales", "far"), tops, mean
+
+
+def dequantize_scales(
+    coded: DataFrame, order_by: Sequence[str], tops: DataFrame, mean: float, per_vector: int, group: int = 256
+) -> DataFrame:
+    """The way back: ``scales`` from their codes."""
+    named = _with_tops(coded, order_by, tops, per_vector, group)
+    back = F.zip_with("scale_codes", "far", lambda c, t: c / F.lit(127.0) * t + F.lit(mean))
+    return named.withColumn("scales", back).drop("scale_codes", "far", "ordinal")
+
+
+def _groups(ordinal: str, per_vector: int, group: int) -> Column:
+    """The group of each scale of a vector."""
+    first = F.col(ordinal) * per_vector
+    return F.transform(F.sequence(F.lit(0), F.lit(per_vector - 1)), lambda i: div(first + i, group))
+
+
+def _with_tops(placed: DataFrame, order_by: Sequence[str], tops: DataFrame, per_vector: int, group: int) -> DataFrame:
+    """Add ``far``, the top of each scale's group; a vector asks for the few groups it is in."""
+    groups = _groups("ordinal", per_vector, group)
+    asked = placed.select(*order_by, F.explode(F.array_distinct(groups)).alias("group"))
+    found = lookup(asked, tops, "group").groupBy(*order_by)
+    found = found.agg(F.map_from_entries(F.collect_list(F.struct("group", "far"))).alias("by_group"))
+    named = placed.join(found, list(order_by))
+    return named.withColumn("far", F.transform(groups, lambda g: F.element_at("by_group", g))).drop("by_group")
+
+
 def _nearest(v):
     """Code of the nearest level: how many midpoints between levels lie below the value.
 
