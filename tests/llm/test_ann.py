@@ -65,18 +65,84 @@ def test_edge_cases(spark):
 
 def test_probes_come_in_the_order_of_their_cost():
     rng = np.random.default_rng(1)
-    index = ann.Index(rng.normal(size=(ann.TABLES, ann.HASHES, 4)), rng.uniform(0, 2, (ann.TABLES, ann.HASHES)), 2.0, 1.0, 9)
+    hashes, width = 5, 2.0
+    index = ann.Index(rng.normal(size=(3, hashes, 4)), rng.uniform(0, width, (3, hashes)), width, ann.probe_moves(hashes, 3**hashes), {0: 1.0})
+    assert len(index.moves) == 3**hashes
     x = rng.normal(size=(5, 3))
-    home = ann.bucket_numbers(np.floor(index.places(x, True)).astype(np.int64))
-    assert np.array_equal(index.visited(x)[:, :, 0], home)
-    assert all(len(set(v)) == 9 for q in index.visited(x) for v in q)
+    place = index.places(x / ann.norms(x)[:, None], True)
+    moved, cost = index.crossed(place)
+    assert not moved[:, :, 0].any() and (np.diff(cost, axis=2) >= 0).all()
+    low = (place - np.floor(place))[:, :, None, :]
+    by_hand = np.where(moved < 0, low**2, np.where(moved > 0, (1 - low) ** 2, 0)).sum(axis=3)
+    assert np.allclose(cost, by_hand)
+    assert all(len({tuple(m) for m in t}) == 3**hashes for q in moved for t in q)
+
+
+def truth(x, asked):
+    out = []
+    for q in asked:
+        order = np.argsort(-(x @ q))[:21]
+        out.append(np.array([x[i] for i in order if not np.array_equal(x[i], q)])[:20])
+    return out
+
+
+def tops(x):
+    n = ann.norms(x)
+    return {int(k): float(n[ann.shell_of(n) == k].max()) for k in set(ann.shell_of(n).tolist())}
+
+
+def clusters(n, rng, width=64):
+    x = rng.normal(size=(100, width))[rng.integers(0, 100, n)] + 0.15 * rng.normal(size=(n, width))
+    return x / ann.norms(x)[:, None]
+
+
+def test_a_query_scores_a_fiftieth_of_clustered_vectors_also_beside_a_long_one():
+    rng = np.random.default_rng(5)
+    x = clusters(4_000, rng)
+    plain = ann.fit(x, x[:48], truth(x, x[:48]), tops(x))
+    assert plain.recall >= 0.94 and plain.share <= 0.02
+    x[3_999] *= 100
+    odd = ann.fit(x, x[:48], truth(x, x[:48]), tops(x))
+    assert odd.recall >= 0.94 and odd.share <= 0.02
+    other = x[3_000:3_100]  # queries the fit has not seen
+    met = (ann._ranks(odd.index, other, x) < len(odd.index.moves)).any(axis=1)
+    assert met.mean() <= 0.02
+
+
+def test_clustered_vectors_of_all_lengths(spark):
+    rng = np.random.default_rng(6)
+    x = clusters(3_000, rng, 16) * np.exp(rng.normal(size=(3_000, 1)))
+    x[17] *= 1e6
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(-1, [1.0]), (-3, [2.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got, want = found(spark, df), brute(rows[:3_000])
+    assert set(got) == set(want) and all(len(v) == 20 for v in got.values())
+    assert sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want) >= 0.9 * 20 * len(want)
+
+
+def one_bucket_each(monkeypatch):
+    """Settings under which a query meets next to nothing."""
+    monkeypatch.setattr(ann, "GRID", ((24, 0.01),))
+    monkeypatch.setattr(ann, "TABLES", (1,))
+    monkeypatch.setattr(ann, "PROBES", (1,))
+
+
+@pytest.mark.parametrize("fewest", [0.0, 0.92])
+def test_queries_that_find_too_few_are_compared_with_all(spark, monkeypatch, fewest):
+    one_bucket_each(monkeypatch)
+    monkeypatch.setattr(ann, "FEWEST_FOUND", fewest)
+    monkeypatch.setattr(ann, "CELL_QUERIES", 2)  # cells are repeated for parts of the queries
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(size=5).tolist()) for i in range(160)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got, want = found(spark, df), brute(rows)
+    assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in want.items()}
 
 
 def test_ties_go_to_the_smaller_id_also_where_a_block_or_cell_cuts(spark, monkeypatch):
     """0/1 vectors: far more than 21 different ones share the score at the border."""
-    monkeypatch.setattr(ann, "RECALL", 2.0)  # every bucket is visited
-    monkeypatch.setattr(ann, "HASHES", 2)
-    monkeypatch.setattr(ann, "WIDTH", 50.0)
+    monkeypatch.setattr(ann, "GRID", ((2, 50.0),))  # every bucket is visited
+    monkeypatch.setattr(ann, "PROBES", (9,))
     rng = np.random.default_rng(8)
     codes = rng.permutation(np.arange(1, 1 << 9))[:400]
     rows = [(i, [float(code >> j & 1) for j in range(9)]) for i, code in enumerate(codes.tolist())]

@@ -1,28 +1,34 @@
 """Nearest neighbours by inner product with multiprobe p-stable hashing.
 
-Vectors are lifted to one more dimension so that the largest inner product is the smallest distance.
-Each of ``TABLES`` tables hashes a vector by ``floor((a x + b) / w)`` for ``HASHES`` Gaussian ``a``.  A query
-visits its own bucket and perturbed ones (each hash moved by -1, 0 or 1) in the order of their estimated
-success, the sum of squared distances to the bucket borders crossed.  Candidates of all tables are
-ranked by the exact inner product in double precision, then by their smallest id, and merged; whatever ties with the last kept
-score of a block takes part in that ranking.
-
-How many buckets to visit is fitted on a bounded sample (``SAMPLE`` vectors) to ``RECALL``; every vector is indexed.
-In the sample the nearest are farther away than in the whole table, so recall there is a low estimate.
-
-Buckets are split into blocks of at most ``BLOCK`` vectors, and blocks dealt to cells by hash, so a hot bucket
-is many blocks.  Equal vectors are indexed once, with their smallest ids: more than ``nearest + 1`` of them can
-never be in a result.
+Vectors are dealt to shells by the power of two of their norm, divided by the largest norm of their shell, and lifted to one more
+dimension, so that within a shell the largest inner product is the smallest distance to the query's direction; a vector
+of 100 times the usual norm is a shell of its own and makes no other bucket coarser.  Each table hashes a vector by
+``floor((a x + b) / w)`` with Gaussian ``a``.  A query visits its own bucket and perturbed ones (hashes moved by -1 or 1), in
+every shell, in the order of their estimated success: the sum of squared distances to the bucket borders crossed.  Candidates of all tables
+are ranked by the exact inner product in double precision, then by their smallest id, and merged; whatever ties with the last
+kept score of a block takes part in that ranking.
+
+The number of hashes, their width, the tables and the probes are fitted together: of the settings in ``GRID`` that find ``RECALL`` of the
+true neighbours of ``ASKED_IN_FIT`` queries, the one with the least cost: the share of a bounded sample (``SAMPLE`` vectors) that is
+scored, and a little for each table and visit.  The true neighbours
+come from one pass over all vectors, so with more rows, whose nearest are nearer, finer buckets are chosen.  Every vector is indexed.
+Queries for which the visited buckets hold too few vectors, and all queries if no setting reaches ``FEWEST_FOUND``, are
+compared with all vectors, in blocks.
+
+Buckets are split into blocks of about ``BLOCK`` vectors, and blocks dealt to cells by hash, so a hot bucket
+is many blocks; a cell that more than ``CELL_QUERIES`` queries visit is repeated for parts of them.  Equal vectors are indexed once,
+with their smallest ids: more than ``nearest + 1`` of them can never be in a result.
 
 Edge cases: null ids, null, empty or zero vectors, vectors with null or non-finite components, and vectors of another length
-than the one with the smallest id take no part; a query has as many rows as there are candidates, if fewer than ``nearest``;
-ties go to the smaller id; a repeated row counts once, and rows of the query's own id are no candidates;
+than the commonest (the shorter of two equally common) take no part; a query has as many rows as there are candidates, if fewer
+than ``nearest``; ties go to the smaller id; a repeated row counts once, and rows of the query's own id are no candidates;
 an empty table gives an empty one; only the two named columns are read.
 """
 
 from __future__ import annotations
 
-import itertools
+import heapq
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,19 +37,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenloom.llm.common import column, map_arrow
+from tokenloom.operators.lookup import lookup
 from tokenloom.staging import stage
 
-TABLES = 4
-HASHES = 6
-WIDTH = 2.5
+#: Hashes of a table with widths in units of a shell's largest norm; numbers of tables and of probes.
+GRID = ((6, 1.8), (8, 0.9), (8, 1.8), (10, 1.8), (12, 0.9), (12, 2.2), (12, 2.6), (16, 1.0))
+TABLES, PROBES = (4, 8), (16, 64, 256, 1024)
+#: What a table and a visit cost, in shares of the vectors that a query scores.
+TABLE_COST, VISIT_COST = 0.002, 1 / 200_000
 NEAREST = 20
 SAMPLE = 4_096
-SAMPLE_QUERIES = 128
-RECALL = 0.96
+ASKED_IN_FIT = 64
+RECALL = 0.94
+FEWEST_FOUND = 0.92
 BLOCK = 2_048
-CELLS, CELL_ROWS = 64, 65_536
-#: Queries scored at once against a block, and pairs multiplied out exactly at once.
-ASKED, PAIRS = 256, 65_536
+CELLS, CELL_ROWS, CELL_QUERIES = 64, 65_536, 65_536
+#: Queries scored at once against a block, pairs multiplied out exactly at once, and queries probed at once.
+ASKED, PAIRS, PROBED = 256, 65_536, 32
 
 
 @dataclass(frozen=True)
@@ -53,38 +63,102 @@ class Index:
     directions: np.ndarray  # (tables, hashes, dimension + 1)
     offsets: np.ndarray  # (tables, hashes)
     width: float
-    norm: float
-    probes: int
+    moves: np.ndarray  # (probes, 2 * hashes): which of the ranked borders each probe crosses
+    shells: dict[int, float]  # largest norm of each shell
 
-    def lifted(self, x: np.ndarray, query: bool) -> np.ndarray:
-        rest = np.zeros(len(x)) if query else np.sqrt(np.maximum(self.norm**2 - (x * x).sum(axis=1), 0))
-        return np.column_stack([x, rest])
+    @property
+    def tables(self) -> int:
+        return len(self.directions)
 
-    def places(self, x: np.ndarray, query: bool) -> np.ndarray:
-        """Position of each vector in units of the bucket width: (vectors, tables, hashes)."""
-        return (np.einsum("nd,thd->nth", self.lifted(x, query), self.directions) + self.offsets) / self.width
+    def places(self, unit: np.ndarray, query: bool) -> np.ndarray:
+        """Position of each vector of the unit ball, lifted, in units of the bucket width: (vectors, tables, hashes)."""
+        rest = np.zeros(len(unit)) if query else np.sqrt(np.maximum(1 - (unit * unit).sum(axis=1), 0))
+        lifted = np.column_stack([unit, rest])
+        return (np.einsum("nd,thd->nth", lifted, self.directions, optimize=True) + self.offsets) / self.width
 
     def buckets(self, x: np.ndarray) -> np.ndarray:
-        return bucket_numbers(np.floor(self.places(x, False)).astype(np.int64))
-
-    def visited(self, x: np.ndarray, probes: int | None = None) -> np.ndarray:
-        """The buckets each query visits, likeliest first: (queries, tables, probes)."""
-        place = self.places(x, True)
-        home = np.floor(place)
-        low = place - home
-        moves = np.array(list(itertools.product((0, -1, 1), repeat=place.shape[2])))
-        cost = (low**2) @ (moves == -1).T + ((1 - low) ** 2) @ (moves == 1).T
-        best = np.argsort(cost, axis=2, kind="stable")[:, :, : probes or self.probes]
-        return bucket_numbers(home[:, :, None, :].astype(np.int64) + moves[best])
-
-
-def bucket_numbers(cells: np.ndarray) -> np.ndarray:
-    """One number for table and hash values; ``cells`` has the table on its second axis and hashes on its last."""
-    n = np.zeros(cells.shape[:-1], np.int64)
-    for j in range(cells.shape[-1]):
-        n = n * 512 + (cells[..., j] & 511)
+        """The bucket of each vector in each table."""
+        norm = norms(x)
+        shell = shell_of(norm)
+        top = np.array([self.shells[k] for k in shell.tolist()])
+        return bucket_numbers(np.floor(self.places(x / top[:, None], False)).astype(np.int64), shell)
+
+    def crossed(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Moves of the hashes, likeliest probe first, and their costs: (queries, tables, probes[, hashes])."""
+        low = place - np.floor(place)
+        near = np.minimum(low, 1 - low)
+        order = np.argsort(near, axis=2, kind="stable")
+        ranked = np.take_along_axis(near, order, 2)
+        borders = np.concatenate([ranked, 1 - ranked[:, :, ::-1]], axis=2) ** 2
+        cost = borders @ self.moves.T
+        best = np.argsort(cost, axis=2, kind="stable")
+        h = place.shape[2]
+        nearer = np.where(low <= 0.5, -1, 1)
+        way = np.take_along_axis(nearer, order, 2)
+        # By rank of the hash: 1 to the nearer border, -1 to the other.
+        by_rank = self.moves[:, :h].astype(np.int64) - self.moves[:, : h - 1 : -1].astype(np.int64)
+        step = by_rank[best] * way[:, :, None, :]
+        moved = np.zeros_like(step)
+        np.put_along_axis(moved, np.broadcast_to(order[:, :, None, :], step.shape), step, 3)
+        return moved, np.take_along_axis(cost, best, 2)
+
+    def visited(self, x: np.ndarray) -> np.ndarray:
+        """The buckets each query visits in one shell after the other: (queries, tables, shells x probes)."""
+        place = self.places(x / norms(x)[:, None], True)
+        cells = np.floor(place).astype(np.int64)[:, :, None, :] + self.crossed(place)[0]
+        each = [bucket_numbers(cells, np.full(len(x), k)) for k in sorted(self.shells)]
+        return np.concatenate(each, axis=2)
+
+
+def norms(x: np.ndarray) -> np.ndarray:
+    """Euclidean lengths, also of components whose squares a double cannot hold."""
+    largest = np.abs(x).max(axis=1)
+    return largest * np.sqrt(((x / largest[:, None]) ** 2).sum(axis=1))
+
+
+def shell_of(norm: np.ndarray) -> np.ndarray:
+    """The power of two nearest to a norm; unit vectors, rounded or not, share a shell."""
+    return np.rint(np.log2(norm)).astype(np.int64)
+
+
+def bucket_numbers(cells: np.ndarray, shell: np.ndarray) -> np.ndarray:
+    """One number for shell, table and hash values; ``cells`` has the table on its second axis and hashes on its last.
+
+    Numbers that happen to be equal only join two buckets.
+    """
     tables = np.arange(cells.shape[1]).reshape([1, -1] + [1] * (cells.ndim - 3))
-    return n * 16 + tables
+    n = np.broadcast_to(shell.reshape([-1] + [1] * (cells.ndim - 2)) * 64 + tables, cells.shape[:-1]).astype(np.uint64)
+    for j in range(cells.shape[-1]):
+        n = (n ^ cells[..., j].astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        n ^= n >> np.uint64(29)
+    return n.view(np.int64)
+
+
+def probe_moves(hashes: int, probes: int) -> np.ndarray:
+    """Sets of ranked borders by rising expected cost, the empty one first; none has both borders of a hash.
+
+    Ranks 0 to ``hashes - 1`` are the nearer borders, nearest first; the border across from rank ``j`` is ``2 * hashes - 1 - j``.
+    The expected squares are those of uniform places.
+    """
+    m = hashes
+    j = np.arange(1, m + 1)
+    near = j * (j + 1) / (4 * (m + 1) * (m + 2))
+    far = (1 - j / (m + 1) + j * (j + 1) / (4 * (m + 1) * (m + 2)))[::-1]
+    z = np.concatenate([near, far])
+    out = [()]
+    heap = [(z[0], (0,))]
+    while heap and len(out) < probes:
+        cost, chosen = heapq.heappop(heap)
+        if not {2 * m - 1 - r for r in chosen} & set(chosen):
+            out.append(chosen)
+        last = chosen[-1]
+        if last + 1 < 2 * m:
+            heapq.heappush(heap, (cost - z[last] + z[last + 1], (*chosen[:-1], last + 1)))
+            heapq.heappush(heap, (cost + z[last + 1], (*chosen, last + 1)))
+    moves = np.zeros((len(out), 2 * m))
+    for i, chosen in enumerate(out):
+        moves[i, list(chosen)] = 1
+    return moves
 
 
 def best_of(scores: np.ndarray, n: int) -> np.ndarray:
@@ -92,42 +166,94 @@ def best_of(scores: np.ndarray, n: int) -> np.ndarray:
     return np.argpartition(-scores, n - 1, axis=1)[:, :n] if scores.shape[1] > n else np.tile(np.arange(scores.shape[1]), (len(scores), 1))
 
 
-def fit(sample: np.ndarray, norm: float, nearest: int = NEAREST, seed: int = 7) -> Index:
-    """Hash functions, and as few probes as give ``RECALL`` on the sample."""
-    rng = np.random.default_rng(seed)
-    directions = rng.normal(size=(TABLES, HASHES, sample.shape[1] + 1))
-    width = WIDTH * norm
-    index = Index(directions, rng.uniform(0, width, (TABLES, HASHES)), width, norm, 1)
-    queries = sample[:SAMPLE_QUERIES]
-    scores = queries @ sample.T
-    scores[np.arange(len(queries)), np.arange(len(queries))] = -np.inf
-    true = best_of(scores, min(nearest, max(1, len(sample) - 1)))
-    home = index.buckets(sample)
-    probes = 8
-    while probes < 3**HASHES:
-        visited = index.visited(queries, probes)
-        found = np.zeros((len(queries), len(sample)), bool)
-        for t in range(TABLES):
-            for i in range(len(queries)):
-                found[i] |= np.isin(home[:, t], visited[i, t])
-        if np.take_along_axis(found, true, axis=1).mean() >= RECALL:
-            break
-        probes *= 2
-    return Index(directions, index.offsets, width, norm, min(probes, 3**HASHES))
+def _ranks(index: Index, asked: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The probe that meets each vector, for each query and table; the number of probes if none does."""
+    home, visited = index.buckets(x), index.visited(asked)
+    probes = len(index.moves)
+    out = np.full((len(asked), index.tables, len(x)), probes, np.int32)
+    for q in range(len(asked)):
+        for t in range(index.tables):
+            order = np.argsort(visited[q, t], kind="stable")
+            numbers = visited[q, t][order]
+            at = np.minimum(np.searchsorted(numbers, home[:, t]), len(numbers) - 1)
+            hit = numbers[at] == home[:, t]
+            out[q, t, hit] = order[at[hit]] % probes
+    return out
+
+
+@dataclass(frozen=True)
+class Fit:
+    index: Index
+    recall: float  # of the true neighbours of the queries asked in the fit
+    share: float  # of the sample that a query scores
+
+
+def fit(sample: np.ndarray, asked: np.ndarray, near: list[np.ndarray], shells: dict[int, float], seed: int = 7) -> Fit:
+    """The least cost that reaches ``RECALL``, or else the most recall; ``near`` has each query's true neighbours."""
+    best = None
+    sizes = np.array([len(v) for v in near])
+    true = np.concatenate([v for v in near if len(v)]) if sizes.sum() else sample[:0]
+    owner = np.repeat(np.arange(len(asked)), sizes)
+    for hashes, width in GRID:
+        rng = np.random.default_rng([seed, hashes])
+        directions = rng.normal(size=(max(TABLES), hashes, sample.shape[1] + 1))
+        moves = probe_moves(hashes, max(PROBES))
+        index = Index(directions, rng.uniform(0, width, (max(TABLES), hashes)), width, moves, shells)
+        scored = _ranks(index, asked, sample)
+        found = _ranks(index, asked, true)[owner, :, np.arange(len(true))] if len(true) else np.zeros((0, max(TABLES)), int)
+        for tables in TABLES:
+            least, least_true = scored[:, :tables].min(axis=1), found[:, :tables].min(axis=1)
+            for probes in PROBES:
+                reach = min(probes, len(moves))
+                recall = float((least_true < reach).mean()) if len(true) else 1.0
+                share = float((least < reach).mean())
+                enough = recall >= RECALL
+                cost = share + TABLE_COST * tables + VISIT_COST * tables * reach * len(shells)
+                rank = (not enough, cost if enough else -recall)
+                if best is None or rank < best[0]:
+                    used = Index(directions[:tables], index.offsets[:tables], width, moves[:reach], shells)
+                    best = rank, Fit(used, recall, share)
+    return best[1]
+
+
+def _nearest_of_few(vectors: DataFrame, asked: np.ndarray, nearest: int) -> list[np.ndarray]:
+    """The true nearest vectors of a bounded number of queries: one pass over all vectors."""
+    schema = "query int, best array<struct<loss:double,rep:bigint>>"
+
+    def batch(b: pa.RecordBatch) -> pa.RecordBatch:
+        score = asked @ _matrix(b.column("vec")).T
+        reps = b.column("rep").to_numpy()
+        top = best_of(score, nearest + 1)
+        lists = [[{"loss": -float(score[q, i]), "rep": int(reps[i])} for i in top[q]] for q in range(len(asked))]
+        kind = pa.list_(pa.struct([("loss", pa.float64()), ("rep", pa.int64())]))
+        return pa.RecordBatch.from_arrays([pa.array(range(len(asked)), pa.int32()), pa.array(lists, kind)], ["query", "best"])
+
+    each = map_arrow(vectors.select("rep", "vec"), batch, schema).select("query", F.explode("best").alias("b"))
+    by = Window.partitionBy("query").orderBy("b")
+    few = each.withColumn("n", F.row_number().over(by)).filter(F.col("n") <= nearest + 1).select("query", "b.rep")
+    rows = few.join(vectors.select("rep", "vec"), "rep").collect()  # ASKED_IN_FIT x (nearest + 1) at most
+    out: list[list] = [[] for _ in asked]
+    for r in rows:
+        if not np.array_equal(r.vec, asked[r.query]):
+            out[r.query].append(r.vec)
+    return [np.array(v, float).reshape(-1, asked.shape[1]) for v in out]
 
 
 def valid_vectors(df: DataFrame, key: str, vector: str) -> DataFrame:
     """``(id, vec)`` of the vectors that take part."""
-    vec = column(vector).cast("array<double>")
+    # Single precision stays so until it is multiplied, which halves what is shuffled.
+    single = dict(df.dtypes)[vector] == "array<float>"
+    vec = column(vector).cast("array<float>" if single else "array<double>")
     rows = df.select(column(key).cast("long").alias("id"), vec.alias("vec")).filter("id IS NOT NULL AND vec IS NOT NULL")
     sound = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists("vec", lambda x: x != 0)
     rows = rows.filter(sound)
-    length = rows.agg(F.min_by(F.size("vec"), "id")).first()[0] or 0
+    sizes = rows.groupBy(F.size("vec").alias("size")).count()
+    length = sizes.agg(F.max_by("size", F.struct("count", -F.col("size")))).first()[0] or 0
     return rows.filter(F.size("vec") == length)
 
 
 def _matrix(column_: pa.ListArray) -> np.ndarray:
-    return column_.flatten().to_numpy().reshape(len(column_), -1)
+    return column_.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column_), -1)
 
 
 def _indexed(vectors: DataFrame, index: Index) -> DataFrame:
@@ -135,26 +261,29 @@ def _indexed(vectors: DataFrame, index: Index) -> DataFrame:
 
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
         numbers = index.buckets(_matrix(b.column("vec")))
-        ends = np.arange(0, numbers.size + 1, TABLES, dtype=np.int32)
+        ends = np.arange(0, numbers.size + 1, index.tables, dtype=np.int32)
         return pa.RecordBatch.from_arrays(
             [b.column("rep"), b.column("first"), b.column("vec"), pa.ListArray.from_arrays(ends, numbers.ravel())],
             ["rep", "first", "vec", "buckets"],
         )
 
     named = vectors.select("rep", F.col("ids")[0].alias("first"), "vec")
-    hashed = map_arrow(named, batch, "rep long, first long, vec array<double>, buckets array<bigint>")
+    hashed = map_arrow(named, batch, f"rep long, first long, vec {dict(vectors.dtypes)['vec']}, buckets array<bigint>")
     return hashed.select("rep", "first", "vec", F.explode("buckets").alias("bucket"))
 
 
 def _probes(queries: DataFrame, index: Index) -> DataFrame:
     """``(query, bucket)`` of all visited buckets."""
 
-    def batch(b: pa.RecordBatch) -> pa.RecordBatch:
-        numbers = index.visited(_matrix(b.column("vec"))).reshape(b.num_rows, -1)
-        ends = np.arange(0, numbers.size + 1, numbers.shape[1], dtype=np.int32)
-        return pa.RecordBatch.from_arrays([b.column("query"), pa.ListArray.from_arrays(ends, numbers.ravel())], ["query", "buckets"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, PROBED):
+                part = b.slice(at, PROBED)
+                numbers = index.visited(_matrix(part.column("vec"))).reshape(part.num_rows, -1)
+                ends = np.arange(0, numbers.size + 1, numbers.shape[1], dtype=np.int32)
+                yield pa.RecordBatch.from_arrays([part.column("query"), pa.ListArray.from_arrays(ends, numbers.ravel())], ["query", "buckets"])
 
-    return map_arrow(queries, batch, "query long, buckets array<bigint>").select("query", F.explode("buckets").alias("bucket"))
+    return queries.mapInArrow(run, "query long, buckets array<bigint>").select("query", F.explode("buckets").alias("bucket"))
 
 
 def _block_best(asked: np.ndarray, vectors: np.ndarray, first: np.ndarray, reps: np.ndarray, n: int):
@@ -230,40 +359,40 @@ def _search_cell(nearest: int):
     return search
 
 
-def search(df: DataFrame, queries: Column, key: str = "vec_id", vector: str = "embedding", nearest: int = NEAREST, seed: int = 7) -> DataFrame:
-    """``(query_id, rank, vec_id, score)``: each query's ``nearest`` by inner product.
-
-    ``queries`` is a condition on the column ``id`` that says which rows are queries.  Runs jobs: the distinct vectors, their number and
-    largest norm, the sample, and the bucket sizes.
-    """
-    rows = valid_vectors(df, key, vector).distinct()
-    among = Window.partitionBy("vec").orderBy("id")
-    few = rows.withColumn("n", F.row_number().over(among)).filter(F.col("n") <= nearest + 1)
-    vectors = few.groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("ids")).withColumn("rep", F.col("ids")[0])
-    # One id may stand for several vectors: a number of its own for each vector.
-    vectors = stage(vectors.withColumn("rep", F.xxhash64("rep", "vec")), "vectors")
-    norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))
-    total, largest = vectors.agg(F.count(F.lit(1)), F.max(norm)).first()
-    schema = "query_id long, rank int, vec_id long, score double"
-    if not total:
-        return df.sparkSession.createDataFrame([], schema)
-    sample = vectors.orderBy("rep").limit(SAMPLE).select("vec").collect()
-    index = fit(np.array([r.vec for r in sample]), largest, nearest, seed)
-    asked = stage(rows.filter(queries).select(F.xxhash64("id", "vec").alias("query"), "id", "vec"), "queries")
-
-    indexed = stage(_indexed(vectors, index), "indexed")
+def _blocks(vectors: DataFrame, asked: DataFrame, index: Index, cells: int) -> tuple[DataFrame, DataFrame]:
+    """``(rep, first, vec, block, cell)`` of all tables, and ``(query, cell, blocks)`` of the blocks that queries visit."""
+    indexed = _indexed(vectors, index)
     sizes = indexed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     sizes = stage(sizes.select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts")), "buckets")
-    cells = int(max(CELLS, total * TABLES // CELL_ROWS))
-    cell = F.pmod(F.xxhash64("block"), F.lit(cells)).alias("cell")
-    part = F.pmod(F.xxhash64("rep"), "parts")
-    left = indexed.join(sizes, "bucket").select("rep", "first", "vec", F.xxhash64("bucket", part).alias("block")).select("*", cell)
-    visits = _probes(asked.select("query", "vec"), index).join(sizes, "bucket")
+    split = sizes.filter("parts > 1")  # the only buckets that vectors need to look up
+    part = F.pmod(F.xxhash64("rep"), F.coalesce("parts", F.lit(1)))
+    left = lookup(indexed, split, "bucket").select("rep", "first", "vec", F.xxhash64("bucket", part.cast("long")).alias("block"))
+    visits = lookup(_probes(asked.select("query", "vec"), index), sizes, "bucket").filter("parts IS NOT NULL")
     part = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)).alias("part")
-    visits = visits.select("query", "bucket", part).select("query", F.xxhash64("bucket", "part").alias("block")).select("*", cell)
-    visits = visits.groupBy("query", "cell").agg(F.collect_list("block").alias("blocks"))
-    right = visits.join(asked.select("query", "vec"), "query")
-    found = left.groupBy("cell").cogroup(right.groupBy("cell")).applyInArrow(
+    visits = visits.select("query", "bucket", part).select("query", F.xxhash64("bucket", "part").alias("block"))
+    cell = F.pmod(F.xxhash64("block"), F.lit(cells)).alias("cell")
+    return left.select("*", cell), visits.select("*", cell).groupBy("query", "cell").agg(F.collect_list("block").alias("blocks"))
+
+
+def _everything(vectors: DataFrame, asked: DataFrame, cells: int) -> tuple[DataFrame, DataFrame]:
+    """The same for queries that are to be compared with all vectors: each cell is one block."""
+    cell = F.pmod(F.xxhash64("rep"), F.lit(cells))
+    left = vectors.select("rep", F.col("ids")[0].alias("first"), "vec", cell.alias("block"), cell.alias("cell"))
+    every = asked.select("query", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(cells - 1).cast("long"))).alias("cell"))
+    return left, every.select("query", "cell", F.array("cell").alias("blocks"))
+
+
+def _ranked(vectors: DataFrame, asked: DataFrame, left: DataFrame, visits: DataFrame, nearest: int) -> DataFrame:
+    """``(query, query_id, rank, vec_id, score)`` from blocks and the queries that visit them."""
+    visits = stage(visits, "visits")
+    load = visits.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / CELL_QUERIES).cast("int").alias("turns"))
+    load = stage(load.filter("turns > 1"), "cells")
+    turns = F.coalesce("turns", F.lit(1))
+    turn = F.explode(F.sequence(F.lit(0), turns - 1)).alias("turn")
+    left = lookup(left, load, "cell").select("rep", "first", "vec", "block", "cell", turn)
+    turn = F.pmod(F.xxhash64("query"), turns).cast("int").alias("turn")
+    right = lookup(visits, load, "cell").select("query", "cell", "blocks", turn).join(asked.select("query", "vec"), "query")
+    found = left.groupBy("cell", "turn").cogroup(right.groupBy("cell", "turn")).applyInArrow(
         _search_cell(nearest), "query long, best array<struct<loss:double,first:long,rep:long>>"
     )
     # At most (nearest + 1) entries from each cell a query visits.
@@ -274,4 +403,49 @@ def search(df: DataFrame, queries: Column, key: str = "vec_id", vector: str = "e
     each = each.select("query", "query_id", "score", F.explode("ids").alias("vec_id")).filter("vec_id <> query_id")
     by = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     ranked = each.withColumn("rank", F.row_number().over(by)).filter(F.col("rank") <= nearest)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    return ranked.select("query", "query_id", "rank", "vec_id", "score")
+
+
+def fitted(vectors: DataFrame, nearest: int = NEAREST, seed: int = 7) -> Fit:
+    """The fit for ``(rep, vec)``: the shells of all vectors, a sample, and the true neighbours of its first few."""
+    sample = np.array([r.vec for r in vectors.orderBy("rep").limit(SAMPLE).select("vec").collect()])
+
+    def shells(b: pa.RecordBatch) -> pa.RecordBatch:
+        norm = norms(_matrix(b.column("vec")))
+        return pa.RecordBatch.from_arrays([pa.array(shell_of(norm)), pa.array(norm)], ["shell", "norm"])
+
+    top = map_arrow(vectors.select("vec"), shells, "shell long, norm double").groupBy("shell").agg(F.max("norm").alias("norm"))
+    tops = {r.shell: r.norm for r in top.collect()}  # one for each power of two
+    asked = sample[:ASKED_IN_FIT]
+    return fit(sample, asked, _nearest_of_few(vectors, asked, nearest), tops, seed)
+
+
+def search(df: DataFrame, queries: Column, key: str = "vec_id", vector: str = "embedding", nearest: int = NEAREST, seed: int = 7) -> DataFrame:
+    """``(query_id, rank, vec_id, score)``: each query's ``nearest`` by inner product.
+
+    ``queries`` is a condition on the column ``id`` that says which rows are queries.  Runs jobs: the distinct vectors, the
+    fit, the bucket sizes, the visits, the neighbours found, and those of queries whose buckets hold too few.
+    """
+    rows = valid_vectors(df, key, vector).distinct()
+    among = Window.partitionBy("vec").orderBy("id")
+    few = rows.withColumn("n", F.row_number().over(among)).filter(F.col("n") <= nearest + 1)
+    vectors = few.groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("ids")).withColumn("rep", F.col("ids")[0])
+    # One id may stand for several vectors: a number of its own for each vector.
+    vectors = stage(vectors.withColumn("rep", F.xxhash64("rep", "vec")), "vectors")
+    total, held = vectors.agg(F.count(F.lit(1)), F.sum(F.size("ids"))).first()
+    if not total:
+        return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    asked = stage(rows.filter(queries).select(F.xxhash64("id", "vec").alias("query"), "id", "vec"), "queries")
+    plan = fitted(vectors, nearest, seed)
+    columns = ["query_id", "rank", "vec_id", "score"]
+    if plan.recall < FEWEST_FOUND:
+        every = _everything(vectors, asked, int(max(CELLS, total // CELL_ROWS)))
+        return _ranked(vectors, asked, *every, nearest).select(columns)
+    cells = int(max(CELLS, total * plan.index.tables // CELL_ROWS))
+    found = stage(_ranked(vectors, asked, *_blocks(vectors, asked, plan.index, cells), nearest), "neighbours")
+    full = found.groupBy("query").count().filter(F.col("count") >= min(nearest, held - 1))
+    short = stage(asked.join(full, "query", "left_anti"), "short")
+    if short.isEmpty():
+        return found.select(columns)
+    rest = _ranked(vectors, short, *_everything(vectors, short, int(max(CELLS, total // CELL_ROWS))), nearest)
+    return found.join(full, "query", "left_semi").unionByName(rest).select(columns)
