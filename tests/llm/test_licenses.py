@@ -2,9 +2,11 @@ import math
 import re
 from collections import Counter
 
+import duckdb
 from pyspark.sql import functions as F
 
 from tokenloom.llm import licenses as L
+from tokenloom.llm import queries
 
 MIT, APACHE = L.TEMPLATES[1][1], L.TEMPLATES[2][1]
 
@@ -31,7 +33,9 @@ def brute(rows):
         low = (text or "").lower()
         units = [u for u in {low, *low.split("\n"), *re.split(r"\n[ \t]*\n", low)} if re.search(L.CUE, u)]
         score, name = max(map(best, units), default=(0.0, None))
-        whole = best(low)[0] if re.search(L.CUE, low) else 0.0
+        every = re.findall(L.TERM, low)
+        full = len(every) >= L.FILE_WORDS and L.STRANGE * sum(t not in vocabulary for t in every) <= len(every)
+        whole = best(low)[0] if full and re.search(L.CUE, low) else 0.0
         named = bool(re.search(L.LICENCE_FILE, (path or "").rsplit("/", 1)[-1]))
         is_file = (named and score >= L.HEADER) or whole >= L.FILE
         own.append((path, name if score >= L.HEADER or is_file else None, score, is_file and path is not None))
@@ -103,3 +107,25 @@ def test_headers_that_are_no_template(spark):
     got = {r.path: r for r in L.scan(spark.createDataFrame(rows, "path string, text string")).collect()}
     assert {line: got[f"d{i}/x.py"].own_licence for i, line in enumerate(want)} == want
     assert not got["d0/x.py"].licence_file
+
+
+def test_a_short_text_with_a_notice_licenses_nothing_and_sql_states_the_notices(spark, tmp_path):
+    texts = [
+        "Released under the MIT License.", "a line of prose\nThis work is licensed under the GNU General Public License, version 3.",
+        "no notice at all", "SPDX-License-Identifier: MIT\nx = 1", "# SPDX-License-Identifier: (MIT OR Apache-2.0)", "MIT License",
+        "Licensed under the GNU LGPL v2.1", "This software is released under the MIT License, see LICENSE.txt.", "SPDX-License-Identifier: Made-Up-9.9",
+        "The licence of the town ran out", "isc", "/* SPDX-License-Identifier: GPL-2.0-only WITH Linux-syscall-note */", None, "",
+    ]
+    full = [(20, L.TEMPLATES[1][1], "en", "lib"), (21, "words", "en", "lib")]
+    rows = [(i, t, "en", "src") for i, t in enumerate(texts)] + full
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.queries()["op1_license_scans"](spark, str(tmp_path))
+    names = got.columns
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    sql = con.execute(queries.oracle_sql()["op1_license_scans"])
+    order = [[d[0] for d in sql.description].index(c) for c in names]
+    assert sorted(map(str, (tuple(r[i] for i in order) for r in sql.fetchall()))) == sorted(str(tuple(r)) for r in got.collect())
+    licence = {r.path: (r.licence_file, r.licence) for r in got.collect()}
+    assert licence["src/en/3"] == (False, "MIT") and licence["src/en/2"] == (False, None) and licence["src/en/8"] == (False, None)
+    assert licence["lib/en/20"] == (True, "MIT") and licence["lib/en/21"] == (False, "MIT")

@@ -9,7 +9,8 @@ file's own licence.
 A line that is nothing but an SPDX tag, a licence's title or a sentence that puts something under a licence (``NOTICES``) is exact and
 scores 1; it counts as its file's header, not towards ``FILE``.  An SPDX expression is kept whole; one with an unknown name is no notice.
 
-A file is a licence file if it is named like one, or if its whole text reaches ``FILE``.  Any other file without a
+A file is a licence file if it is named like one, or if its whole text is a licence: it reaches ``FILE``, has ``FILE_WORDS`` words or
+more, and at most one in ``STRANGE`` of them is in no template.  Any other file without a
 licence of its own takes that of its nearest ancestor directory with a licence file (found by joining directories with the paths
 of their ancestors; several licence files: highest score, then first name).
 
@@ -53,6 +54,7 @@ TERM = "[a-z0-9]+(?:[.+-][a-z0-9]+)*"
 LICENCE_FILE = r"(?i)^(licen[sc]e|copying|unlicen[sc]e)([._-].*)?$"
 HEADER = 0.7
 FILE = 0.6
+FILE_WORDS, STRANGE = 30, 10
 
 _V2, _V21, _V3 = (rf",?[ ](?:version[ ]|v\.?[ ]?)?{v}(?:[ ]only|[ ]or[ ](?:any[ ])?later(?:[ ]versions?)?)?" for v in (r"2(?:\.0)?", r"2\.1", r"3(?:\.0)?"))
 _GPL = r"(?:(?:gnu[ ])?general[ ]public[ ]licen[sc]e|gnu[ ]gpl|gpl)"
@@ -161,7 +163,7 @@ def notices(files: DataFrame) -> DataFrame:
 
 
 def scores(files: DataFrame) -> DataFrame:
-    """``(a, b, licence, score, whole)``: best template of any unit, and the whole text's best score."""
+    """``(a, b, licence, score, whole)``: best template of any unit, and the best score of a whole text that is a licence."""
     idf, unseen = inverse_frequencies(files)
     idf = stage(idf, "idf")
     weight = {r.term: r.idf for r in idf.collect()}  # one row for each template term
@@ -174,7 +176,9 @@ def scores(files: DataFrame) -> DataFrame:
     terms = units.groupBy("a", "b", "unit", "term").agg(F.count(F.lit(1)).alias("tf")).join(F.broadcast(table), "term", "left")
     w = F.col("tf") * F.coalesce("idf", F.lit(unseen))
     dots = [F.sum(w * F.col("parts")[i]).alias(f"d{i}") for i in range(len(TEMPLATES))]
-    sums = terms.groupBy("a", "b", "unit").agg(F.sum(w * w).alias("square"), *dots)
+    words, strange = F.sum("tf"), F.sum(F.when(F.col("idf").isNull(), F.col("tf")).otherwise(0))
+    full = ((words >= FILE_WORDS) & (strange * STRANGE <= words)).alias("full")
+    sums = terms.groupBy("a", "b", "unit").agg(F.sum(w * w).alias("square"), full, *dots)
     best = F.array_max(
         F.array(
             *[
@@ -183,10 +187,10 @@ def scores(files: DataFrame) -> DataFrame:
             ]
         )
     )
-    found = sums.select("a", "b", "unit", best.alias("best"))
+    found = sums.select("a", "b", "unit", "full", best.alias("best"))
     exact = F.struct(F.lit(1.0).alias("score"), "licence").alias("best")
-    found = found.unionByName(notices(files).select("a", "b", F.lit(-1).alias("unit"), exact))
-    whole = F.max(F.when(F.col("unit") == 0, F.col("best.score")))
+    found = found.unionByName(notices(files).select("a", "b", F.lit(-1).alias("unit"), F.lit(False).alias("full"), exact))
+    whole = F.max(F.when((F.col("unit") == 0) & F.col("full"), F.col("best.score")))
     return found.groupBy("a", "b").agg(F.max("best").alias("best"), whole.alias("whole")).select(
         "a", "b", "best.licence", "best.score", "whole"
     )

@@ -185,8 +185,36 @@ FROM measured
 """
 
 
+def _notice_sql() -> str:
+    """The licence of a line that is a notice and nothing else."""
+
+    def text(pattern: str) -> str:
+        return pattern.replace("'", "''")
+
+    marks, under, rest = text(licenses._MARKS), text(licenses._UNDER), text(licenses._REST)
+    named = "\n".join(
+        f"""    WHEN (regexp_matches(line, '^{marks}(?:the[ ])?(?:{p})[ .]*{marks}$') AND regexp_matches(line, 'licen[sc]e'))
+      OR regexp_matches(line, '^{marks}{under}(?:{p})(?:[ ]licen[sc]e)?{rest}[ .]*{marks}$') THEN '{name}'"""
+        for name, p in licenses.NOTICES
+    )
+    spelling = ", ".join(f"'{n.lower()}': '{n}'" for n in licenses.SPDX)
+    return rf"""SELECT r, coalesce(
+    CASE WHEN len(tag) > 0 AND len(list_filter(tag, lambda x: x IS NULL)) = 0
+      THEN replace(replace(array_to_string(tag, ' '), '( ', '('), ' )', ')') END,
+    CASE
+{named}
+    END) AS licence
+  FROM (
+    SELECT r, line, list_transform(
+      list_filter(regexp_split_to_array(regexp_replace(regexp_extract(line, '{text(licenses._TAG)}', 1), '([()])', ' \1 ', 'g'), ' +'), lambda x: x <> ''),
+      lambda x: CASE WHEN x IN ('(', ')') THEN x ELSE MAP {{{spelling}}}[x] END) AS tag
+    FROM (SELECT DISTINCT r, unnest(string_split(low, chr(10))) AS line FROM d WHERE regexp_matches(low, '{licenses.NOTICE_CUE}'))
+    WHERE regexp_matches(line, '{licenses.NOTICE_CUE}')
+  )"""
+
+
 def _license_sql() -> str:
-    """Cosine of every line, paragraph and whole text with a cue to each template; all paths here are dir/dir/name."""
+    """Cosine of every line, paragraph and whole text with a cue to each template, and notices; all paths here are dir/dir/name."""
     rows = [
         f"({i}, '{name}', '{term}', {n})"
         for i, ((name, _), counts) in enumerate(zip(licenses.TEMPLATES, licenses.template_terms(), strict=True))
@@ -213,17 +241,24 @@ found AS (
 ')),
     lambda x: regexp_matches(x, '{licenses.CUE}'))))) AS u
   FROM d WHERE regexp_matches(low, '{licenses.CUE}')
+), notices AS (
+  {_notice_sql()}
 ), numbered AS (SELECT r, u = low AS whole, u, row_number() OVER () AS k FROM units),
 terms AS (
   SELECT r, whole, k, term, count(*) AS tf
   FROM (SELECT r, whole, k, unnest(regexp_extract_all(u, '{licenses.TERM}')) AS term FROM numbered) GROUP BY ALL
 ), weighed AS (
-  SELECT r, whole, k, term, tf * coalesce(idf, ln(docs + 1) + 1) AS w FROM terms LEFT JOIN idf USING (term), total
-), lengths AS (SELECT k, sqrt(sum(w * w)) AS length FROM weighed GROUP BY k),
-cosines AS (
-  SELECT r, whole, licence, round(sum(w * n * idf) / (any_value(length) * any_value(norm)), 6) AS score
+  SELECT r, whole, k, term, tf, idf IS NULL AS strange, tf * coalesce(idf, ln(docs + 1) + 1) AS w FROM terms LEFT JOIN idf USING (term), total
+), lengths AS (
+  SELECT k, sqrt(sum(w * w)) AS length,
+    sum(tf) >= {licenses.FILE_WORDS} AND {licenses.STRANGE} * coalesce(sum(tf) FILTER (strange), 0) <= sum(tf) AS is_long
+  FROM weighed GROUP BY k
+), cosines AS (
+  SELECT r, whole AND any_value(is_long) AS whole, licence, round(sum(w * n * idf) / (any_value(length) * any_value(norm)), 6) AS score
   FROM weighed JOIN tpl USING (term) JOIN idf USING (term) JOIN norms USING (t, licence) JOIN lengths USING (k)
   GROUP BY r, whole, k, t, licence
+  UNION ALL
+  SELECT r, false, licence, 1.0 FROM notices WHERE licence IS NOT NULL
 ), best AS (
   SELECT r, licence, score, max(CASE WHEN whole THEN score END) OVER (PARTITION BY r) AS whole FROM cosines
   QUALIFY row_number() OVER (PARTITION BY r ORDER BY score DESC, licence DESC) = 1
