@@ -1,7 +1,10 @@
+import math
 import random
+import re
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tokenloom.llm import toxicity
@@ -41,10 +44,57 @@ def test_held_out_accuracy_and_located_sentences(fitted):
 
 def test_noisy_or_is_one_minus_the_product():
     z = np.array([-2.0, 0.5, -1.0])
-    assert toxicity.noisy_or(z) == pytest.approx(1 - np.prod(1 - 1 / (1 + np.exp(-z))))
+    clean = np.exp(-toxicity.LEAK) * np.prod(1 - 1 / (1 + np.exp(-z)))
+    assert toxicity.noisy_or(z) == pytest.approx(1 - clean)
+    assert toxicity.noisy_or(z, 0.6) == pytest.approx(1 - np.exp(-toxicity.LEAK))
+
+
+def plain_score(text, weights, bias, floor):
+    """The score of a text from the formula, sentence by sentence and word by word."""
+    words = []
+    for sentence in re.findall(r"[^.!?\n]+[.!?]*", text or ""):
+        found = [m[0] for m in re.finditer(r"\w+", sentence.lower())]
+        long = len(sentence) > 2 * toxicity.LONGEST
+        words += [found[i : i + toxicity.LONGEST] for i in range(0, len(found), toxicity.LONGEST)] if long else [found] * bool(found)
+    total = toxicity.LEAK
+    for sentence in words:
+        z = bias
+        for word in set(sentence):
+            parts = {"w" + word} | ({"4" + word[:4], "5" + word[:5]} if len(word) > 3 else set())
+            z += sum(float(weights[xxhash.xxh32_intdigest(p) >> (32 - toxicity.BITS)]) for p in parts)
+        total += max(0.0, math.log1p(math.exp(min(z, 700))) - math.log1p(math.exp(floor)))
+    return 1 - math.exp(-total)
+
+
+def test_scores_equal_the_plain_formula(spark, fitted):
+    rows, docs, (weights, bias, floor) = fitted
+    more = [(9_001, None), (9_002, ""), (9_003, "Idiot word1, " * 500 + "!! scum? ..."), (9_004, "é idiot\nword2")]
+    asked = docs.unionByName(spark.createDataFrame(more, "doc_id long, text string"))
+    want = {i: plain_score(t, weights, bias, floor) for i, t in [r[:2] for r in rows] + more}
+    got = {r.doc_id: r.score for r in toxicity.score(asked, (weights, bias, floor)).collect()}
+    assert got.keys() == want.keys()
+    assert all(got[i] == pytest.approx(want[i], abs=1e-5) for i in want)
+
+
+def test_the_last_round_lowers_the_objective_of_the_scores(spark, fitted, monkeypatch):
+    """Negative log likelihood of the very scores, toxic documents weighted up, plus the decay of the weights."""
+    rows, docs, _ = fitted
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    clean = sum(1 - y for _, _, y in rows)
+    balance = clean / (len(rows) - clean)
+
+    def objective(model):
+        p = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+        loss = sum(-balance * math.log(p[i]) if y else -math.log1p(-min(p[i], 1 - 1e-12)) for i, _, y in rows)
+        return loss / (2 * clean) + toxicity.DECAY / 2 * float((model[0].astype(float) ** 2).sum())
+
+    after = objective(toxicity.fit(docs, labels))
+    monkeypatch.setattr(toxicity, "LAST_TURNS", 0)
+    assert after < objective(toxicity.fit(docs, labels))
 
 
-def test_gradient_equals_differences():
+@pytest.mark.parametrize("floor", [-np.inf, -0.3])
+def test_gradient_equals_differences(floor):
     import pyarrow as pa
 
     rng = np.random.default_rng(1)
@@ -59,11 +109,11 @@ def test_gradient_equals_differences():
         total = 0.0
         for y, i, s in zip([1, 0, 0], ids, sizes, strict=True):
             z = [v[4] + sum(v[k] for k in i[sum(s[:j]) : sum(s[: j + 1])]) for j in range(len(s))]
-            a = np.logaddexp(0, z).sum() if z else 0.0
+            a = toxicity.LEAK + sum(max(0.0, np.logaddexp(0, x) - np.logaddexp(0, floor)) for x in z)
             total += -3.0 * np.log(-np.expm1(-a)) if y else a
         return total
 
-    g = toxicity.gradient(b, w[:4], w[4], 3.0)
+    g = toxicity.gradient(b, w[:4], w[4], 3.0, floor)
     for k in range(5):
         e = np.eye(5)[k] * 1e-6
         assert g[k] == pytest.approx((loss(w + e) - loss(w - e)) / 2e-6, rel=1e-4, abs=1e-6)
@@ -79,7 +129,7 @@ def test_edge_cases(spark, fitted):
     assert toxicity.score(docs.limit(0), model).count() == 0
     none = spark.createDataFrame([], "doc_id long, toxic int")
     flat = toxicity.score(docs, toxicity.fit(docs, none)).collect()
-    assert all(r.score < 1e-9 for r in flat)
+    assert all(r.score == pytest.approx(-np.expm1(-toxicity.LEAK)) for r in flat)
 
 
 def test_length_neither_makes_nor_hides_an_insult(spark, fitted):

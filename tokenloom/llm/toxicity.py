@@ -1,17 +1,22 @@
 """Toxicity by multiple-instance learning: labels are for documents, scores for sentences.
 
-A sentence's score is a logistic function of the weights of its words; a document is toxic if any of its
-sentences is (noisy-or).  Long sentences are judged in parts of ``LONGEST`` words.  Weights are never negative, so no
-word hides another, and a sentence counts for what exceeds the background, the ``BACKGROUND`` quantile of the clean training
-sentences, so clean sentences do not add up to a toxic text.  Weights are fitted to document labels by full-batch gradient descent: the training
-documents' features are a staged table, each turn is one job that sums gradients by partition, and the driver
+A sentence's logit is the sum of the weights of its words; it counts for what its -log(1 - p) exceeds that of the
+background, and a document is toxic if any of its sentences is (noisy-or with a small leak)::
+
+    P(toxic) = 1 - exp(-(LEAK + sum of excess))      excess = max(0, softplus(logit) - softplus(background))
+
+Long sentences are judged in parts of ``LONGEST`` words.  Weights are never negative, so no word hides another, and clean
+sentences below the background do not add up to a toxic text.  Weights are fitted to document labels by full-batch
+gradient descent, in two rounds: ``TURNS`` turns without a background, which is then set to the ``BACKGROUND`` quantile of
+the clean training sentences, and ``LAST_TURNS`` turns on the likelihood above, the one that scores are taken from.  The
+training documents' features are a staged table, each turn is one job that sums gradients by partition, and the driver
 holds one weight vector of fixed size.  The fitted sentence scores then locate the offending sentences.
 
 The fit reads at most ``MOST_TRAINING`` documents of each label, those whose ids have the smallest hashes.
 
-Edge cases: a null or empty text has no sentence, and gets the score of a blank one; documents with several labels
+Edge cases: a null or empty text has no sentence, and gets the score of the leak alone; documents with several labels
 count as toxic if any label says so, null labels and ids are no labels; without both labels all
-scores are 0; repeated rows get equal scores; an empty table gives an empty one.
+scores are those of the leak; repeated rows get equal scores; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -29,8 +34,10 @@ from tokenloom.staging import stage
 
 BITS = 18
 MOST_TRAINING = 4_000
-TURNS = 40
-RATE = 0.05
+TURNS, LAST_TURNS = 40, 15
+RATE, LAST_RATE = 0.05, 0.02
+#: What the noisy-or has besides the sentences; it bounds the pull of a toxic document without any excess.
+LEAK = 1e-3
 DECAY = 1e-4
 #: A feature counts if so many training documents have it.
 FEWEST_DOCUMENTS = 3
@@ -79,16 +86,16 @@ def logits(text: str, words: dict[str, float], bias: float) -> tuple[list[tuple[
     return spans, np.array(z, float)
 
 
-def noisy_or(z: np.ndarray) -> float:
-    """Probability that any sentence is toxic: 1 - prod(1 - p)."""
-    return float(-np.expm1(-np.logaddexp(0, z).sum()))
-
-
 def excess(z: np.ndarray, floor: float) -> np.ndarray:
     """What each sentence's -log(1 - p) exceeds that of a sentence with the logit ``floor`` by."""
     return np.maximum(np.logaddexp(0, z) - np.logaddexp(0, floor), 0.0)
 
 
+def noisy_or(z: np.ndarray, floor: float = -np.inf) -> float:
+    """Probability that any sentence is toxic: 1 - prod(1 - p) over what exceeds the background, and the leak."""
+    return float(-np.expm1(-(LEAK + excess(z, floor).sum())))
+
+
 # --- fit ----------------------------------------------------------------------
 
 
@@ -123,17 +130,17 @@ def _sums(per: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return total[ends] - total[ends - sizes]
 
 
-def gradient(b: pa.RecordBatch, weights: np.ndarray, bias: float, balance: float) -> np.ndarray:
-    """Gradient of the negative log likelihood over one batch, the bias last."""
+def gradient(b: pa.RecordBatch, weights: np.ndarray, bias: float, balance: float, floor: float = -np.inf) -> np.ndarray:
+    """Gradient of the negative log likelihood over one batch, the bias last; ``floor`` is the background's logit."""
     ids, _ = _flat(b.column("ids"))
     sizes, per_doc = _flat(b.column("sizes"))
     y = b.column("y").to_numpy()
     z = bias + _sums(weights[ids], sizes)
-    soft = np.logaddexp(0, z)
-    whole = np.maximum(_sums(soft, per_doc), 1e-12)
-    # d(-log P(y)) / d(sum of softplus): 1 for clean documents, -1 / (exp(sum) - 1) for toxic ones.
+    over = excess(z, floor)
+    whole = LEAK + np.maximum(_sums(over, per_doc), 0.0)
+    # d(-log P(y)) / d(sum of excess): 1 for clean documents, -1 / (exp(sum) - 1) for toxic ones.
     pull = np.where(y == 1, -balance / np.expm1(np.minimum(whole, 50.0)), 1.0)
-    by_sentence = np.repeat(pull, per_doc) / (1 + np.exp(-z))
+    by_sentence = np.where(over > 0, np.repeat(pull, per_doc) / (1 + np.exp(-z)), 0.0)
     out = np.bincount(ids, np.repeat(by_sentence, sizes), len(weights))
     return np.append(out, by_sentence.sum())
 
@@ -185,22 +192,36 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     prior = PRIOR * counts[1] / (counts[0] + counts[1])
     odds = np.log((toxic + prior) / (counts[1] + PRIOR)) - np.log((clean + PRIOR - prior) / (counts[0] + PRIOR))
     state = np.append(np.where(known[:-1], np.maximum(odds, 0.0), 0.0), BLANK_LOGIT)
-    mean, square = np.zeros(size + 1), np.zeros(size + 1)
-    for turn in range(1, TURNS + 1):
-        shared = docs.sparkSession.sparkContext.broadcast(state.astype(np.float32))
-        g = _summed(train, lambda b, s=shared: gradient(b, s.value[:-1], float(s.value[-1]), balance)) * scale
+    state = _turned(train, state, known, balance, scale, -np.inf, TURNS, RATE)
+    floor = _background(train, state)
+    state = _turned(train, state, known, balance, scale, floor, LAST_TURNS, LAST_RATE)
+    return state[:-1].astype(np.float32), float(state[-1]), floor
+
+
+def _turned(train: DataFrame, state: np.ndarray, known: np.ndarray, balance: float, scale: float, floor: float, turns: int, rate: float):
+    """Weights and bias after so many turns of gradient descent with moments, one job each."""
+    context = train.sparkSession.sparkContext
+    mean, square = np.zeros(len(state)), np.zeros(len(state))
+    for turn in range(1, turns + 1):
+        shared = context.broadcast(state.astype(np.float32))
+        g = _summed(train, lambda b, s=shared: gradient(b, s.value[:-1], float(s.value[-1]), balance, floor)) * scale
         shared.unpersist()
         g = np.where(known, g + DECAY * np.append(state[:-1], 0.0), 0.0)
         mean, square = 0.9 * mean + 0.1 * g, 0.99 * square + 0.01 * g * g
         step = (mean / (1 - 0.9**turn)) / (np.sqrt(square / (1 - 0.99**turn)) + 1e-5)
-        state = state - RATE * (1 - 0.5 * turn / TURNS) * step
+        state = state - rate * (1 - 0.5 * turn / turns) * step
         state[:-1] = np.maximum(state[:-1], 0.0)
+    return state
+
+
+def _background(train: DataFrame, state: np.ndarray) -> float:
+    """The ``BACKGROUND`` quantile of the clean training sentences' logits; that of a blank one if there is none."""
     weights, bias = state[:-1].astype(np.float32), float(state[-1])
-    shared = docs.sparkSession.sparkContext.broadcast(weights)
+    shared = train.sparkSession.sparkContext.broadcast(weights)
     seen = np.cumsum(_summed(train.filter("y = 0"), lambda b: _logit_counts(b, shared.value, bias)))
     if not seen[-1]:
-        return weights, bias, bias
-    return weights, bias, float(np.searchsorted(seen, BACKGROUND * seen[-1]) + 1) / FINE - LIMIT
+        return bias
+    return float(np.searchsorted(seen, BACKGROUND * seen[-1]) + 1) / FINE - LIMIT
 
 
 def _logit_counts(b: pa.RecordBatch, weights: np.ndarray, bias: float) -> np.ndarray:
@@ -244,10 +265,9 @@ def score(docs: DataFrame, model, key: str = "doc_id", text: str = "text") -> Da
         scores, n, bad = [], [], []
         for t in b.column("text").to_pylist():
             spans, z = logits(t or "", words, bias)
-            over = excess(z if len(z) else np.array([bias]), floor)
-            scores.append(float(-np.expm1(-over.sum())))
+            scores.append(noisy_or(z, floor))
             n.append(len(spans))
-            each = -np.expm1(-over)
+            each = -np.expm1(-excess(z, floor))
             at = np.flatnonzero(each >= 0.5) if len(z) else []
             bad.append([{"start": spans[i][0], "end": spans[i][1], "score": float(each[i])} for i in at])
         arrays = [b.column("id"), pa.array(scores, pa.float64()), pa.array(n, pa.int64()), pa.array(bad, pa.list_(span))]
