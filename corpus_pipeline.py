@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tokenloom.llm import bpe, mixing, near, pii, rules
 from tokenloom.llm.queries import TOKENIZER
-from tokenloom.staging import staging_root
+from tokenloom.staging import released, staging_root
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,10 +52,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``, each written as Parquet in the shared folder and read again."""
+    """Apply the stages to ``documents``, each written as Parquet in the shared folder and read again.
+
+    Tables that a stage staged for itself are deleted once its rows are written; the stages' rows stay.
+    """
     folder = f"{staging_root(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        with released():
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
     return docs
