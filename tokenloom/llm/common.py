@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 JAVA_WORD = r"[^\x20\x09-\x0D]+"
 ROW = "row"
+#: Bytes of texts that ``map_arrow`` hands on at once.
+SLICE_BYTES = 4 << 20
 
 
 def column(name: str) -> Column:
@@ -95,17 +97,34 @@ def window_hashes(words: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
 
 
 def map_arrow(df: DataFrame, batch: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table], schema) -> DataFrame:
-    """Map each Arrow batch; a row's result depends on the row alone unless ``batch`` says otherwise."""
+    """Map each Arrow batch, in slices of about ``SLICE_BYTES`` of text, so that few rows are Python objects at a time.
+
+    A row's result depends on the row alone.  At its end a task gives unused memory back, as its worker goes on to other tasks.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if b.num_rows:
-                out = batch(b)
+            for part in slices(b):
+                out = batch(part)
                 yield from out.to_batches() if isinstance(out, pa.Table) else [out]
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
 
+def slices(b: pa.RecordBatch, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of a batch with about ``most`` bytes in its text and binary columns, or one row."""
+    texts = [c for c in b.columns if pa.types.is_string(c.type) or pa.types.is_binary(c.type)]
+    sizes = [pc.fill_null(pc.binary_length(c), 0).to_numpy(zero_copy_only=False).astype(np.int64) for c in texts]
+    ends = np.cumsum(np.sum(sizes, axis=0)) if sizes else np.zeros(b.num_rows, np.int64)
+    start = 0
+    while start < b.num_rows:
+        before = ends[start - 1] if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield b.slice(start, end - start)
+        start = end
+
+
 def byte_parts(array: pa.Array, most: int = 4 << 20) -> Iterator[list[bytes]]:
     """The texts of a column as UTF-8, in consecutive parts of about ``most`` bytes, or of one text.
 
