@@ -89,10 +89,13 @@ def line_fails(line: bytes, words: list[bytes], ended: bool = False) -> bool:
 
 
 def ended_later(lines: list[bytes], split: list[list[bytes]]) -> list[bool]:
-    """For each line, whether a later one of the same paragraph (up to a line without words) has a sentence mark."""
+    """For each line, whether a later one of the same paragraph (up to a line without words) has a sentence mark.
+
+    A line without words is of no paragraph.
+    """
     out, later = [False] * len(lines), False
     for i in reversed(range(len(lines))):
-        out[i] = later
+        out[i] = later and bool(split[i])
         later = bool(split[i]) and (later or has_mark(lines[i]))
     return out
 
