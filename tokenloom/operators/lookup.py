@@ -103,7 +103,8 @@ def range_lookup(
     known = known.select(by, F.col(key).alias(keys), F.col(value).alias(found))
     both = deal(rows.unionByName(known, allowMissingColumns=True))
     each = spread(both).withColumn(key, F.coalesce(key, keys))
-    within = Window.partitionBy(by, key)
+    # The hash comes first, because the sort tells most rows apart by a number in its first column.
+    within = Window.partitionBy(F.xxhash64(by, key), by, key)
     named = each.withColumn(value, F.max(found).over(within)).filter(F.col(keys).isNull()).drop(keys, found)
     if head is None:
         return named

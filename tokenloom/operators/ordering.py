@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import json
 import math
+from bisect import bisect_left
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
@@ -24,6 +25,7 @@ SAMPLES_PER_BUCKET = 24
 SMALLEST_BUCKET = 50_000
 LARGEST_BUCKET = 1 << 26
 MOST_BUCKETS = 100_000
+TREE = 1_000
 
 
 @dataclass(frozen=True)
@@ -57,11 +59,29 @@ class KeyRanges:
     def column(self) -> Column:
         """Bucket number of a row: how many cut points are <= its key.
 
-        The cut points are searched in two levels, so a row costs about
-        ``2 * sqrt(buckets)`` comparisons.
+        The first column is compared along a tree of plain numbers.  Only rows that equal a cut point in it, or all
+        where it is no plain number, are compared with whole keys.
         """
         if not self.bounds:
             return F.lit(0)
+        first = sorted({b[0] for b in self.bounds})
+        if len(first) > TREE or not isinstance(self.kinds[0], _PLAIN):
+            return self._searched()
+        c, kind, heads = self.columns()[0], _comparable_type(self.kinds[0]), sorted(b[0] for b in self.bounds)
+
+        def tree(low: int, high: int) -> Column:
+            """For a first column between the cut points ``low - 1`` and ``high`` (those excluded); -1 if it equals one."""
+            if low == high:
+                return F.lit(bisect_left(heads, first[low]) if low < len(first) else len(heads))
+            mid = (low + high) // 2
+            at = F.lit(first[mid]).cast(kind)
+            return F.when(c < at, tree(low, mid)).when(c > at, tree(mid + 1, high)).otherwise(-1)
+
+        found = tree(0, len(first))
+        return F.when(c.isNotNull() & (found >= 0), found).otherwise(self._searched())
+
+    def _searched(self) -> Column:
+        """The cut points are searched in two levels, so a row costs about ``2 * sqrt(buckets)`` comparisons."""
         block = math.isqrt(len(self.bounds)) + 1
         key = self.key()
         every = self.literal(self.bounds)
@@ -101,6 +121,10 @@ class KeyRanges:
         return F.from_json(F.lit(json.dumps(keys, ensure_ascii=False, default=str)), f"array<{kind}>")
 
 
+# Types whose comparison is one of Java numbers (floats are left out, for NaN).
+_PLAIN = (
+    T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType,
+)
 _AS_THEY_ARE = (
     T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.StringType, T.DecimalType,
 )

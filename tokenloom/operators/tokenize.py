@@ -6,8 +6,10 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tokenloom.functions.tokens import split_tokens
+from tokenloom.functions.tokens import split_tokens, text_lengths
+from tokenloom.operators import blocks
 from tokenloom.operators.lookup import BROADCAST_BYTES, fits_broadcast, head_of, lookup, range_lookup
 from tokenloom.operators.vocab import token_id
 
@@ -17,7 +19,7 @@ RANGE = "range"
 
 def token_lengths(df: DataFrame, text: str = "text", specials: Sequence[str] = ()) -> DataFrame:
     """Add ``n``, the number of tokens, straight from the text (no vocabulary needed)."""
-    return df.withColumn("n", F.size(split_tokens(text, specials)))
+    return df.withColumn("n", text_lengths(text, specials))
 
 
 def encode(
@@ -29,34 +31,33 @@ def encode(
     keep: Sequence[str] = (),
     unk: str = UNK,
     out: str = "input_ids",
-    laid_out: bool = False,
     small: bool | None = None,
     unk_id: int | None = None,
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``(key, keep, out)``: the ids of each text; a token without an id gets that of ``unk``.
 
-    ``key`` identifies a row.  Rows are moved once, as text, before the tokens are
-    spread out, and the ids are put together where they are.  A vocabulary of at most ``limit`` bytes is
-    broadcast; of a larger one the most frequent tokens are, and the others are looked up as in
-    :func:`encode_in_ranges`.  Pass ``laid_out=True`` if the frame is already partitioned by some of the
-    ``key`` and ``keep`` columns and the vocabulary is small.  ``small`` and ``unk_id`` save looking them up again.
+    The rows of one ``key`` count as one, their ids by position and then id.  Texts are not moved: see :mod:`blocks`.  A vocabulary of
+    at most ``limit`` bytes is broadcast, a larger one is joined with the distinct tokens of blocks of rows; with a
+    ``limit`` below one row nothing is broadcast, and texts are encoded as in :func:`encode_in_ranges`.
+    ``small`` and ``unk_id`` save looking them up again.  Runs jobs: the numbered tokens are staged.
     """
     columns = [*key, *keep]
     table = vocab.select("token", F.col("id").alias("token_id"))
     unk_id = token_id(vocab, unk) if unk_id is None else unk_id
     if small is None:
         small = fits_broadcast(table, limit)
-    rows = df.select(*columns, text)
-    if not small:
+    if not small and head_of(table, "token_id", limit) is None:
         parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        placed = rows.withColumn(RANGE, F.pmod(F.xxhash64(*key), F.lit(parts)).cast("int"))
+        placed = df.select(*columns, text).withColumn(RANGE, F.pmod(F.xxhash64(*key), F.lit(parts)).cast("int"))
         deal = lambda d: d.repartition(parts, RANGE)
         return encode_in_ranges(placed, vocab, columns, RANGE, deal, text, specials, unk_id, out, limit)
-    if not laid_out:
-        rows = rows.repartition(*key)
-    named = lookup(_tokens(columns, text, specials)(rows), table, "token", small)
-    return _collected(named, columns, unk_id, out)
+    number = blocks.numbered_tokens(specials)
+    rows, keys = blocks.numbered(df, columns, text, number, blocks.keys_of_texts, T.StringType())
+    named = keys.withColumnRenamed("key", "token").join(F.broadcast(table) if small else table, "token", "left")
+    known = named.select(blocks.BLOCK, blocks.CODE, F.coalesce("token_id", F.lit(unk_id)).alias(blocks.VALUE))
+    ids = blocks.exchanged(rows, known, columns, out)
+    return blocks.merged(ids, columns, out) if blocks.keys_repeat(rows, columns) else ids
 
 
 def encode_in_ranges(
@@ -112,8 +113,15 @@ def decode_tokens(
 ) -> DataFrame:
     """``(key, pos, token_id, token)``: one row per id."""
     table = vocab.select(F.col("id").alias("token_id"), "token")
-    named = _named(df, table, key, ids, "token", limit, together=False)
-    return named.filter("pos IS NOT NULL").select(*key, "pos", "token_id", "token")
+    if fits_broadcast(table, limit):
+        rows = df.select(*key, F.posexplode_outer(ids).alias("pos", "token_id")).filter("pos IS NOT NULL")
+        return lookup(rows, table, "token_id", True).select(*key, "pos", "token_id", "token")
+    # The id goes with its token: one lookup gives both.
+    pair = F.struct(F.col("key").alias("token_id"), "token")
+    rows, keys = blocks.numbered(df, key, ids, blocks.numbered_ids, blocks.keys_of_lists, T.IntegerType())
+    named = keys.join(table, F.col("key") == F.col("token_id"), "left").select(blocks.BLOCK, blocks.CODE, pair.alias(blocks.VALUE))
+    tokens = blocks.exchanged(rows, named, key, "tokens").select(*key, F.posexplode("tokens").alias("pos", "t"))
+    return tokens.select(*key, "pos", "t.token_id", "t.token")
 
 
 def decode(
@@ -125,32 +133,14 @@ def decode(
     out: str = "text",
     limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """``(key, out)``: the text of each id sequence.  Vocabularies over ``limit`` bytes as in :func:`encode`."""
-    table = vocab.select(F.col("id").alias("token_id"), F.struct("token", "special").alias("entry"))
-    named = _named(df, table, key, ids, "entry", limit)
-    wanted = F.col("entry.token").isNotNull()
-    if skip_special:
-        wanted = wanted & ~F.col("entry.special")
-    return (
-        named.groupBy(*key)
-        .agg(F.sort_array(F.collect_list(F.when(wanted, F.struct("pos", "entry.token")))).alias("e"))
-        .select(*key, F.array_join(F.col("e.token"), "").alias(out))
-    )
-
-
-def _named(
-    df: DataFrame, table: DataFrame, key: Sequence[str], ids: str, value: str, limit: int, together: bool = True
-) -> DataFrame:
-    """One row for each id with what the table says of it; ``together`` has the rows of a key in one partition."""
-
-    def spread(rows: DataFrame) -> DataFrame:
-        more = [c for c in rows.columns if c not in key and c != ids]
-        return rows.select(*key, *more, F.posexplode_outer(ids).alias("pos", "token_id"))
-
-    rows = df.select(*key, ids)
-    if fits_broadcast(table, limit):
-        return lookup(spread(rows.repartition(*key) if together else rows), table, "token_id", True)
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = rows.withColumn(RANGE, F.pmod(F.xxhash64(*key), F.lit(parts)).cast("int"))
-    head = head_of(table, "token_id", limit)
-    return range_lookup(placed, spread, table, "token_id", value, RANGE, lambda d: d.repartition(parts, RANGE), head)
+    """``(key, out)``: the text of each id sequence.  Vocabularies over ``limit`` bytes are not broadcast; see :mod:`blocks`."""
+    table = vocab.select(F.col("id").alias("token_id"), "token", "special")
+    small = fits_broadcast(table, limit)
+    token = F.when(~F.col("special"), F.col("token")) if skip_special else F.col("token")
+    rows, keys = blocks.numbered(df, key, ids, blocks.numbered_ids, blocks.keys_of_lists, T.IntegerType())
+    named = keys.withColumnRenamed("key", "token_id").join(F.broadcast(table) if small else table, "token_id", "left")
+    known = named.select(blocks.BLOCK, blocks.CODE, token.alias(blocks.VALUE))
+    if not blocks.keys_repeat(rows, key):
+        return blocks.exchanged(rows, known, key, out, together=True)
+    tokens = blocks.merged(blocks.exchanged(rows, known, key, out), key, out)
+    return tokens.withColumn(out, F.array_join(out, ""))

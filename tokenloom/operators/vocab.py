@@ -2,28 +2,47 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.functions.hashing import normal_hash
-from tokenloom.functions.tokens import split_tokens
+from tokenloom.functions.tokens import token_arrays
 from tokenloom.operators.ordering import key_ranges, running_total
 from tokenloom.staging import spread, stage
 
+COUNTED_BYTES = 24 << 20
 VOCAB_SCHEMA = "id INT, token STRING, special BOOLEAN"
 
 
 def token_counts(df: DataFrame, text: str = "text", specials: Sequence[str] = ()) -> DataFrame:
     """``(token, n)`` over a corpus; special tokens are not counted.
 
-    The outer form of explode, because the inner one has Spark split every text twice
-    (once more for an inferred non-empty filter, before the rows are spread).
+    A task hands on the sums of runs of about ``COUNTED_BYTES`` of text, not a row for each occurrence.
     """
-    tokens = spread(df.select(text)).select(F.explode_outer(split_tokens(text, specials)).alias("token"))
-    tokens = tokens.filter(F.col("token").isNotNull() & ~F.col("token").isin(list(specials)))
-    return tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    specials = tuple(specials)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for batch in batches:
+            held.append(pc.fill_null(batch.column(0), ""))
+            if sum(pc.sum(pc.binary_length(a)).as_py() or 0 for a in held) > COUNTED_BYTES:
+                yield from summed(held)
+                held = []
+        yield from summed(held)
+
+    def summed(held: list[pa.Array]) -> Iterator[pa.RecordBatch]:
+        found = pc.value_counts(token_arrays(pa.concat_arrays(held), specials)[0]) if held else None
+        if found is not None and len(found):
+            counts = pa.table({"token": found.field("values"), "n": found.field("counts")})
+            yield from counts.to_batches(max_chunksize=1 << 16)
+
+    parts = spread(df.select(text)).mapInArrow(count, "token STRING, n LONG")
+    parts = parts.filter(~F.col("token").isin(list(specials))) if specials else parts
+    return parts.groupBy("token").agg(F.sum("n").alias("n"))
 
 
 def build_vocab(df: DataFrame, text: str = "text", specials: Sequence[str] = ()) -> DataFrame:

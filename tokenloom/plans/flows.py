@@ -11,10 +11,10 @@ from tokenloom.functions.prompts import prompt_full
 from tokenloom.functions.sequences import with_bos, with_eos
 from tokenloom.operators.bigram import eval_ngram, text_pair_counts
 from tokenloom.operators.lookup import BROADCAST_BYTES, fits_broadcast
-from tokenloom.operators.ordering import BUCKET, div
+from tokenloom.operators.ordering import div
 from tokenloom.operators.packing import pack_overlap
 from tokenloom.operators.splits import SHUFFLE_KEY, assign_split
-from tokenloom.operators.tokenize import encode, encode_in_ranges, token_lengths
+from tokenloom.operators.tokenize import encode, token_lengths
 from tokenloom.operators.vocab import build_vocab, token_ids, vocab_size
 from tokenloom.staging import spread, stage
 
@@ -35,12 +35,11 @@ def pack_corpus(
     limit: int = BROADCAST_BYTES,
     **packer_args,
 ) -> DataFrame:
-    """Encode texts and pack the ids, moving each text once; a vocabulary over ``limit`` bytes is not broadcast.
+    """Encode texts and pack the ids; a vocabulary over ``limit`` bytes is not broadcast.
 
-    The length of every sequence is known from its text alone.  So the lengths are
-    staged first (key and one number per row), the stream is laid out from them, and
-    the texts go straight to the key range in which their ids are looked up, put in
-    order and packed.
+    The length of every sequence is known from its text alone.  The lengths and the ids are
+    staged, the stream is laid out from the lengths (key and one number per row), and the ids
+    go to their key range once, where they are put in order and packed.
     """
     marks = [m for m in (UNK, bos, eos) if m is not None]
     known = token_ids(vocab, marks)
@@ -48,21 +47,12 @@ def pack_corpus(
     texts = df.select(*order_by, text)
     sizes = token_lengths(spread(texts), text, specials)
     sizes = stage(sizes.select(*order_by, (F.col("n") + len(marks) - 1).alias("n")), "lengths")
-
-    def encoder(placed: DataFrame, deal: Callable[[DataFrame], DataFrame]) -> DataFrame:
-        if small:
-            ids = encode(
-                deal(placed), vocab, order_by, text, specials, [BUCKET],
-                out="ids", laid_out=True, small=True, unk_id=known[UNK],
-            )
-        else:
-            columns = [*order_by, BUCKET]
-            ids = encode_in_ranges(placed, vocab, columns, BUCKET, deal, text, specials, known[UNK], "ids", limit)
-        if bos is not None:
-            ids = ids.withColumn("ids", with_bos("ids", known[bos]))
-        return ids if eos is None else ids.withColumn("ids", with_eos("ids", known[eos]))
-
-    return packer(texts, order_by, sizes=sizes, encoder=encoder, **packer_args)
+    ids = encode(texts, vocab, order_by, text, specials, small=small, unk_id=known[UNK], limit=limit)
+    if bos is not None:
+        ids = ids.withColumn("input_ids", with_bos("input_ids", known[bos]))
+    if eos is not None:
+        ids = ids.withColumn("input_ids", with_eos("input_ids", known[eos]))
+    return packer(stage(ids, "ids"), order_by, sizes=sizes, **packer_args)
 
 
 def pack_instructions(instructions: DataFrame, length: int, **args) -> DataFrame:
