@@ -57,6 +57,19 @@ def keys_of_lists(array: pa.Array) -> np.ndarray:
     return pc.fill_null(pc.list_value_length(array), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1
 
 
+def as_binary(codes: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Lists of numbers as bytes.  (Spark measures a batch after each row, which takes a pass over all rows of a list column.)"""
+    data = pa.py_buffer(np.ascontiguousarray(codes, np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer((ends * 4).astype(np.int32)), data])
+
+
+def from_binary(array: pa.Array) -> np.ndarray:
+    """The numbers of all lists of :func:`as_binary`."""
+    _, offsets, data = array.buffers()
+    ends = np.frombuffer(offsets, np.int32, len(array) + 1, array.offset * 4)
+    return np.frombuffer(data, np.int32, (ends[-1] - ends[0]) // 4, ends[0]) if ends[-1] > ends[0] else np.zeros(0, np.int32)
+
+
 def numbered(df: DataFrame, columns: Sequence[str], source: str, number: Callable, guess: Callable, kind: T.DataType) -> tuple[DataFrame, DataFrame]:
     """Stage the rows with numbers for keys: ``(columns, block, codes)`` and ``(block, code, key)``."""
     columns = list(columns)
@@ -85,7 +98,7 @@ def numbered(df: DataFrame, columns: Sequence[str], source: str, number: Callabl
         for b in held:
             n = b.num_rows
             inside = ends[at : at + n + 1]
-            lists = pa.ListArray.from_arrays(pa.array(inside - inside[0], pa.int32()), pa.array(codes[inside[0] : inside[-1]], pa.int32()))
+            lists = as_binary(codes[inside[0] : inside[-1]], inside - inside[0])
             none = [pa.nulls(n, pa.int32()), pa.nulls(n, pa.list_(keys.type))]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in columns), pa.array(np.full(n, block)), lists, *none], names)
             at += n
@@ -94,10 +107,10 @@ def numbered(df: DataFrame, columns: Sequence[str], source: str, number: Callabl
         n, blank = len(starts), held[0]
         nulls = [pa.nulls(n, blank.column(c).type) for c in columns]
         more = [pa.array(starts, pa.int32()), pa.ListArray.from_arrays(offsets, keys)]
-        yield pa.RecordBatch.from_arrays([*nulls, pa.array(np.full(n, block)), pa.nulls(n, pa.list_(pa.int32())), *more], names)
+        yield pa.RecordBatch.from_arrays([*nulls, pa.array(np.full(n, block)), pa.nulls(n, pa.binary()), *more], names)
 
     kinds = [T.StructField(c, rows.schema[c].dataType) for c in columns]
-    more = [(BLOCK, T.LongType()), (CODES, T.ArrayType(T.IntegerType())), (FIRST, T.IntegerType()), (KEYS, T.ArrayType(kind))]
+    more = [(BLOCK, T.LongType()), (CODES, T.BinaryType()), (FIRST, T.IntegerType()), (KEYS, T.ArrayType(kind))]
     schema = T.StructType([*kinds, *(T.StructField(*field) for field in more)])
     staged = stage(rows.mapInArrow(run, schema), "blocks")
     keys = staged.filter(F.col(KEYS).isNotNull()).select(BLOCK, FIRST, F.posexplode(KEYS).alias("pos", "key"))
@@ -142,12 +155,12 @@ def exchanged(rows: DataFrame, known: DataFrame, columns: Sequence[str], out: st
         return pa.concat_arrays([v for _, v in found]).take(pa.array(at))
 
     def filled(part: pa.RecordBatch, values: pa.Array) -> Iterator[pa.RecordBatch]:
-        ends, start = np.cumsum(pc.list_value_length(part.column(CODES)).to_numpy(zero_copy_only=False).astype(np.int64)), 0
+        ends, start = np.cumsum(pc.binary_length(part.column(CODES)).to_numpy(zero_copy_only=False).astype(np.int64) // 4), 0
         while start < part.num_rows:
             before = ends[start - 1] if start else 0
             stop = max(start + 1, int(np.searchsorted(ends, before + SLICE, "right")))
             rows = part.slice(start, stop - start)
-            codes = rows.column(CODES).flatten().to_numpy(zero_copy_only=False)
+            codes = from_binary(rows.column(CODES))
             got = values.take(pa.array(codes, pa.int32(), mask=codes < 0))
             offsets = pa.array(np.concatenate([[0], ends[start:stop] - before]), pa.int32())
             lists = pa.ListArray.from_arrays(offsets, pc.fill_null(got, "") if together else got)
