@@ -157,3 +157,30 @@ def test_a_block_keeps_whatever_ties_with_its_last():
     x = np.eye(60)
     got = list(ann._block_best(x[:1] * 0.0 + 1.0, x, np.arange(60)[::-1], np.arange(60), 21))
     assert np.array_equal(got[0][1], np.arange(59, 38, -1))
+
+
+def test_a_query_is_one_row_for_each_cell_it_visits(spark):
+    """Far more buckets than cells, one of them split over several: each vector of a visited bucket is met, in rows bounded by the cells."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(900, 8))
+    x[:300] = x[0] + 1e-9 * rng.normal(size=(300, 8))
+    vectors = spark.createDataFrame([(i, [i], v.tolist()) for i, v in enumerate(x)], "rep long, ids array<long>, vec array<double>").repartition(3)
+    asked = vectors.filter("rep % 20 = 0").select(F.col("rep").alias("query"), F.col("rep").alias("id"), "vec")
+    index = ann.Index(rng.normal(size=(4, 6, 9)), rng.uniform(0, 0.5, (4, 6)), 0.5, ann.probe_moves(6, 256), tops(x))
+    before, ann.BLOCK = ann.BLOCK, 40
+    try:
+        left, visits = ann._blocks(vectors, asked, index, len(x), 5)
+        rows, places = visits.collect(), left.collect()
+    finally:
+        ann.BLOCK = before
+    assert len(rows) == len({(r.query, r.cell) for r in rows}) <= 45 * 5
+    assert "Generate" not in visits._jdf.queryExecution().executedPlan().toString()
+    met, held = {}, {}
+    for r in places:
+        held.setdefault((r.cell, r.block), set()).add(r.rep)
+    for r in rows:
+        met.setdefault(r.query, set()).update(*(held.get((r.cell, b), ()) for b in r.blocks))
+    home, visited = index.buckets(x), index.visited(x[::20])
+    for q in range(45):
+        assert met[q * 20] == {i for i in range(900) if np.isin(home[i], visited[q]).any()}
+    assert max(map(len, held.values())) < 120  # the copies' bucket is split

@@ -15,8 +15,9 @@ come from one pass over all vectors, so with more rows, whose nearest are nearer
 Queries for which the visited buckets hold too few vectors, and all queries if no setting reaches ``FEWEST_FOUND``, are
 compared with all vectors, in blocks.
 
-Buckets are split into blocks of about ``BLOCK`` vectors, and blocks dealt to cells by hash, so a hot bucket
-is many blocks; a cell that more than ``CELL_QUERIES`` queries visit is repeated for parts of them.  Equal vectors are indexed once,
+Buckets are dealt to cells by hash, and those of more than ``BLOCK`` vectors are split over the next cells, so a hot bucket
+is many blocks.  A query is one row for each cell it visits, with the list of its blocks there, however many buckets it
+visits: at most one for each cell.  A cell that more than ``CELL_QUERIES`` queries visit is repeated for parts of them.  Equal vectors are indexed once,
 with their smallest ids: more than ``nearest + 1`` of them can never be in a result.
 
 Edge cases: null ids, null, empty or zero vectors, vectors with null or non-finite components, and vectors of another length
@@ -52,6 +53,8 @@ RECALL = 0.94
 FEWEST_FOUND = 0.92
 BLOCK = 2_048
 CELLS, CELL_ROWS, CELL_QUERIES = 64, 65_536, 65_536
+#: Buckets that may be split, and bits that tell which buckets hold vectors (a power of two).
+SPLITS, MARKS = 65_536, 1 << 23
 #: Queries scored at once against a block, pairs multiplied out exactly at once, and queries probed at once.
 ASKED, PAIRS, PROBED = 256, 65_536, 32
 
@@ -272,25 +275,75 @@ def _indexed(vectors: DataFrame, index: Index) -> DataFrame:
     return hashed.select("rep", "first", "vec", F.explode("buckets").alias("bucket"))
 
 
-def _probes(queries: DataFrame, index: Index) -> DataFrame:
-    """``(query, bucket)`` of all visited buckets."""
+@dataclass(frozen=True)
+class Held:
+    """Which buckets hold vectors and how they are dealt to cells: a few megabytes at most, whatever the table.
+
+    Part ``p`` of a bucket is in the cell ``p`` after the bucket's own.
+    """
+
+    cells: int
+    split: np.ndarray  # rising numbers of the buckets of several parts
+    parts: np.ndarray
+    marks: np.ndarray  # bits set for the buckets that hold vectors
+
+    def visits(self, buckets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(cells, blocks)`` of a query's buckets, rising; empty buckets are left out as far as their bits tell."""
+        buckets = buckets[self.marks[buckets & (len(self.marks) - 1)]]
+        parts = np.ones(len(buckets), np.int64)
+        if len(self.split):
+            at = np.minimum(np.searchsorted(self.split, buckets), len(self.split) - 1)
+            parts = np.where(self.split[at] == buckets, np.minimum(self.parts[at], self.cells), 1)
+        part = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+        cell = (np.repeat(buckets >> 33 & 0x7FFFFFFF, parts) + part) % self.cells
+        both = np.unique(cell << 31 | np.repeat(buckets & 0x7FFFFFFF, parts))
+        return both >> 31, both & 0x7FFFFFFF
+
+
+def _held(sizes: DataFrame, total: int, cells: int) -> tuple[Held, DataFrame]:
+    """What queries need to know of ``(bucket, n)``, and ``(bucket, parts)`` of the buckets of several parts.
+
+    Buckets of more than ``BLOCK`` vectors and more than 1/``SPLITS`` of all are split, so there are fewer than ``SPLITS``.
+    """
+    most = max(BLOCK, -(-total // SPLITS))
+    split = sizes.filter(F.col("n") > most).select("bucket", F.ceil(F.col("n") / most).cast("int").alias("parts"))
+    rows = split.orderBy("bucket").collect()
+    mark = F.col("bucket").bitwiseAND(F.lit(MARKS - 1)) + 1
+    bits = sizes.groupBy(F.bitmap_bucket_number(mark).alias("at")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(mark)).alias("bits"))
+    marks = np.zeros((MARKS >> 15, 1 << 15), bool)
+    for r in bits.collect():  # MARKS bits at most
+        marks[r["at"] - 1] = np.unpackbits(np.frombuffer(r.bits, np.uint8), bitorder="little")
+    numbers = np.array([r.bucket for r in rows], np.int64)
+    return Held(cells, numbers, np.array([r.parts for r in rows], np.int64), marks.ravel()), split
+
+
+def _probes(queries: DataFrame, index: Index, held: Held) -> DataFrame:
+    """``(query, cell, blocks)``: the blocks that a query visits in each cell, one row a cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, PROBED):
                 part = b.slice(at, PROBED)
                 numbers = index.visited(_matrix(part.column("vec"))).reshape(part.num_rows, -1)
-                ends = np.arange(0, numbers.size + 1, numbers.shape[1], dtype=np.int32)
-                yield pa.RecordBatch.from_arrays([part.column("query"), pa.ListArray.from_arrays(ends, numbers.ravel())], ["query", "buckets"])
+                each = [held.visits(n) for n in numbers]
+                starts = [np.flatnonzero(np.append(True, cell[1:] != cell[:-1])) if len(cell) else cell for cell, _ in each]
+                query = np.repeat(part.column("query").to_numpy(), [len(s) for s in starts])
+                cells = np.concatenate([cell[s] for (cell, _), s in zip(each, starts, strict=True)])
+                before = np.cumsum([0, *(len(cell) for cell, _ in each)])
+                offsets = np.append(np.concatenate([s + n for s, n in zip(starts, before, strict=False)]), before[-1])
+                blocks = np.concatenate([block for _, block in each])
+                lists = pa.ListArray.from_arrays(offsets.astype(np.int32), blocks.astype(np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array(query), pa.array(cells.astype(np.int32)), lists], ["query", "cell", "blocks"])
 
-    return queries.mapInArrow(run, "query long, buckets array<bigint>").select("query", F.explode("buckets").alias("bucket"))
+    return queries.mapInArrow(run, "query long, cell int, blocks array<int>")
 
 
 def _block_best(asked: np.ndarray, vectors: np.ndarray, first: np.ndarray, reps: np.ndarray, n: int):
     """``(query, vector, score)``: each query's ``n`` best of a block by exact score, then by smallest id."""
     norms = np.sqrt((vectors * vectors).sum(axis=1).max())
-    for at in range(0, len(asked), ASKED):
-        ask = asked[at : at + ASKED]
+    step = max(1, min(ASKED, ASKED * CELL_ROWS // max(len(vectors), 1)))
+    for at in range(0, len(asked), step):
+        ask = asked[at : at + step]
         rough = ask @ vectors.T
         if len(vectors) > n:
             last = np.partition(rough, len(vectors) - n, axis=1)[:, len(vectors) - n]
@@ -359,31 +412,31 @@ def _search_cell(nearest: int):
     return search
 
 
-def _blocks(vectors: DataFrame, asked: DataFrame, index: Index, cells: int) -> tuple[DataFrame, DataFrame]:
-    """``(rep, first, vec, block, cell)`` of all tables, and ``(query, cell, blocks)`` of the blocks that queries visit."""
+def _blocks(vectors: DataFrame, asked: DataFrame, index: Index, total: int, cells: int) -> tuple[DataFrame, DataFrame]:
+    """``(rep, first, vec, block, cell)`` of all tables, and ``(query, cell, blocks)`` of the blocks that queries visit.
+
+    A block is what a cell holds of a bucket.  Its number is the low bits of the bucket's; the cell comes from the high ones.
+    """
     indexed = _indexed(vectors, index)
-    sizes = indexed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-    sizes = stage(sizes.select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts")), "buckets")
-    split = sizes.filter("parts > 1")  # the only buckets that vectors need to look up
+    sizes = stage(indexed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")), "buckets")
+    held, split = _held(sizes, total * index.tables, cells)
     part = F.pmod(F.xxhash64("rep"), F.coalesce("parts", F.lit(1)))
-    left = lookup(indexed, split, "bucket").select("rep", "first", "vec", F.xxhash64("bucket", part.cast("long")).alias("block"))
-    visits = lookup(_probes(asked.select("query", "vec"), index), sizes, "bucket").filter("parts IS NOT NULL")
-    part = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)).alias("part")
-    visits = visits.select("query", "bucket", part).select("query", F.xxhash64("bucket", "part").alias("block"))
-    cell = F.pmod(F.xxhash64("block"), F.lit(cells)).alias("cell")
-    return left.select("*", cell), visits.select("*", cell).groupBy("query", "cell").agg(F.collect_list("block").alias("blocks"))
+    cell = F.pmod(F.shiftrightunsigned("bucket", 33) + part, F.lit(cells)).cast("int").alias("cell")
+    block = F.col("bucket").bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("block")
+    left = lookup(indexed, split, "bucket").select("rep", "first", "vec", block, cell)
+    return left, _probes(asked.select("query", "vec"), index, held)
 
 
 def _everything(vectors: DataFrame, asked: DataFrame, cells: int) -> tuple[DataFrame, DataFrame]:
     """The same for queries that are to be compared with all vectors: each cell is one block."""
-    cell = F.pmod(F.xxhash64("rep"), F.lit(cells))
+    cell = F.pmod(F.xxhash64("rep"), F.lit(cells)).cast("int")
     left = vectors.select("rep", F.col("ids")[0].alias("first"), "vec", cell.alias("block"), cell.alias("cell"))
-    every = asked.select("query", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(cells - 1).cast("long"))).alias("cell"))
+    every = asked.select("query", F.explode(F.sequence(F.lit(0), F.lit(cells - 1))).alias("cell"))
     return left, every.select("query", "cell", F.array("cell").alias("blocks"))
 
 
-def _ranked(vectors: DataFrame, asked: DataFrame, left: DataFrame, visits: DataFrame, nearest: int) -> DataFrame:
-    """``(query, query_id, rank, vec_id, score)`` from blocks and the queries that visit them."""
+def _ranked(vectors: DataFrame, asked: DataFrame, left: DataFrame, visits: DataFrame, nearest: int, tables: int = 1) -> DataFrame:
+    """``(query, query_id, rank, vec_id, score)`` from blocks and the queries that visit them; a vector is in ``tables`` cells at most."""
     visits = stage(visits, "visits")
     load = visits.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / CELL_QUERIES).cast("int").alias("turns"))
     load = stage(load.filter("turns > 1"), "cells")
@@ -396,8 +449,9 @@ def _ranked(vectors: DataFrame, asked: DataFrame, left: DataFrame, visits: DataF
         _search_cell(nearest), "query long, best array<struct<loss:double,first:long,rep:long>>"
     )
     # At most (nearest + 1) entries from each cell a query visits.
-    merged = found.groupBy("query").agg(F.array_distinct(F.flatten(F.collect_list("best"))).alias("best"))
-    merged = merged.select("query", F.slice(F.sort_array("best"), 1, nearest + 1).alias("best"))
+    merged = found.groupBy("query").agg(F.sort_array(F.flatten(F.collect_list("best"))).alias("best"))
+    best = F.array_distinct(F.slice("best", 1, (nearest + 1) * tables))
+    merged = merged.select("query", F.slice(best, 1, nearest + 1).alias("best"))
     each = merged.select("query", F.explode("best").alias("b")).select("query", (F.lit(0.0) - F.col("b.loss")).alias("score"), "b.rep")
     each = each.join(vectors.select("rep", "ids"), "rep").join(asked.select("query", F.col("id").alias("query_id")), "query")
     each = each.select("query", "query_id", "score", F.explode("ids").alias("vec_id")).filter("vec_id <> query_id")
@@ -442,7 +496,7 @@ def search(df: DataFrame, queries: Column, key: str = "vec_id", vector: str = "e
         every = _everything(vectors, asked, int(max(CELLS, total // CELL_ROWS)))
         return _ranked(vectors, asked, *every, nearest).select(columns)
     cells = int(max(CELLS, total * plan.index.tables // CELL_ROWS))
-    found = stage(_ranked(vectors, asked, *_blocks(vectors, asked, plan.index, cells), nearest), "neighbours")
+    found = stage(_ranked(vectors, asked, *_blocks(vectors, asked, plan.index, total, cells), nearest, plan.index.tables), "neighbours")
     full = found.groupBy("query").count().filter(F.col("count") >= min(nearest, held - 1))
     short = stage(asked.join(full, "query", "left_anti"), "short")
     if short.isEmpty():
