@@ -1,11 +1,13 @@
 import random
+from collections import Counter
+from itertools import pairwise
 
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tokenloom.functions.tokens import split_tokens, text_lengths, token_arrays
-from tokenloom.operators import batches, blocks, tokenize, vocab
+from tokenloom.operators import batches, bigram, blocks, tokenize, vocab
 
 SPECIALS = ("<unk>", "<eos>", "<eos>+")
 
@@ -73,3 +75,28 @@ def test_ranges_compare_plain_numbers_first(spark):
     full = [tuple(r) for r in df.filter("a IS NOT NULL").collect()]
     got = batches.with_ordinal(df.filter("a IS NOT NULL").distinct(), ["a", "b"]).orderBy("ordinal").collect()
     assert [(r.a, r.b) for r in got] == sorted(set(full))
+
+
+def test_pairs_are_counted_before_they_are_rows(spark, monkeypatch):
+    """Small blocks, specials, null and empty texts, unknown tokens: the pairs of the encoded texts, without a row for each token."""
+    monkeypatch.setattr(blocks, "BLOCK_KEYS", 50)
+    monkeypatch.setattr(blocks, "KEYS_IN_ROW", 7)
+    df = spark.createDataFrame(list(enumerate(odd_texts())), "id INT, text STRING").repartition(3)
+    words = vocab.build_vocab(df.filter("id % 7 > 0"), specials=SPECIALS)
+    ids = {r.id: r.input_ids for r in tokenize.encode(df, words, ["id"], specials=SPECIALS).collect()}
+    mark = vocab.token_id(words, "<eos>")
+    for end, tail in ((None, []), ("<eos>", [mark]), ("nowhere", [vocab.token_id(words, "<unk>")])):
+        got = bigram.text_pair_counts(df, words, specials=SPECIALS, end=end)
+        assert "Generate explode" not in got._jdf.queryExecution().executedPlan().toString().split("MapInArrow")[0]
+        want = Counter(p for v in ids.values() for p in pairwise([*v, *tail]))
+        rows = got.collect()
+        assert {(r.prev, r.next): r.n for r in rows} == want and len(rows) == len(want)
+    with pytest.raises(ValueError):
+        bigram.text_pair_counts(df, words.union(words.limit(1)), specials=SPECIALS)
+
+
+def test_pairs_come_out_of_arrow_already_counted(spark):
+    df = spark.createDataFrame([("a b " * 500,)] * 4, "text STRING").coalesce(1)
+    words = vocab.build_vocab(df, specials=SPECIALS)
+    rows, known = tokenize.numbered_texts(df, words.select("token", F.col("id").alias("token_id")), [], "text", SPECIALS, 0, True)
+    assert blocks.adjacent(rows, known).count() <= 5 * 4  # 4,000 pairs

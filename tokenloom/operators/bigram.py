@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions.sequences import next_token_pairs
 from tokenloom.functions.tokens import split_tokens
+from tokenloom.operators import blocks
 from tokenloom.operators.lookup import fits_broadcast, lookup
-from tokenloom.operators.vocab import token_id
-from tokenloom.staging import spread, stage
+from tokenloom.operators.tokenize import numbered_texts
+from tokenloom.operators.vocab import token_id, token_ids
+from tokenloom.staging import stage
 
 PAIR = ("prev", "next")
 
@@ -23,44 +25,23 @@ def pair_counts(df: DataFrame, ids: str = "input_ids") -> DataFrame:
     return pairs.groupBy(*PAIR).agg(F.count(F.lit(1)).alias("n"))
 
 
-def hash_seed(vocab: DataFrame, tries: int = 8) -> int:
-    """A seed under which no two tokens of the vocabulary have one 64-bit hash (one aggregate a try)."""
-    for seed in range(tries):
-        hashes = vocab.select(token_hash(F.col("token"), seed).alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n"))
-        if hashes.filter("n > 1").isEmpty():
-            return seed
-    raise ValueError(f"the vocabulary has repeated tokens, or collisions under all of {tries} seeds")
-
-
-def token_hash(token: Column, seed: int) -> Column:
-    return F.xxhash64(F.lit(seed), token)
-
-
 def text_pair_counts(
     df: DataFrame, vocab: DataFrame, text: str = "text", specials: Sequence[str] = (), unk: str = "<unk>", end: str | None = None
 ) -> DataFrame:
-    """:func:`pair_counts` of the encoded texts, without encoding them: ``(prev, next, n)`` as ids.
+    """:func:`pair_counts` of the encoded texts: ``(prev, next, n)`` as ids.
 
-    Adjacent tokens are counted as two 64-bit hashes, which no two tokens of the vocabulary share; only distinct
-    pairs meet the vocabulary.  Pairs that become equal by an unknown token are summed again.  ``end`` is a token put after every
-    text.  (A token that is not in the vocabulary takes the hash of one that is with probability ``vocabulary / 2 ** 64``.)
-    Runs jobs: the hashes are checked, the counts staged, the vocabulary measured once.
+    Only the distinct tokens of blocks of texts meet the vocabulary, and pairs are counted within a block before they are
+    rows, see :mod:`blocks`.  ``end`` is a token put after every text.
+    Runs jobs: the vocabulary is checked and measured, the numbered tokens are staged.
     """
-    seed = hash_seed(vocab)
-    tokens = split_tokens(text, specials)
-    if end is not None:
-        tokens = F.concat(tokens, F.array(F.lit(end)))
-    hashed = spread(df.select(text)).select(F.transform(tokens, lambda t: token_hash(t, seed)).alias("input_ids"))
-    counts = stage(pair_counts(hashed), "token-pairs")
+    if blocks.keys_repeat(vocab, ["token"]):
+        raise ValueError("the vocabulary has repeated tokens")
     unk_id = token_id(vocab, unk)
-    table = vocab.select(token_hash(F.col("token"), seed).alias("hash"), "id")
-    small = fits_broadcast(table)
-    for side in PAIR:
-        named = lookup(counts, table.select(F.col("hash").alias(side), "id"), side, small)
-        counts = named.withColumn(side, F.coalesce("id", F.lit(unk_id))).drop("id")
-        if not small:
-            counts = stage(counts, "token-pairs")
-    return counts.groupBy(*PAIR).agg(F.sum("n").alias("n"))
+    end_id = None if end is None else token_ids(vocab, [end]).get(end, unk_id)
+    table = vocab.select("token", F.col("id").alias("token_id"))
+    rows, ids = numbered_texts(df, table, [], text, specials, unk_id, fits_broadcast(table))
+    pairs = blocks.adjacent(rows, ids, end_id)
+    return pairs.groupBy(*PAIR).agg(F.sum("n").alias("n"))
 
 
 def last_ids(df: DataFrame, vocab: DataFrame, key: Sequence[str], text: str = "text", specials: Sequence[str] = (), unk: str = "<unk>") -> DataFrame:

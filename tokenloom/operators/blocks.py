@@ -126,6 +126,39 @@ def exchanged(rows: DataFrame, known: DataFrame, columns: Sequence[str], out: st
     ``known`` is ``(block, code, value)`` with every number of every block.
     """
     columns, value = list(columns), known.schema[VALUE].dataType
+
+    def listed(rows: pa.RecordBatch, got: pa.Array, ends: np.ndarray) -> pa.RecordBatch:
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pc.fill_null(got, "") if together else got)
+        result = pc.binary_join(lists, "") if together else lists
+        return pa.RecordBatch.from_arrays([*(rows.column(c) for c in columns), result], [*columns, out])
+
+    kinds = T.StructType([T.StructField(c, rows.schema[c].dataType) for c in columns])
+    return _exchange(rows, known, listed, kinds.add(out, value if together else T.ArrayType(value)), SLICE)
+
+
+def adjacent(rows: DataFrame, known: DataFrame, end: int | None = None) -> DataFrame:
+    """``(prev, next, n)``: how often two values are next to each other in a row, ``end`` being one after every row.
+
+    ``known`` is as for :func:`exchanged`, its values ids.  Counts are summed within about ``BLOCK_KEYS`` values; pairs may repeat.
+    """
+
+    def counted(rows: pa.RecordBatch, got: pa.Array, ends: np.ndarray) -> pa.RecordBatch:
+        ids = got.to_numpy(zero_copy_only=False).astype(np.int64)
+        inside = np.ones(max(len(ids) - 1, 0), bool)
+        last = ends[1:][np.diff(ends) > 0] - 1  # of each row that has values
+        inside[last[:-1]] = False
+        pairs = (ids[:-1] << 32 | ids[1:])[inside]
+        if end is not None:
+            pairs = np.concatenate([pairs, ids[last] << 32 | end])
+        found = pc.value_counts(pa.array(pairs))
+        both = found.field("values").to_numpy()
+        return pa.RecordBatch.from_arrays([pa.array((both >> 32).astype(np.int32)), pa.array(both.astype(np.int32)), found.field("counts")], ["prev", "next", "n"])
+
+    return _exchange(rows.select(BLOCK, CODES), known, counted, "prev int, next int, n long", BLOCK_KEYS)
+
+
+def _exchange(rows: DataFrame, known: DataFrame, finish: Callable, schema: T.StructType | str, most: int) -> DataFrame:
+    """``finish(rows, their values, ends of each row's)`` of about ``most`` values of a block at a time."""
     both = rows.unionByName(known, allowMissingColumns=True)
     # One number to sort by: the rows of a block come after what is known of it.
     order = F.col(BLOCK) * 2 + F.col(CODES).isNotNull().cast("long")
@@ -158,18 +191,14 @@ def exchanged(rows: DataFrame, known: DataFrame, columns: Sequence[str], out: st
         ends, start = np.cumsum(pc.binary_length(part.column(CODES)).to_numpy(zero_copy_only=False).astype(np.int64) // 4), 0
         while start < part.num_rows:
             before = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, before + SLICE, "right")))
+            stop = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
             rows = part.slice(start, stop - start)
             codes = from_binary(rows.column(CODES))
             got = values.take(pa.array(codes, pa.int32(), mask=codes < 0))
-            offsets = pa.array(np.concatenate([[0], ends[start:stop] - before]), pa.int32())
-            lists = pa.ListArray.from_arrays(offsets, pc.fill_null(got, "") if together else got)
-            result = pc.binary_join(lists, "") if together else lists
-            yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in columns), result], [*columns, out])
+            yield finish(rows, got, np.concatenate([[0], ends[start:stop] - before]))
             start = stop
 
-    kinds = T.StructType([T.StructField(c, rows.schema[c].dataType) for c in columns])
-    return dealt.mapInArrow(run, kinds.add(out, value if together else T.ArrayType(value)))
+    return dealt.mapInArrow(run, schema)
 
 
 def keys_repeat(rows: DataFrame, columns: Sequence[str]) -> bool:

@@ -52,12 +52,19 @@ def encode(
         placed = df.select(*columns, text).withColumn(RANGE, F.pmod(F.xxhash64(*key), F.lit(parts)).cast("int"))
         deal = lambda d: d.repartition(parts, RANGE)
         return encode_in_ranges(placed, vocab, columns, RANGE, deal, text, specials, unk_id, out, limit)
+    rows, known = numbered_texts(df, table, columns, text, specials, unk_id, small)
+    ids = blocks.exchanged(rows, known, columns, out)
+    return blocks.merged(ids, columns, out) if blocks.keys_repeat(rows, columns) else ids
+
+
+def numbered_texts(
+    df: DataFrame, table: DataFrame, columns: Sequence[str], text: str, specials: Sequence[str], unk_id: int, small: bool
+) -> tuple[DataFrame, DataFrame]:
+    """Rows with numbers for their tokens, and the id of each number, from a table of ``token`` and ``token_id`` (see :mod:`blocks`)."""
     number = blocks.numbered_tokens(specials)
     rows, keys = blocks.numbered(df, columns, text, number, blocks.keys_of_texts, T.StringType())
     named = keys.withColumnRenamed("key", "token").join(F.broadcast(table) if small else table, "token", "left")
-    known = named.select(blocks.BLOCK, blocks.CODE, F.coalesce("token_id", F.lit(unk_id)).alias(blocks.VALUE))
-    ids = blocks.exchanged(rows, known, columns, out)
-    return blocks.merged(ids, columns, out) if blocks.keys_repeat(rows, columns) else ids
+    return rows, named.select(blocks.BLOCK, blocks.CODE, F.coalesce("token_id", F.lit(unk_id)).alias(blocks.VALUE))
 
 
 def encode_in_ranges(
