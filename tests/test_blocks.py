@@ -5,6 +5,7 @@ from itertools import pairwise
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tokenloom.functions.tokens import split_tokens, text_lengths, token_arrays
 from tokenloom.operators import batches, bigram, blocks, tokenize, vocab
@@ -100,3 +101,14 @@ def test_pairs_come_out_of_arrow_already_counted(spark):
     words = vocab.build_vocab(df, specials=SPECIALS)
     rows, known = tokenize.numbered_texts(df, words.select("token", F.col("id").alias("token_id")), [], "text", SPECIALS, 0, True)
     assert blocks.adjacent(rows, known).count() <= 5 * 4  # 4,000 pairs
+
+
+def test_ranges_look_up_the_distinct_tokens_of_blocks(spark):
+    """With nothing broadcast, a token is looked up once a block, however often and in however many texts it stands."""
+    df = spark.createDataFrame([(i, "a b " * 50) for i in range(40)], "id INT, text STRING").coalesce(1)
+    words = vocab.build_vocab(df, specials=SPECIALS)
+    known = words.select("token", F.col("id").alias("token_id"))
+    ids, repeated = tokenize.encode_in_ranges(df, known, ["id"], "text", SPECIALS, vocab.token_id(words, "<unk>"), "input_ids")
+    assert not repeated and {r.n for r in ids.select(F.size("input_ids").alias("n")).collect()} == {101}
+    staged = blocks.numbered_rows(df, ["id"], "text", blocks.numbered_tokens(SPECIALS), blocks.keys_of_texts, T.StringType())
+    assert blocks.each_key("token")(staged).filter("token IS NOT NULL").count() <= 400  # of 4,040 tokens

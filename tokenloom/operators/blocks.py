@@ -72,6 +72,27 @@ def from_binary(array: pa.Array) -> np.ndarray:
 
 def numbered(df: DataFrame, columns: Sequence[str], source: str, number: Callable, guess: Callable, kind: T.DataType) -> tuple[DataFrame, DataFrame]:
     """Stage the rows with numbers for keys: ``(columns, block, codes)`` and ``(block, code, key)``."""
+    staged = numbered_rows(df, columns, source, number, guess, kind)
+    keys = staged.filter(F.col(KEYS).isNotNull()).select(BLOCK, FIRST, F.posexplode(KEYS).alias("pos", "key"))
+    return (
+        staged.filter(F.col(CODES).isNotNull()).select(*columns, BLOCK, CODES),
+        keys.select(BLOCK, (F.col(FIRST) + F.col("pos")).alias(CODE), "key"),
+    )
+
+
+def each_key(name: str) -> Callable[[DataFrame], DataFrame]:
+    """Turns :func:`numbered_rows` into one row for each key, with its number; rows with numbers stay one row, with a null key."""
+
+    def spread(rows: DataFrame) -> DataFrame:
+        others = [c for c in rows.columns if c not in (FIRST, KEYS)]
+        each = rows.select(*others, FIRST, F.posexplode_outer(KEYS).alias("pos", name))
+        return each.select(*others, (F.col(FIRST) + F.col("pos")).alias(CODE), name)
+
+    return spread
+
+
+def numbered_rows(df: DataFrame, columns: Sequence[str], source: str, number: Callable, guess: Callable, kind: T.DataType) -> DataFrame:
+    """Stage both kinds of rows as one table: rows with numbers for keys, and runs of a block's keys with the number of the first."""
     columns = list(columns)
     rows = spread(df.select(*columns, F.col(source).alias(VALUE)))
 
@@ -112,12 +133,7 @@ def numbered(df: DataFrame, columns: Sequence[str], source: str, number: Callabl
     kinds = [T.StructField(c, rows.schema[c].dataType) for c in columns]
     more = [(BLOCK, T.LongType()), (CODES, T.BinaryType()), (FIRST, T.IntegerType()), (KEYS, T.ArrayType(kind))]
     schema = T.StructType([*kinds, *(T.StructField(*field) for field in more)])
-    staged = stage(rows.mapInArrow(run, schema), "blocks")
-    keys = staged.filter(F.col(KEYS).isNotNull()).select(BLOCK, FIRST, F.posexplode(KEYS).alias("pos", "key"))
-    return (
-        staged.filter(F.col(CODES).isNotNull()).select(*columns, BLOCK, CODES),
-        keys.select(BLOCK, (F.col(FIRST) + F.col("pos")).alias(CODE), "key"),
-    )
+    return stage(rows.mapInArrow(run, schema), "blocks")
 
 
 def exchanged(rows: DataFrame, known: DataFrame, columns: Sequence[str], out: str, together: bool = False) -> DataFrame:
@@ -125,15 +141,22 @@ def exchanged(rows: DataFrame, known: DataFrame, columns: Sequence[str], out: st
 
     ``known`` is ``(block, code, value)`` with every number of every block.
     """
-    columns, value = list(columns), known.schema[VALUE].dataType
+    both = rows.unionByName(known, allowMissingColumns=True).repartition(BLOCK)
+    return exchanged_in_place(both, columns, out, together)
+
+
+def exchanged_in_place(both: DataFrame, columns: Sequence[str], out: str, together: bool = False) -> DataFrame:
+    """As :func:`exchanged`, of one table of rows and ``(block, code, value)`` that has each block in one partition."""
+    columns, value = list(columns), both.schema[VALUE].dataType
 
     def listed(rows: pa.RecordBatch, got: pa.Array, ends: np.ndarray) -> pa.RecordBatch:
         lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pc.fill_null(got, "") if together else got)
         result = pc.binary_join(lists, "") if together else lists
         return pa.RecordBatch.from_arrays([*(rows.column(c) for c in columns), result], [*columns, out])
 
-    kinds = T.StructType([T.StructField(c, rows.schema[c].dataType) for c in columns])
-    return _exchange(rows, known, listed, kinds.add(out, value if together else T.ArrayType(value)), SLICE)
+    kinds = T.StructType([T.StructField(c, both.schema[c].dataType) for c in columns])
+    dealt = both.select(*columns, BLOCK, CODES, CODE, VALUE)
+    return _exchange(dealt, listed, kinds.add(out, value if together else T.ArrayType(value)), SLICE)
 
 
 def adjacent(rows: DataFrame, known: DataFrame, end: int | None = None) -> DataFrame:
@@ -154,15 +177,15 @@ def adjacent(rows: DataFrame, known: DataFrame, end: int | None = None) -> DataF
         both = found.field("values").to_numpy()
         return pa.RecordBatch.from_arrays([pa.array((both >> 32).astype(np.int32)), pa.array(both.astype(np.int32)), found.field("counts")], ["prev", "next", "n"])
 
-    return _exchange(rows.select(BLOCK, CODES), known, counted, "prev int, next int, n long", BLOCK_KEYS)
+    both = rows.select(BLOCK, CODES).unionByName(known, allowMissingColumns=True)
+    return _exchange(both.repartition(BLOCK), counted, "prev int, next int, n long", BLOCK_KEYS)
 
 
-def _exchange(rows: DataFrame, known: DataFrame, finish: Callable, schema: T.StructType | str, most: int) -> DataFrame:
+def _exchange(both: DataFrame, finish: Callable, schema: T.StructType | str, most: int) -> DataFrame:
     """``finish(rows, their values, ends of each row's)`` of about ``most`` values of a block at a time."""
-    both = rows.unionByName(known, allowMissingColumns=True)
     # One number to sort by: the rows of a block come after what is known of it.
     order = F.col(BLOCK) * 2 + F.col(CODES).isNotNull().cast("long")
-    dealt = both.repartition(BLOCK).withColumn("_order", order).sortWithinPartitions("_order").drop("_order")
+    dealt = both.withColumn("_order", order).sortWithinPartitions("_order").drop("_order")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, found, values = None, [], None

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tokenloom.functions.tokens import split_tokens, text_lengths
+from tokenloom.functions.tokens import text_lengths
 from tokenloom.operators import blocks
 from tokenloom.operators.lookup import BROADCAST_BYTES, fits_broadcast, head_of, lookup, range_lookup
 from tokenloom.operators.vocab import token_id
@@ -39,7 +39,7 @@ def encode(
 
     The rows of one ``key`` count as one, their ids by position and then id.  Texts are not moved: see :mod:`blocks`.  A vocabulary of
     at most ``limit`` bytes is broadcast, a larger one is joined with the distinct tokens of blocks of rows; with a
-    ``limit`` below one row nothing is broadcast, and texts are encoded as in :func:`encode_in_ranges`.
+    ``limit`` below one row nothing is broadcast, see :func:`encode_in_ranges`.
     ``small`` and ``unk_id`` save looking them up again.  Runs jobs: the numbered tokens are staged.
     """
     columns = [*key, *keep]
@@ -48,10 +48,8 @@ def encode(
     if small is None:
         small = fits_broadcast(table, limit)
     if not small and head_of(table, "token_id", limit) is None:
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        placed = df.select(*columns, text).withColumn(RANGE, F.pmod(F.xxhash64(*key), F.lit(parts)).cast("int"))
-        deal = lambda d: d.repartition(parts, RANGE)
-        return encode_in_ranges(placed, vocab, columns, RANGE, deal, text, specials, unk_id, out, limit)
+        ids, repeated = encode_in_ranges(df, table, columns, text, specials, unk_id, out)
+        return blocks.merged(ids, columns, out) if repeated else ids
     rows, known = numbered_texts(df, table, columns, text, specials, unk_id, small)
     ids = blocks.exchanged(rows, known, columns, out)
     return blocks.merged(ids, columns, out) if blocks.keys_repeat(rows, columns) else ids
@@ -68,51 +66,21 @@ def numbered_texts(
 
 
 def encode_in_ranges(
-    placed: DataFrame,
-    vocab: DataFrame,
-    columns: Sequence[str],
-    by: str,
-    deal: Callable[[DataFrame], DataFrame],
-    text: str,
-    specials: Sequence[str],
-    unk_id: int,
-    out: str = "input_ids",
-    limit: int = BROADCAST_BYTES,
-) -> DataFrame:
-    """:func:`encode` of rows with a range number ``by``, for a vocabulary of any size.
+    df: DataFrame, table: DataFrame, columns: Sequence[str], text: str, specials: Sequence[str], unk_id: int, out: str
+) -> tuple[DataFrame, bool]:
+    """``(columns, out)``, the ids of each text, with nothing broadcast, and whether two rows have equal columns.
 
-    The texts are shuffled once (by ``deal``) and tokens not at all, see :func:`range_lookup`.
+    A range is some blocks of texts (see :mod:`blocks`).  The numbered texts and the distinct tokens of their blocks are shuffled once, and
+    tokens not at all, see :func:`range_lookup`; ids are put in where that leaves them.
     """
-    table = vocab.select("token", F.col("id").alias("token_id"))
-    every = list(dict.fromkeys([*columns, by]))
-    named = range_lookup(
-        placed.select(*every, text), _tokens(every, text, specials), table, "token", "token_id", by, deal,
-        head_of(table, "token_id", limit),
-    )
-    return _collected(named, every, unk_id, out).select(*columns, out)
-
-
-def _tokens(columns: Sequence[str], text: str, specials: Sequence[str]) -> Callable[[DataFrame], DataFrame]:
-    """One row for each token; the columns that a lookup adds pass through."""
-
-    def spread(rows: DataFrame) -> DataFrame:
-        more = [c for c in rows.columns if c not in columns and c != text]
-        return rows.select(*columns, *more, F.posexplode_outer(split_tokens(text, specials)).alias("pos", "token"))
-
-    return spread
-
-
-def _collected(named: DataFrame, columns: Sequence[str], unk_id: int, out: str) -> DataFrame:
-    """The ids of a row's tokens in order."""
-    # One long per token, position above id: far cheaper to collect and sort than a struct.
-    found = F.coalesce("token_id", F.lit(unk_id)).cast("long")
-    entry = F.when(F.col("pos").isNotNull(), F.shiftleft(F.col("pos").cast("long"), 32).bitwiseOR(found))
-    ids = F.transform("entries", lambda e: e.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int"))
-    return (
-        named.groupBy(*columns)
-        .agg(F.sort_array(F.collect_list(entry)).alias("entries"))
-        .select(*columns, ids.alias(out))
-    )
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    number = blocks.numbered_tokens(specials)
+    staged = blocks.numbered_rows(df, columns, text, number, blocks.keys_of_texts, T.StringType())
+    placed = staged.withColumn(RANGE, F.pmod(F.xxhash64(blocks.BLOCK), F.lit(parts)).cast("int"))
+    named = range_lookup(placed, blocks.each_key("token"), table, "token", "token_id", RANGE, lambda d: d.repartition(parts, RANGE))
+    every = named.withColumn(blocks.VALUE, F.coalesce("token_id", F.lit(unk_id)))
+    rows = staged.filter(F.col(blocks.CODES).isNotNull())
+    return blocks.exchanged_in_place(every, columns, out), blocks.keys_repeat(rows, columns)
 
 
 def decode_tokens(
