@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BUCKET = "bucket"
+BUCKET, KEY = "bucket", "_order_key"
 SAMPLES_PER_BUCKET = 24
 SMALLEST_BUCKET = 50_000
 LARGEST_BUCKET = 1 << 26
@@ -90,9 +90,25 @@ class KeyRanges:
         rest = F.slice(every, full_blocks * block + 1, F.lit(block))
         return full_blocks * block + F.size(F.filter(rest, lambda b: b <= key))
 
+    def place(self, df: DataFrame) -> DataFrame:
+        """Add the bucket column, as :meth:`column` gives it, by about ``log2(buckets)`` comparisons of whole keys a row.
+
+        Each halving is a projection of its own: one expression of them all would compute each step twice for the next.
+        """
+        if not self.bounds:
+            return df.withColumn(BUCKET, F.lit(0))
+        # A struct even of one column, so that a null has a place in the order.
+        key, every = F.struct(*self.columns()), self._structs(self.bounds)
+        placed, step = df.withColumns({KEY: key, BUCKET: F.lit(0)}), 1 << (len(self.bounds).bit_length() - 1)
+        while step:
+            reached = F.get(every, F.col(BUCKET) + (step - 1)) <= F.col(KEY)
+            placed = placed.withColumn(BUCKET, F.col(BUCKET) + F.when(reached, step).otherwise(0))
+            step //= 2
+        return placed.drop(KEY)
+
     def partition(self, df: DataFrame) -> DataFrame:
         """Add the bucket column and give each bucket a partition of its own (one shuffle)."""
-        return df.withColumn(BUCKET, self.column()).repartitionById(self.buckets, F.col(BUCKET))
+        return self.place(df).repartitionById(self.buckets, F.col(BUCKET))
 
     def bases(self, df: DataFrame, weight: str | None = None) -> DataFrame:
         """``(bucket, base)``: the weight before each bucket.
@@ -102,7 +118,7 @@ class KeyRanges:
         """
         before = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
         return (
-            df.select(self.column().alias(BUCKET), _weight(weight).alias("w"))
+            self.place(df.select(*self.order_by, _weight(weight).alias("w")))
             .groupBy(BUCKET)
             .agg(F.sum("w").alias("total"))
             .select(BUCKET, F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
@@ -110,15 +126,15 @@ class KeyRanges:
 
     def literal(self, bounds: Sequence[tuple]) -> Column:
         """Keys as a literal array, parsed once when the query is planned."""
+        if len(self.order_by) > 1:
+            return self._structs(bounds)
+        return _parsed([b[0] for b in bounds], _comparable_type(self.kinds[0]))
+
+    def _structs(self, bounds: Sequence[tuple]) -> Column:
         names = [f"k{i}" for i in range(len(self.order_by))]
         kinds = [_comparable_type(k) for k in self.kinds]
-        if len(names) == 1:
-            keys, kind = [b[0] for b in bounds], kinds[0]
-        else:
-            keys = [dict(zip(names, b, strict=True)) for b in bounds]
-            kind = "struct<" + ",".join(f"{n}:{k}" for n, k in zip(names, kinds, strict=True)) + ">"
-        # A decimal is written as a string, which is parsed without loss.
-        return F.from_json(F.lit(json.dumps(keys, ensure_ascii=False, default=str)), f"array<{kind}>")
+        keys = [dict(zip(names, b, strict=True)) for b in bounds]
+        return _parsed(keys, "struct<" + ",".join(f"{n}:{k}" for n, k in zip(names, kinds, strict=True)) + ">")
 
 
 # Types whose comparison is one of Java numbers (floats are left out, for NaN).
@@ -149,6 +165,11 @@ def comparable(name: str, kind: T.DataType) -> Column:
     raise TypeError(f"cannot order by {name}: {kind.simpleString()} has no order that can be written down")
 
 
+def _parsed(values: list, kind: str) -> Column:
+    # A decimal is written as a string, which is parsed without loss.
+    return F.from_json(F.lit(json.dumps(values, ensure_ascii=False, default=str)), f"array<{kind}>")
+
+
 def _comparable_type(kind: T.DataType) -> str:
     if isinstance(kind, _AS_THEY_ARE):
         return kind.simpleString()

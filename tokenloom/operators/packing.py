@@ -37,7 +37,7 @@ class StreamLayout:
 
     def place(self, df: DataFrame) -> DataFrame:
         """Rows with their key range, head rows twice."""
-        placed = df.withColumn(BUCKET, self.ranges.column())
+        placed = self.ranges.place(df)
         if self.ranges.buckets > 1:
             head = F.get(self.ranges.literal(self.heads), F.col(BUCKET))
             shared = (F.col(BUCKET) > 0) & (self.ranges.key() <= head)
