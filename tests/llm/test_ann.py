@@ -1,4 +1,7 @@
+import tracemalloc
+
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -184,3 +187,43 @@ def test_a_query_is_one_row_for_each_cell_it_visits(spark):
     for q in range(45):
         assert met[q * 20] == {i for i in range(900) if np.isin(home[i], visited[q]).any()}
     assert max(map(len, held.values())) < 120  # the copies' bucket is split
+
+
+def test_a_cell_visited_by_many_queries_takes_bounded_memory():
+    """4,000 queries visit all 400 blocks of a cell: 34 million candidates, which took a gigabyte when they were sorted at once."""
+    rng = np.random.default_rng(10)
+    x = rng.normal(size=(9_000, 8)).astype("f4")
+    block = rng.integers(0, 400, len(x)).astype("i4")
+    x[8_000:8_500], block[8_000:8_500] = x[:500], (block[:500] + 1) % 400  # found twice
+    rep = np.where(np.arange(len(x)) < 8_000, np.arange(len(x)), np.arange(len(x)) - 8_000)
+    rep[8_500:] = np.arange(8_500, 9_000)
+    asked = x[:4_000]
+    visits = pa.ListArray.from_arrays(np.arange(4_001, dtype="i4") * 400, np.tile(np.arange(400, dtype="i4"), 4_000))
+
+    def rows(n, **columns):
+        kinds = dict(cell="i4", turn="i4", rep="i8", first="i8", block="i4", query="i8", blocks=pa.list_(pa.int32()), vec=pa.binary())
+        kinds = {c: pa.int32() if k == "i4" else pa.int64() if k == "i8" else k for c, k in kinds.items()}
+        return pa.RecordBatch.from_arrays([columns.get(c, pa.nulls(n, k)) for c, k in kinds.items()], list(kinds))
+
+    def as_bytes(v):
+        return pa.array([r.tobytes() for r in v], pa.binary())
+
+    def place(n, turn):
+        return {"cell": pa.array(np.full(n, 3, "i4")), "turn": pa.array(np.full(n, turn, "i4"))}
+
+    vectors = rows(len(x), **place(len(x), 0), rep=pa.array(rep), first=pa.array(rep), block=pa.array(block), vec=as_bytes(x))
+    queries = rows(4_000, **place(4_000, 0), query=pa.array(np.arange(4_000)), blocks=visits, vec=as_bytes(asked))
+    alone = rows(1, **place(1, 1), query=pa.array([-1]), blocks=visits[:1], vec=as_bytes(asked[:1]))  # no vectors in its turn
+    mixed = pa.Table.from_batches([vectors, queries, alone]).combine_chunks().to_batches(max_chunksize=2_500)
+    tracemalloc.start()
+    got = {}
+    for b in ann._search_cells(20, "f4")(iter(mixed)):
+        got.update(zip(b.column("query").to_pylist(), b.column("best").to_pylist(), strict=True))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert set(got) == set(range(4_000)) and peak < 300e6
+    y, each = x.astype(float), np.unique(rep, return_index=True)[1]
+    for q in range(0, 4_000, 97):
+        score = (y[each] * y[q]).sum(axis=1)
+        order = np.lexsort((rep[each], -score))[:21]
+        assert [(-b["loss"], b["rep"]) for b in got[q]] == [(float(score[i]), int(rep[each[i]])) for i in order]

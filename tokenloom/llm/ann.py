@@ -17,7 +17,9 @@ compared with all vectors, in blocks.
 
 Buckets are dealt to cells by hash, and those of more than ``BLOCK`` vectors are split over the next cells, so a hot bucket
 is many blocks.  A query is one row for each cell it visits, with the list of its blocks there, however many buckets it
-visits: at most one for each cell.  A cell that more than ``CELL_QUERIES`` queries visit is repeated for parts of them.  Equal vectors are indexed once,
+visits: at most one for each cell.  A cell that more than ``CELL_QUERIES`` queries visit is repeated for parts of them.  A task holds the
+vectors of one cell; queries pass by, at most ``PASSING`` at a time, and no more than about ``PENDING`` candidates are kept unsorted, so its memory
+does not grow with the queries or with the blocks they visit.  Equal vectors are indexed once,
 with their smallest ids: more than ``nearest + 1`` of them can never be in a result.
 
 Edge cases: null ids, null, empty or zero vectors, vectors with null or non-finite components, and vectors of another length
@@ -31,14 +33,16 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenloom.llm.common import column, map_arrow
-from tokenloom.operators.lookup import lookup
+from tokenloom.operators.lookup import fits_broadcast, lookup
 from tokenloom.staging import stage
 
 #: Hashes of a table with widths in units of a shell's largest norm; numbers of tables and of probes.
@@ -57,6 +61,8 @@ CELLS, CELL_ROWS, CELL_QUERIES = 64, 65_536, 65_536
 SPLITS, MARKS = 65_536, 1 << 23
 #: Queries scored at once against a block, pairs multiplied out exactly at once, and queries probed at once.
 ASKED, PAIRS, PROBED = 256, 65_536, 32
+#: Vectors multiplied at once; queries that pass a cell at once and the blocks they visit there; candidates kept before they are sorted.
+ROWS, PASSING, PASSING_VISITS, PENDING = 4_096, 16_384, 1 << 20, 1 << 19
 
 
 @dataclass(frozen=True)
@@ -259,19 +265,43 @@ def _matrix(column_: pa.ListArray) -> np.ndarray:
     return column_.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column_), -1)
 
 
+def _as_bytes(column_: pa.ListArray) -> pa.Array:
+    """The vectors as bytes, which move as one value each."""
+    values = np.ascontiguousarray(column_.flatten().to_numpy(zero_copy_only=False))
+    ends = np.arange(len(column_) + 1) * (values.nbytes // max(len(column_), 1))
+    return pa.Array.from_buffers(pa.binary(), len(column_), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(values)])
+
+
+def _from_bytes(column_: pa.Array, kind: str) -> np.ndarray:
+    """The vectors of :func:`_as_bytes` in their own precision."""
+    _, offsets, data = column_.buffers()
+    ends = np.frombuffer(offsets, np.int32, len(column_) + 1, column_.offset * 4)
+    return np.frombuffer(data, np.uint8, ends[-1] - ends[0], ends[0]).view(kind).reshape(len(column_), -1)
+
+
+def _packed(df: DataFrame, *others: str) -> DataFrame:
+    """``others`` and ``vec`` as bytes."""
+
+    def batch(b: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*(b.column(c) for c in others), _as_bytes(b.column("vec"))], [*others, "vec"])
+
+    kinds = dict(df.dtypes)
+    return map_arrow(df.select(*others, "vec"), batch, ", ".join([*(f"{c} {kinds[c]}" for c in others), "vec binary"]))
+
+
 def _indexed(vectors: DataFrame, index: Index) -> DataFrame:
-    """``(rep, first, vec, bucket)`` for each vector and table."""
+    """``(rep, first, vec, bucket)`` for each vector and table, the vector as bytes."""
 
     def batch(b: pa.RecordBatch) -> pa.RecordBatch:
         numbers = index.buckets(_matrix(b.column("vec")))
         ends = np.arange(0, numbers.size + 1, index.tables, dtype=np.int32)
         return pa.RecordBatch.from_arrays(
-            [b.column("rep"), b.column("first"), b.column("vec"), pa.ListArray.from_arrays(ends, numbers.ravel())],
+            [b.column("rep"), b.column("first"), _as_bytes(b.column("vec")), pa.ListArray.from_arrays(ends, numbers.ravel())],
             ["rep", "first", "vec", "buckets"],
         )
 
     named = vectors.select("rep", F.col("ids")[0].alias("first"), "vec")
-    hashed = map_arrow(named, batch, f"rep long, first long, vec {dict(vectors.dtypes)['vec']}, buckets array<bigint>")
+    hashed = map_arrow(named, batch, "rep long, first long, vec binary, buckets array<bigint>")
     return hashed.select("rep", "first", "vec", F.explode("buckets").alias("bucket"))
 
 
@@ -338,26 +368,31 @@ def _probes(queries: DataFrame, index: Index, held: Held) -> DataFrame:
     return queries.mapInArrow(run, "query long, cell int, blocks array<int>")
 
 
-def _block_best(asked: np.ndarray, vectors: np.ndarray, first: np.ndarray, reps: np.ndarray, n: int):
-    """``(query, vector, score)``: each query's ``n`` best of a block by exact score, then by smallest id."""
+def _block_best(asked: np.ndarray, vectors: np.ndarray, first: np.ndarray, reps: np.ndarray, n: int, least: np.ndarray | None = None):
+    """``(query, vector, score)``: each query's ``n`` best of a block by exact score, then by smallest id.
+
+    Those below ``least`` may be left out, and a few more than the best may be there, in any order, if they are not more than ``n`` a query on average.
+    """
     norms = np.sqrt((vectors * vectors).sum(axis=1).max())
-    step = max(1, min(ASKED, ASKED * CELL_ROWS // max(len(vectors), 1)))
+    step = max(1, min(ASKED, ASKED * ROWS // max(len(vectors), 1)))
     for at in range(0, len(asked), step):
         ask = asked[at : at + step]
         rough = ask @ vectors.T
-        if len(vectors) > n:
+        # Twice what two ways of adding up the products can differ by.
+        slack = 4 * (ask.shape[1] + 1) * np.finfo(float).eps * norms * np.sqrt((ask * ask).sum(axis=1))
+        cut = np.full(len(ask), -np.inf) if least is None else least[at : at + step] - slack
+        near = ~(rough < cut[:, None])
+        if len(vectors) > n and np.count_nonzero(near) > n * len(ask):
             last = np.partition(rough, len(vectors) - n, axis=1)[:, len(vectors) - n]
-            # Twice what two ways of adding up the products can differ by.
-            slack = 4 * (ask.shape[1] + 1) * np.finfo(float).eps * norms * np.sqrt((ask * ask).sum(axis=1))
-            q, pick = np.nonzero(rough >= (last - slack)[:, None])
-        else:
-            q, pick = np.nonzero(np.ones(rough.shape, bool))
+            near = rough >= np.fmax(cut, last - slack)[:, None]
+        q, pick = np.nonzero(near)
         exact = [(ask[q[i : i + PAIRS]] * vectors[pick[i : i + PAIRS]]).sum(axis=1) for i in range(0, len(q), PAIRS)]
-        s = np.concatenate(exact) + 0.0  # no negative zeros
-        order = np.lexsort((reps[pick], first[pick], -s, q))
-        q, pick, s = q[order], pick[order], s[order]
-        keep = _places(q) < n
-        yield q[keep] + at, pick[keep], s[keep]
+        s = np.concatenate([*exact, np.zeros(0)]) + 0.0  # no negative zeros
+        if len(q) > n * len(ask):
+            order = np.lexsort((reps[pick], first[pick], -s, q))
+            order = order[_places(q[order]) < n]
+            q, pick, s = q[order], pick[order], s[order]
+        yield q + at, pick, s
 
 
 def _places(q: np.ndarray) -> np.ndarray:
@@ -366,54 +401,102 @@ def _places(q: np.ndarray) -> np.ndarray:
     return np.arange(len(q)) - np.repeat(starts, np.diff(np.append(starts, len(q))))
 
 
-def _search_cell(nearest: int):
-    """Rank the vectors of each block against the queries that visit it, and keep each query's best of the cell."""
-
-    def search(left: pa.Table, right: pa.Table) -> pa.Table:
-        schema = pa.schema([("query", pa.int64()), ("best", pa.list_(pa.struct([("loss", pa.float64()), ("first", pa.int64()), ("rep", pa.int64())])))])
-        if not left.num_rows or not right.num_rows:
-            return schema.empty_table()
-        vectors = _matrix(left.column("vec").combine_chunks())
-        reps = left.column("rep").to_numpy()
-        first = left.column("first").to_numpy()
-        blocks = left.column("block").to_numpy()
-        asked = _matrix(right.column("vec").combine_chunks())
-        names = right.column("query").to_numpy()
-        visits = right.column("blocks").combine_chunks()
-        who = np.repeat(np.arange(len(asked)), np.diff(visits.offsets.to_numpy()))
-        visits = visits.flatten().to_numpy()
-        order, by = np.argsort(blocks, kind="stable"), np.argsort(visits, kind="stable")
-        blocks, visits, who = blocks[order], visits[by], who[by]
-        q_all, r_all, s_all = [], [], []
-        for block in np.intersect1d(blocks, visits):
-            rows = order[np.searchsorted(blocks, block) : np.searchsorted(blocks, block, "right")]
-            ask = who[np.searchsorted(visits, block) : np.searchsorted(visits, block, "right")]
-            for q, pick, s in _block_best(asked[ask], vectors[rows], first[rows], reps[rows], nearest + 1):
-                q_all.append(ask[q])
-                r_all.append(rows[pick])
-                s_all.append(s)
-        if not q_all:
-            return schema.empty_table()
-        q, at, s = np.concatenate(q_all), np.concatenate(r_all), np.concatenate(s_all)
-        r, f = reps[at], first[at]
-        order = np.lexsort((r, f, -s, q))
-        q, r, f, s = q[order], r[order], f[order], s[order]
-        new = np.append(True, (q[1:] != q[:-1]) | (r[1:] != r[:-1]))  # a vector found in several tables
-        q, r, f, s = q[new], r[new], f[new], s[new]
-        keep = _places(q) <= nearest
-        q, r, f, s = q[keep], r[keep], f[keep], s[keep]
-        starts = np.flatnonzero(np.append(True, q[1:] != q[:-1]))
-        lists = pa.ListArray.from_arrays(
-            np.append(starts, len(q)).astype(np.int32),
-            pa.StructArray.from_arrays([pa.array(0.0 - s), pa.array(f), pa.array(r)], ["loss", "first", "rep"]),
-        )
-        return pa.Table.from_arrays([pa.array(names[q[starts]]), lists], ["query", "best"])
+class Cell:
+    """The vectors of a cell by block, in their own precision."""
+
+    def __init__(self, held: list[pa.RecordBatch], kind: str):
+        blocks = np.concatenate([b.column("block").to_numpy() for b in held])
+        order = np.argsort(blocks, kind="stable")
+        self.vectors = np.concatenate([_from_bytes(b.column("vec"), kind) for b in held])[order]
+        self.reps = np.concatenate([b.column("rep").to_numpy() for b in held])[order]
+        self.first = np.concatenate([b.column("first").to_numpy() for b in held])[order]
+        self.blocks, starts = np.unique(blocks[order], return_index=True)
+        self.ends = np.append(starts, len(order))
+
+    def best(self, asked: np.ndarray, sizes: np.ndarray, visits: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(query, vector, score)``: each query's ``n`` best of the blocks it visits, ``sizes`` of ``visits`` for each query."""
+        by = np.argsort(visits, kind="stable")
+        who, visits = np.repeat(np.arange(len(asked)), sizes)[by], visits[by]
+        least = np.full(len(asked), -np.inf)
+        pending, many = [], 0
+        for k in np.flatnonzero(np.isin(self.blocks, visits)):
+            ask = who[np.searchsorted(visits, self.blocks[k]) : np.searchsorted(visits, self.blocks[k], "right")]
+            for start in range(self.ends[k], self.ends[k + 1], ROWS):
+                rows = slice(start, min(start + ROWS, self.ends[k + 1]))
+                x = self.vectors[rows].astype(np.float64)
+                for part in range(0, len(ask), ASKED):
+                    some = ask[part : part + ASKED]
+                    for q, pick, s in _block_best(asked[some], x, self.first[rows], self.reps[rows], n, least[some]):
+                        pending.append((some[q], pick + start, s))
+                        many += len(q)
+                    if many > PENDING:
+                        pending = [self.sorted(pending, n)]
+                        q, _, s = pending[0]
+                        last = _places(q) == n - 1
+                        least[q[last]] = s[last]  # nothing below has a place any more
+                        many = 0
+        return self.sorted(pending, n)
+
+    def sorted(self, pending: list, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if not pending:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        q, at, s = (np.concatenate(each) for each in zip(*pending, strict=True))
+        order = np.lexsort((self.reps[at], self.first[at], -s, q))
+        q, at, s = q[order], at[order], s[order]
+        r = self.reps[at]
+        new = np.append(True, (q[1:] != q[:-1]) | (r[1:] != r[:-1]))[: len(q)]  # a vector found in several tables
+        q, at, s = q[new], at[new], s[new]
+        keep = _places(q) < n
+        return q[keep], at[keep], s[keep]
+
 
-    return search
+def _search_cells(nearest: int, kind: str):
+    """Rank the vectors of each block against the queries that visit it, and keep each query's best of the cell.
+
+    Rows come by cell and turn, vectors before queries.  Only a cell's vectors and a bounded part of its queries are held.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, cell = None, [], None
+        for batch in batches:
+            names = np.stack([batch.column(c).to_numpy() for c in ("cell", "turn")], axis=1)
+            asks = batch.column("query").is_valid().to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero((np.diff(names, axis=0) != 0).any(axis=1) | (asks[1:] != asks[:-1])) + 1
+            for low, high in pairwise([0, *cuts.tolist(), len(asks)] if len(asks) else []):
+                if now != tuple(names[low]):
+                    now, held, cell = tuple(names[low]), [], None
+                part = batch.slice(low, high - low)
+                if not asks[low]:
+                    held.append(part)
+                    continue
+                if held:
+                    cell, held = Cell(held, kind), []
+                if cell is not None:
+                    yield from passing(cell, part)
+        pa.default_memory_pool().release_unused()
+
+    def passing(cell: Cell, queries: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        sizes = pc.list_value_length(queries.column("blocks")).to_numpy().astype(np.int64)
+        ends, start = np.cumsum(sizes), 0
+        while start < len(sizes):
+            before = ends[start - 1] if start else 0
+            stop = min(start + PASSING, max(start + 1, int(np.searchsorted(ends, before + PASSING_VISITS, "right"))))
+            part = queries.slice(start, stop - start)
+            asked = _from_bytes(part.column("vec"), kind).astype(np.float64)
+            q, at, s = cell.best(asked, sizes[start:stop], part.column("blocks").flatten().to_numpy(), nearest + 1)
+            starts = np.flatnonzero(np.append(True, q[1:] != q[:-1])[: len(q)])
+            lists = pa.ListArray.from_arrays(
+                np.append(starts, len(q)).astype(np.int32),
+                pa.StructArray.from_arrays([pa.array(0.0 - s), pa.array(cell.first[at]), pa.array(cell.reps[at])], ["loss", "first", "rep"]),
+            )
+            yield pa.RecordBatch.from_arrays([part.column("query").take(pa.array(q[starts])), lists], ["query", "best"])
+            start = stop
+
+    return run
 
 
 def _blocks(vectors: DataFrame, asked: DataFrame, index: Index, total: int, cells: int) -> tuple[DataFrame, DataFrame]:
-    """``(rep, first, vec, block, cell)`` of all tables, and ``(query, cell, blocks)`` of the blocks that queries visit.
+    """``(rep, first, vec, block, cell)`` of all tables, vectors as bytes, and ``(query, cell, blocks)`` of the blocks that queries visit.
 
     A block is what a cell holds of a bucket.  Its number is the low bits of the bucket's; the cell comes from the high ones.
     """
@@ -430,7 +513,8 @@ def _blocks(vectors: DataFrame, asked: DataFrame, index: Index, total: int, cell
 def _everything(vectors: DataFrame, asked: DataFrame, cells: int) -> tuple[DataFrame, DataFrame]:
     """The same for queries that are to be compared with all vectors: each cell is one block."""
     cell = F.pmod(F.xxhash64("rep"), F.lit(cells)).cast("int")
-    left = vectors.select("rep", F.col("ids")[0].alias("first"), "vec", cell.alias("block"), cell.alias("cell"))
+    named = _packed(vectors.select("rep", F.col("ids")[0].alias("first"), "vec"), "rep", "first")
+    left = named.select("rep", "first", "vec", cell.alias("block"), cell.alias("cell"))
     every = asked.select("query", F.explode(F.sequence(F.lit(0), F.lit(cells - 1))).alias("cell"))
     return left, every.select("query", "cell", F.array("cell").alias("blocks"))
 
@@ -444,10 +528,15 @@ def _ranked(vectors: DataFrame, asked: DataFrame, left: DataFrame, visits: DataF
     turn = F.explode(F.sequence(F.lit(0), turns - 1)).alias("turn")
     left = lookup(left, load, "cell").select("rep", "first", "vec", "block", "cell", turn)
     turn = F.pmod(F.xxhash64("query"), turns).cast("int").alias("turn")
-    right = lookup(visits, load, "cell").select("query", "cell", "blocks", turn).join(asked.select("query", "vec"), "query")
-    found = left.groupBy("cell", "turn").cogroup(right.groupBy("cell", "turn")).applyInArrow(
-        _search_cell(nearest), "query long, best array<struct<loss:double,first:long,rep:long>>"
-    )
+    vec = stage(_packed(asked, "query"), "asked")
+    right = lookup(visits, load, "cell").select("query", "cell", "blocks", turn)
+    right = right.join(F.broadcast(vec) if fits_broadcast(vec) else vec, "query")
+    # One number to sort by: the queries of a cell come after its vectors.
+    order = F.shiftleft(F.col("cell").cast("long"), 32) + F.col("turn") * 2 + F.col("query").isNotNull().cast("int")
+    both = left.unionByName(right, allowMissingColumns=True).repartition("cell", "turn")
+    both = both.withColumn("order", order).sortWithinPartitions("order").drop("order")
+    kind = "f4" if dict(asked.dtypes)["vec"] == "array<float>" else "f8"
+    found = both.mapInArrow(_search_cells(nearest, kind), "query long, best array<struct<loss:double,first:long,rep:long>>")
     # At most (nearest + 1) entries from each cell a query visits.
     merged = found.groupBy("query").agg(F.sort_array(F.flatten(F.collect_list("best"))).alias("best"))
     best = F.array_distinct(F.slice("best", 1, (nearest + 1) * tables))
