@@ -3,13 +3,14 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from tokenloom.functions.prompts import prompt_full
 from tokenloom.functions.tokens import split_tokens
-from tokenloom.operators import bigram, classifier, lookup, metrics, udfs
+from tokenloom.operators import bigram, blocks, classifier, lookup, metrics, udfs, vocab
 from tokenloom.sources import sinks, tables
 
 
@@ -208,3 +209,41 @@ def test_column_functions_on_a_stream(spark, tmp_path):
     query.awaitTermination(60)
     got = {r.id: r.text for r in spark.table("prompts").collect()}
     assert set(got) == set(range(5)) and got[3].endswith("say 3\n\n### Response:\n3")
+
+
+def test_generation_from_texts_without_tokens(spark):
+    """An empty and a null text have no last token, an empty list of ids no last id."""
+    rows = [(0, "a b"), (1, ""), (2, None), (3, "a")]
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING")
+    v = vocab.build_vocab(docs, specials=("<unk>", "<eos>"))
+    model = bigram.text_pair_counts(docs, v, specials=("<unk>", "<eos>"), end="<eos>")
+    last = bigram.last_ids(docs, v, ["doc_id"], specials=("<unk>", "<eos>"))
+    ids = vocab.token_ids(v, ["a", " b", "<eos>"])
+    assert {r.doc_id: r.input_ids for r in last.collect()} == {0: [ids[" b"]], 1: [], 2: [], 3: [ids["a"]]}
+    best = ids[" b"] if ids[" b"] < ids["<eos>"] else ids["<eos>"]  # a tie: the lowest id
+    got = bigram.generate_greedy(last, model, ["doc_id"], ids["<eos>"], 3)
+    after_a = [best] if best == ids["<eos>"] else [best, ids["<eos>"]]
+    assert {r.doc_id: r.generated for r in got.collect()} == {0: [ids["<eos>"]], 1: [], 2: [], 3: after_a}
+
+
+def test_walks_are_the_same_one_broadcast_at_a_time(spark, monkeypatch):
+    model = spark.createDataFrame([(i, (i * 7 + 1) % 40, 1) for i in range(40)], "prev INT, next INT, n LONG")
+    prompts = spark.createDataFrame([(i, [i]) for i in range(45)], "id INT, input_ids ARRAY<INT>")
+
+    def walk(t):
+        out = []
+        while len(out) < 9 and t != 12 and t < 40:
+            t = (t * 7 + 1) % 40
+            out.append(t)
+        return out
+
+    for limit in (bigram.BROADCAST_BYTES, 80 * 50):
+        monkeypatch.setattr(bigram, "BROADCAST_BYTES", limit)
+        got = bigram.generate_greedy(prompts, model, ["id"], 12, 9)
+        assert {r.id: r.generated for r in got.collect()} == {i: walk(i) for i in range(45)}
+
+
+def test_pairs_are_counted_by_sorting():
+    both, n = blocks.counts_of(np.array([5, 3, 5, -1, 3, 5]))
+    assert both.tolist() == [-1, 3, 5] and n.tolist() == [1, 2, 3]
+    assert [len(x) for x in blocks.counts_of(np.zeros(0, np.int64))] == [0, 0]

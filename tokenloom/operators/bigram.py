@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tokenloom.functions.sequences import next_token_pairs
 from tokenloom.functions.tokens import split_tokens
 from tokenloom.operators import blocks
-from tokenloom.operators.lookup import fits_broadcast, lookup
+from tokenloom.operators.lookup import BROADCAST_BYTES, fits_broadcast, lookup
 from tokenloom.operators.tokenize import numbered_texts
 from tokenloom.operators.vocab import token_id, token_ids
 from tokenloom.staging import stage
@@ -45,9 +45,12 @@ def text_pair_counts(
 
 
 def last_ids(df: DataFrame, vocab: DataFrame, key: Sequence[str], text: str = "text", specials: Sequence[str] = (), unk: str = "<unk>") -> DataFrame:
-    """``(key, input_ids)`` with just the last id of each text, which is all a bigram model looks at."""
-    last = F.element_at(split_tokens(text, specials), -1).alias("token")
-    named = lookup(df.select(*key, last), vocab.select("token", "id"), "token")
+    """``(key, input_ids)`` with just the last id of each text, which is all a bigram model looks at; a text without tokens has none.
+
+    The last tokens are staged: they are read several times, the texts once.
+    """
+    last = F.try_element_at(split_tokens(text, specials), F.lit(-1)).alias("token")
+    named = lookup(stage(df.select(*key, last), "last-tokens"), vocab.select("token", "id"), "token")
     found = F.when(F.col("token").isNotNull(), F.array(F.coalesce("id", F.lit(token_id(vocab, unk)))))
     return named.select(*key, F.coalesce(found, F.array().cast("array<int>")).alias("input_ids"))
 
@@ -103,7 +106,8 @@ def generate_greedy(
     id.  Jump tables give the token 1, 2, 4, ... steps on, each joined from the one
     before; from the longest jump down, every position reached so far yields one more.
     That takes about ``2 * log2(max_new)`` joins of narrow tables instead of ``max_new``.
-    A walk ends after the end token and at a token without a successor.
+    A walk ends after the end token and at a token without a successor; a prompt without ids has none.
+    Runs jobs: the prompts' last ids, the jump tables, the walks and, unless all jump tables together fit a broadcast, each step of them.
     """
     jumps = [stage(best_next(model).filter(F.col("prev") != eos_id), "jump")]
     small = fits_broadcast(jumps[0])  # every later table has fewer rows of the same width
@@ -111,11 +115,12 @@ def generate_greedy(
         tail = jumps[-1].select(F.col("prev").alias("next"), F.col("next").alias("after"))
         doubled = lookup(jumps[-1], tail, "next", small).filter("after is not null")
         jumps.append(stage(doubled.select("prev", F.col("after").alias("next")), "jump"))
-    last = prompts.select(*key, F.element_at(ids, -1).alias("start"))
+    together = small and fits_broadcast(jumps[0], BROADCAST_BYTES // len(jumps))
+    last = stage(prompts.select(*key, F.try_element_at(ids, F.lit(-1)).alias("start")), "prompts")
     walk = last.select("start").distinct().select("start", F.lit(0).alias("step"), F.col("start").alias("prev"))
     for power in reversed(range(len(jumps))):
-        if not small:
-            walk = stage(walk, "walk")  # the other way of joining reads it several times
+        if not together:
+            walk = stage(walk, "walk")  # one broadcast at a time; the other way of joining reads it several times
         steps = F.explode(F.array(F.lit(0), F.lit(2**power)))
         further = lookup(walk, jumps[power], "prev", small).withColumn("jump", steps)
         walk = further.select(

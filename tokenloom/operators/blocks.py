@@ -27,6 +27,8 @@ BLOCK_KEYS = 1 << 22
 KEYS_IN_ROW = 1 << 13
 # Values handed on at once.
 SLICE = 1 << 20
+# Rows handed on at once.
+ROWS = 1 << 16
 
 
 def numbered_tokens(specials: Sequence[str]) -> Callable[[list[pa.Array]], tuple[np.ndarray, np.ndarray, pa.Array]]:
@@ -162,7 +164,7 @@ def exchanged_in_place(both: DataFrame, columns: Sequence[str], out: str, togeth
 def adjacent(rows: DataFrame, known: DataFrame, end: int | None = None) -> DataFrame:
     """``(prev, next, n)``: how often two values are next to each other in a row, ``end`` being one after every row.
 
-    ``known`` is as for :func:`exchanged`, its values ids.  Counts are summed within about ``BLOCK_KEYS`` values; pairs may repeat.
+    ``known`` is as for :func:`exchanged`, its values ids.  Counts are summed within about ``SLICE`` values; pairs may repeat.
     """
 
     def counted(rows: pa.RecordBatch, got: pa.Array, ends: np.ndarray) -> pa.RecordBatch:
@@ -173,12 +175,18 @@ def adjacent(rows: DataFrame, known: DataFrame, end: int | None = None) -> DataF
         pairs = (ids[:-1] << 32 | ids[1:])[inside]
         if end is not None:
             pairs = np.concatenate([pairs, ids[last] << 32 | end])
-        found = pc.value_counts(pa.array(pairs))
-        both = found.field("values").to_numpy()
-        return pa.RecordBatch.from_arrays([pa.array((both >> 32).astype(np.int32)), pa.array(both.astype(np.int32)), found.field("counts")], ["prev", "next", "n"])
+        both, n = counts_of(pairs)
+        return pa.RecordBatch.from_arrays([pa.array((both >> 32).astype(np.int32)), pa.array(both.astype(np.int32)), pa.array(n)], ["prev", "next", "n"])
 
     both = rows.select(BLOCK, CODES).unionByName(known, allowMissingColumns=True)
-    return _exchange(both.repartition(BLOCK), counted, "prev int, next int, n long", BLOCK_KEYS)
+    return _exchange(both.repartition(BLOCK), counted, "prev int, next int, n long", SLICE)
+
+
+def counts_of(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers and how often each occurs, by sorting ``numbers`` in place, which takes a fraction of a hash table's memory."""
+    numbers.sort()
+    starts = np.flatnonzero(np.append(True, numbers[1:] != numbers[:-1])[: len(numbers)])
+    return numbers[starts], np.diff(np.append(starts, len(numbers)))
 
 
 def _exchange(both: DataFrame, finish: Callable, schema: T.StructType | str, most: int) -> DataFrame:
@@ -218,7 +226,9 @@ def _exchange(both: DataFrame, finish: Callable, schema: T.StructType | str, mos
             rows = part.slice(start, stop - start)
             codes = from_binary(rows.column(CODES))
             got = values.take(pa.array(codes, pa.int32(), mask=codes < 0))
-            yield finish(rows, got, np.concatenate([[0], ends[start:stop] - before]))
+            done = finish(rows, got, np.concatenate([[0], ends[start:stop] - before]))
+            for at in range(0, done.num_rows, ROWS):  # the JVM holds a batch beside its heap
+                yield done.slice(at, ROWS)
             start = stop
 
     return dealt.mapInArrow(run, schema)
