@@ -60,15 +60,17 @@ def _pieces(template: str) -> list[tuple[str, str]]:
         if i % 2 == 0:
             before = raw[i - 1] if i else ""
             after = raw[i + 1] if i + 1 < len(raw) else ""
+            fresh = i == 0  # whether the piece begins a line
             if before.endswith(("-}}", "-%}")):
                 piece = piece.lstrip(_SPACE)
             elif before.startswith(("{%", "{#")):
+                fresh = piece.startswith("\n")
                 piece = piece.removeprefix("\n")
             if after.startswith(("{{-", "{%-")):
                 piece = piece.rstrip(_SPACE)
             elif after.startswith(("{%", "{#")):
                 line = re.search(r"(?:\A|(?<=\n))[ \t]*\Z", piece) if piece.endswith((" ", "\t")) else None
-                if line and (line.start() > 0 or i == 0):
+                if line and (line.start() > 0 or fresh):
                     piece = piece[: line.start()]
             if piece:
                 out.append(("text", piece))
